@@ -9,10 +9,12 @@ on full sets by integer arithmetic.
 
 A band's bucket never expands into all its pairs. Its members are first compared with one leader each (of
 four differently ordered leaders over the bands), and confirmed links are merged into components. A second
-pass takes the buckets whose members still lie in different components, and compares each member outside the
-bucket's largest component with the members of other components. A pair that both passes leave out shares a
-component or no bucket, so components are those of all links that banding can find: a pair at similarity
-0.85 shares none of 20 bands with probability 4e-7. A pair at 0.85 differs from its expected 35 ones in the
+pass takes the classes of buckets whose members, the leader aside, still lie in different components, and finds
+all pairs of them that can reach the threshold by an exact prefix filter, rare shingles first, so that texts which
+only share a base or a passage don't meet; again first with one leader for each shingle, then all pairs of
+parts that are still apart. A pair that all passes leave out shares a component or no
+bucket, so components are those of all links that banding can find: a pair at similarity 0.85 shares none of
+20 bands with probability 4e-7. A pair at 0.85 differs from its expected 35 ones in the
 XOR by more than the allowed margin (92 ones) with a probability below 1e-9.
 
 Cases: a null or empty text, or one of separators only, has an empty set and links with nothing; rows with one
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm import textkit as tk
@@ -38,6 +40,7 @@ SAMPLES, BANDS, ROWS = 128, 20, 4
 SKETCH_BITS = 512
 MOST_ONES = 92
 LEADER_ORDERS = 4
+IDS_MOST = 1_000_000
 
 _rule = tk.mix(np.arange(1, 2 * SAMPLES + 1, dtype=np.uint64))
 _FACTOR = ((_rule[:SAMPLES] >> np.uint64(32)).astype(np.uint32) | np.uint32(1))[:, None]
@@ -138,14 +141,71 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, percent:
     ones = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_BITS // 64)), F.lit(0))
     fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     near = staged(near.where(fits & (ones <= MOST_ONES)).select("a", "b"), "near-pairs")
-    wanted = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
-    full = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(_full_sets, "doc_id long, shingles array<long>")
-    full = staged(full, "shingle-sets")
+    full = _sets_of(docs, near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))))
     both = near.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a").join(full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b")
     shared = both.select("a", "b", (F.size("sa") + F.size("sb")).alias("total"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
     return shared.where(F.col("shared") * 100 >= (F.col("total") - F.col("shared")) * percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and shingles of the wanted documents; their ids go to all tasks only if counted as few."""
+    wanted = staged(wanted.select("doc_id").distinct(), "wanted")
+    few = wanted.count() <= IDS_MOST
+    texts = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+    return staged(texts.mapInArrow(_full_sets, "doc_id long, shingles array<long>"), "shingle-sets")
+
+
+def _prefixes(classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """token, rep, n, at: the shingles by which ``classes`` (rep) of different texts can reach the threshold.
+
+    Shingles are ordered from rare to frequent. Two sets of n <= m shingles at the threshold t share one among
+    the first n(1 - t)/(1 + t) of the smaller and the first m(1 - t) of the larger.
+    """
+    full = _sets_of(docs, classes.select(F.col("rep").alias("doc_id")))
+    tokens = full.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    df = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("rep", "n").orderBy("df", "token")
+    ranked = tokens.join(df, "token").withColumn("at", F.row_number().over(order) - 1)
+    ranked = ranked.where(F.col("at") * 100 <= F.col("n") * (100 - percent)).where("df > 1").select("token", "rep", "n", "at")
+    return staged(ranked, "prefixes")
+
+
+def _parts(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """rep and part: its component under ``links``, else itself."""
+    labels = staged(connected_components(links), "components").withColumnsRenamed({"node": "rep"})
+    return classes.select("rep").join(labels, "rep", "left").select("rep", F.coalesce("component", "rep").alias("part"))
+
+
+def _star_pairs(prefixes: DataFrame) -> DataFrame:
+    """Each shingle's classes with the one in which it stands first (which has the fewest rare ones), if their parts differ."""
+    leader = prefixes.groupBy("token").agg(F.min_by(F.struct("rep", "part"), F.struct("at", "rep")).alias("x")).select("token", F.col("x.rep").alias("leader"), F.col("x.part").alias("its"))
+    pairs = prefixes.join(leader, "token").where("part <> its")
+    return pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
+
+
+def _prefix_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different parts that meet in a shingle and have enough left behind it on both sides.
+
+    For each shingle only pairs with a member outside its largest part are looked at.
+    """
+    sizes = prefixes.groupBy("token", "part").agg(F.count("*").alias("k"))
+    main = sizes.groupBy("token").agg(F.max_by("part", F.struct("k", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("token", "main")
+    rows = staged(prefixes.join(main, "token"), "open-prefixes")
+    outside = rows.where("part <> main")
+
+    def pairs(small: DataFrame, large: DataFrame) -> DataFrame:
+        x = small.where(F.col("at") * (100 + percent) <= F.col("n") * (100 - percent))
+        x = x.select("token", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n", "at", "part")])
+        y = large.select("token", *[F.col(c).alias(f"y_{c}") for c in ("rep", "n", "at", "part")])
+        fits = F.expr(
+            f"x_part <> y_part and (x_n < y_n or (x_n = y_n and x_rep < y_rep)) and x_n * 100 >= y_n * {percent}"
+            f" and least(x_n - x_at, y_n - y_at) * {100 + percent} >= (x_n + y_n) * {percent}"
+        )
+        return x.join(y, "token").where(fits).select(F.least("x_rep", "y_rep").alias("a"), F.greatest("x_rep", "y_rep").alias("b"))
+
+    return pairs(outside, rows).unionByName(pairs(rows, outside)).distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id long, text string)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -162,18 +222,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = members.where("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
     links = staged(_confirmed(first, docs, classes, percent), "links")
 
-    labels = staged(connected_components(links), "components")
-
-    part = members.select("bucket", "rep").join(labels.withColumnsRenamed({"node": "rep"}), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("part"))
+    part = members.where("rep <> leader").select("bucket", "rep").join(_parts(classes, links), "rep")
     open_ = part.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket")
-    part = staged(part.join(open_, "bucket", "left_semi"), "open-buckets")
-    sizes = part.groupBy("bucket", "part").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max_by("part", F.struct("n", "part")).alias("main"))
-    outside = part.join(main, "bucket").where("part <> main").select("bucket", "main", F.col("rep").alias("a"), F.col("part").alias("pa"))
-    second = outside.join(part.select("bucket", F.col("rep").alias("b"), F.col("part").alias("pb")), "bucket").where("pa <> pb and (pb = main or a < b)")
-    second = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    second = staged(second, "second-pairs")
-    more = staged(_confirmed(second, docs, classes, percent), "second-links")
+    open_ = staged(part.join(open_, "bucket", "left_semi").select("rep", "part").distinct(), "open-classes")
+    prefixes = _prefixes(open_, docs, percent)
+    second = staged(_star_pairs(prefixes.join(open_, "rep")).join(first, ["a", "b"], "left_anti"), "second-pairs")
+    links = staged(links.unionByName(_confirmed(second, docs, classes, percent)), "links")
+    third = _prefix_pairs(staged(prefixes.join(_parts(open_, links), "rep"), "prefix-parts"), percent)
+    third = staged(third.join(first.unionByName(second), ["a", "b"], "left_anti"), "third-pairs")
+    more = staged(_confirmed(third, docs, classes, percent), "links")
 
     linked = connected_components(links.unionByName(more).unionByName(_shared_ids(held, classes, key)))
     named = classes.select(*key, "rep").join(linked.withColumnsRenamed({"node": "rep"}), "rep", "left").select(*key, F.coalesce("component", "rep").alias("component"))

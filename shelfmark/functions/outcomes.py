@@ -83,3 +83,11 @@ def pick_link(links: Column) -> Column:
 
 def pick_oa_url(best_pdf: Column, others: Column, best_url: Column) -> Column:
     return F.coalesce(best_pdf, F.get(F.filter(others, lambda x: x.isNotNull()), F.lit(0)), best_url)
+
+
+def rank_oa_locations(locations: Column) -> Column:
+    """URLs of an array of (url_for_pdf, host_type): repositories first, given order within each, repeats dropped."""
+    real = F.filter(locations, lambda x: x["url_for_pdf"].isNotNull())
+    repository = lambda x: F.coalesce(x["host_type"] == "repository", F.lit(False))
+    ordered = F.concat(F.filter(real, repository), F.filter(real, lambda x: ~repository(x)))
+    return F.array_distinct(F.transform(ordered, lambda x: x["url_for_pdf"]))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import difflib
+import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -63,7 +65,7 @@ def email_checks(email: Column, authors: Column, own_domains: list[str]) -> Colu
 
 def email_verdict(syntax: Column, multiple: Column, obfuscated: Column, reachable: Column, deliverable: Column) -> Column:
     return (
-        F.when(multiple, "multi_addr").when(obfuscated, "obfusc").when(~syntax, "syntax_bad")
+        F.when(~syntax, "syntax_bad").when(multiple, "multi_addr").when(obfuscated, "obfusc")
         .when(~F.coalesce(reachable, F.lit(True)), "unreachable").when(~F.coalesce(deliverable, F.lit(True)), "not_deliverable").otherwise("valid")
     )
 
@@ -112,10 +114,19 @@ def truncate_middle(col: Column, n: int, marker: str = " ... ") -> Column:
     return F.when(F.length(col) > n, F.concat(F.substring(col, 1, half), F.lit(marker), F.right(col, F.lit(n - half)))).otherwise(col)
 
 
+#: LaTeX patterns and what each becomes, in order.
+LATEX = (
+    (r"\\(?:begin|end)\{[^}]+\}", ""),
+    (r"\\href\{[^}]*\}\{([^}]*)\}", "$1"),
+    (r"\\(?:textbf|emph|texttt)\{([^}]*)\}", "$1"),
+    (r"\\[a-zA-Z]+\*?\s*(?:\[[^\]]*\])?", ""),
+)
+
+
 def strip_latex(col: Column) -> Column:
-    out = F.regexp_replace(col, r"\$([^$]*)\$", "$1")
-    out = F.regexp_replace(out, r"\\(?:text|mathrm|mathbf)\{([^}]*)\}", "$1")
-    return F.regexp_replace(F.regexp_replace(out, r"\\[A-Za-z]+", ""), r"[{}]", "")
+    for pattern, text in LATEX:
+        col = F.regexp_replace(col, pattern, text)
+    return col
 
 
 def upsert_block(body: Column, block: Column, start: str, end: str) -> Column:
@@ -190,3 +201,53 @@ def title_scores(df: DataFrame) -> DataFrame:
     df = df.withColumn("title_score", quick)
     slow = df.where("title_score is null").withColumn("title_score", seq_ratio(F.substring("_t", 1, 1000), F.col("_q")))
     return df.where("title_score is not null").unionByName(slow).drop("_t", "_q")
+
+
+def fix_emails(df: DataFrame) -> DataFrame:
+    """``email`` and each of ``authors`` (name, email) reduced to its primary address; ``extras`` holds the others, ``changed`` the fields that had any."""
+    own = split_multi_email(F.col("email"))
+    each = F.transform(F.coalesce("authors", F.array().cast("array<struct<name:string,email:string>>")), lambda a: F.struct(a["name"].alias("name"), split_multi_email(a["email"]).alias("s")))
+    df = df.withColumn("_own", own).withColumn("_each", each)
+    more = F.flatten(F.transform("_each", lambda a: a["s"]["extras"]))
+    flags = F.array_compact(F.array(F.when(F.size("_own.extras") > 0, F.lit("email")), F.when(F.size(more) > 0, F.lit("authors"))))
+    fixed = F.transform("_each", lambda a: F.struct(a["name"].alias("name"), a["s"]["primary"].alias("email")))
+    return df.withColumns({"email": F.col("_own.primary"), "authors": fixed, "extras": F.concat(F.col("_own.extras"), more), "changed": flags}).drop("_own", "_each")
+
+
+@F.pandas_udf(T.StringType())
+def repair_json(raw: pd.Series) -> pd.Series:
+    """The balanced object around the first quoted key, else the fields that can be read one by one, as JSON; null if there are none."""
+
+    def balanced(text: str, key_at: int) -> str | None:
+        start = text.rfind("{", 0, key_at)
+        depth = 0
+        for m in re.finditer(r"[{}]", text[start:]) if start >= 0 else ():
+            depth += 1 if m.group() == "{" else -1
+            if depth == 0:
+                return text[start : start + m.end()]
+        return None
+
+    def one(text: str | None) -> str | None:
+        key = re.search(r'"\w+"\s*:', text or "")
+        if not key:
+            return None
+        try:
+            return json.dumps(json.loads(balanced(text, key.start()) or ""))
+        except ValueError:
+            fields = re.findall(r'"(\w+)"\s*:\s*(\d+|"[^"]*"|true|false|null)', text)
+            return json.dumps({k: v.strip('"') for k, v in fields}) if fields else None
+
+    return raw.map(one)
+
+
+def parse_answers(df: DataFrame, col: str) -> DataFrame:
+    """``answer``, a map of the object in a structured answer, fences aside; ``error`` holds the first 500 characters if there is none.
+
+    A flat object is read natively; only the rows without a valid one reach ``repair_json``.
+    """
+    plain = F.regexp_replace(F.coalesce(F.col(col), F.lit("")), r"```(?:json)?", "")
+    read = lambda c: F.from_json(c, "map<string,string>")
+    df = df.withColumn("_plain", plain).withColumn("answer", read(F.nullif(F.regexp_extract("_plain", r'(\{[^{}]*"\w+"[^{}]*\})', 1), F.lit(""))))
+    slow = df.where("answer is null").withColumn("answer", read(repair_json("_plain")))
+    both = df.where("answer is not null").unionByName(slow)
+    return both.withColumn("error", F.when(F.col("answer").isNull(), F.substring("_plain", 1, 500))).drop("_plain")

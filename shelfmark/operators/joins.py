@@ -133,3 +133,38 @@ def apply_canonical(records: DataFrame, picks: DataFrame) -> DataFrame:
 def unhashed_multi(files: DataFrame) -> DataFrame:
     many = files.groupBy("record_id").agg(F.count("*").alias("n")).where("n >= 2")
     return files.where("sha256 is null").join(many, "record_id", "left_semi")
+
+
+def pending_batch(queue: DataFrame, records: DataFrame, n: int) -> DataFrame:
+    """The next n pending items with what the fetch needs of their records."""
+    j = queue.where("status = 'pending'").join(records.select("record_id", "doi", "year"), "record_id")
+    return j.orderBy("enqueued_ts", "record_id").limit(n)
+
+
+def canonical_with_year(files: DataFrame, records: DataFrame) -> DataFrame:
+    return files.join(records.select("record_id", F.col("year").alias("record_year")), "record_id", "left")
+
+
+def doi_urls_by_table(records: DataFrame, templates: DataFrame) -> DataFrame:
+    """record_id, doi, url for each template (prefix, template) of the DOI's prefix; the rules are a table, joined on the prefix."""
+    suffix = F.regexp_extract("doi", "^[^/]*/(.*)$", 1)
+    j = records.select("record_id", "doi", F.substring_index("doi", "/", 1).alias("prefix")).join(templates, "prefix")
+    return j.select("record_id", "doi", F.replace(F.replace("template", F.lit("{doi}"), F.col("doi")), F.lit("{suffix}"), suffix).alias("url"))
+
+
+def source_plan(records: DataFrame, rules: list[tuple[str, object]]) -> DataFrame:
+    """record_id, pos, source: the sources whose condition holds, in the order of the rules."""
+    names = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in rules]))
+    return records.select("record_id", F.posexplode(names).alias("pos", "source"))
+
+
+def pick_report_path(paths: DataFrame) -> DataFrame:
+    """Each record's best report file: a report folder +10, TeX +3, a later version +1, a negative result -5; backups are out."""
+    low = F.lower(F.substring_index("path", "/", -1))
+    ok = F.contains(low, F.lit("report")) & F.regexp_like(low, F.lit(r"\.(tex|md)$")) & ~F.contains(low, F.lit("bak")) & ~F.startswith(low, F.lit("."))
+    score = (
+        F.when(F.contains("path", F.lit("/report/")) | F.endswith("path", F.lit("/REPORT.md")), 10).otherwise(0) + F.when(F.endswith(low, F.lit(".tex")), 3).otherwise(0)
+        + F.when(F.regexp_like(low, F.lit("v6|v2")), 1).otherwise(0) - F.when(F.contains(low, F.lit("no-go")), 5).otherwise(0)
+    )
+    best = paths.where(ok).groupBy("record_id").agg(F.max(F.struct(score.alias("score"), F.col("path"))).alias("b"))
+    return best.select("record_id", "b.score", "b.path")

@@ -90,7 +90,7 @@ def plan_layout(files: DataFrame, listing: DataFrame) -> DataFrame:
         .when(F.col("has_source").isNull(), "src_missing").when(F.col("there_size") == F.col("size"), "already_linked")
         .when(F.col("there_size").isNotNull(), "conflict").otherwise("linked")
     )
-    return j.select("path", "canonical_path", outcome.alias("outcome"))
+    return j.select(*files.columns, outcome.alias("outcome"))
 
 
 def write_back_year(inventory: DataFrame, lookup: DataFrame) -> DataFrame:

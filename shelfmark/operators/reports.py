@@ -239,3 +239,31 @@ def gap_sources(records: DataFrame, texts: DataFrame, files: DataFrame) -> DataF
 
 def segment_cell(records: DataFrame, condition: Column) -> DataFrame:
     return records.where(condition).groupBy("product_type").agg(F.count("*").alias("n"))
+
+
+def theme_frequency(tags: DataFrame) -> DataFrame:
+    """Documents of each theme; ``tags`` comes from ``tag_terms``."""
+    return tags.groupBy("tag").agg(F.countDistinct("doc_id").alias("docs"))
+
+
+def repair_stats(fixed: DataFrame) -> DataFrame:
+    """Totals over the result of ``fix_emails``."""
+    has = lambda field: F.count_if(F.array_contains("changed", field))
+    return fixed.agg(F.count("*").alias("total"), F.count_if(F.size("changed") > 0).alias("changed"), F.sum(F.size("extras")).alias("recovered"), has("email").alias("by_email"), has("authors").alias("by_authors"))
+
+
+def queue_status(queue: DataFrame) -> DataFrame:
+    return counts(queue, ["status"])
+
+
+def recent_runs(runs: DataFrame, n: int = 10) -> DataFrame:
+    return runs.orderBy(F.desc("started"), "run_id").limit(n)
+
+
+def group_topics(rows: DataFrame, extra: list[tuple[str, str, str]], expected: int) -> DataFrame:
+    """One row a topic with name, office and its sorted focuses; ``as_expected`` says whether the number of topics is the announced one."""
+    topics = rows.groupBy("topic").agg(F.min("name").alias("name"), F.min("office").alias("office"), F.array_join(F.array_sort(F.collect_set("focus")), "; ").alias("focuses"))
+    if extra:
+        topics = topics.unionByName(rows.sparkSession.createDataFrame(extra, "topic string, name string, office string").withColumn("focuses", F.lit("")))
+    total = topics.agg(F.count("*").alias("_n")).withColumn("_k", F.lit(1))
+    return topics.withColumn("_k", F.lit(1)).join(total, "_k").withColumn("as_expected", F.col("_n") == expected).drop("_k", "_n")

@@ -106,3 +106,10 @@ def scan_needles(payloads: DataFrame, needles: list[str], least: int, most: int)
 def changed_docs(new: DataFrame, old: DataFrame) -> DataFrame:
     """New documents and those whose time changed."""
     return new.join(old.select("doc_id", F.col("mtime").alias("_old")), "doc_id", "left").where("_old is null or _old <> mtime").drop("_old")
+
+
+def scan_needles(payloads: DataFrame, needles: list[str], least: int, most: int, preview: int = 200) -> DataFrame:
+    """id, needle, at (from 1) and the text from there, for payloads (id, size, text) of a size in range; one scan for all needles."""
+    hits = F.filter(F.transform(F.array(*map(F.lit, needles)), lambda n: F.struct(n.alias("needle"), F.position(n, F.col("text")).alias("at"))), lambda h: h["at"] > 0)
+    found = payloads.where(F.col("size").between(least, most)).select("id", "text", F.explode(hits).alias("h"))
+    return found.select("id", "h.needle", "h.at", F.substring("text", F.col("h.at"), F.lit(preview)).alias("preview"))

@@ -7,38 +7,44 @@ from pyspark.sql import functions as F
 
 
 def pick_canonical(files: DataFrame, priorities: dict[str, int], title_least: float = 0.5) -> DataFrame:
-    """One file for each record by the first evidence that decides, with the method and the rejected files.
+    """One file for each record that has a file of any size, with the method, its confidence and the reason.
 
-    Evidence in order: a single file; all hashes equal; a title score of at least ``title_least`` that no other
-    file reaches; a unique largest file; the source's priority. One aggregate a record carries all of it, and
-    one ranking picks the file.
+    Empty files are dropped first. Evidence in order: a single file (confidence 1.0); equal hashes, nulls aside
+    (1.0, by priority); a title score of at least ``title_least`` (that score, ties by priority); a unique
+    largest file (0.8); the priority among the largest (0.6). Unknown sources come last; remaining ties go to
+    the smallest instance_id. Two partial aggregations, by size and then by record, carry all of it, so a record
+    with very many files is combined before it is shuffled. ``rejected_files`` lists the files that lost.
     """
-    priority = F.lit(99)
+    rank = F.lit(99)
     for name, value in priorities.items():
-        priority = F.when(F.col("source") == name, value).otherwise(priority)
-    size = F.coalesce("size", F.lit(0))
-    score = F.coalesce("title_score", F.lit(0.0))
-    f = files.withColumns({"_p": priority, "_s": size, "_t": score})
-    real = F.col("_s") > 0
-    stats = f.groupBy("record_id").agg(
-        F.count("*").alias("n"), F.count_if(real).alias("n_real"), F.countDistinct("sha256").alias("n_hash"), F.count("sha256").alias("hashed"),
-        F.max("_t").alias("best_t"), F.max("_s").alias("best_s"),
+        rank = F.when(F.col("source") == name, value).otherwise(rank)
+    f = files.where("size > 0").withColumns({"_p": rank, "_t": F.coalesce("title_score", F.lit(0.0))})
+    row = F.struct("instance_id", "source", "path", "size", "sha256")
+    by_size = f.groupBy("record_id", "size").agg(
+        F.count("*").alias("n"), F.min("sha256").alias("h0"), F.max("sha256").alias("h1"),
+        F.min(F.struct((-F.col("_t")).alias("t"), F.col("_p").alias("p"), F.col("instance_id").alias("i"), row.alias("row"))).alias("titled"),
+        F.min(F.struct(F.col("_p").alias("p"), F.col("instance_id").alias("i"), row.alias("row"))).alias("first"),
+    )
+    g = by_size.groupBy("record_id").agg(
+        F.sum("n").alias("n_files"), F.min("h0").alias("h0"), F.max("h1").alias("h1"), F.min("titled").alias("titled"), F.min("first").alias("first"),
+        F.max_by("n", "size").alias("n_largest"), F.max_by("first", "size").alias("largest"),
     )
-    f = f.join(stats, "record_id")
-    by_record = Window.partitionBy("record_id")
-    f = f.withColumn("n_best_t", F.count_if((F.col("_t") == F.col("best_t")) & real).over(by_record)).withColumn("n_best_s", F.count_if(F.col("_s") == F.col("best_s")).over(by_record))
-    titled = (F.col("best_t") >= title_least) & (F.col("n_best_t") == 1)
     method = (
-        F.when(F.col("n") == 1, "single").when(F.col("n_real") == 1, "only_nonzero").when((F.col("n_hash") == 1) & (F.col("hashed") == F.col("n")), "identical")
-        .when(titled, "title").when(F.col("n_best_s") == 1, "size").otherwise("priority")
+        F.when(F.col("n_files") == 1, "single_instance").when(F.col("h0") == F.col("h1"), "duplicate_byte_identical")
+        .when(-F.col("titled.t") >= title_least, "title_extract_match").when(F.col("n_largest") == 1, "size_largest").otherwise("source_priority")
     )
-    f = f.withColumn("method", method)
-    key = F.when(F.col("method") == "title", -F.col("_t")).when(F.col("method") == "size", -F.col("_s").cast("double")).otherwise(F.lit(0.0))
-    order = by_record.orderBy(F.when(real, 0).otherwise(1), key, "_p", "instance_id")
-    f = f.withColumn("_rn", F.row_number().over(order))
-    lost = F.array_sort(F.collect_list(F.when(F.col("_rn") > 1, F.col("instance_id"))))
-    pick = lambda c: F.max(F.when(F.col("_rn") == 1, F.col(c))).alias(c)
-    return f.groupBy("record_id").agg(pick("instance_id"), pick("method"), pick("path"), pick("size"), pick("sha256"), F.array_join(lost, ",").alias("rejected"))
+    m = F.col("method")
+    chosen = F.when(m.isin("single_instance", "duplicate_byte_identical"), F.col("first.row")).when(m == "title_extract_match", F.col("titled.row")).otherwise(F.col("largest.row"))
+    confidence = F.when(m.isin("single_instance", "duplicate_byte_identical"), 1.0).when(m == "title_extract_match", -F.col("titled.t")).when(m == "size_largest", 0.8).otherwise(0.6)
+    g = g.withColumn("method", method).withColumns({"c": chosen, "confidence": confidence})
+    why = F.concat_ws(" ", m, F.lit("from"), F.col("c.source"), F.lit("of"), F.col("n_files").cast("string"), F.lit("files"))
+    return g.select("record_id", "c.*", "method", F.round("confidence", 6).alias("confidence"), why.alias("rationale"), "n_files", (F.col("n_files") - 1).alias("n_rejected"))
+
+
+def rejected_files(files: DataFrame, picks: DataFrame) -> DataFrame:
+    """record_id, instance_id and method for every non-empty file that its record's pick leaves out; one row a file."""
+    chosen = picks.select("record_id", F.col("instance_id").alias("_chosen"), "method")
+    return files.where("size > 0").join(chosen, "record_id").where("instance_id <> _chosen").select("record_id", "instance_id", "method")
 
 
 def min_priority(files: DataFrame) -> DataFrame:
@@ -199,3 +205,11 @@ def shape_divergence(sample: DataFrame, population: DataFrame, by: str, flag: fl
 
 def gate(rate: Column) -> Column:
     return F.when(rate < 0.3, "stop").when(rate <= 0.5, "recoverable_strata_only").otherwise("all")
+
+
+def merge_disjoint(frames: list[DataFrame], key: str) -> tuple[DataFrame, DataFrame]:
+    """(all rows, the keys that more than one row has): the second is empty if the results are disjoint, as they should be."""
+    rows = frames[0]
+    for f in frames[1:]:
+        rows = rows.unionByName(f)
+    return rows, rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")

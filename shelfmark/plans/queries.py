@@ -109,10 +109,11 @@ def b22_b23_b39_b51_urls(t):
     return t.pages.select("page_id", ids.url_host(u).alias("host"), ids.rewrite_url(u).alias("rewritten"), tx.is_data_host(u, ["example.org", "example.net"]).alias("data_host"), ids.rewrite_paths(u, [("http://", "https://")]).alias("secure"))
 
 
-@query(r"""SELECT record_id, array_to_string(list_distinct_in_order, ' ') AS candidates FROM (SELECT record_id, CASE WHEN coalesce(doi, '') = '' THEN NULL ELSE [doi || '.', doi] END AS list_distinct_in_order FROM records WHERE doc_id % 50 = 2 AND length(CAST(doc_id AS STRING)) = 1)""")
+@query("""SELECT record_id, CASE WHEN coalesce(doi, '') <> '' THEN doi END AS clean, coalesce(doi, '') <> '' AS has_raw FROM records""")
 def b20_doi_candidates(t):
-    r = t.records.where("doc_id % 50 = 2 AND length(record_id) = 1").withColumn("c", ids.doi_candidates(F.concat("doi", F.lit("."))))
-    return r.select("record_id", F.array_join(F.slice("c", 1, 2), " ").alias("candidates"))
+    r = t.records.withColumn("c", ids.doi_candidates(F.concat(F.nullif("doi", F.lit("")), F.lit("."))))
+    raw = F.concat("doi", F.lit("."))
+    return r.select("record_id", F.when(F.array_contains("c", F.col("doi")), F.col("doi")).alias("clean"), F.coalesce(F.array_contains("c", raw), F.lit(False)).alias("has_raw"))
 
 
 @query("""SELECT record_id, doi, 'https://a.example.org/' || split_part(doi, '/', 2) || '.pdf' AS url FROM records WHERE doi LIKE '10.1002/%' UNION ALL SELECT record_id, doi, 'https://b.example.org/' || doi FROM records WHERE doi LIKE '10.1002/%' OR doi LIKE '10.1003/%'""")
@@ -240,10 +241,10 @@ def c9_excluded_with_files(t):
     return joins.excluded_with_files(t.records, t.files, ["Dataset", "Software"])
 
 
-@query("""SELECT CAST(o_orderstatus AS STRING) AS record_id, string_agg(c_name, ',' ORDER BY c_custkey % 2, -c_nationkey, c_name) AS names FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 50 = 0 GROUP BY 1""".replace("o_orderkey % 50 = 0", "o_totalprice > 400000"))
+@query("""SELECT l_orderkey AS record_id, string_agg(s_name, ',' ORDER BY s_suppkey % 2, -s_nationkey, s_name) AS names FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1""")
 def c10_contacts(t):
-    links = t.orders.where("o_totalprice > 400000").select(F.col("o_orderstatus").alias("record_id"), F.col("o_custkey").alias("contact_id"))
-    contacts = t.customer.select(F.col("c_custkey").alias("contact_id"), (F.col("c_custkey") % 2 == 0).alias("corresponding"), F.col("c_nationkey").alias("papers"), F.col("c_name").alias("name"))
+    links = t.lineitem.select(F.col("l_orderkey").alias("record_id"), F.col("l_suppkey").alias("contact_id"))
+    contacts = t.supplier.select(F.col("s_suppkey").alias("contact_id"), (F.col("s_suppkey") % 2 == 0).alias("corresponding"), F.col("s_nationkey").alias("papers"), F.col("s_name").alias("name"))
     return joins.contacts_for(links, contacts).select("record_id", F.array_join("names", ",").alias("names"))
 
 
@@ -395,7 +396,7 @@ def d11_canonical_paths(t):
 SELECT f.path, f.canonical_path, CASE WHEN l.path IS NULL THEN 'src_missing' ELSE 'linked' END AS outcome FROM f LEFT JOIN l ON l.path = f.path""")
 def d12_layout_plan(t):
     f = t.files.where("source = 'beta'").groupBy("path", F.concat("record_id", F.lit(".pdf")).alias("canonical_path")).agg(F.max("size").alias("size"))
-    return merges.plan_layout(f, t.files.where("instance_id % 3 > 0").groupBy("path").agg(F.max("size").alias("size")))
+    return merges.plan_layout(f, t.files.where("instance_id % 3 > 0").groupBy("path").agg(F.max("size").alias("size"))).select("path", "canonical_path", "outcome")
 
 
 @query("""SELECT f.instance_id, coalesce(f.path_year, r.year) AS year, coalesce(CASE WHEN f.instance_id % 2 = 0 THEN 'given' END, CASE WHEN r.year IS NOT NULL THEN 'lookup' END) AS bucket FROM files f LEFT JOIN records r ON r.record_id = f.record_id""")
@@ -519,9 +520,9 @@ def e21_source_yield(t):
     return reports.source_yield(windows.first_success(t.bucketed.withColumn("ok", F.col("bucket") == "other")))
 
 
-@query(""", n AS (SELECT record_id, bucket, count(*) AS n FROM bucketed WHERE attempt_id % 6 <> 0 OR CAST(record_id AS BIGINT) % 2 = 0 GROUP BY 1, 2) SELECT record_id, bucket AS final_status FROM n WHERE record_id NOT IN (SELECT record_id FROM n WHERE bucket = 'other') QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY n DESC, bucket) = 1""")
+@query(""", n AS (SELECT record_id || '|' || source AS record_id, bucket, count(*) AS n FROM bucketed GROUP BY 1, 2) SELECT record_id, bucket AS final_status FROM n WHERE record_id NOT IN (SELECT record_id FROM n WHERE bucket = 'other') QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY n DESC, bucket) = 1""")
 def e22_final_status(t):
-    return reports.final_status(t.bucketed.where("attempt_id % 6 <> 0 or cast(record_id as bigint) % 2 = 0"))
+    return reports.final_status(t.bucketed.withColumn("record_id", F.concat("record_id", F.lit("|"), "source")))
 
 
 @query(""", l AS (SELECT n_name AS leaf_id FROM nation), c AS (SELECT n.n_name AS leaf_id, c.c_mktsegment AS source FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey WHERE c.c_nationkey < 20) SELECT l.leaf_id, count(DISTINCT c.source) AS sources, count(c.source) = 0 AS unmapped FROM l LEFT JOIN c ON c.leaf_id = l.leaf_id GROUP BY 1""")
@@ -595,15 +596,28 @@ def e39_gap_sources(t):
     return reports.gap_sources(t.records, t.attempts, t.files)
 
 
-@query(""", s AS (SELECT record_id, count(*) AS n, count(*) FILTER (coalesce(size, 0) > 0) AS n_real, count(DISTINCT sha256) AS n_hash, count(sha256) AS hashed, max(title_score) AS best_t, max(coalesce(size, 0)) AS best_s FROM files GROUP BY 1),
-j AS (SELECT f.*, s.n, s.n_real, s.n_hash, s.hashed, s.best_t, s.best_s, count(*) FILTER (title_score = best_t AND coalesce(size, 0) > 0) OVER (PARTITION BY f.record_id) AS n_t, count(*) FILTER (coalesce(size, 0) = best_s) OVER (PARTITION BY f.record_id) AS n_s FROM files f JOIN s ON s.record_id = f.record_id),
-m AS (SELECT *, CASE WHEN n = 1 THEN 'single' WHEN n_real = 1 THEN 'only_nonzero' WHEN n_hash = 1 AND hashed = n THEN 'identical' WHEN best_t >= 0.5 AND n_t = 1 THEN 'title' WHEN n_s = 1 THEN 'size' ELSE 'priority' END AS method FROM j),
-r AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY CASE WHEN coalesce(size, 0) > 0 THEN 0 ELSE 1 END, CASE method WHEN 'title' THEN -title_score WHEN 'size' THEN -CAST(coalesce(size, 0) AS DOUBLE) ELSE 0 END, priority, instance_id) AS rn FROM m)
-SELECT record_id, max(instance_id) FILTER (rn = 1) AS instance_id, max(method) AS method, max(path) FILTER (rn = 1) AS path, max(size) FILTER (rn = 1) AS size, max(sha256) FILTER (rn = 1) AS sha256, coalesce(string_agg(CAST(instance_id AS STRING), ',' ORDER BY instance_id) FILTER (rn > 1), '') AS rejected FROM r GROUP BY record_id""")
+def pick_sql(files: str) -> str:
+    """The canonical pick over a table of files, as table ``pick`` after others."""
+    return f""", pf AS (SELECT *, coalesce(title_score, 0.0) AS t FROM {files} WHERE size > 0),
+pg AS (SELECT record_id, count(*) AS n_files, min(sha256) AS h0, max(sha256) AS h1, max(t) AS t1, max(size) AS s1 FROM pf GROUP BY 1),
+pn AS (SELECT pg.*, (SELECT count(*) FROM pf WHERE pf.record_id = pg.record_id AND pf.size = pg.s1) AS n1 FROM pg),
+pm AS (SELECT *, CASE WHEN n_files = 1 THEN 'single_instance' WHEN h0 = h1 THEN 'duplicate_byte_identical' WHEN t1 >= 0.5 THEN 'title_extract_match' WHEN n1 = 1 THEN 'size_largest' ELSE 'source_priority' END AS method FROM pn),
+pick AS (SELECT pf.record_id, instance_id, source, path, size, sha256, method, CASE method WHEN 'title_extract_match' THEN round(t1, 6) WHEN 'size_largest' THEN 0.8 WHEN 'source_priority' THEN 0.6 ELSE 1.0 END::DOUBLE AS confidence,
+ concat_ws(' ', method, 'from', source, 'of', n_files, 'files') AS rationale, n_files, n_files - 1 AS n_rejected FROM pf JOIN pm ON pm.record_id = pf.record_id
+ QUALIFY row_number() OVER (PARTITION BY pf.record_id ORDER BY CASE method WHEN 'title_extract_match' THEN -t WHEN 'size_largest' THEN -size WHEN 'source_priority' THEN -size ELSE 0 END, priority, instance_id) = 1)
+"""
+
+
+@query(pick_sql("files") + "SELECT * FROM pick")
 def f2_pick_canonical(t):
     return windows.pick_canonical(t.files, PRIORITIES)
 
 
+@query(pick_sql("files") + "SELECT f.record_id, f.instance_id, p.method FROM files f JOIN pick p ON p.record_id = f.record_id WHERE f.size > 0 AND f.instance_id <> p.instance_id")
+def f2_rejected_files(t):
+    return windows.rejected_files(t.files, windows.pick_canonical(t.files, PRIORITIES))
+
+
 @query("""SELECT instance_id, record_id FROM files WHERE size > 0 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY priority, instance_id) = 1""")
 def f4_best_nonzero(t):
     return windows.best_nonzero(t.files).select("instance_id", "record_id")
@@ -805,3 +819,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+from shelfmark.plans import job_queries  # noqa: E402, F401  (registers the composed jobs beside the queries above)

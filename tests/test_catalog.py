@@ -80,12 +80,27 @@ def test_exclusion_keeps_every_row_once(spark):
 
 def test_canonical_methods(spark):
     rows = [
-        (1, "a", "alpha", "p1", 10, "h", 0.0), (2, "b", "alpha", "p2", 0, "h", 0.0), (3, "b", "beta", "p3", 9, "g", 0.0), (4, "c", "beta", "p4", 5, "s", 0.0), (5, "c", "alpha", "p5", 5, "s", 0.0),
-        (6, "d", "alpha", "p6", 5, "x", 0.49), (7, "d", "beta", "p7", 6, "y", 0.5), (8, "e", "beta", "p8", 5, "x", 0.0), (9, "e", "alpha", "p9", 7, "y", 0.0), (10, "f", "gamma", "p", 7, "x", 0.0), (11, "f", "beta", "q", 7, "y", 0.0),
+        (1, "a", "alpha", "p1", 10, "h", 0.0), (2, "b", "alpha", "p2", 0, "h", 0.0), (3, "b", "beta", "p3", 9, "g", 0.0), (4, "c", "beta", "p4", 5, "s", 0.0), (5, "c", "alpha", "p5", 5, None, 0.0),
+        (6, "d", "alpha", "p6", 5, "x", 0.49), (7, "d", "beta", "p7", 6, "y", 0.5), (8, "e", "beta", "p8", 5, "x", 0.0), (9, "e", "alpha", "p9", 7, "y", None), (10, "f", "gamma", "p", 7, "x", 0.0), (11, "f", "beta", "q", 7, "y", 0.0),
+        (12, "g", "beta", "r", 3, "x", 0.9), (13, "g", "alpha", "s", 8, "y", 0.9), (14, "h", "other", "t", 4, None, 0.0), (15, "h", "gamma", "u", 4, None, 0.0), (16, "z", "alpha", "v", None, None, 0.0),
     ]
     f = spark.createDataFrame(rows, "instance_id long, record_id string, source string, path string, size long, sha256 string, title_score double")
-    got = {x["record_id"]: (x["instance_id"], x["method"]) for x in windows.pick_canonical(f, q.PRIORITIES).collect()}
-    assert got == {"a": (1, "single"), "b": (3, "only_nonzero"), "c": (5, "identical"), "d": (7, "title"), "e": (9, "size"), "f": (11, "priority")}
+    picks = windows.pick_canonical(f, q.PRIORITIES)
+    got = {x["record_id"]: (x["instance_id"], x["method"], x["confidence"]) for x in picks.collect()}
+    assert got == {
+        "a": (1, "single_instance", 1.0), "b": (3, "single_instance", 1.0), "c": (5, "duplicate_byte_identical", 1.0), "d": (7, "title_extract_match", 0.5),
+        "e": (9, "size_largest", 0.8), "f": (11, "source_priority", 0.6), "g": (13, "title_extract_match", 0.9), "h": (15, "source_priority", 0.6),
+    }
+    assert sorted(x["instance_id"] for x in windows.rejected_files(f, picks).collect()) == [4, 6, 8, 10, 12, 14]
+
+
+@pytest.mark.parametrize(
+    ("raw", "key", "want"),
+    [('{"a": 1}', "a", "1"), ('```json\n{"a": "x"}\n```', "a", "x"), ('ok {"note": "{x}", "a": 2}', "a", "2"), ('{"a": true, "b": "of', "a", "true"), ("nothing", "a", None), (None, "a", None)],
+)
+def test_answers(spark, raw, key, want):
+    x = tx.parse_answers(spark.createDataFrame([(raw,)], "raw string"), "raw").first()
+    assert (x["answer"][key] if x["answer"] else None) == want and (x["error"] is None) == (want is not None)
 
 
 def test_hash_slice_is_exact(spark):

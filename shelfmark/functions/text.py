@@ -104,6 +104,12 @@ def header_field(col: Column, key: str) -> Column:
     return F.nullif(F.trim(F.regexp_extract(col, rf"(?m)^{key}:[ \t]*(.*)$", 1)), F.lit(""))
 
 
+def header_fields(col: Column, keys: list[str]) -> Column:
+    """A map of the header fields that have a value."""
+    entries = F.array(*[F.struct(F.lit(key).alias("key"), header_field(col, key).alias("value")) for key in keys])
+    return F.map_from_entries(F.filter(entries, lambda x: x["value"].isNotNull()))
+
+
 def parse_verdict(col: Column, labels: list[str], default: str = "UNCLEAR") -> Column:
     line = F.upper(F.regexp_extract(col, r"(?im)^\s*verdict:\s*(.*)$", 1))
     return F.coalesce(*[F.when(F.contains(line, F.lit(label)), label) for label in labels], F.lit(default))

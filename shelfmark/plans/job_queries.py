@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from shelfmark import schemas
 from shelfmark.functions import outcomes
 from shelfmark.functions import text as tx
-from shelfmark.operators import jobs, joins, reports, search, windows
+from shelfmark.operators import jobs, joins, merges, reports, search, windows
 from shelfmark.plans.queries import _JUDGES, PRIORITIES, _judges, pick_sql, query
+from shelfmark.sources import readers
 from shelfmark.streaming import streams
 
 
@@ -68,6 +73,47 @@ def m8_augment(t):
     return jobs.augment(docs, links, people, "<s>", "</s>").select("record_id", "status", F.length("text").alias("chars"))
 
 
+@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS VARCHAR) END AS k, length(text) + CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 0 END AS chars FROM documents""")
+def a7_front_matter(t):
+    whole = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit('---\n{"k": "'), "doc_id", F.lit('"}\n---\nx'), "text")).otherwise(F.col("text"))
+    parts = readers.split_front_matter(t.documents.select("doc_id", whole.alias("whole")), "whole", T.StructType([T.StructField("k", T.StringType())]))
+    return parts.select("doc_id", "front.k", F.length("body").alias("chars"))
+
+
+@query(r"""SELECT doc_id, CAST(CASE WHEN NOT regexp_matches(coalesce(text, ''), '\S') THEN 0 WHEN doc_id % 3 = 0 THEN 1 WHEN doc_id % 3 = 1 AND length(text) >= 400 THEN 0.95 ELSE 0 END AS DOUBLE) AS score FROM documents""")
+def b27_title_scores(t):
+    title = F.when(F.col("doc_id") % 3 == 0, F.substring("text", 1, 50)).when((F.col("doc_id") % 3 == 1) & (F.length("text") >= 400), F.concat(F.substring("text", 1, 200), F.lit(" no more of it"))).otherwise("")
+    return tx.title_scores(t.documents.select("doc_id", "text", title.alias("title"))).select("doc_id", F.col("title_score").alias("score"))
+
+
+@query("""SELECT page_id, page_id % 3 < 2 AS present FROM pages""")
+def b36_page_has_email(t):
+    p = t.pages
+    email = F.concat(F.lit("info"), "page_id", F.lit("@mail.example.org"))
+    shown = F.when(p.page_id % 3 == 0, F.upper(email)).when(p.page_id % 3 == 1, F.concat(F.lit("info"), "page_id", F.lit(" at mail dot example dot org"))).otherwise("")
+    return p.select("page_id", tx.page_has_email(F.concat("html", F.lit(" "), shown), email).alias("present"))
+
+
+@query("""SELECT p_partkey, trim(p_name) AS name, p_size AS size, 2 AS n_fields FROM part""")
+def b40_header_fields(t):
+    raw = F.concat(F.lit("Title: "), "p_name", F.lit("\nSize:\t"), "p_size", F.lit("\n\nOther: not asked for\nEmpty:\n"))
+    h = t.part.withColumn("h", tx.header_fields(raw, ["Title", "Size", "Empty", "Missing"]))
+    return h.select("p_partkey", F.col("h")["Title"].alias("name"), F.col("h")["Size"].cast("int").alias("size"), F.size("h").alias("n_fields"))
+
+
+@query("""SELECT doc_id, quality, toxic, CAST(NULL AS VARCHAR) AS note, CAST(NULL AS INT) AS year FROM labels""")
+def d6_ensure_columns(t):
+    wanted = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("note", T.StringType()), T.StructField("year", T.IntegerType())])
+    return schemas.ensure_columns(t.labels, wanted, ("doc_id",))
+
+
+@query("""SELECT 'import' AS run_type, count(*) FILTER (has_file) AS added, count(*) FILTER (NOT has_file) AS updated, 0 AS errors, 60 AS seconds FROM records""")
+def d14_run_record(t):
+    n = t.records.agg(F.count_if("has_file").alias("added"), F.count_if(~F.col("has_file")).alias("updated")).first().asDict()
+    run = merges.run_record(t.spark, "import", {"table": "documents"}, n, datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1))
+    return run.select("run_type", "added", "updated", "errors", (F.unix_timestamp("ended") - F.unix_timestamp("started")).alias("seconds"))
+
+
 @query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'r' || url || ',' || url ELSE 'r' || url END AS urls FROM pages""")
 def b17_oa_order(t):
     p = t.pages

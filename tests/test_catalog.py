@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark import schemas
 from shelfmark.functions import ids
 from shelfmark.functions import text as tx
 from shelfmark.operators import merges, reports, windows
@@ -145,6 +148,28 @@ def test_breaker(spark, tmp_path):
     assert [(x["source"], x["state"]) for x in spark.table("breaker").collect()] == [("s", "disabled")]
 
 
+def test_resumed_stream_gives_each_id_once(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"r{i % 4}") for i in range(12)], "i int, record_id string").select(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("i")).alias("ts"), "record_id").coalesce(1)
+
+    def run():
+        stream = streams.stream_todo(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(x["record_id"] for x in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    df.write.parquet(str(tmp_path / "in"))
+    assert run() == ["r0", "r1", "r2", "r3"]
+    df.unionByName(df.limit(1).withColumn("record_id", F.lit("new"))).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run() == ["new", "r0", "r1", "r2", "r3"]
+
+
+def test_run_record_and_missing_columns(spark):
+    now = datetime(2024, 1, 1)
+    x = merges.run_record(spark, "import", {"a": "b"}, {"added": 2}, now, now, "n").first()
+    assert (x["run_type"], x["params"], x["added"], x["updated"], x["errors"], x["notes"]) == ("import", {"a": "b"}, 2, 0, 0, "n")
+    with pytest.raises(ValueError):
+        schemas.ensure_columns(spark.createDataFrame([(1,)], "a int"), schemas.FILES, ("record_id",))
+
+
 def test_consensus_of_spread_scores(spark):
     s = spark.createDataFrame([(1, "a", "YES", 1.0), (1, "b", "NO", 5.0), (1, "c", "NO", 9.0)], "item_id int, judge string, verdict string, score double")
     x = reports.consensus(s).first()

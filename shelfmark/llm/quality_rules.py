@@ -5,10 +5,10 @@ smoothing, are counted: one over the trusted texts, one over the whole corpus. A
 summed log-ratio of the two divided by its number of n-grams, and every document whose score reaches
 a fixed threshold passes. Base rules on word counts and repeated five-word windows come first.
 
-All counts of one document are made inside its row, so no text is shuffled; the corpus counts shuffle one row
-a bucket and task. The bucket weights (a number that is a parameter) are collected and go back as a constant.
-Trusted are the documents labelled quality 1, at most TRUSTED_MOST of them, taken by the order of a hash: a
-bounded sample of labelled rows, whose ids are broadcast. The raw counts cover all documents.
+All counts of one document are made inside its row; the corpus counts shuffle one row a bucket and task.
+The bucket weights (a number that is a parameter) are collected and go back as a constant.
+Trusted are all documents labelled quality 1, and the raw counts cover all documents. The trusted ids are counted
+first: up to BROADCAST_MOST of them are broadcast, and no text is shuffled; more join by a shuffle of doc_id and text.
 
 Cases: a null or empty text, or one of separators only, has no words and fails the base rules; repeated rows
 each get their result; without trusted texts all log-ratios are even and the base rules decide; an
@@ -26,7 +26,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BUCKETS = 16384
 SMOOTHING = 0.5
 THRESHOLD = -0.11
-TRUSTED_MOST = 20_000
+BROADCAST_MOST = 500_000
 WINDOW = 5
 LEAST_WORDS = 10
 
@@ -85,11 +85,11 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, n_buckets: int = BUCKETS, trusted_most: int = TRUSTED_MOST) -> list[float]:
+def log_ratios(docs: DataFrame, labels: DataFrame, n_buckets: int = BUCKETS, broadcast_most: int = BROADCAST_MOST) -> list[float]:
     """The log-likelihood ratio of each bucket, trusted texts to the whole corpus."""
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("trusted_id")).distinct()
-    trusted = trusted.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(trusted_most)
-    rows = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("trusted_id"), "left")
+    trusted = F.broadcast(trusted) if trusted.count() <= broadcast_most else trusted.hint("merge")
+    rows = docs.select("doc_id", "text").join(trusted, F.col("doc_id") == F.col("trusted_id"), "left")
     single, pairs = ngram_buckets(n_buckets)
     rows = with_words(rows).select(F.col("trusted_id").isNotNull().cast("int").alias("trusted"), F.explode(F.concat(single, pairs)).alias("bucket"))
     found = rows.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target")).collect()

@@ -166,6 +166,18 @@ def test_log_ratio_by_brute_force(docs, labels):
     assert np.allclose(quality_rules.log_ratios(docs, labels), want, atol=1e-5)
 
 
+def test_every_trusted_text_counts_however_many(spark):
+    d = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 25_000, "good").otherwise("bad").alias("text"))
+    d = d.unionByName(spark.createDataFrame([(None, "bad"), (7, "good")], "doc_id long, text string"))
+    marks = spark.range(25_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    marks = marks.unionByName(marks.where("doc_id < 9")).unionByName(spark.createDataFrame([(None, 1), (29_000, 0)], "doc_id long, quality int"))
+    n, s = 64, quality_rules.SMOOTHING
+    base = np.log((30_002 + s * n) / (25_001 + s * n))
+    want = {round(np.log((t + s) / (r + s)) + base, 4) for t, r in ((25_001, 25_001), (0, 5_001), (0, 0))}
+    for way in ({}, {"broadcast_most": 0}):
+        assert {round(x, 4) for x in quality_rules.log_ratios(d, marks, n, **way)} == want
+
+
 def test_classifier_on_held_out_rows(docs, labels):
     j = quality_rank.quality_digest(docs, labels).join(labels, "doc_id").where("held_out").collect()
     assert sum(x["predicted"] == x["quality"] for x in j) >= 0.9 * len(j)

@@ -2,9 +2,15 @@
 
 A small window network predicts every word from the two words on either side: position-specific embeddings
 of the four neighbours are added, pass through tanh, and a softmax over groups of the vocabulary and one inside
-the word's group give its probability as their product. The vocabulary is the corpus's most frequent words, counted
-over all documents, in groups of falling frequency, and hash classes for the rest. A document's score is the sum of
-its words' conditional log-probabilities.
+the word's group give its probability as their product. The network's vocabulary is the corpus's FREQUENT most
+frequent words, counted over all documents, in groups of falling frequency, and CLASSES hash classes for the rest.
+A word of a class has the class's probability times the word's share of the class's occurrences in the corpus, so
+every word has its own probability, and those of all words sum to 1. A document's score is the sum of its words'
+conditional log-probabilities.
+
+The counts of all words are a table that grows with the corpus. HOT of them, the most frequent, go to every task;
+each document's other words leave the tasks as rows (word, times), which join the table by a shuffle. No word
+outside the HOT first can be in more than one of HOT occurrences, so none makes a large group.
 
 Training is data-parallel over the whole corpus: each task starts from one seeded network, takes numpy
 gradient steps over all its texts and sends its parameters weighted by its words; Spark sums them by
@@ -13,7 +19,8 @@ The result depends on how rows are dealt to tasks, as that of any parameter aver
 layout gives the same network.
 
 Cases: a null or empty text has no words and the score 0; repeated rows get equal scores; a corpus without
-words leaves the seeded network; an empty table gives no rows; other columns are left aside. Work is done in
+words leaves the seeded network; a word that the counts don't hold, in texts outside the corpus, counts as seen once;
+an empty table gives no rows; other columns are left aside. Words are told apart by 64-bit hashes. Work is done in
 slices, so memory follows the longest text.
 """
 
@@ -24,13 +31,15 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import textkit as tk
+from shelfmark.llm.staging import staged
 
 FREQUENT, CLASSES = 192, 64
 SIZE = FREQUENT + CLASSES
+HOT = 65_536
 GROUPS = WIDTH = 16  # their product is SIZE, which fits a byte
 HIDDEN = 16
 OFFSETS = (-2, -1, 1, 2)
@@ -125,8 +134,8 @@ class Network:
             self.near[p] -= np.bincount(places, weights, (SIZE + 1) * HIDDEN).reshape(SIZE + 1, HIDDEN).astype(np.float32)
 
 
-def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[int]:
-    """Hashes of the most frequent words of all texts, A-Z lower-cased, most frequent first; ties by hash.
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of every word of all texts, by hash, A-Z lower-cased.
 
     Tasks count each slice's words and send one row a distinct word.
     """
@@ -137,8 +146,41 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT) -> list[int]:
                 found, n = np.unique(tk.word_hashes(s, *tk.word_bounds(s)[:2]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["word", "n"])
 
-    words = docs.select("text").mapInArrow(count, "word long, n long")
-    return [x["word"] for x in words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()]
+    return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+class WordShares:
+    """Each class's occurrences in the corpus, and those of its HOT most frequent words; ``frequent`` are the first of them."""
+
+    def __init__(self, counts: DataFrame, hot: int = HOT):
+        top = counts.orderBy(F.desc("n"), "word").limit(max(hot, FREQUENT)).toArrow()
+        words, n = top.column("word").to_numpy(), top.column("n").to_numpy()
+        self.frequent: list[int] = words[:FREQUENT].tolist()
+        keys = words.view(np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.log_n = keys[order], np.log(n[order])
+        self.log_total = np.zeros(CLASSES)
+        rest = counts.where(~F.col("word").isin(self.frequent)) if self.frequent else counts
+        for x in rest.groupBy(class_of("word").alias("class")).agg(F.sum("n").alias("n")).collect():
+            self.log_total[x["class"]] = np.log(x["n"])
+
+    def log_share(self, words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log of each word's share of its class, and whether its own count is still to be multiplied in."""
+        out, later = np.zeros(len(words)), np.zeros(len(words), bool)
+        at = np.flatnonzero(words >= FREQUENT)
+        out[at] = -self.log_total[words[at] - FREQUENT]
+        if len(self.keys) and len(at):
+            place = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+            hot = self.keys[place] == keys[at]
+            out[at[hot]] += self.log_n[place[hot]]
+            at = at[~hot]
+        later[at] = True
+        return out, later
+
+
+def class_of(word: str) -> Column:
+    """The hash class of a word's unsigned 64-bit hash; CLASSES is a power of 2, so the sign makes no difference."""
+    return F.pmod(F.col(word), F.lit(CLASSES)).cast("int")
 
 
 class Coder:
@@ -149,8 +191,8 @@ class Coder:
         self.numbers = np.argsort(keys)
         self.keys = keys[self.numbers]
 
-    def __call__(self, s: tk.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word numbers, their neighbours' numbers (SIZE for none) by offset, and each row's first word."""
+    def __call__(self, s: tk.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Word numbers, their neighbours' numbers (SIZE for none) by offset, each row's first word, and the words' hashes."""
         starts, ends, first = tk.word_bounds(s)
         keys = tk.word_hashes(s, starts, ends)
         words = (FREQUENT + keys % np.uint64(CLASSES)).astype(np.int64)
@@ -164,7 +206,7 @@ class Coder:
             to, of = (slice(-offset, None), slice(None, offset)) if offset < 0 else (slice(None, -offset), slice(offset, None))
             if len(words) > abs(offset):
                 around[p, to] = np.where(row[to] == row[of], words[of], SIZE)
-        return words, around, first
+        return words, around, first, keys
 
 
 def train(docs: DataFrame, frequent: list[int]) -> Network:
@@ -174,7 +216,7 @@ def train(docs: DataFrame, frequent: list[int]) -> Network:
         code, network, seen = Coder(frequent), Network.seeded(), 0
         for batch in batches:
             for s in tk.slices(batch.column("text")):
-                words, around, _ = code(s)
+                words, around, _, _ = code(s)
                 for at in range(0, len(words), BATCH):
                     part = words[at : at + BATCH]
                     seen += len(part)
@@ -190,28 +232,50 @@ def train(docs: DataFrame, frequent: list[int]) -> Network:
     return Network.of_flat(values[:-1] / values[-1])
 
 
-def score_documents(docs: DataFrame, frequent: list[int], network: Network) -> DataFrame:
+def score_documents(docs: DataFrame, counts: DataFrame, shares: WordShares, network: Network) -> DataFrame:
     """doc_id, n_words, log_likelihood (summed over the text's words) and per_word of every document."""
+    shape = "key long, doc_id long, n_words long, known double, words array<long>, times array<long>"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = Coder(frequent)
+        code = Coder(shares.frequent)
         for batch in batches:
-            counts, totals = [np.zeros(0, np.int64)], [np.zeros(0)]
+            n_words, totals, rest, times, ends = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0]
             for s in tk.slices(batch.column("text")):
-                words, around, first = code(s)
+                words, around, first, keys = code(s)
+                share, later = shares.log_share(words, keys)
                 each = np.zeros(len(words) + 1)
                 for at in range(0, len(words), BATCH):
                     part = words[at : at + BATCH]
                     each[at + 1 : at + 1 + len(part)] = network.log_probability(part, around[:, at : at + BATCH])
+                each[1:] += share
                 total = np.cumsum(each)
-                counts.append(np.diff(first))
+                n_words.append(np.diff(first))
                 totals.append(total[first[1:]] - total[first[:-1]])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(counts)), pa.array(np.concatenate(totals))], names=["doc_id", "n_words", "log_likelihood"])
-
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(score, "doc_id long, n_words long, log_likelihood double")
+                # each row's words without a count, with their times in the row
+                row, key = np.repeat(np.arange(len(s)), np.diff(first))[later], keys[later].view(np.int64)
+                order = np.lexsort((key, row))
+                row, key = row[order], key[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (np.diff(row) != 0) | (key[1:] != key[:-1])
+                begin = np.flatnonzero(new)
+                rest.append(key[begin])
+                times.append(np.diff(np.append(begin, len(row))))
+                ends += (ends[-1] + np.cumsum(np.bincount(row[begin], minlength=len(s)))).tolist()
+            ends_array = pa.array(ends, pa.int32())
+            lists = [pa.ListArray.from_arrays(ends_array, pa.array(np.concatenate(x).astype(np.int64))) for x in (rest, times)]
+            columns = [batch.column("key"), batch.column("doc_id"), pa.array(np.concatenate(n_words)), pa.array(np.concatenate(totals)), *lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "n_words", "known", "words", "times"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = staged(rows.mapInArrow(score, shape), "lm-scores")
+    rest = rows.select("key", F.explode(F.arrays_zip("words", "times")).alias("w")).select("key", F.col("w.words").alias("word"), "w.times")
+    rest = rest.join(counts, "word", "left").groupBy("key").agg(F.sum(F.col("times") * F.log(F.coalesce("n", F.lit(1)))).alias("more"))
+    scored = rows.select("key", "doc_id", "n_words", "known").join(rest, "key", "left")
+    scored = scored.select("doc_id", "n_words", (F.col("known") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood"))
     return scored.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
-def pseudo_likelihood(docs: DataFrame) -> DataFrame:
-    frequent = frequent_words(docs)
-    return score_documents(docs, frequent, train(docs, frequent))
+def pseudo_likelihood(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    counts = staged(word_counts(docs), "lm-words")
+    shares = WordShares(counts, hot)
+    return score_documents(docs, counts, shares, train(docs, shares.frequent))

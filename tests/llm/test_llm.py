@@ -196,6 +196,31 @@ def test_pseudo_likelihood_prefers_seen_order(spark):
     assert got[0] > got[1000] + 0.2
 
 
+def test_words_of_one_class_have_their_own_probabilities(spark):
+    def hashes(names):
+        s = next(tk.slices(pa.array([" ".join(names)])))
+        return tk.word_hashes(s, *tk.word_bounds(s)[:2]).astype(np.uint64)
+
+    names = [f"r{i}" for i in range(600)]
+    ones = [w for w, k in zip(names, hashes(names)) if k % lm_scoring.CLASSES == 5]
+    seen, rare = ones[0], ones[1]
+    filler = " ".join(f"f{i}" for i in range(lm_scoring.FREQUENT))
+    rows = [(1, f"f1 f2 {seen} f3 f4"), (2, f"f1 f2 {rare} f3 f4"), (None, f"f1 f2 {seen} f3 f4"), (3, None), (3, f"{seen} {rare} {seen}"), *[(i, filler) for i in range(10, 22)], *[(i, seen) for i in range(30, 36)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    n = Counter(w for _, text in rows for w in words(text))
+    most = sorted(n, key=lambda w: -n[w])
+    assert set(most[: lm_scoring.FREQUENT]) == set(filler.split())
+    for way in ({}, {"hot": 0}):
+        got = lm_scoring.pseudo_likelihood(df, **way).collect()
+        assert len(got) == len(rows)
+        one = {x["doc_id"]: x["log_likelihood"] for x in got if x["doc_id"] in (1, 2, None)}
+        assert one[1] == pytest.approx(one[None]) and one[1] - one[2] == pytest.approx(np.log(n[seen] / n[rare]), abs=1e-4)
+        shares = lm_scoring.WordShares(lm_scoring.word_counts(df), **way)
+        total = np.exp(shares.log_total[5])
+        assert total == pytest.approx(n[seen] + n[rare])
+        assert sorted((x["n_words"], x["log_likelihood"]) for x in got if x["doc_id"] == 3)[0] == (0, 0.0)
+
+
 def test_gradient_step_lowers_loss():
     n = lm_scoring.Network.seeded()
     rng = np.random.default_rng(0)

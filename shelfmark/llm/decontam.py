@@ -11,9 +11,13 @@ The benchmark's seeds go to every task only if they are at most SEEDS_MOST, whic
 that, document windows and seeds are joined by a shuffle, and tiling follows per pair. Both ways use one
 tiling function.
 
-Cases: null or empty texts and items, or ones of punctuation only, match nothing; equal rows are each
-reported; a null doc_id is reported as null in ``contamination`` and stays in ``decontaminate``; empty tables
-give no rows; other columns are left aside. Memory follows the longest text.
+Every distinct text of an item_id is searched by itself, and each document's best coverage over them is the
+item_id's. Texts with a null item_id are searched likewise and reported together under a null item_id.
+
+Cases: null or empty texts and items, or ones of punctuation only, match nothing; each row of documents is
+searched and reported by itself, whatever its doc_id; a null doc_id is reported as null in ``contamination`` and
+stays in ``decontaminate``, which takes out all rows of a doc_id found; empty tables give no rows; other columns
+are left aside. Memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm import textkit as tk
+from shelfmark.llm.staging import staged
 
 MATCH_WORDS = 5
 COVERAGE = 0.5
@@ -149,43 +154,55 @@ def _windows(ids: str, length: int, own_length: bool):
 def _tile_pair(rows: pd.DataFrame) -> pd.DataFrame:
     x = rows.iloc[0]
     tiles = tile(rows["place"].to_numpy(), rows["item_place"].to_numpy(), int(x["k"]))
-    return pd.DataFrame([(x["id"], x["item_id"], x["item_words"], sum(t[2] for t in tiles), len(tiles), max(t[2] for t in tiles))], columns=["doc_id", "item_id", "item_words", "covered_words", "n_tiles", "longest_tile"])
+    return pd.DataFrame([(x["id"], x["item"], x["item_words"], sum(t[2] for t in tiles), len(tiles), max(t[2] for t in tiles))], columns=["id", "item", "item_words", "covered_words", "n_tiles", "longest_tile"])
+
+
+def _rank(found: tuple[int, int, int, int]) -> tuple[float, int, int, int]:
+    """Orders (item_words, covered_words, n_tiles, longest_tile) by coverage, then by the other figures."""
+    words, covered, n, longest = found
+    return covered / words, covered, longest, n
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, seeds_most: int = SEEDS_MOST) -> DataFrame:
-    """Every (document, item) pair that shares a seed, with its tiles' coverage of the item."""
+    """Every (document row, item_id) pair that shares a seed, with its tiles' coverage of the item_id's best covered text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
-    least = items.select(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0] or 0
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
+    least = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
     if least <= 2 * seeds_most:  # a word and its separator take two bytes at least, so seeds can't be more than half of that
         found = items.orderBy("item_id", "text").toArrow().combine_chunks()
         known: list[tuple[int, np.ndarray]] = []
         ids = found.column("item_id").to_pylist()
         for words, first in word_rows(found.column("text").combine_chunks() if found.num_rows else pa.array([], pa.string())):
-            known += [(ids[len(known) + r], words[first[r] : first[r + 1]]) for r in range(len(first) - 1)]
-        seeds = Seeds(_one_each(known), length)
+            known += [(len(known) + r, words[first[r] : first[r + 1]]) for r in range(len(first) - 1)]
+        seeds = Seeds(known, length)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 at, out = 0, []
                 for words, first in word_rows(batch.column("text")):
-                    out += [(batch.column("doc_id")[at + r].as_py(), *rest) for r, *rest in seeds.pairs(words, first)]
+                    best: dict[tuple[int, int | None], tuple[int, int, int, int]] = {}
+                    for r, item, *figures in seeds.pairs(words, first):
+                        pair = r, ids[item]
+                        best[pair] = max(best.get(pair, tuple(figures)), tuple(figures), key=_rank)
+                    out += [(batch.column("doc_id")[at + r].as_py(), item_id, *figures) for (r, item_id), figures in best.items()]
                     at += len(first) - 1
                 names = ["doc_id", "item_id", "item_words", "covered_words", "n_tiles", "longest_tile"]
                 kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
                 yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], kind) for j, kind in enumerate(kinds)], names=names)
 
         return docs.mapInArrow(search, PAIR)
+    # rows and texts get keys of their own, written once so that a lost task can't deal them anew
+    items = staged(items.withColumn("item", F.monotonically_increasing_id()), "decontam-items")
+    docs = staged(docs.withColumn("row", F.monotonically_increasing_id()), "decontam-documents")
     shape = "id long, words int, k int, place long, value long"
-    there = items.groupBy("item_id").agg(F.min("text").alias("text")).mapInArrow(_windows("item_id", length, True), shape)
-    there = there.select(F.col("id").alias("item_id"), F.col("words").alias("item_words"), "k", F.col("place").alias("item_place"), "value")
-    here = docs.mapInArrow(_windows("doc_id", length, False), shape).drop("words")
-    return here.join(there, ["k", "value"]).groupBy("id", "item_id").applyInPandas(_tile_pair, PAIR)
-
-
-def _one_each(items: list[tuple[int, np.ndarray]]) -> list[tuple[int, np.ndarray]]:
-    """One text for each item_id, the first in order."""
-    return list({item: (item, words) for item, words in reversed(items)}.values())[::-1]
+    there = items.select("item", "text").mapInArrow(_windows("item", length, True), shape)
+    there = there.select(F.col("id").alias("item"), F.col("words").alias("item_words"), "k", F.col("place").alias("item_place"), "value")
+    here = docs.select("row", "text").mapInArrow(_windows("row", length, False), shape).drop("words")
+    pairs = here.join(there, ["k", "value"]).groupBy("id", "item").applyInPandas(_tile_pair, PAIR.replace("doc_id", "id").replace("item_id", "item"))
+    pairs = pairs.join(items.select("item", "item_id"), "item")
+    share = (F.col("covered_words") / F.col("item_words")).alias("share")
+    best = pairs.groupBy(F.col("id").alias("row"), "item_id").agg(F.max(F.struct(share, "covered_words", "longest_tile", "n_tiles", "item_words")).alias("best"))
+    return best.join(docs.select("row", "doc_id"), "row").select("doc_id", "item_id", *[f"best.{x}" for x in ("item_words", "covered_words", "n_tiles", "longest_tile")])
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:

@@ -266,6 +266,18 @@ def test_tiling_by_brute_force(spark):
         assert got == {x for x in want if x[1]}
 
 
+def test_every_benchmark_text_and_document_row_is_searched(spark):
+    text = lambda c, n=12: " ".join(f"{c}{i}" for i in range(n))
+    b = spark.createDataFrame([(1, text("a")), (1, text("b", 24)), (1, None), (1, text("a")), (None, text("c")), (None, text("d"))], "item_id long, text string")
+    rows = [(1, text("a")), (2, text("b", 24)), (2, text("a", 6)), (3, text("c")), (4, text("d")), (None, text("a", 6)), (None, "z " + text("b", 18)), (5, text("a", 6) + " " + text("b", 18)), (6, text("a")), (6, text("a"))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(1, 1, 12, 12), (2, 1, 24, 24), (2, 1, 12, 6), (3, None, 12, 12), (4, None, 12, 12), (None, 1, 12, 6), (None, 1, 24, 18), (5, 1, 24, 18), (6, 1, 12, 12), (6, 1, 12, 12)]
+    for most in (decontam.SEEDS_MOST, 0):
+        got = [(x["doc_id"], x["item_id"], x["item_words"], x["covered_words"]) for x in decontam.overlaps(d, b, seeds_most=most).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert {x["doc_id"] for x in decontam.decontaminate(d, b).collect()} == {None}
+
+
 def test_reordered_and_short_passages(spark):
     item = " ".join(f"q{i}" for i in range(30))
     w = item.split()

@@ -6,11 +6,12 @@ the modification time, else the payload digest. A resolved revisit gets the resp
 headers, in which the revisit's permitted headers replace the response's.
 
 The as-of join is two-level, so that a URL with a great part of all captures is spread over time: inside a
-(URL, day) by a window, and over a URL's days by one row a day. Payloads don't take part; they join by
-record id at the end, for resolved revisits only.
+(URL, day) by a window, and over a URL's days by one row a day. A revisit's own fields go with it; the responses'
+fields and payloads don't take part and join at the end, by URL, time and record id.
 
 Cases: a revisit with no canonical URL, no earlier response, no validator or one that disagrees is kept with
-that status and null payload; responses at one instant rank by record id; an equal time is not earlier;
+that status and null payload; responses at one instant rank by record id; an equal time is not earlier; a null
+record id is one like others, of a revisit (kept) or a response (found, its response_id null);
 repeated revisits each get their result; empty tables give no rows; other columns are left aside.
 """
 
@@ -71,9 +72,15 @@ def _weak(tag: Column) -> Column:
     return F.regexp_replace(tag, "^W/", "")
 
 
+def _id_key(name: str) -> Column:
+    """A key that tells a null id from all others and is not null itself."""
+    return F.coalesce(F.concat(F.lit("="), name), F.lit(""))
+
+
 def resolve_revisits(captures: DataFrame) -> DataFrame:
     """record_id, canonical_url, ts, response_id, status, headers and payload of every revisit."""
-    light = captures.select("record_id", "kind", canonical_url(F.col("url")).alias("canonical_url"), "ts", F.floor(F.col("ts") / DAY).alias("day"))
+    own = F.when(F.col("kind") == "revisit", F.struct("etag", "last_modified", "digest", "headers"))
+    light = captures.select("record_id", "kind", canonical_url(F.col("url")).alias("canonical_url"), "ts", F.floor(F.col("ts") / DAY).alias("day"), own.alias("own"))
     mark = F.when(F.col("kind") == "response", F.struct("ts", "record_id"))
     timed = light.where("canonical_url is not null and ts is not null")
     earlier = Window.partitionBy("canonical_url", "day").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
@@ -81,26 +88,29 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     days = timed.groupBy("canonical_url", "day").agg(F.max(mark).alias("last"))
     before = Window.partitionBy("canonical_url").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     days = days.select("canonical_url", "day", F.max("last").over(before).alias("far")).where("far is not null")
-    found = near.join(days, ["canonical_url", "day"], "left").select("record_id", "canonical_url", "ts", F.coalesce("near", "far")["record_id"].alias("response_id"))
-    lost = light.where("kind = 'revisit' and (canonical_url is null or ts is null)").select("record_id", "canonical_url", "ts", F.lit(None).cast("string").alias("response_id"))
-    found = found.unionByName(lost)
+    at = F.coalesce("near", "far")
+    found = near.join(days, ["canonical_url", "day"], "left").select("record_id", "canonical_url", "ts", "own", at["record_id"].alias("response_id"), at["ts"].alias("response_ts"))
+    lost = light.where("kind = 'revisit' and (canonical_url is null or ts is null)")
+    lost = lost.select("record_id", "canonical_url", "ts", "own", F.lit(None).cast("string").alias("response_id"), F.lit(None).cast("long").alias("response_ts"))
+    found = found.unionByName(lost).select("record_id", "canonical_url", "ts", "own.etag", "own.last_modified", "own.digest", F.col("own.headers").alias("new_headers"), "response_id", "response_ts")
 
-    own = captures.where("kind = 'revisit'").select("record_id", "url", "ts", "etag", "last_modified", "digest", F.col("headers").alias("new_headers"))
-    # equal revisits have equal answers; a record id names one record
-    own = own.dropDuplicates(["record_id"])
     full = captures.where("kind = 'response'").select(
-        F.col("record_id").alias("response_id"), F.col("etag").alias("r_etag"), F.col("last_modified").alias("r_modified"), F.col("digest").alias("r_digest"),
+        canonical_url(F.col("url")).alias("r_url"), F.col("ts").alias("r_ts"), _id_key("record_id").alias("r_key"),
+        F.col("etag").alias("r_etag"), F.col("last_modified").alias("r_modified"), F.col("digest").alias("r_digest"),
         F.col("headers").alias("old_headers"), F.col("payload").alias("r_payload"),
     )
-    full = full.dropDuplicates(["response_id"])
-    both = found.join(own.drop("url", "ts"), "record_id").join(full, "response_id", "left")
+    # a record id names one record, and so do URL and time where there is none
+    full = full.where("r_url is not null and r_ts is not null").dropDuplicates(["r_url", "r_ts", "r_key"])
+    found = found.withColumn("key", _id_key("response_id"))
+    # the join has the columns of dropDuplicates, so payloads are dealt out once
+    both = found.join(full, (F.col("canonical_url") == F.col("r_url")) & (F.col("response_ts") == F.col("r_ts")) & (F.col("key") == F.col("r_key")), "left")
     agrees = (
         F.when(F.col("etag").isNotNull(), _weak(F.col("etag")) == _weak(F.col("r_etag")))
         .when(F.col("last_modified").isNotNull(), F.col("last_modified") == F.col("r_modified"))
         .when(F.col("digest").isNotNull(), F.col("digest") == F.col("r_digest"))
     )
     none = F.col("etag").isNull() & F.col("last_modified").isNull() & F.col("digest").isNull()
-    status = F.when(F.col("response_id").isNull(), "no_earlier_response").when(none, "no_validator").when(F.coalesce(agrees, F.lit(False)), "resolved").otherwise("validator_mismatch")
+    status = F.when(F.col("response_ts").isNull(), "no_earlier_response").when(none, "no_validator").when(F.coalesce(agrees, F.lit(False)), "resolved").otherwise("validator_mismatch")
     both = both.withColumn("status", status)
     empty = F.create_map().cast("map<string,string>")
     permitted = F.map_filter(F.coalesce("new_headers", empty), lambda k, v: F.lower(k).isin(*PERMITTED))

@@ -338,6 +338,20 @@ def test_revisits(spark):
     assert headers == {"ETag": '"t"', "X": "old", "date": "d2"}
 
 
+def test_captures_without_a_record_id(spark):
+    full = [("f1", "http://a.org/p", 100, "body"), (None, "http://b.org/p", 100, "other"), (None, "http://b.org/q", 100, "more")]
+    again = [(None, "http://a.org/p", 200, '"t"'), (None, "http://a.org/p", 50, '"t"'), (None, None, 1, '"t"'), ("r1", "http://b.org/p", 200, '"t"'), ("r2", "http://b.org/q", 100 + 3 * 86400, '"t"'), (None, "http://a.org/p", 201, '"no"')]
+    rows = [(i, "response", u, t, '"t"', None, None, {}, p) for i, u, t, p in full] + [(i, "revisit", u, t, tag, None, None, {"date": str(t)}, None) for i, u, t, tag in again]
+    got = [(x["record_id"], x["ts"], x["response_id"], x["status"], x["payload"]) for x in revisits.resolve_revisits(spark.createDataFrame(rows, revisits.CAPTURE)).collect()]
+    want = [
+        (None, 200, "f1", "resolved", "body"), (None, 50, None, "no_earlier_response", None), (None, 1, None, "no_earlier_response", None),
+        ("r1", 200, None, "resolved", "other"), ("r2", 100 + 3 * 86400, None, "resolved", "more"), (None, 201, "f1", "validator_mismatch", None),
+    ]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    pages = spark.createDataFrame([(1, "http://a.org", "x"), (None, "http://a.org", "y")], "page_id long, url string, html string")
+    assert [x["record_id"] for x in revisits.revisit_digest(pages).collect()].count(None) == 3
+
+
 def test_edge_rows_and_empty_tables(spark, edge, empty, labels):
     n = len(EDGE)
     none = labels.where("false")

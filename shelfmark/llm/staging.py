@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,18 +12,47 @@ _OWN: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; one of our own only where none is named."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; one of our own only on a single machine that names none."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="spark-stage-")
     return _OWN[app]
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+class Scratch:
+    """The staged tables of one run of an operator, removed together when its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written as Parquet in the shared folder and read back with its schema."""
+        path = f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, keep: int = 0) -> None:
+        """Delete the staged tables but the last ``keep`` ones; none of those deleted may be read any more."""
+        gone = self.paths[: len(self.paths) - keep]
+        for path in gone:
+            system, place = file_system(self.spark, path)
+            system.delete(place, True)
+        del self.paths[: len(gone)]
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back with its schema."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """A staged table that stays, as lazy results are read from it."""
+    return Scratch(df.sparkSession).staged(df, name)

@@ -1,25 +1,29 @@
 """Operator 4, mixing sources to target weights, with DataFrame functions only.
 
 Each source's texts, in hash order, are packed into one stream of words cut into blocks of a fixed length. The
-mix has as many slots of that length as all words fill, in output shards of 1024 slots. An output shard's
-source counts are drawn by residual multinomial sampling: the whole part of slots times target share goes to
-each source, and the rest of the slots are multinomial draws over the fractional parts, so a source's total
-stays within a few blocks of its target. A source's slots, numbered over all shards, go through pseudorandom
+mix has as many slots of that length as all words fill, in output shards of 1024 slots. A source's share of the slots
+over all shards is its target's, to one slot; how many of them fall in which output shard is drawn at random: the slots,
+labelled with their sources, are put in the order of a hash and each run of 1024 is a shard. Every shard's source counts
+are thus multinomial draws given that the totals meet the targets (draws without that condition leave a small
+source several percent off). A source's slots, numbered over all shards, go through pseudorandom
 permutations of its block indices, one permutation for each pass over the source, and slots and blocks are
 joined by index. A document's ``taken`` words are the parts of it inside the blocks taken, with repeats.
 
-No block is taken more than three times: a slot that would be the fourth pass stays empty, which residual
-sampling allows only for the few blocks above a target that already is three times its source.
+A permutation is the order of its numbers by a keyed hash.
 
-Slots and blocks grow with the corpus, so they are dealt out by source and shard before they are listed, and
-their join is a sorted merge, never a broadcast.
+No block is taken more than three times: a slot that would be the fourth pass stays empty, which happens only to
+the last slot of a source whose target is three times its size.
+
+Slots and blocks grow with the corpus, so they are dealt out by source and run before they are listed, and
+their join is a sorted merge, never a broadcast. One row a source is sorted in one task for places and targets.
 
 Running sums go over buckets of a source first and then inside a bucket, so that a source with a third of all
 rows is still spread over many tasks.
 
 Cases: a null or empty text has size 0 and takes nothing; a null source is a source like others and the last
 in order; rows that are equal in every way share their words' places in any order, so their results
-are the same as a set; an empty table gives no rows; other columns are left aside.
+are the same as a set; an empty table gives no rows; other columns are left aside, and ``mixed_documents`` hands
+them through whatever their names.
 """
 
 from __future__ import annotations
@@ -32,11 +36,10 @@ from shelfmark.llm.staging import staged
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 64
 SHARD_SLOTS = 1024
-BUCKETS = 256
+BUCKETS = 4096
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
-#: Primes above any block count that a source is expected to have; each makes k -> k * prime mod n a permutation.
-PRIMES = (2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549)
+RUN = 65_536
 
 
 def hashed(*parts: str | Column) -> Column:
@@ -86,36 +89,60 @@ def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slot_counts(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
-    """source, shard, slots: the drawn source counts of every output shard (sources without slots left out)."""
+def ranked(rows: DataFrame, by: list[str], number: str, name: str) -> DataFrame:
+    """``rows`` with ``rank``: the place, from 0, of ``number`` in the pseudorandom order of its group that ``name`` and the group name."""
+    rows = rows.withColumn("mark", hashed(F.lit(name), *by, number)).withColumn("bucket", F.col("mark") % BUCKETS)
+    before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    base = rows.groupBy(*by, "bucket").agg(F.count("*").alias("in_bucket")).select(*by, "bucket", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy(*by, "bucket").orderBy("mark", number)) - 1
+    return rows.withColumn("inside", inside).join(base.hint("merge"), [*by, "bucket"]).withColumn("rank", F.col("base") + F.col("inside")).drop("mark", "bucket", "base", "inside")
+
+
+def _listed(rows: DataFrame, first: str, last: str, name: str) -> DataFrame:
+    """A row for every number from ``first`` to before ``last``, dealt out in runs."""
+    # a few rows become many here, which Spark's size estimate doesn't see
+    runs = rows.withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col(last) - F.col(first) - 1) / RUN)))).repartition(_tasks(rows), "place", "run")
+    begin = F.col(first) + F.col("run") * RUN
+    return runs.withColumn(name, F.explode(F.sequence(begin, F.least(begin + RUN, F.col(last)) - 1))).drop("run")
+
+
+def source_slots(targets: DataFrame, block: int = BLOCK) -> DataFrame:
+    """place, n (blocks), low, high: the labels of each source's slots among all slots (sources without slots left out)."""
     total = F.sum("source_size").over(Window.partitionBy())
-    t = targets.withColumn("all_slots", F.ceil(total / block)).withColumn("share", F.col("target") / total).where("source_size > 0")
-    t = t.withColumn("shard", F.explode(F.sequence(F.lit(0), F.ceil(F.col("all_slots") / shard_slots) - 1)))
-    t = t.withColumn("n", F.least(F.lit(shard_slots), F.col("all_slots") - F.col("shard") * shard_slots))
-    t = t.withColumn("whole", F.floor(F.col("n") * F.col("share") + 1e-9)).withColumn("part", F.greatest(F.lit(0.0), F.col("n") * F.col("share") - F.col("whole")))
-    t = t.repartition(_tasks(t), "shard")  # a few rows become many here, which Spark's size estimate doesn't see
-    shard = Window.partitionBy("shard")
-    along = shard.orderBy("place")
-    t = t.withColumn("rest", F.col("n") - F.sum("whole").over(shard)).withColumn("parts", F.sum("part").over(shard))
-    t = t.withColumn("high", F.sum("part").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    t = t.withColumn("low", F.coalesce(F.lag("high").over(along), F.lit(0.0))).withColumn("last", F.row_number().over(shard.orderBy(F.col("place").desc())) == 1)
-    draws = F.transform(F.sequence(F.lit(1), F.col("rest")), lambda i: hashed(F.lit("draw"), F.col("shard"), i) / float(1 << 60) * F.col("parts"))
-    inside = lambda u: (u >= F.col("low")) & ((u < F.col("high")) | F.col("last"))
-    t = t.withColumn("drawn", F.when(F.col("rest") > 0, F.size(F.filter(draws, inside))).otherwise(0))
-    return t.select("source", "place", "source_size", "shard", (F.col("whole") + F.col("drawn")).cast("long").alias("slots")).where("slots > 0")
+    along = Window.orderBy("place")
+    t = targets.where("source_size > 0").withColumn("all_slots", F.ceil(total / block)).withColumn("share", F.col("target") / total)
+    upto = F.sum("share").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    t = t.withColumn("high", F.least("all_slots", F.floor(F.col("all_slots") * upto + 0.5))).withColumn("low", F.coalesce(F.lag("high").over(along), F.lit(0)))
+    return t.select("place", F.ceil(F.col("source_size") / block).alias("n"), "low", "high").where("high > low")
+
+
+def slot_counts(slots: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """place, shard, slots: the drawn source counts of every output shard."""
+    labels = _listed(slots.select("place", "low", "high"), "low", "high", "label").select(F.lit(0).alias("all"), "place", "label")
+    return ranked(labels, ["all"], "label", "draw").groupBy("place", F.floor(F.col("rank") / shard_slots).alias("shard")).agg(F.count("*").alias("slots"))
+
+
+def slot_blocks(slots: DataFrame, shard_slots: int = SHARD_SLOTS, most: int = MOST_PASSES) -> DataFrame:
+    """place, shard, k, index: every slot of every output shard, its number among its source's slots and the block it takes."""
+    counts = staged(slot_counts(slots, shard_slots).withColumn("group", F.floor(F.col("shard") / BUCKETS)), "mix-counts")
+    before = Window.partitionBy("place").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.groupBy("place", "group").agg(F.sum("slots").alias("in_group")).select("place", "group", F.coalesce(F.sum("in_group").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("place", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("inside", F.coalesce(F.sum("slots").over(inside), F.lit(0))).join(base, ["place", "group"])
+    first = F.col("base") + F.col("inside")
+    numbered = counts.repartition(_tasks(counts), "place", "shard").select("place", "shard", F.explode(F.sequence(first, first + F.col("slots") - 1)).alias("k"))
+
+    wanted = slots.withColumn("wanted", F.least(F.col("high") - F.col("low"), most * F.col("n"))).withColumn("zero", F.lit(0).cast("long"))
+    blocks = _listed(wanted.select("place", "n", "wanted", "zero"), "zero", "n", "index")
+    passes = blocks.withColumn("pass", F.explode(F.sequence(F.lit(0), F.floor((F.col("wanted") - 1) / F.col("n")))))
+    order = ranked(passes.select("place", "pass", "index", "n"), ["place", "pass"], "index", "block")
+    order = order.select("place", (F.col("pass") * F.col("n") + F.col("rank")).alias("k"), "index")
+    return numbered.join(order.hint("merge"), ["place", "k"])
 
 
 def block_passes(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, most: int = MOST_PASSES) -> DataFrame:
     """place, index, times: how often each block of each source is taken; blocks never taken are left out."""
-    counts = slot_counts(targets, block, shard_slots)
-    before = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("first", F.coalesce(F.sum("slots").over(before), F.lit(0))).withColumn("n", F.ceil(F.col("source_size") / block))
-    counts = counts.repartition(_tasks(counts), "place", "shard")
-    slots = counts.select("place", "n", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("slots") - 1)).alias("k"))
-    slots = slots.withColumn("pass", F.floor(F.col("k") / F.col("n"))).where(F.col("pass") < most)
-    prime = F.element_at(F.array(*[F.lit(p) for p in PRIMES]), (hashed(F.lit("prime"), "place", "pass") % len(PRIMES) + 1).cast("int"))
-    wide = F.col("k") % F.col("n") * prime.cast("decimal(38,0)") + hashed(F.lit("shift"), "place", "pass") % F.col("n")
-    return slots.select("place", (wide % F.col("n")).cast("long").alias("index")).groupBy("place", "index").agg(F.count("*").alias("times"))
+    return slot_blocks(source_slots(targets, block), shard_slots, most).groupBy("place", "index").agg(F.count("*").alias("times"))
 
 
 def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -143,8 +170,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     The number of copies of a document has the expected value taken / size, so each source's words keep to its target
     while texts stay whole; a document without words stays once. Rows of one doc_id share their average.
     """
-    per = mix(docs).groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("passes"))
+    per = mix(docs).groupBy("doc_id").agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("passes"))
     copies = F.when(F.col("passes").isNull(), 1).otherwise(F.floor(F.col("passes") + hashed(F.lit("copy"), "doc_id") / float(1 << 60)).cast("int"))
     per = per.select(F.col("doc_id").alias("mixed_id"), copies.alias("copies")).where("copies > 0")
-    joined = docs.join(per, docs["doc_id"].eqNullSafe(per["mixed_id"]))
-    return joined.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[docs[c] for c in docs.columns])
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # so that no name can clash
+    joined = plain.join(per, plain[f"c{docs.columns.index('doc_id')}"].eqNullSafe(per["mixed_id"]))
+    repeated = joined.select(*plain.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no"))
+    return repeated.select(*plain.columns).toDF(*docs.columns)

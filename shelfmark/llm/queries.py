@@ -92,7 +92,7 @@ WITH RECURSIVE rows_ AS (
          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '\N')), 1, 15) AS BIGINT) AS mark
   FROM documents),
 placed AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY mark % 256, mark, doc_id
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY mark % 4096, mark, doc_id
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM rows_),
 per AS (
@@ -110,42 +110,22 @@ targets AS (
          coalesce(CASE WHEN ratio > level THEN weight * (SELECT level FROM first_free) ELSE 3.0::DOUBLE * source_size END, 0.0) AS target
   FROM levels),
 total AS (SELECT sum(source_size)::BIGINT AS t FROM targets),
-shards AS (
-  SELECT source, place, source_size, target / t AS share, ceil(t / 64.0)::BIGINT AS all_slots,
-         unnest(range(0, ceil(ceil(t / 64.0) / 1024.0)::BIGINT)) AS shard
+shares AS (
+  SELECT place, source_size, ceil(t / 64.0)::BIGINT AS all_slots,
+         sum(target / t) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
   FROM targets, total WHERE source_size > 0),
-sized AS (SELECT *, least(1024, all_slots - shard * 1024)::BIGINT AS n FROM shards),
-wholes AS (SELECT *, floor(n * share + 1e-9)::BIGINT AS whole FROM sized),
-parts AS (SELECT *, greatest(0.0, n * share - whole) AS part FROM wholes),
-edges AS (
-  SELECT *, (n - sum(whole) OVER (PARTITION BY shard))::BIGINT AS rest, sum(part) OVER (PARTITION BY shard) AS parts,
-         sum(part) OVER (PARTITION BY shard ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS high
-  FROM parts),
-ranges AS (
-  SELECT *, coalesce(lag(high) OVER (PARTITION BY shard ORDER BY place), 0.0) AS low,
-         row_number() OVER (PARTITION BY shard ORDER BY place DESC) = 1 AS last
-  FROM edges),
-draws AS (
-  SELECT shard, CAST('0x' || substr(md5('draw|' || shard || '|' || i), 1, 15) AS BIGINT) / 1152921504606846976.0 * parts AS u
-  FROM (SELECT DISTINCT shard, parts, unnest(range(1, rest + 1)) AS i FROM (SELECT DISTINCT shard, parts, rest FROM edges WHERE rest > 0))),
-drawn AS (
-  SELECT r.place, r.shard, count(*) AS drawn
-  FROM ranges r JOIN draws d ON d.shard = r.shard AND d.u >= r.low AND (d.u < r.high OR r.last) GROUP BY ALL),
-counts AS (
-  SELECT r.place, r.source_size, r.shard, (r.whole + coalesce(d.drawn, 0))::BIGINT AS slots
-  FROM ranges r LEFT JOIN drawn d ON d.place = r.place AND d.shard = r.shard),
-per_source AS (
-  SELECT place, sum(slots)::BIGINT AS slots, ceil(any_value(source_size) / 64.0)::BIGINT AS n FROM counts GROUP BY place),
-slots AS (SELECT place, n, unnest(range(0, slots)) AS k FROM per_source),
-passes AS (SELECT place, n, k, k // n AS pass FROM slots WHERE k // n < 3),
-keyed AS (
-  SELECT place, n, k,
-         [2147483647, 2147483629, 2147483587, 2147483579, 2147483563, 2147483549][
-           (CAST('0x' || substr(md5('prime|' || place || '|' || pass), 1, 15) AS BIGINT) % 6 + 1)::INT]::HUGEINT AS prime,
-         CAST('0x' || substr(md5('shift|' || place || '|' || pass), 1, 15) AS BIGINT) AS shift
-  FROM passes),
-times AS (
-  SELECT place, (((k % n) * prime + shift % n) % n)::BIGINT AS index, count(*) AS times FROM keyed GROUP BY ALL),
+bounds AS (SELECT place, source_size, least(all_slots, floor(all_slots * upto + 0.5))::BIGINT AS high FROM shares),
+labels AS (SELECT *, coalesce(lag(high) OVER (ORDER BY place), 0)::BIGINT AS low FROM bounds),
+labelled AS (SELECT place, unnest(range(low, high)) AS label FROM labels),
+marked AS (SELECT *, CAST('0x' || substr(md5('draw|0|' || label), 1, 15) AS BIGINT) AS mark FROM labelled),
+drawn AS (SELECT place, (row_number() OVER (ORDER BY mark % 4096, mark, label) - 1) // 1024 AS shard FROM marked),
+numbered AS (SELECT place, shard, row_number() OVER (PARTITION BY place ORDER BY shard) - 1 AS k FROM drawn),
+sized AS (SELECT place, ceil(source_size / 64.0)::BIGINT AS n, high - low AS slots FROM labels WHERE high > low),
+indexed AS (SELECT place, n, slots, pass, unnest(range(0, n)) AS index FROM (SELECT *, unnest(range(0, 3)) AS pass FROM sized)),
+keyed AS (SELECT *, CAST('0x' || substr(md5('block|' || place || '|' || pass || '|' || index), 1, 15) AS BIGINT) AS mark FROM indexed),
+ordered AS (
+  SELECT place, index, pass * n + row_number() OVER (PARTITION BY place, pass ORDER BY mark % 4096, mark, index) - 1 AS k FROM keyed),
+times AS (SELECT o.place, o.index, count(*) AS times FROM ordered o JOIN numbered s ON s.place = o.place AND s.k = o.k GROUP BY ALL),
 blocks AS (
   SELECT p.doc_id, p.source, p.size, p.start, unnest(range(p.start // 64, (p.start + p.size - 1) // 64 + 1)) AS index
   FROM placed p WHERE p.size > 0),

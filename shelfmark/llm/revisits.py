@@ -6,8 +6,10 @@ the modification time, else the payload digest. A resolved revisit gets the resp
 headers, in which the revisit's permitted headers replace the response's.
 
 The as-of join is two-level, so that a URL with a great part of all captures is spread over time: inside a
-(URL, day) by a window, and over a URL's days by one row a day. A revisit's own fields go with it; the responses'
-fields and payloads don't take part and join at the end, by URL, time and record id.
+(URL, hour) by a window, and over a URL's hours by one row an hour. A revisit's own fields go with it; the responses'
+fields and payloads don't take part and join at the end, by URL, time and record id. Revisits without an
+earlier response don't join. A response of more than one in HOT_MOST revisits, of which there are fewer than HOT_MOST,
+is repeated in the join for parts of its revisits, so that they are spread over tasks.
 
 Cases: a revisit with no canonical URL, no earlier response, no validator or one that disagrees is kept with
 that status and null payload; responses at one instant rank by record id; an equal time is not earlier; a null
@@ -20,11 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.llm.staging import staged
+
 #: Header fields that a 304 answer may update (lower case).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
 #: Query parameters that don't name a resource.
 TRACKING = r"^(ref|utm_[a-z]+)="
-DAY = 86_400
+HOUR, DAY = 3_600, 86_400
+HOT_MOST = 10_000
+HOT_PART = 1_000
 CAPTURE = "record_id string, kind string, url string, ts long, etag string, last_modified string, digest string, headers map<string,string>, payload string"
 
 
@@ -79,31 +85,42 @@ def _id_key(name: str) -> Column:
 
 def resolve_revisits(captures: DataFrame) -> DataFrame:
     """record_id, canonical_url, ts, response_id, status, headers and payload of every revisit."""
-    own = F.when(F.col("kind") == "revisit", F.struct("etag", "last_modified", "digest", "headers"))
-    light = captures.select("record_id", "kind", canonical_url(F.col("url")).alias("canonical_url"), "ts", F.floor(F.col("ts") / DAY).alias("day"), own.alias("own"))
+    own = F.when(F.col("kind") == "revisit", F.struct("etag", "last_modified", "digest", "headers", F.monotonically_increasing_id().alias("row")))
+    light = captures.select("record_id", "kind", canonical_url(F.col("url")).alias("canonical_url"), "ts", F.floor(F.col("ts") / HOUR).alias("hour"), own.alias("own"))
     mark = F.when(F.col("kind") == "response", F.struct("ts", "record_id"))
     timed = light.where("canonical_url is not null and ts is not null")
-    earlier = Window.partitionBy("canonical_url", "day").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("canonical_url", "hour").orderBy("ts").rangeBetween(Window.unboundedPreceding, -1)
     near = timed.withColumn("near", F.max(mark).over(earlier)).where("kind = 'revisit'")
-    days = timed.groupBy("canonical_url", "day").agg(F.max(mark).alias("last"))
-    before = Window.partitionBy("canonical_url").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("canonical_url", "day", F.max("last").over(before).alias("far")).where("far is not null")
+    hours = timed.groupBy("canonical_url", "hour").agg(F.max(mark).alias("last"))
+    before = Window.partitionBy("canonical_url").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select("canonical_url", "hour", F.max("last").over(before).alias("far")).where("far is not null")
     at = F.coalesce("near", "far")
-    found = near.join(days, ["canonical_url", "day"], "left").select("record_id", "canonical_url", "ts", "own", at["record_id"].alias("response_id"), at["ts"].alias("response_ts"))
+    found = near.join(hours, ["canonical_url", "hour"], "left").select("record_id", "canonical_url", "ts", "own", at["record_id"].alias("response_id"), at["ts"].alias("response_ts"))
     lost = light.where("kind = 'revisit' and (canonical_url is null or ts is null)")
     lost = lost.select("record_id", "canonical_url", "ts", "own", F.lit(None).cast("string").alias("response_id"), F.lit(None).cast("long").alias("response_ts"))
-    found = found.unionByName(lost).select("record_id", "canonical_url", "ts", "own.etag", "own.last_modified", "own.digest", F.col("own.headers").alias("new_headers"), "response_id", "response_ts")
+    found = found.unionByName(lost).select("record_id", "canonical_url", "ts", "own.etag", "own.last_modified", "own.digest", F.col("own.headers").alias("new_headers"), "own.row", "response_id", "response_ts")
+    found = staged(found.withColumn("key", _id_key("response_id")), "revisits-found")
 
     full = captures.where("kind = 'response'").select(
         canonical_url(F.col("url")).alias("r_url"), F.col("ts").alias("r_ts"), _id_key("record_id").alias("r_key"),
         F.col("etag").alias("r_etag"), F.col("last_modified").alias("r_modified"), F.col("digest").alias("r_digest"),
         F.col("headers").alias("old_headers"), F.col("payload").alias("r_payload"),
     )
-    # a record id names one record, and so do URL and time where there is none
-    full = full.where("r_url is not null and r_ts is not null").dropDuplicates(["r_url", "r_ts", "r_key"])
-    found = found.withColumn("key", _id_key("response_id"))
-    # the join has the columns of dropDuplicates, so payloads are dealt out once
-    both = found.join(full, (F.col("canonical_url") == F.col("r_url")) & (F.col("response_ts") == F.col("r_ts")) & (F.col("key") == F.col("r_key")), "left")
+    full = full.where("r_url is not null and r_ts is not null")
+    one = F.xxhash64("canonical_url", "response_ts", "key")
+    linked = found.where("response_ts is not null").withColumn("one", one)
+    least = max(HOT_PART, linked.count() // HOT_MOST)
+    hot = linked.groupBy("one").agg(F.count("*").alias("n")).where(F.col("n") > least)
+    hot = F.broadcast(staged(hot.select("one", F.ceil(F.col("n") / least).cast("int").alias("parts")), "revisits-hot"))
+    linked = linked.join(hot, "one", "left").withColumn("part", F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1))).cast("int"))
+    full = full.withColumn("one", F.xxhash64("r_url", "r_ts", "r_key")).join(hot, "one", "left")
+    full = full.withColumn("r_part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+    # a record id names one record, and so do URL and time where there is none; grouped by the columns of the join, payloads are dealt out once
+    parts = ("r_etag", "r_modified", "r_digest", "old_headers", "r_payload")
+    full = full.groupBy("r_url", "r_ts", "r_key", "r_part").agg(F.max_by(F.struct(*parts), F.struct(*parts[:3], F.xxhash64("r_payload").alias("sum"))).alias("x"))
+    full = full.select("r_url", "r_ts", "r_key", "r_part", "x.*")
+    same = (F.col("canonical_url") == F.col("r_url")) & (F.col("response_ts") == F.col("r_ts")) & (F.col("key") == F.col("r_key")) & (F.col("part") == F.col("r_part"))
+    both = linked.drop("one", "parts").join(full, same, "left").unionByName(found.where("response_ts is null"), allowMissingColumns=True)
     agrees = (
         F.when(F.col("etag").isNotNull(), _weak(F.col("etag")) == _weak(F.col("r_etag")))
         .when(F.col("last_modified").isNotNull(), F.col("last_modified") == F.col("r_modified"))

@@ -388,3 +388,37 @@ def test_pipeline(spark):
 
 def test_queries_and_sql_have_the_same_names():
     assert set(queries.oracle_sql()) <= set(queries.queries()) and len(queries.queries()) == 10
+
+
+def test_hot_response_and_repeated_responses(spark, monkeypatch):
+    monkeypatch.setattr(revisits, "HOT_PART", 10)
+    full = [("f1", "http://a.org/p", 100, '"t"', "body"), ("f1", "http://a.org/p", 100, '"s"', "less"), ("f2", "http://b.org/p", 100, '"t"', "other")]
+    rows = [(i, "response", u, t, tag, None, None, {}, p) for i, u, t, tag, p in full]
+    rows += [(f"r{i % 400}", "revisit", "http://a.org/p", 200 + i // 2, '"t"', None, None, {}, None) for i in range(500)] + [("q", "revisit", "http://b.org/p", 101, '"t"', None, None, {}, None)] * 2
+    got = Counter((x["record_id"], x["ts"], x["status"], x["payload"]) for x in revisits.resolve_revisits(spark.createDataFrame(rows, revisits.CAPTURE)).collect())
+    assert got == Counter([(f"r{i % 400}", 200 + i // 2, "resolved", "body") for i in range(500)] + [("q", 101, "resolved", "other")] * 2)
+    assert revisits.resolve_revisits(spark.createDataFrame([], revisits.CAPTURE)).count() == 0
+    clash = spark.createDataFrame(rows[:4], revisits.CAPTURE).withColumns({"key": F.lit(1), "one": F.lit(2), "canonical_url": F.lit("x"), "status": F.lit("y"), "hour": F.lit(1), "n": F.lit(3)})
+    assert [x["status"] for x in revisits.resolve_revisits(clash).collect()] == ["resolved"]
+
+
+def test_mix_stage_keeps_clashing_columns(spark):
+    names = ("copies", "copy_no", "mixed_id", "passes", "taken", "c0", "place", "rank", "mark")
+    d = spark.createDataFrame([(i, f"w{i} " * (i % 9), None, "s" if i % 3 else None) for i in range(60)] + [(None, None, "en", "s")], "doc_id long, text string, lang string, source string").withColumns({n: F.lit(n) for n in names})
+    got = mixing.mixed_documents(d)
+    assert got.columns == d.columns
+    rows = got.collect()
+    assert all(tuple(x[n] for n in names) == names for x in rows) and {x["doc_id"] for x in rows} >= {0, 9, None}
+    assert mixing.mixed_documents(d.where("false")).count() == 0
+
+
+def test_slots_take_every_block_once_a_pass(spark):
+    t = spark.createDataFrame([(0, 640, 640.0 * 2.5), (1, 6400, 640.0 * 8.5), (2, 0, 0.0)], "place int, source_size long, target double")
+    slots = mixing.source_slots(t)
+    assert sorted(map(tuple, slots.collect())) == [(0, 10, 0, 25), (1, 100, 25, 110)]
+    rows = mixing.slot_blocks(slots, shard_slots=16).collect()
+    per = Counter((x["place"], x["index"]) for x in rows)
+    assert len(rows) == 110 and all(2 <= per[0, i] <= 3 for i in range(10)) and all(per[1, i] <= 1 for i in range(100))
+    shards = Counter(x["shard"] for x in rows)
+    assert [shards[i] for i in range(7)] == [16] * 6 + [14]
+    assert len({x["k"] for x in rows if x["place"] == 1}) == 85

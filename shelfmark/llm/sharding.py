@@ -2,7 +2,8 @@
 
 Records hash into a fixed number of virtual slots; bytes and rows are summed per slot; a versioned map sends
 slots to shards. Rebalancing edits the map, moving whole slots from the heaviest shard to the lightest, and
-gives it the next version: no record is hashed anew. Only the per-slot sums (one row per virtual slot, a
+gives it the next version: no record is hashed anew. A store keeps every version under its own folder; the latest
+is the map in force, and a version is added only where the map was edited. Only the per-slot sums (one row per virtual slot, a
 number that is a parameter) reach the driver, and only the map is broadcast.
 
 Cases: a null text has no bytes and the checksum of the empty text; a null id hashes by its checksum; equal
@@ -13,12 +14,13 @@ left aside by ``assign_shards`` and may have any names.
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.staging import shared_folder
+from shelfmark.llm.staging import file_system, shared_folder
 
 SLOTS = 4096
 SHARDS = 16
@@ -86,18 +88,43 @@ def slotted(docs: DataFrame, n_slots: int = SLOTS) -> DataFrame:
     ).withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n_slots)).cast("int"))
 
 
+def latest_map(spark: SparkSession, map_path: str) -> SlotMap | None:
+    """The last version that a store holds whole; none if it has none."""
+    system, place = file_system(spark, f"{map_path}/version=*/_SUCCESS")
+    found = system.globStatus(place) or []
+    versions = [int(x.getPath().getParent().getName().split("=")[1]) for x in found]
+    if not versions:
+        return None
+    rows = spark.read.parquet(f"{map_path}/version={max(versions)}").collect()
+    shard_of = {x["virtual_slot"]: x["shard"] for x in rows}
+    return SlotMap(max(versions), rows[0]["n_shards"], tuple(shard_of[slot] for slot in range(len(shard_of))))
+
+
+def store_map(spark: SparkSession, new: SlotMap, map_path: str) -> None:
+    """Adds a version to the store; one that is there already is an error."""
+    rows = new.frame(spark).drop("version").withColumn("n_shards", F.lit(new.n_shards))
+    rows.coalesce(1).write.parquet(f"{map_path}/version={new.version}")
+
+
 def assign_shards(docs: DataFrame, old: SlotMap | None = None, n_shards: int = SHARDS, n_slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """Every record's shard under the map rebalanced for these bytes, and its position in that shard.
 
-    ``old`` is the map in force (the first map, if none); the new version is appended under ``map_path`` (the
-    shared folder, if none). Positions run from 0 in each shard without a gap.
+    The map in force is ``old``, else the latest of the store ``map_path``, else the first map. Where rebalancing
+    edits it, or the store has no version, the new one is stored (in a store of this run's own, if no path is given).
+    Positions run from 0 in each shard without a gap.
     """
     spark = docs.sparkSession
-    old = old or first_map(n_shards, n_slots)
+    store = map_path or f"{shared_folder(spark)}/slot-map-{uuid.uuid4().hex}"
+    stored = latest_map(spark, store)
+    old = old or stored or first_map(n_shards, n_slots)
     rows = slotted(docs, len(old.shard_of))
     sums = rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()
     new = rebalanced(old, {x["virtual_slot"]: x["bytes"] for x in sums}, n_shards)
-    new.frame(spark).coalesce(1).write.mode("append").parquet(map_path or f"{shared_folder(spark)}/slot-map")
+    if stored and (new.shard_of, new.n_shards) == (stored.shard_of, stored.n_shards):
+        new = stored
+    else:
+        new = replace(new, version=max(new.version, stored.version + 1 if stored else 0))
+        store_map(spark, new, store)
     count = {x["virtual_slot"]: x["rows"] for x in sums}
     filled, base = [0] * n_shards, []
     for slot, shard in enumerate(new.shard_of):
@@ -119,4 +146,4 @@ def shard_digest(docs: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["SlotMap", "assign_shards", "first_map", "rebalanced", "shard_digest", "slotted"]
+__all__ = ["SlotMap", "assign_shards", "first_map", "latest_map", "rebalanced", "shard_digest", "slotted", "store_map"]

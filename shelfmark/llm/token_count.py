@@ -12,7 +12,8 @@ bound after which it starts anew. The vocabulary is read once from a path on the
 tasks with the function (its size is the tokenizer's, a few MB).
 
 Cases: a null text has 0 tokens, as has an empty one; repeated rows get equal counts; an empty table gives no
-rows; other columns are left aside. Memory follows the longest text; a part has the length of a word.
+rows; other columns are left aside. Memory follows the longest text; counting a part, of whatever length, takes
+memory for as many places as the longest piece has characters.
 """
 
 from __future__ import annotations
@@ -58,6 +59,7 @@ class PieceCounter:
         for piece, score in vocabulary.pieces:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.longest = max((len(piece) for piece, _ in vocabulary.pieces), default=1)
         self.single = {piece for piece, _ in vocabulary.pieces if len(piece) == 1}
         self.unknown = min((score for _, score in vocabulary.pieces), default=0.0) - UNKNOWN_PENALTY
         self.byte_fallback = vocabulary.byte_fallback
@@ -65,33 +67,36 @@ class PieceCounter:
 
     def part(self, part: str) -> int:
         """The number of pieces of one part."""
-        n = len(part)
-        ending: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(part):
-            ending[end].append(match)
-        best: list[float | None] = [0.0] + [None] * n
-        count = [0] * (n + 1)
-        loose = [False] * (n + 1)
-        for end in range(1, n + 1):
+        # a piece reaches back no further than the longest one, so only that many places are kept, in a ring
+        size = self.longest + 1
+        best: list[float | None] = [None] * size
+        count, loose = [0] * size, [False] * size
+        best[0] = 0.0
+        matches = self.automaton.iter(part)
+        ahead = next(matches, None)
+        for end in range(1, len(part) + 1):
+            here, char = end % size, part[end - 1]
             top: float | None = None
             # longest first, as the automaton follows its failure links
-            for length, score in ending[end - 1]:
-                before = best[end - length]
-                if before is None:
-                    continue
-                total = before + score
-                if top is None or total > top:
-                    top, count[end], loose[end] = total, count[end - length] + 1, False
-            if part[end - 1] not in self.single and best[end - 1] is not None:
-                total = best[end - 1] + self.unknown
+            while ahead is not None and ahead[0] == end - 1:
+                length, score = ahead[1]
+                before = best[(end - length) % size]
+                if before is not None:
+                    total = before + score
+                    if top is None or total > top:
+                        top, count[here], loose[here] = total, count[(end - length) % size] + 1, False
+                ahead = next(matches, None)
+            last = (end - 1) % size
+            if char not in self.single and best[last] is not None:
+                total = best[last] + self.unknown
                 if top is None or total > top:
                     if self.byte_fallback:
-                        more = len(part[end - 1].encode("utf-8", "surrogatepass"))
+                        more = len(char.encode("utf-8", "surrogatepass"))
                     else:
-                        more = 0 if loose[end - 1] else 1
-                    top, count[end], loose[end] = total, count[end - 1] + more, True
-            best[end] = top
-        return count[n]
+                        more = 0 if loose[last] else 1
+                    top, count[here], loose[here] = total, count[last] + more, True
+            best[here] = top
+        return count[len(part) % size]
 
     def text(self, text: str | None) -> int:
         if not text:

@@ -17,7 +17,7 @@ item_id's. Texts with a null item_id are searched likewise and reported together
 Cases: null or empty texts and items, or ones of punctuation only, match nothing; each row of documents is
 searched and reported by itself, whatever its doc_id; a null doc_id is reported as null in ``contamination`` and
 stays in ``decontaminate``, which takes out all rows of a doc_id found; empty tables give no rows; other columns
-are left aside. Memory follows the longest text.
+are left aside, and ``decontaminate`` hands them through whatever their names. Memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -94,6 +94,12 @@ def tile(doc_at: np.ndarray, item_at: np.ndarray, length: int) -> list[tuple[int
     return tiles
 
 
+def reach(item_at: np.ndarray, length: int) -> int:
+    """How many words of the item the seeds at these places cover: no tiling covers more."""
+    at = np.unique(item_at)
+    return int(np.minimum(np.diff(at), length).sum()) + length if len(at) else 0
+
+
 class Seeds:
     """All windows of the benchmark's items, by length and value."""
 
@@ -110,8 +116,8 @@ class Seeds:
             maybe[(values >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
             self.tables[k] = (values[order], ids[order], places[order], maybe)
 
-    def pairs(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
-        """(row, item, item_words, covered_words, n_tiles, longest_tile) of each pair with a seed."""
+    def pairs(self, words: np.ndarray, first: np.ndarray, least: float = 0.0) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """(row, item, item_words, covered_words, n_tiles, longest_tile) of each pair with a seed whose seeds cover a share of ``least`` of the item."""
         for k, (values, ids, places, maybe) in self.tables.items():
             windows = tk.window_hashes(words, k)
             near = np.flatnonzero(maybe[(windows >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
@@ -127,7 +133,10 @@ class Seeds:
                 doc_at = np.repeat(near[own] - first[r], n)
                 for item in np.unique(ids[hit]):
                     its = ids[hit] == item
-                    tiles = tile(doc_at[its], places[hit[its]], k)
+                    item_at = places[hit[its]]
+                    if reach(item_at, k) < least * self.words[int(item)]:
+                        continue
+                    tiles = tile(doc_at[its], item_at, k)
                     yield int(r), int(item), self.words[int(item)], sum(t[2] for t in tiles), len(tiles), max(t[2] for t in tiles)
 
 
@@ -151,10 +160,12 @@ def _windows(ids: str, length: int, own_length: bool):
     return rows
 
 
-def _tile_pair(rows: pd.DataFrame) -> pd.DataFrame:
-    x = rows.iloc[0]
+def _tile_pair(rows: pd.DataFrame, least: float) -> pd.DataFrame:
+    x, names = rows.iloc[0], ["id", "item", "item_words", "covered_words", "n_tiles", "longest_tile"]
+    if reach(rows["item_place"].to_numpy(), int(x["k"])) < least * x["item_words"]:
+        return pd.DataFrame([], columns=names)
     tiles = tile(rows["place"].to_numpy(), rows["item_place"].to_numpy(), int(x["k"]))
-    return pd.DataFrame([(x["id"], x["item"], x["item_words"], sum(t[2] for t in tiles), len(tiles), max(t[2] for t in tiles))], columns=["id", "item", "item_words", "covered_words", "n_tiles", "longest_tile"])
+    return pd.DataFrame([(x["id"], x["item"], x["item_words"], sum(t[2] for t in tiles), len(tiles), max(t[2] for t in tiles))], columns=names)
 
 
 def _rank(found: tuple[int, int, int, int]) -> tuple[float, int, int, int]:
@@ -163,12 +174,15 @@ def _rank(found: tuple[int, int, int, int]) -> tuple[float, int, int, int]:
     return covered / words, covered, longest, n
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, seeds_most: int = SEEDS_MOST) -> DataFrame:
-    """Every (document row, item_id) pair that shares a seed, with its tiles' coverage of the item_id's best covered text."""
+def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, seeds_most: int = SEEDS_MOST, least: float = 0.0) -> DataFrame:
+    """Every (document row, item_id) pair that shares a seed, with its tiles' coverage of the item_id's best covered text.
+
+    Pairs whose seeds alone show that their coverage stays below ``least`` aren't tiled and are left out.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    least = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    if least <= 2 * seeds_most:  # a word and its separator take two bytes at least, so seeds can't be more than half of that
+    size = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size <= 2 * seeds_most:  # a word and its separator take two bytes at least, so seeds can't be more than half of that
         found = items.orderBy("item_id", "text").toArrow().combine_chunks()
         known: list[tuple[int, np.ndarray]] = []
         ids = found.column("item_id").to_pylist()
@@ -181,7 +195,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, s
                 at, out = 0, []
                 for words, first in word_rows(batch.column("text")):
                     best: dict[tuple[int, int | None], tuple[int, int, int, int]] = {}
-                    for r, item, *figures in seeds.pairs(words, first):
+                    for r, item, *figures in seeds.pairs(words, first, least):
                         pair = r, ids[item]
                         best[pair] = max(best.get(pair, tuple(figures)), tuple(figures), key=_rank)
                     out += [(batch.column("doc_id")[at + r].as_py(), item_id, *figures) for (r, item_id), figures in best.items()]
@@ -198,7 +212,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, s
     there = items.select("item", "text").mapInArrow(_windows("item", length, True), shape)
     there = there.select(F.col("id").alias("item"), F.col("words").alias("item_words"), "k", F.col("place").alias("item_place"), "value")
     here = docs.select("row", "text").mapInArrow(_windows("row", length, False), shape).drop("words")
-    pairs = here.join(there, ["k", "value"]).groupBy("id", "item").applyInPandas(_tile_pair, PAIR.replace("doc_id", "id").replace("item_id", "item"))
+    pairs = here.join(there, ["k", "value"]).groupBy("id", "item").applyInPandas(lambda rows: _tile_pair(rows, least), PAIR.replace("doc_id", "id").replace("item_id", "item"))
     pairs = pairs.join(items.select("item", "item_id"), "item")
     share = (F.col("covered_words") / F.col("item_words")).alias("share")
     best = pairs.groupBy(F.col("id").alias("row"), "item_id").agg(F.max(F.struct(share, "covered_words", "longest_tile", "n_tiles", "item_words")).alias("best"))
@@ -208,10 +222,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, s
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """The pairs whose coverage reaches the threshold."""
     share = F.col("covered_words") / F.col("item_words")
-    return overlaps(docs, benchmark).withColumn("coverage", share).where(F.col("coverage") >= coverage)
+    return overlaps(docs, benchmark, least=coverage).withColumn("coverage", share).where(F.col("coverage") >= coverage)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold benchmark items."""
-    found = contamination(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    found = contamination(docs, benchmark).select(F.col("doc_id").alias("_found")).distinct()
+    at = docs.columns.index("doc_id")
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # so that no name can clash
+    return plain.join(found, F.col(f"c{at}") == F.col("_found"), "left_anti").toDF(*docs.columns)

@@ -1,17 +1,18 @@
 """Operator 6, a quality classifier by Bradley-Terry pairwise ranking.
 
-Every text becomes a few dense features (shares of character classes, repetition, word and line shapes),
-counted by vectorised passes over its bytes. From labelled rows, preference pairs (a good text over a bad
-one) are drawn, and logistic loss on their feature differences gives a linear score: the Bradley-Terry
-model. The cut is a score quantile, midway between a low quantile of the good and a high one of the bad
+Every text becomes a few dense features (shares of character classes, repetition, word and line shapes) and the
+shares of its words in HASHED buckets of a word hash, all counted by vectorised passes over its bytes. From labelled rows,
+preference pairs (a good text over a bad one) are drawn, and logistic loss on their feature differences gives a linear
+score: the Bradley-Terry model. The cut is a score quantile, midway between a low quantile of the good and a high one of the bad
 training scores; a logistic curve through it turns scores into 0 to 1, with CUT_VALUE at the cut.
 
-The fit uses a bounded sample, at most SAMPLE_MOST labelled rows by the order of a hash, whose ids are
-broadcast and whose features (a few numbers a row) are collected; every document is scored.
+The fit uses a bounded sample, at most SAMPLE_MOST labelled ids by the order of a hash, which are
+broadcast and whose features (one row an id) are collected; every document is scored.
 
-Cases: a null or empty text has all-zero shares and a score like others; repeated rows get equal scores; if
+Cases: a null or empty text has all-zero shares and a score like others; repeated rows get equal scores; of rows that share a
+labelled doc_id the least by features is learned from; if
 one of the two labels is missing in the sample, every score is the share of label 1; an empty table gives no
-rows; other columns are left aside.
+rows; other columns are left aside, and ``keep_good`` hands them through. Memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from pyspark.sql import functions as F
 from shelfmark.llm import textkit as tk
 
 SAMPLE_MOST = 20_000
-PAIRS = 200_000
-STEPS = 400
+PAIRS = 4_096
+STEPS = 600
+HASHED = 256
+HASHED_RIDGE = 1e-2
 CUT_VALUE = 0.3
 LOW_QUANTILE, HIGH_QUANTILE = 0.02, 0.98
 SEED = 7
@@ -47,8 +50,8 @@ def _by_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def features(s: tk.Slice) -> np.ndarray:
-    """One row of features for each text of the slice."""
+def features(s: tk.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One row of dense features for each text of the slice; the word hash bucket of every word, and each text's first word."""
     starts, ends, first = tk.word_bounds(s)
     words = tk.word_hashes(s, starts, ends)
     n_words = np.diff(first).astype(np.float64)
@@ -75,12 +78,20 @@ def features(s: tk.Slice) -> np.ndarray:
         out[:, 12] = most / per_word
         last = s.data[ends - 1]
         out[:, 13] = _by_row(_class[last, 2] + _class[last, 4], first) / per_word
-    return out
+    return out, (words >> np.uint64(56)).astype(np.int64) % HASHED, first
+
+
+def word_shares(bucket: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The share of each bucket in the words of each text."""
+    n = np.diff(first)
+    row = np.repeat(np.arange(len(n)), n)
+    counts = np.bincount(row * HASHED + bucket, minlength=len(n) * HASHED).reshape(len(n), HASHED)
+    return counts / np.maximum(n, 1)[:, None]
 
 
 @dataclass(frozen=True)
 class RankModel:
-    """Weights on standardised features; ``cut`` and ``scale`` place the 0-to-1 curve."""
+    """Weights on standardised features, the dense ones first; ``cut`` and ``scale`` place the 0-to-1 curve."""
 
     mean: np.ndarray
     spread: np.ndarray
@@ -88,33 +99,43 @@ class RankModel:
     cut: float
     scale: float
 
-    def raw(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.spread, -8, 8) @ self.weights
+    def raw(self, x: np.ndarray, bucket: np.ndarray, first: np.ndarray) -> np.ndarray:
+        k = len(FEATURES)
+        dense = standard(x, self.mean[:k], self.spread[:k]) @ self.weights[:k]
+        each = self.weights[k:] / self.spread[k:]
+        return dense + _by_row(each[bucket], first) / np.maximum(np.diff(first), 1) - each @ self.mean[k:]
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip(self.scale * (self.raw(x) - self.cut), -30, 30) + np.log(CUT_VALUE / (1 - CUT_VALUE))
+    def score(self, x: np.ndarray, bucket: np.ndarray, first: np.ndarray) -> np.ndarray:
+        z = np.clip(self.scale * (self.raw(x, bucket, first) - self.cut), -30, 30) + np.log(CUT_VALUE / (1 - CUT_VALUE))
         return 1 / (1 + np.exp(-z))
 
 
+def standard(x: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / spread, -8, 8)
+
+
 def fit(x: np.ndarray, label: np.ndarray, seed: int = SEED) -> RankModel:
-    """Bradley-Terry by logistic loss on differences of drawn (good, bad) pairs, full-batch with Adam steps."""
-    mean, spread = (x.mean(axis=0), x.std(axis=0) + 1e-3) if len(x) else (np.zeros(len(FEATURES)), np.ones(len(FEATURES)))
+    """Bradley-Terry by logistic loss on differences of (good, bad) pairs, drawn anew for each of STEPS Adam steps; dense features come first in ``x``."""
+    k, width = len(FEATURES), len(FEATURES) + HASHED
+    mean, spread = (x.mean(axis=0), x.std(axis=0) + 1e-3) if len(x) else (np.zeros(width), np.ones(width))
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     if not len(good) or not len(bad):
         share = float(label.mean()) if len(label) else 0.5
         share = min(max(share, 1e-6), 1 - 1e-6)
         shift = np.log(share / (1 - share)) - np.log(CUT_VALUE / (1 - CUT_VALUE))
-        return RankModel(mean, spread, np.zeros(x.shape[1] if x.ndim == 2 else len(FEATURES)), -shift, 1.0)
+        return RankModel(mean, spread, np.zeros(width), -shift, 1.0)
     rng = np.random.default_rng(seed)
-    z = np.clip((x - mean) / spread, -8, 8)
-    difference = z[rng.choice(good, PAIRS)] - z[rng.choice(bad, PAIRS)]
-    w = np.zeros(x.shape[1])
+    z = (x - mean) / spread
+    z[:, :k] = np.clip(z[:, :k], -8, 8)
+    ridge = np.repeat([1e-4, HASHED_RIDGE + 50 / len(x)], [k, HASHED])
+    w = np.zeros(width)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, STEPS + 1):
+        difference = z[rng.choice(good, PAIRS)] - z[rng.choice(bad, PAIRS)]
         loss_slope = -1 / (1 + np.exp(np.clip(difference @ w, -30, 30)))
-        g = difference.T @ loss_slope / PAIRS + 1e-4 * w
+        g = difference.T @ loss_slope / PAIRS + ridge * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w -= 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        w -= 0.05 * (1 - t / (STEPS + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
     raw = z @ w
     cut = float(np.quantile(raw[good], LOW_QUANTILE) + np.quantile(raw[bad], HIGH_QUANTILE)) / 2
     apart = float(np.median(raw[good]) - np.median(raw[bad]))
@@ -133,13 +154,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_most: int = SAMPLE_MOST) ->
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.concatenate([features(s) for s in tk.slices(batch.column("text"))] or [np.zeros((0, len(FEATURES)))])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "quality", "x"])
+            rows = []
+            for s in tk.slices(batch.column("text")):
+                x, bucket, first = features(s)
+                rows += list(np.hstack([x, word_shares(bucket, first)]).astype(np.float32))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(rows, pa.list_(pa.float32()))], names=["doc_id", "quality", "x"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("doc_id", "quality", "text")
-    found = rows.mapInArrow(gather, "doc_id long, quality int, x array<double>").toPandas().sort_values("doc_id", kind="stable")
-    x = np.array(found["x"].tolist(), np.float64).reshape(len(found), len(FEATURES))
-    return fit(x, found["quality"].to_numpy())
+    found = rows.mapInArrow(gather, "doc_id long, quality int, x array<float>")
+    found = found.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("x").alias("x")).toArrow().sort_by("doc_id")
+    x = found.column("x").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(found.num_rows, len(FEATURES) + HASHED)
+    return fit(x, found.column("quality").to_numpy())
 
 
 def score_documents(docs: DataFrame, model: RankModel) -> DataFrame:
@@ -147,7 +172,7 @@ def score_documents(docs: DataFrame, model: RankModel) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [model.score(features(s)) for s in tk.slices(batch.column("text"))] or [np.zeros(0)]
+            scores = [model.score(*features(s)) for s in tk.slices(batch.column("text"))] or [np.zeros(0)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(scores))], names=["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(apply, "doc_id long, score double")
@@ -165,7 +190,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [model.score(features(s)) for s in tk.slices(batch.column(at))] or [np.zeros(0)]
+            scores = [model.score(*features(s)) for s in tk.slices(batch.column(at))] or [np.zeros(0)]
             yield batch.filter(pa.array(np.concatenate(scores) >= CUT_VALUE))
 
     return docs.mapInArrow(accept, docs.schema)

@@ -422,3 +422,223 @@ def test_slots_take_every_block_once_a_pass(spark):
     shards = Counter(x["shard"] for x in rows)
     assert [shards[i] for i in range(7)] == [16] * 6 + [14]
     assert len({x["k"] for x in rows if x["place"] == 1}) == 85
+
+
+def test_slot_maps_are_stored_and_read_again(spark, docs, tmp_path):
+    store = str(tmp_path / "maps")
+    assert sharding.latest_map(spark, store) is None
+    first = {x["doc_id"]: x for x in sharding.assign_shards(docs, map_path=store).collect()}
+    one = sharding.latest_map(spark, store)
+    assert one.n_shards == 16 and {x["map_version"] for x in first.values()} == {one.version}
+    again = {x["doc_id"]: x for x in sharding.assign_shards(docs, map_path=store).collect()}
+    assert again == first and sharding.latest_map(spark, store) == one
+    grown = {x["doc_id"]: x["shard"] for x in sharding.assign_shards(docs, n_shards=17, map_path=store).collect()}
+    two = sharding.latest_map(spark, store)
+    assert two.version == one.version + 1 and two.n_shards == 17
+    moved = [i for i in grown if grown[i] != first[i]["shard"]]
+    assert moved and all(two.shard_of[first[i]["virtual_slot"]] == grown[i] for i in grown)
+
+
+def test_a_part_of_any_length_takes_little_memory():
+    import tracemalloc
+
+    own = token_count.PieceCounter(token_count.Vocabulary((("a", -1.0), ("aa", -1.5), ("▁", -1.0)), False))
+    tracemalloc.start()
+    assert own.part("a" * 400_001) == 200_001
+    assert tracemalloc.get_traced_memory()[1] < 10 * 400_001
+    tracemalloc.stop()
+
+
+def test_unlikely_pairs_are_not_tiled_and_none_is_lost(spark):
+    rng = np.random.default_rng(8)
+    item = [f"t{i}" for i in range(60)]
+    texts = [" ".join([f"z{j}" for j in range(3)] + item[a : a + n]) for a, n in zip(rng.integers(0, 40, 30), rng.integers(1, 60, 30))]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    b = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[::-1]))], "item_id long, text string")
+    for most in (decontam.SEEDS_MOST, 0):
+        every = {tuple(x) for x in decontam.overlaps(d, b, seeds_most=most).collect()}
+        likely = {tuple(x) for x in decontam.overlaps(d, b, seeds_most=most, least=0.5).collect()}
+        assert {x for x in every if x[3] >= 0.5 * x[2]} == {x for x in likely if x[3] >= 0.5 * x[2]} and 0 < len(likely) < len(every)
+
+
+def brute_components(texts, percent):
+    sets = {}
+    for i, t in texts.items():
+        w = [x.lower() for x in words(t)]
+        sets[i] = frozenset(tuple(w[j : j + 5]) for j in range(max(len(w) - 4, 1))) if w else frozenset()
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(texts)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b]:
+                k = len(sets[a] & sets[b])
+                if 100 * k >= percent * (len(sets[a]) + len(sets[b]) - k):
+                    x, y = find(a), find(b)
+                    root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+def test_verdict_of_quality_rules_by_brute_force(docs, labels):
+    import xxhash
+
+    ratios = quality_rules.log_ratios(docs, labels)
+    texts = {x["doc_id"]: words(x["text"]) for x in docs.collect()}
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    h = lambda data, seed=42: xxhash.xxh64(data, seed).intdigest()
+    for x in quality_rules.quality_rules(docs, labels).collect():
+        keys = [h(w.encode()) for w in texts[x["doc_id"]]]
+        grams = [signed(k) % quality_rules.BUCKETS for k in keys]
+        grams += [signed(h(b.to_bytes(8, "little"), h(a.to_bytes(8, "little")))) % quality_rules.BUCKETS for a, b in zip(keys, keys[1:])]
+        score = sum(ratios[g] for g in grams) / len(grams) if grams else 0.0
+        assert x["score"] == pytest.approx(score, abs=1e-9)
+        if abs(score - quality_rules.THRESHOLD) > 1e-9:
+            assert x["kept"] == (not x["base_failed"] and score >= quality_rules.THRESHOLD)
+
+
+def test_language_profiles_by_brute_force(docs):
+    def grams(text):
+        n, text = Counter(), text or ""
+        if not any(map(str.isalpha, text)):
+            return n
+        plain = " " + " ".join("".join(c if c.isalpha() or "̀" <= c <= "ͯ" else " " for c in text.lower()).split()) + " "
+        for k in (1, 2, 3):
+            for i in range(len(plain) - k + 1):
+                g = plain[i : i + k]
+                if g != " " and " " not in g[1:-1] and g != "  ":
+                    n[g] += 1
+        return n
+
+    code = lambda g: sum(ord(c) << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    order = lambda n: [g for g, _ in sorted(n.items(), key=lambda x: (-x[1], code(x[0])))][: langid.TOP]
+    rows, per = docs.collect(), defaultdict(Counter)
+    for x in rows:
+        if x["lang"] is not None and zlib.crc32(str(x["doc_id"]).encode()) % 5:
+            per[x["lang"]].update(grams(x["text"]))
+    profiles = {lang: order(n) for lang, n in per.items()}
+    assert langid.learn(docs) == {lang: [code(g) for g in p] for lang, p in profiles.items()}
+    rank = {lang: {g: i for i, g in enumerate(p)} for lang, p in profiles.items()}
+    for x in langid.language_digest(docs).collect():
+        own = order(grams(next(r["text"] for r in rows if r["doc_id"] == x["doc_id"])))
+        far = {lang: sum(abs(r[g] - i) if g in r else langid.TOP for i, g in enumerate(own)) for lang, r in rank.items()}
+        best = min(sorted(far), key=far.get) if own else "und"
+        assert x["lang_pred"] == best and x["score"] == pytest.approx(1 - far[best] / (langid.TOP * len(own)) if own else 0.0)
+
+
+def test_bradley_terry_fit_by_brute_force():
+    rng = np.random.default_rng(4)
+    k = len(quality_rank.FEATURES)
+    x = np.hstack([rng.normal(0, 1, (400, k)), rng.dirichlet(np.ones(quality_rank.HASHED), 400)])
+    label = (x[:, 0] - 0.5 * x[:, 3] + rng.normal(0, 0.5, 400) > 0.3).astype(int)
+    model = quality_rank.fit(x, label)
+    z = (x - model.mean) / model.spread
+    z[:, :k] = np.clip(z[:, :k], -8, 8)
+    d = (z[label == 1][:, None] - z[label == 0][None]).reshape(-1, z.shape[1])
+    w, ridge = np.zeros(z.shape[1]), np.repeat([1e-4, quality_rank.HASHED_RIDGE + 50 / len(x)], [k, quality_rank.HASHED])
+    for _ in range(800):  # plain gradient descent over every pair
+        w -= 0.3 * (-(d.T @ (1 / (1 + np.exp(d @ w)))) / len(d) + ridge * w)
+    loss = lambda v: np.log1p(np.exp(-d @ v)).mean() + (ridge * v * v).sum() / 2
+    assert loss(model.weights) < loss(w) + 0.02 and np.corrcoef(z @ model.weights, z @ w)[0, 1] > 0.98
+    raw = z @ model.weights
+    cut = (np.quantile(raw[label == 1], quality_rank.LOW_QUANTILE) + np.quantile(raw[label == 0], quality_rank.HIGH_QUANTILE)) / 2
+    assert model.cut == pytest.approx(cut)
+
+
+def test_scores_are_those_of_the_collected_features(docs, labels):
+    text = pa.array([x["text"] for x in docs.limit(60).collect()] + [None, ""])
+    model = quality_rank.train(docs, labels)
+    k = len(quality_rank.FEATURES)
+    for s in tk.slices(text):
+        x, bucket, first = quality_rank.features(s)
+        z = (np.hstack([x, quality_rank.word_shares(bucket, first)]) - model.mean) / model.spread
+        z[:, :k] = np.clip(z[:, :k], -8, 8)
+        assert np.allclose(z @ model.weights, model.raw(x, bucket, first), atol=1e-6)
+
+
+def test_repeated_labelled_ids_are_collected_once(spark):
+    d = spark.createDataFrame([(i % 5, f"good words here {i}" if i % 2 else "## $$ ||") for i in range(200)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(5)], "doc_id long, quality int")
+    assert quality_rank.quality_digest(d, marks).count() == 200
+
+
+def test_pseudo_likelihood_by_an_independent_forward_pass(spark):
+    rng = np.random.default_rng(6)
+    names = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(names, rng.integers(1, 60), p=np.arange(400, 0, -1) / 80200)) for _ in range(80)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    counts = lm_scoring.word_counts(df)
+    shares = lm_scoring.WordShares(counts)
+    net = lm_scoring.train(df, shares.frequent)
+    s = next(tk.slices(pa.array([" ".join(names)])))
+    key = dict(zip(names, tk.word_hashes(s, *tk.word_bounds(s)[:2])))
+    n = Counter(w for t in texts for w in words(t))
+    number = {int(k): i for i, k in enumerate(np.array(shares.frequent, np.int64).view(np.uint64))}
+    code = lambda w: number.get(int(key[w]), lm_scoring.FREQUENT + int(key[w]) % lm_scoring.CLASSES)
+    per_class = Counter()
+    for w, c in n.items():
+        per_class[code(w)] += c
+
+    def softmax(v):
+        e = np.exp(v - v.max())
+        return e / e.sum()
+
+    def score(t):
+        w, total = words(t), 0.0
+        for i, word in enumerate(w):
+            near = [code(w[i + o]) if 0 <= i + o < len(w) else lm_scoring.SIZE for o in lm_scoring.OFFSETS]
+            hidden = np.tanh(sum(net.near[p][x].astype(float) for p, x in enumerate(near)) + net.bias)
+            g, m = divmod(code(word), lm_scoring.WIDTH)
+            total += np.log(softmax(hidden @ net.group + net.group_bias)[g] * softmax(hidden @ net.out[g] + net.out_bias[g])[m])
+            if code(word) >= lm_scoring.FREQUENT:
+                total += np.log(n[word] / per_class[code(word)])
+        return total
+
+    got = {x["doc_id"]: x["log_likelihood"] for x in lm_scoring.pseudo_likelihood(df).collect()}
+    assert all(got[i] == pytest.approx(score(t), rel=1e-4, abs=1e-3) for i, t in enumerate(texts))
+
+
+def test_pipeline_stages_by_brute_force(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(9)
+    vocabulary = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(500)]
+    text = lambda n: " ".join(rng.choice(vocabulary, n))
+    item = text(30)
+    rows = [(i, text(int(rng.integers(40, 90))) if i % 4 else "## $$ || %% " * 12, "en", f"s{i % 3}", 1) for i in range(120)]
+    edited = rows[1][1].split()
+    edited[10] = "changed"
+    rows += [(200, rows[1][1], "en", "s0", 1), (201, " ".join(edited), "en", "s1", 1), (202, text(30) + " " + item, "en", "s2", 1), (203, " ".join(item.split()[15:] + item.split()[:15]), "fr", None, 1)]
+    rows += [(None, text(50), None, "s1", 1), (204, None, "en", "s1", 1), (205, "", "en", "s1", 1), (206, text(20_000), "de", "s2", 1)]
+    names = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, names).withColumns({"_gone": F.lit("a"), "copies": F.lit("b"), "score": F.lit("c"), "_found": F.lit("d")})
+    spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(120)] + [(i, 1, 0) for i in range(200, 204)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, item), (1, None), (None, text(12))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    stage = dict(corpus_pipeline.STAGES)
+    run = lambda name, d: stage[name](spark, d, str(tmp_path)).cache()
+    ids = lambda d: {x["doc_id"] for x in d.collect()}
+
+    good = run("quality_classifier", docs)
+    assert good.columns == docs.columns
+    assert {i for i in ids(good) if i is None or i < 204} == {x[0] for x in rows if x[1] and not x[1].startswith("##")} - {206}
+    texts = {x["doc_id"]: x["text"] for x in good.collect() if x["doc_id"] is not None}
+    once = run("near_duplicates", good)
+    want = {i for i, root in brute_components(texts, corpus_pipeline.NEAR_PERCENT).items() if i == root}
+    assert once.columns == docs.columns and ids(once) == want | {None} and not {200, 201} & want
+    clean = run("decontamination", once)
+    leaks = {i for i in want if brute_tiles(words(texts[i])[:200], words(item), 5) >= 0.5 * 30}
+    assert leaks == {202, 203} and clean.columns == docs.columns and ids(clean) == ids(once) - leaks
+    mixed = run("mixing", clean)
+    per = {x["doc_id"]: (x["taken"], x["size"]) for x in mixing.mix(clean).collect()}
+    copies = Counter(x["doc_id"] for x in mixed.collect())
+    assert mixed.columns == docs.columns
+    assert all(copies[i] in ((taken // size, taken // size + 1) if size else (1,)) for i, (taken, size) in per.items())
+    shards = run("sharding", mixed)
+    assert Counter(x["doc_id"] for x in shards.collect()) == copies
+    empty = docs.where("false")
+    for name in stage:
+        assert run(name, empty).count() == 0

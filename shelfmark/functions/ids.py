@@ -58,11 +58,11 @@ PAPER_TYPES = ("Journal Article", "Conference", "Technical Report", "Book", "The
 OTHER_PREFIXES = ("code-", "dataset-", "biblio-")
 
 
-def is_paper(record_id: Column, product_type: Column) -> Column:
+def is_paper(record_id: Column, product_type: Column, types: tuple[str, ...] = PAPER_TYPES, others: tuple[str, ...] = OTHER_PREFIXES) -> Column:
     other = F.lit(False)
-    for prefix in OTHER_PREFIXES:
+    for prefix in others:
         other = other | F.startswith(record_id, F.lit(prefix))
-    return F.coalesce(product_type.isin(*PAPER_TYPES), F.lit(False)) & ~other
+    return F.coalesce(product_type.isin(*types), F.lit(False)) & ~other
 
 
 def no_doi(doi: Column) -> Column:
@@ -74,13 +74,19 @@ def missing_flags(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def doi_candidates(col: Column) -> Column:
-    """Clean-up candidates of a DOI in order, without repeats; each has a registrant."""
-    cut = lambda pattern, to="": F.regexp_replace(col, pattern, to)
-    plain = cut(r"[.,;:)\]]+$")
-    forms = [col, plain, F.regexp_replace(plain, r"(\d)[A-Za-z]+$", "$1"), F.regexp_replace(plain, r"(\d)[A-Z][a-z]+.*$", "$1"),
-             F.regexp_replace(plain, r"(\d{4})\d{1,3}$", "$1"), F.regexp_replace(plain, r"\d{1,2}$", "")]
-    forms += [F.substring(plain, F.lit(1), F.greatest(F.length(plain) - n, F.lit(0))) for n in (1, 2, 3)]
-    return F.array_distinct(F.filter(F.array(*forms), lambda x: F.regexp_like(x, F.lit(r"^10\.\d{4,9}/."))))
+    """Clean-up candidates of a DOI in order, without repeats; each has a registrant.
+
+    As it is; without marks at its end; without a word that is glued to a digit, any and then a capitalised one; without the last of five digits
+    or more, and of any digits; and one, two and three characters shorter. Each but the first two starts from the DOI as it is.
+    """
+    plain = r"^10\.\d+/[\w.-]+"
+    shorter = lambda n: F.substring(col, F.lit(1), F.length(col) - n)
+    if_like = lambda pattern, n: F.when(F.regexp_like(col, F.lit(plain + pattern)), shorter(n))
+    forms = [
+        col, F.regexp_replace(col, r"[.,;:)\]}\\\"]+$", ""), F.regexp_replace(col, r"(?<=\d)[A-Za-z][\w./-]*$", ""), F.regexp_replace(col, r"(?<=\d)[A-Z][a-z]\w*$", ""),
+        if_like(r"\d{5}$", 1), if_like(r"\d$", 1), *[if_like(f".{{{n}}}$", n) for n in (1, 2, 3)],
+    ]
+    return F.array_distinct(F.filter(F.array(*forms), lambda x: F.regexp_like(x, F.lit(r"^10\.\d{4,9}/"))))
 
 
 def rewrite_url(col: Column) -> Column:

@@ -6,7 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 STUB_SIZES = (3038, 1817, 2711, 4231)
-RETRY = {"reset": 3, "timeout": 3, "http_503": 1, "http_500": 1, "http_502": 1}
+#: How many more attempts the buckets of attempts, responses and errors are worth; any other HTTP 5xx is worth one, all else none.
+RETRY = {"reset": 3, "timeout": 3, "timeout_or_exception": 3, "unavailable": 1, "tls": 1, "dnserr": 1}
+#: Sources to try for each mode of absence, in order.
+ABSENCE_PLAN = {
+    "never_deposited": ("open_access", "preprint_by_doi", "citation_index"),
+    "sso_walled": ("preprint_by_doi", "open_access"),
+    "publisher_403": ("open_access", "preprint_by_doi"),
+    "unknown": ("repository", "open_access", "preprint_by_doi", "citation_index"),
+}
 
 
 def bucket_attempt(status: Column, size: Column, saved: Column) -> Column:
@@ -24,11 +32,13 @@ def bucket_status(col: Column) -> Column:
     )
 
 
-def bucket_response(status: Column, content_type: Column, magic: Column, size: Column, redirected: Column) -> Column:
+def bucket_response(status: Column, content_type: Column, magic: Column, size: Column, redirected: Column, error: Column | None = None) -> Column:
+    """A document by its first bytes or its declared type; without an answer, ``error`` tells a timeout from the rest."""
+    late = F.lit(False) if error is None else F.coalesce(F.regexp_like(F.lower(error), F.lit("timeout|timed out")), F.lit(False))
+    document = F.coalesce(magic == "25504446", F.lit(False)) | F.coalesce(F.contains(F.lower(content_type), F.lit("pdf")), F.lit(False))
     return (
-        F.when(status.isNull() | (status == 0), "exception").when(status != 200, F.concat(F.lit("http_"), status.cast("string")))
-        .when(F.coalesce(size, F.lit(0)) == 0, "empty").when(magic == "25504446", "recovered_pdf")
-        .when(redirected, "redirect_off").otherwise("wrong_type")
+        F.when(F.coalesce(status, F.lit(0)) == 0, F.when(late, "timeout").otherwise("exception")).when(status != 200, F.concat(F.lit("http_"), status.cast("string")))
+        .when(~document, F.when(redirected, "redirect_off").otherwise("wrong_type")).when(F.coalesce(size, F.lit(0)) <= 1024, "empty").otherwise("recovered_pdf")
     )
 
 
@@ -41,9 +51,9 @@ def classify_error(name: Column, message: Column) -> Column:
     )
 
 
-def classify_payload(size: Column, magic: Column, text_chars: Column, least: int = 4096, cap: int = 100_000_000) -> Column:
+def classify_payload(size: Column, magic: Column, text_chars: Column, least: int = 4096, cap: int = 100_000_000, stubs: tuple[int, ...] = STUB_SIZES) -> Column:
     return (
-        F.when(size.isin(*STUB_SIZES), "stub").when(F.coalesce(size, F.lit(0)) < least, "too_small").when(size > cap, "oversize")
+        F.when(size.isin(*stubs), "stub").when(F.coalesce(size, F.lit(0)) < least, "too_small").when(size > cap, "oversize")
         .when(magic != "25504446", "wrong_magic").when(F.coalesce(text_chars, F.lit(0)) == 0, "no_text").otherwise("valid")
     )
 
@@ -57,7 +67,7 @@ def classify_integrity(size: Column, pages: Column, chars: Column) -> Column:
 
 def retryable(bucket: Column) -> Column:
     """How many more attempts a bucket is worth."""
-    out = F.lit(0)
+    out = F.when(F.regexp_like(bucket, F.lit(r"^http_5\d\d$")), 1).otherwise(0)
     for name, times in RETRY.items():
         out = F.when(bucket == name, times).otherwise(out)
     return out
@@ -67,6 +77,24 @@ def absence_mode(has_link: Column, status: Column, body_size: Column, walled: Co
     return F.when(~has_link, "never_deposited").when(walled, "sso_walled").when((status == 403) & (body_size < 1024), "publisher_403").otherwise("unknown")
 
 
+def absence_sources(mode: Column, plan: dict[str, tuple[str, ...]] | None = None) -> Column:
+    """The sources to try for a mode, in order."""
+    out = F.array().cast("array<string>")
+    for name, sources in (plan or ABSENCE_PLAN).items():
+        out = F.when(mode == name, F.array(*map(F.lit, sources))).otherwise(out)
+    return out
+
+
+def registry_type(lookup_status: Column, value: Column) -> Column:
+    return F.when(lookup_status == 200, value).when(lookup_status == 404, "not_in_crossref").otherwise(F.concat(F.lit("error_"), lookup_status.cast("string")))
+
+
+def recheck_status(lookup_status: Column, relations: Column) -> Column:
+    """Whether a record that was looked up again (200 with the relations of its links) offers a full text."""
+    found = F.when(F.coalesce(F.array_contains(relations, "fulltext"), F.lit(False)), "has_pdf").otherwise("no_pdf")
+    return F.when(lookup_status == 200, found).when(lookup_status == 404, "not_found").otherwise(F.concat(F.lit("error_"), lookup_status.cast("string")))
+
+
 def oa_status(lookup_status: Column, value: Column) -> Column:
     return F.when(lookup_status == 200, value).when(lookup_status == 404, "not_in_unpaywall").otherwise(F.concat(F.lit("error_"), lookup_status.cast("string")))
 

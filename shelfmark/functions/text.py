@@ -37,8 +37,10 @@ def clean_title(col: Column) -> Column:
     return F.substring(F.trim(F.regexp_replace(col, r"[^A-Za-z0-9]+", " ")), 1, 200)
 
 
-def extract_emails(col: Column, head: int = 4000) -> Column:
-    start = F.substring(F.coalesce(col, F.lit("")), 1, head)
+def extract_emails(col: Column, head: int | None = 4000) -> Column:
+    """Addresses in the first ``head`` characters, or in the whole text."""
+    start = F.coalesce(col, F.lit(""))
+    start = start if head is None else F.substring(start, 1, head)
     open_ = F.regexp_replace(F.regexp_replace(start, r"(?i)\s+(?:at|\[at\]|\(at\))\s+", "@"), r"(?i)\s+(?:dot|\[dot\]|\(dot\))\s+", ".")
     found = F.array_union(F.regexp_extract_all(start, F.lit(f"({EMAIL})"), F.lit(1)), F.regexp_extract_all(open_, F.lit(f"({EMAIL})"), F.lit(1)))
     return F.array_sort(F.array_distinct(found))
@@ -91,8 +93,11 @@ def affil_matches_domain(domain: Column, affiliation: Column, generic: list[str]
     return F.coalesce(direct, F.lit(False))
 
 
-def is_placeholder(col: Column) -> Column:
+def is_placeholder(col: Column, data_card: bool = False) -> Column:
+    """Values that stand for none; on data cards every DOI that holds ``not`` as well."""
     low = F.lower(F.trim(F.coalesce(col, F.lit(""))))
+    if data_card:
+        return (F.length(low) < 2) | F.contains(low, F.lit("not"))
     return (F.length(low) < 2) | low.isin("not specified", "unknown", "null", "n/a", "none") | F.startswith(low, F.lit("[not"))
 
 
@@ -110,9 +115,21 @@ def header_fields(col: Column, keys: list[str]) -> Column:
     return F.map_from_entries(F.filter(entries, lambda x: x["value"].isNotNull()))
 
 
+def _answer_lines(col: Column, key: str) -> Column:
+    """What follows ``key:`` on the lines that begin with it."""
+    return F.regexp_extract_all(col, F.lit(rf"(?im)^[ \t]*{key}:[ \t]*(.*?)[ \t\r]*$"), F.lit(1))
+
+
 def parse_verdict(col: Column, labels: list[str], default: str = "UNCLEAR") -> Column:
-    line = F.upper(F.regexp_extract(col, r"(?im)^\s*verdict:\s*(.*)$", 1))
-    return F.coalesce(*[F.when(F.contains(line, F.lit(label)), label) for label in labels], F.lit(default))
+    """The label on the last verdict line that has one; of several the first in the list."""
+    label = lambda line: F.coalesce(*[F.when(F.contains(F.upper(line), F.lit(x)), x) for x in labels])
+    found = F.filter(F.transform(_answer_lines(col, "verdict"), label), lambda x: x.isNotNull())
+    return F.coalesce(F.try_element_at(found, F.lit(-1)), F.lit(default))
+
+
+def parse_why(col: Column) -> Column:
+    """The last reason line's text."""
+    return F.coalesce(F.try_element_at(_answer_lines(col, "why"), F.lit(-1)), F.lit(""))
 
 
 def truncate_middle(col: Column, n: int, marker: str = " ... ") -> Column:
@@ -146,10 +163,13 @@ def upsert_block(body: Column, block: Column, start: str, end: str) -> Column:
     return F.struct(text.alias("text"), F.when(~has, "inserted").when(text == body, "idempotent").otherwise("updated").alias("status"))
 
 
-def report_score(col: Column) -> Column:
-    number = lambda pattern, scale: F.nullif(F.regexp_extract(col, pattern, 1), F.lit("")).cast("double") * scale
-    words = F.when(F.regexp_like(col, F.lit("(?i)strong")), 8.0).when(F.regexp_like(col, F.lit("(?i)moderate")), 6.0).when(F.regexp_like(col, F.lit("(?i)weak")), 3.0)
-    return F.coalesce(number(r"(\d+(?:\.\d+)?)\s*/\s*10", 1.0), number(r"~?(\d+(?:\.\d+)?)\s*%", 0.1), words)
+def report_score(col: Column, axis: str | None = None) -> Column:
+    """A score of 0 to 10 from a report's text, or from its lines that name ``axis``: n/10, ~n%, a/b, n%, or strong, moderate and weak."""
+    text = col if axis is None else F.array_join(F.regexp_extract_all(col, F.lit(rf"(?im)^(.*\b{axis}\b.*)$"), F.lit(1)), "\n")
+    number = lambda pattern, scale: F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).cast("double") * scale
+    part = lambda group: F.nullif(F.regexp_extract(text, r"(\d+)\s*/\s*(\d+)", group), F.lit("")).cast("double")
+    words = F.when(F.regexp_like(text, F.lit("(?i)strong")), 8.0).when(F.regexp_like(text, F.lit("(?i)moderate")), 6.0).when(F.regexp_like(text, F.lit("(?i)weak")), 3.0)
+    return F.coalesce(number(r"(\d+(?:\.\d+)?)\s*/\s*10\b", 1.0), number(r"~\s*(\d+(?:\.\d+)?)\s*%", 0.1), F.round(F.try_divide(10 * part(1), part(2)), 4), number(r"(\d+(?:\.\d+)?)\s*%", 0.1), words)
 
 
 def tag_terms(docs: DataFrame, patterns: list[tuple[str, str]]) -> DataFrame:
@@ -162,6 +182,20 @@ def math_density(col: Column, marks: str = "=+*<>^_\\{}") -> Column:
     return (F.length(col) - F.length(F.translate(col, marks, ""))) / F.greatest(F.length(col), F.lit(1))
 
 
+#: Characters of formulas, a LaTeX command, and words of equations.
+MATH_CHARS = "αβγδεζηθικλμνξπρστυφχψωΓΔΘΛΞΠΣΦΨΩ∑∫≈≥≤±→∞"
+LATEX_COMMAND = r"\\[A-Za-z]+"
+EQUATION_WORDS = r"(?i)\b(?:equation|theorem|lemma|integral|matrix|eigenvalue|derivative)s?\b"
+
+
+def equation_density(col: Column, pages: Column) -> Column:
+    """(math_ratio, latex_per_page, keywords, dense): dense above 0.005 of characters, 5 commands a page or 20 words."""
+    text = F.coalesce(col, F.lit(""))
+    ratio, latex = math_density(text, MATH_CHARS), F.regexp_count(text, F.lit(LATEX_COMMAND)) / F.greatest(pages, F.lit(1))
+    words = F.regexp_count(text, F.lit(EQUATION_WORDS))
+    return F.struct(ratio.alias("math_ratio"), latex.alias("latex_per_page"), words.alias("keywords"), ((ratio > 0.005) | (latex > 5) | (words > 20)).alias("dense"))
+
+
 def composite_score(col: Column, weights: list[tuple[str, float]]) -> Column:
     out = F.lit(0.0)
     for pattern, weight in weights:
@@ -169,24 +203,33 @@ def composite_score(col: Column, weights: list[tuple[str, float]]) -> Column:
     return out
 
 
-#: Signal kinds and their patterns.
+#: Signal kinds and their patterns.
 SIGNALS = {
-    "doi": r"(10\.\d{4,9}/[^\s\"<>]+)",
-    "url": r"(https?://[^\s\"<>)]+)",
-    "arxiv": r"(?i)arxiv[:/ ](\d{4}\.\d{4,5})",
-    "github": r"github\.com/([A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+)",
-    "geo": r"\b(GSE\d{3,})\b",
-    "sra": r"\b([SED]R[RXPS]\d{5,})\b",
-    "zenodo": r"zenodo\.(\d{4,})",
+    "doi": r"(?i)\b(10\.\d{4,9}/[\w.\-/:()#]+?)(?=[\s,;\"'\)\]]|$)",
+    "url": r"(?i)(https?://[\w\-._~:/?#\[\]@!$&'()*+,;=%]+)",
+    "arxiv": r"(?i)(?:arxiv[:/\s]+|arxiv\.org/abs/)\s*(\d{4}\.\d{4,5}|[a-z\-]+/\d{7})",
+    "github": r"(?i)github\.com[:/]([\w.\-]+/[\w.\-]+?)(?=[/.\s\"')\]]|$)",
+    "gitlab": r"(?i)gitlab\.com/([\w./\-]+?)(?=[/.\s\"')\]]|$)",
+    "hf": r"(?i)huggingface\.co/([\w.\-]+/[\w.\-]+?)(?=[/.\s\"')\]]|$)",
+    "genbank": r"\b([A-Z]{1,2}\d{5,8}|[A-Z]{4,6}\d{8,10})\b",
+    "geo": r"\b(GSE\d{2,7}|GDS\d{2,6}|GSM\d{2,8})\b",
+    "sra": r"\b(SR[APRSXZ]\d{4,8}|PRJ[ENPD][A-Z]?\d{4,8})\b",
+    "pride": r"\b(PXD\d{6,8})\b",
+    "pdb": r"(?i)(?:PDB[:\s]+|pdb\s+id\s+|RCSB\s+)([1-9][A-Z0-9]{3})\b",
+    "zenodo": r"(?i)zenodo\.org/(?:record|doi/10\.5281/zenodo\.)/?(\d{5,10})",
+    "figshare": r"(?i)figshare\.com/[\w/]*?(\d{6,})",
     "email": f"({EMAIL})",
     "license": r"(CC BY[A-Z0-9 .-]*\d)",
 }
+#: Kinds that name a stored data set, and kinds that name code or a model that runs.
+DEPOSITS = ("genbank", "geo", "sra", "pride", "pdb", "zenodo", "figshare")
+RUNNABLE = ("github", "gitlab", "hf")
 
 
 def extract_signals(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
-    """Distinct (doc_id, kind, value), trailing punctuation and a ``.git`` ending removed; all kinds in one scan."""
+    """Distinct (doc_id, kind, value), marks at the end and a ``.git`` ending removed; all kinds in one scan."""
     def of(kind: str, pattern: str) -> Column:
-        plain = lambda v: F.regexp_replace(F.regexp_replace(v, r"[.,;:)\]]+$", ""), r"\.git$", "")
+        plain = lambda v: F.regexp_replace(F.regexp_replace(v, r"[.,;:)\"'\]]+$", ""), r"\.git$", "")
         return F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), lambda v: F.struct(F.lit(kind).alias("kind"), plain(v).alias("value")))
 
     kinds = [of(kind, pattern) for kind, pattern in (patterns or SIGNALS).items()]
@@ -220,40 +263,49 @@ def fix_emails(df: DataFrame) -> DataFrame:
     return df.withColumns({"email": F.col("_own.primary"), "authors": fixed, "extras": F.concat(F.col("_own.extras"), more), "changed": flags}).drop("_own", "_each")
 
 
-@F.pandas_udf(T.StringType())
-def repair_json(raw: pd.Series) -> pd.Series:
-    """The balanced object around the first quoted key, else the fields that can be read one by one, as JSON; null if there are none."""
-
-    def balanced(text: str, key_at: int) -> str | None:
-        start = text.rfind("{", 0, key_at)
-        depth = 0
-        for m in re.finditer(r"[{}]", text[start:]) if start >= 0 else ():
-            depth += 1 if m.group() == "{" else -1
-            if depth == 0:
-                return text[start : start + m.end()]
-        return None
-
-    def one(text: str | None) -> str | None:
-        key = re.search(r'"\w+"\s*:', text or "")
-        if not key:
-            return None
+_FIELD = re.compile(r'"([^"\\]+)"[ \t]*:[ \t]*')
+
+
+def _first_object(text: str) -> dict | None:
+    """What the JSON decoder reads from the earliest brace that opens an object with a key."""
+    decoder, at = json.JSONDecoder(), text.find("{")
+    while at >= 0:
+        try:
+            found = decoder.raw_decode(text, at)[0]
+        except ValueError:
+            found = None
+        if found:
+            return found
+        at = text.find("{", at + 1)
+    return None
+
+
+def _whole_fields(text: str) -> dict:
+    """The fields of a cut or broken object whose values the decoder can still read."""
+    decoder, out = json.JSONDecoder(), {}
+    for name in _FIELD.finditer(text):
         try:
-            return json.dumps(json.loads(balanced(text, key.start()) or ""))
+            out[name.group(1)] = decoder.raw_decode(text, name.end())[0]
         except ValueError:
-            fields = re.findall(r'"(\w+)"\s*:\s*(\d+|"[^"]*"|true|false|null)', text)
-            return json.dumps({k: v.strip('"') for k, v in fields}) if fields else None
+            continue
+    return out
+
 
-    return raw.map(one)
+@F.pandas_udf(T.StringType())
+def repair_json(raw: pd.Series) -> pd.Series:
+    """A broken answer's object as JSON: the first that decodes, else its fields that do; null if there are none."""
+    found = [_first_object(text) or _whole_fields(text) if text else None for text in raw]
+    return pd.Series([json.dumps(x) if x else None for x in found], dtype=object)
 
 
 def parse_answers(df: DataFrame, col: str) -> DataFrame:
     """``answer``, a map of the object in a structured answer, fences aside; ``error`` holds the first 500 characters if there is none.
 
-    A flat object is read natively; only the rows without a valid one reach ``repair_json``.
+    What stands between the first and the last brace is read natively; only the rows where that is no object reach ``repair_json``.
     """
-    plain = F.regexp_replace(F.coalesce(F.col(col), F.lit("")), r"```(?:json)?", "")
-    read = lambda c: F.from_json(c, "map<string,string>")
-    df = df.withColumn("_plain", plain).withColumn("answer", read(F.nullif(F.regexp_extract("_plain", r'(\{[^{}]*"\w+"[^{}]*\})', 1), F.lit(""))))
-    slow = df.where("answer is null").withColumn("answer", read(repair_json("_plain")))
-    both = df.where("answer is not null").unionByName(slow)
-    return both.withColumn("error", F.when(F.col("answer").isNull(), F.substring("_plain", 1, 500))).drop("_plain")
+    bare = F.regexp_replace(F.coalesce(F.col(col), F.lit("")), "```[a-z]*", "")
+    as_map = lambda c: F.from_json(c, "map<string,string>")
+    rows = df.withColumn("_bare", bare).withColumn("_native", as_map(F.nullif(F.regexp_extract("_bare", r"(?s)\{.*\}", 0), F.lit(""))))
+    whole = F.coalesce(F.size("_native"), F.lit(0)) > 0
+    answers = rows.where(whole).withColumn("answer", F.col("_native")).unionByName(rows.where(~whole).withColumn("answer", as_map(repair_json("_bare"))))
+    return answers.withColumn("error", F.when(F.col("answer").isNull(), F.substring("_bare", 1, 500))).drop("_bare", "_native")

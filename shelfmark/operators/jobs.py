@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions import ids
+from shelfmark.functions import ids, outcomes
 from shelfmark.functions import text as tx
 from shelfmark.operators import joins, merges, reports, windows
+from shelfmark.streaming import streams
 
 
 def consolidate(scan: DataFrame, records: DataFrame, listing: DataFrame, priorities: dict[str, int]) -> DataFrame:
@@ -25,14 +26,70 @@ def refresh(records: DataFrame, batch: DataFrame, excluded: Column, run_tag: str
     return merges.exclude_records(merges.upsert(records, new, "record_id", ["title", "year"], ["org_code"], ["product_type"]), excluded, run_tag)
 
 
-def contacts(docs: DataFrame, own_domains: list[str]) -> DataFrame:
+def recovery(records: DataFrame, attempts: DataFrame, files: DataFrame, rules: list[tuple[str, Column]]) -> dict[str, DataFrame]:
+    """Planning and accounting of the records without a file.
+
+    ``queue`` (their state), ``plan`` (record_id, pos, source for pending ones, by the rules in order), ``first`` (the winning source and
+    the attempts before it), ``sources`` (records first won by each), ``lost`` (the last failures) and ``gap`` (look-up against download).
+    """
+    tried = attempts.withColumn("bucket", outcomes.bucket_attempt(F.col("http_status"), F.col("bytes"), F.col("saved_path"))).join(records.select("record_id"), "record_id", "left_semi")
+    queue = streams.queue_from_attempts(joins.todo(tried, files.where("size > 0")), tuple(name for name, _ in rules))
+    pending = records.join(queue.where("status = 'pending'").select("record_id", F.col("attempts").alias("_n")), "record_id").drop("_n")
+    first = windows.first_success(tried.withColumn("ok", F.col("bucket") == "other"))
+    return {
+        "queue": queue, "plan": joins.source_plan(pending, rules), "first": first, "sources": reports.source_yield(first),
+        "lost": reports.final_status(tried), "gap": reports.yield_gap(tried), "gap_buckets": reports.yield_gap_buckets(tried),
+    }
+
+
+def findability(docs: DataFrame, registry: DataFrame, kind: str = "data") -> dict[str, DataFrame]:
+    """From texts to verdicts: signals, their clean-up candidates, what the registry (kind, value, status, resource_type) resolves, and the reports.
+
+    ``validated``, ``verdicts``, ``report``, ``rates`` and ``types``.
+    """
+    signals = tx.extract_signals(docs)
+    signals = signals.where((F.col("kind") != "doi") | ~tx.is_placeholder(F.col("value"), data_card=kind == "data"))
+    forms = F.when(F.col("kind") == "doi", ids.doi_candidates(F.col("value"))).otherwise(F.array("value"))
+    candidates = signals.select("doc_id", "kind", "value", F.posexplode_outer(forms).alias("pos", "candidate"))
+    validated = joins.validate_signals(candidates, registry).withColumn("ok", F.col("resolved").isNotNull())
+    verdicts = (reports.findability_data if kind == "data" else reports.findability_code)(docs, validated)
+    return {"validated": validated, "verdicts": verdicts, "report": reports.findability_report(verdicts), "rates": reports.signal_rates(validated), "types": reports.strong_types(validated)}
+
+
+def contacts(docs: DataFrame, own_domains: list[str], head: int | None = 4000) -> DataFrame:
     """email, papers, orgs and verdict of every address in the documents (doc_id, text, org_code); reachability isn't looked up."""
-    found = docs.select(F.col("doc_id").alias("record_id"), "org_code", F.explode(tx.extract_emails(F.col("text"))).alias("email"))
+    found = docs.select(F.col("doc_id").alias("record_id"), "org_code", F.explode(tx.extract_emails(F.col("text"), head)).alias("email"))
     k = tx.email_checks(F.col("email"), F.lit(None).cast("string"), own_domains)
     people = reports.author_rollup(found).withColumn("k", k)
     return people.select("email", "papers", "orgs", tx.email_verdict(F.col("k.syntax"), F.col("k.multiple"), F.col("k.obfuscated"), F.lit(True), F.lit(True)).alias("verdict"))
 
 
+def contact_bindings(docs: DataFrame, authors: DataFrame, pages: DataFrame, generic: list[str]) -> DataFrame:
+    """record_id, email, author, affil, named and confidence of every address in the documents (record_id, text).
+
+    ``authors`` (record_id, source, raw) holds author entries of several sources with affiliations and identifiers in brackets; ``pages`` (record_id, html) confirm an address that they show.
+    """
+    found = docs.select("record_id", F.explode(tx.extract_emails(F.col("text"), None)).alias("raw_email"))
+    one = tx.split_multi_email(F.col("raw_email"))
+    found = found.select("record_id", one["primary"].alias("email")).distinct()
+    people = authors.withColumn("p", tx.parse_author(F.col("raw"))).select("record_id", "source", F.col("p.name").alias("name"), F.array_join("p.affiliations", "; ").alias("affiliation"))
+    hint = F.regexp_replace(F.substring_index("email", "@", 1), "[^A-Za-z]+", " ")
+    tri = joins.triangulate(found.withColumn("name_hint", hint), people, generic)
+    hits = found.join(pages, "record_id").where(tx.page_has_email(F.col("html"), F.col("email"))).select("record_id", "email")
+    first = people.groupBy("record_id").agg(F.min("name").alias("author"))
+    return reports.email_confidence(tri, hits).join(first, "record_id", "left")
+
+
+def daily_snapshot(records: DataFrame, files: DataFrame, attempts: DataFrame, k: float = 5) -> dict[str, DataFrame]:
+    """The tables of a day's state: totals, types with and without a DOI, organisations, years, coverage, inflated cells, queue and the share of records with a file row."""
+    return {
+        "totals": reports.snapshot(records, files), "types": reports.top_counts(records, "product_type", 12),
+        "types_no_doi": reports.top_counts(records.where(ids.no_doi(F.col("doi"))), "product_type", 12), "orgs": reports.top_counts(records, "org_code", 15),
+        "years": reports.distinct_by_year(files.withColumn("year", F.col("path_year"))), "coverage": reports.coverage_matrix(records), "inflated": reports.inflated_cells(records, k),
+        "queue": reports.queue_status(streams.queue_from_attempts(attempts)), "held": windows.intersection_rate(records, files, "record_id"),
+    }
+
+
 def selection(pool: DataFrame, scores: DataFrame, findability: DataFrame, excludes: DataFrame, n: int) -> DataFrame:
     """The n best candidates of ``pool`` (doc_id, stratum, score): judges' consensus and findability give tiers, and strata take turns."""
     verdicts = reports.consensus(scores).select(F.col("item_id").alias("doc_id"), "verdict")

@@ -67,6 +67,12 @@ def crosswalk(verdicts: DataFrame, findability: DataFrame) -> DataFrame:
     return verdicts.join(findability, "doc_id").withColumn("tier", tier)
 
 
+def crosswalk_rate(crossed: DataFrame) -> DataFrame:
+    """n, tier_1, tier_2 and rate: the share of judged documents that have a tier."""
+    one = crossed.agg(F.count("*").alias("n"), F.count_if(F.col("tier") == 1).alias("tier_1"), F.count_if(F.col("tier") == 2).alias("tier_2"))
+    return one.withColumn("rate", F.round(F.try_divide(F.col("tier_1") + F.col("tier_2"), F.col("n")), 6))
+
+
 def merge_variants(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Best of two format variants: a's value, else b's, and which variants hold the id."""
     x = a.select(key, *[F.col(c).alias(f"a_{c}") for c in columns], F.lit(True).alias("in_a"))
@@ -78,9 +84,10 @@ def merge_variants(a: DataFrame, b: DataFrame, key: str, columns: list[str]) ->
 def validate_signals(candidates: DataFrame, registry: DataFrame) -> DataFrame:
     """doc_id, kind, value and the first candidate (by ``pos``) that the registry resolves."""
     ok = F.col("status").between(200, 299) | F.col("status").isin(301, 302, 303, 307, 308, 403)
-    hits = candidates.join(registry.where(ok).select("kind", F.col("value").alias("candidate"), "resource_type"), ["kind", "candidate"], "left")
-    first = F.when(F.col("resource_type").isNotNull(), F.col("pos"))
-    return hits.groupBy("doc_id", "kind", "value").agg(F.min_by(F.when(first.isNotNull(), F.col("candidate")), first).alias("resolved"), F.min_by("resource_type", first).alias("resource_type"))
+    good = registry.where(ok).select("kind", F.col("value").alias("candidate"), "resource_type", F.lit(True).alias("_hit"))
+    hits = candidates.join(good, ["kind", "candidate"], "left")
+    first = F.min(F.when(F.col("_hit"), F.struct("pos", "candidate", "resource_type")))
+    return hits.groupBy("doc_id", "kind", "value").agg(first.alias("f")).select("doc_id", "kind", "value", F.col("f.candidate").alias("resolved"), "f.resource_type")
 
 
 def triangulate(bindings: DataFrame, authors: DataFrame, generic: list[str]) -> DataFrame:
@@ -105,6 +112,14 @@ def probe_transitions(a: DataFrame, b: DataFrame) -> DataFrame:
     return j.withColumn("change", change).groupBy("before", "after", "change").agg(F.count("*").alias("n"))
 
 
+def probe_net(transitions: DataFrame, least: float = 0.05) -> DataFrame:
+    """n, unlocked, lost, net (their difference's share of all) and noise (its size is below ``least``)."""
+    of = lambda change: F.coalesce(F.sum(F.when(F.col("change") == change, F.col("n"))), F.lit(0))
+    one = transitions.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), of("unlocked").alias("unlocked"), of("lost").alias("lost"))
+    net = F.coalesce(F.try_divide(F.col("unlocked") - F.col("lost"), F.col("n")), F.lit(0.0))
+    return one.withColumn("net", F.round(net, 6)).withColumn("noise", F.abs(net) < least)
+
+
 #: Integrity statuses from best to worst.
 STATUS_ORDER = ("good", "image", "truncated", "zero", "error")
 

@@ -45,6 +45,15 @@ def exclude_records(records: DataFrame, condition: Column, run_tag: str, dry_run
     return (records if dry_run else records.where(~hit)), decisions
 
 
+def exclusion_run(decisions: DataFrame, run_tag: str, started: datetime, ended: datetime) -> DataFrame:
+    """The run row of an exclusion: its tag, its times and how many records it removed."""
+    n = decisions.where(F.col("run_tag") == run_tag).agg(F.count("*").alias("updated"))
+    return n.select(
+        F.lit("exclusion_pass").alias("run_type"), F.create_map(F.lit("run_tag"), F.lit(run_tag)).alias("params"), F.lit(started).alias("started"), F.lit(ended).alias("ended"),
+        F.lit(0).cast("long").alias("added"), "updated", F.lit(0).cast("long").alias("errors"),
+    )
+
+
 def reconcile_orphans(files: DataFrame, scan: DataFrame) -> DataFrame:
     """Scanned paths that no file row has."""
     return scan.join(files.select("path"), "path", "left_anti")
@@ -80,6 +89,19 @@ def assign_canonical_path(files: DataFrame, records: DataFrame) -> DataFrame:
     return j.withColumn("canonical_path", F.concat(folder, F.lit("/"), "record_id", F.lit(".pdf"))).drop("r_year")
 
 
+def repair_canonical_path(files: DataFrame, listing: DataFrame) -> DataFrame:
+    """``files`` with paths that the listing has: an assigned path that isn't there gives way to a listed one of the same name (the first by text), if any.
+
+    ``repair`` is ``in_place``, ``moved`` or ``missing``.
+    """
+    here = listing.select(F.col("path").alias("canonical_path"), F.lit(True).alias("_here")).distinct()
+    named = listing.groupBy(F.substring_index("path", "/", -1).alias("_name")).agg(F.min("path").alias("_other"))
+    j = files.join(here, "canonical_path", "left").withColumn("_name", F.substring_index("canonical_path", "/", -1)).join(named, "_name", "left")
+    repair = F.when(F.col("_here"), "in_place").when(F.col("_other").isNotNull(), "moved").otherwise("missing")
+    path = F.when(repair == "moved", F.col("_other")).otherwise(F.col("canonical_path"))
+    return j.select(*[path.alias(c) if c == "canonical_path" else F.col(c) for c in files.columns], repair.alias("repair"))
+
+
 def plan_layout(files: DataFrame, listing: DataFrame) -> DataFrame:
     """What laying a file out would do; nothing is linked."""
     here = listing.select(F.col("path"), F.lit(True).alias("has_source"))

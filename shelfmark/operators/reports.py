@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import ids
+from shelfmark.functions.text import DEPOSITS, RUNNABLE
 
 
 def snapshot(records: DataFrame, files: DataFrame) -> DataFrame:
@@ -49,8 +50,9 @@ def multi_instance(files: DataFrame) -> DataFrame:
 
 
 def no_doi_profile(records: DataFrame) -> DataFrame:
+    """Records without a DOI by type, decade and organisation; those before 2000 are of the time before DOIs."""
     rows = records.where(ids.no_doi(F.col("doi"))).withColumn("decade", (F.floor(F.col("year") / 10) * 10).cast("int"))
-    return rows.groupBy("product_type", "decade", "org_code").agg(F.count("*").alias("n"))
+    return rows.groupBy("product_type", "decade", "org_code").agg(F.count("*").alias("n")).withColumn("pre_doi", F.coalesce(F.col("decade") < 2000, F.lit(False)))
 
 
 def failure_by_org(status: DataFrame, classes: tuple[str, ...] = ("good", "image", "truncated", "zero")) -> DataFrame:
@@ -68,7 +70,7 @@ def findability_data(docs: DataFrame, validated: DataFrame) -> DataFrame:
     """Verdict of each data card; doc_id, kind, ok, resource_type rows in ``validated``."""
     v = validated.groupBy("doc_id").agg(
         F.count("*").alias("signals"), F.count_if("ok").alias("resolved"),
-        F.count_if(F.col("ok") & (F.col("kind").isin("geo", "sra", "zenodo") | F.col("resource_type").isin("Dataset", "Collection"))).alias("strong"),
+        F.count_if(F.col("ok") & (F.col("kind").isin(*DEPOSITS) | F.col("resource_type").isin("Dataset", "Collection"))).alias("strong"),
         F.count_if(F.col("ok") & (F.col("kind") == "doi")).alias("dois"),
     )
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
@@ -81,7 +83,7 @@ def findability_code(docs: DataFrame, validated: DataFrame) -> DataFrame:
     real = F.col("kind") != "name_search"
     v = validated.groupBy("doc_id").agg(
         F.count_if(real).alias("signals"), F.count_if(F.col("ok") & real).alias("resolved"),
-        F.count_if(F.col("ok") & (F.col("kind").isin("github", "gitlab", "hf") | F.col("resource_type").isin("Software", "Model"))).alias("runnable"),
+        F.count_if(F.col("ok") & (F.col("kind").isin(*RUNNABLE) | F.col("resource_type").isin("Software", "Model"))).alias("runnable"),
         F.count_if(F.col("ok") & (F.col("kind") == "arxiv")).alias("paper"), F.count_if(F.col("ok") & ~real).alias("weak"),
     )
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
@@ -97,6 +99,26 @@ def findability_report(verdicts: DataFrame) -> DataFrame:
     return n.withColumn("percent", F.round(100.0 * F.col("n") / F.sum("n").over(Window.partitionBy()), 4))
 
 
+def signal_rates(validated: DataFrame) -> DataFrame:
+    """signals, resolved and rate over all signals, and the shares of documents with a signal that resolves as it stands (raw) and after repair (cleaned)."""
+    ok, raw = F.col("resolved").isNotNull(), F.col("resolved") == F.col("value")
+    per = validated.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(ok).alias("ok"), F.count_if(raw).alias("raw"))
+    one = per.agg(F.sum("n").alias("signals"), F.sum("ok").alias("resolved"), F.avg((F.col("raw") > 0).cast("double")).alias("raw_rate"), F.avg((F.col("ok") > 0).cast("double")).alias("cleaned_rate"))
+    return one.select("signals", "resolved", F.round(F.col("resolved") / F.col("signals"), 6).alias("rate"), F.round("raw_rate", 6).alias("raw_rate"), F.round("cleaned_rate", 6).alias("cleaned_rate"))
+
+
+def strong_types(validated: DataFrame) -> DataFrame:
+    """Resolved deposits by type: the kind, or the resource type of a DOI."""
+    kind = F.when(F.col("kind").isin(*DEPOSITS), F.col("kind")).otherwise(F.concat(F.lit("doi:"), "resource_type"))
+    return validated.where("resolved is not null").select(kind.alias("type")).where("type is not null").groupBy("type").agg(F.count("*").alias("n"))
+
+
+def method_rates(tri: DataFrame) -> DataFrame:
+    """How many bindings each author source was asked about, and the shares whose affiliation or name agreed."""
+    n = tri.groupBy("source").agg(F.count("*").alias("n"), F.avg(F.col("found_affil").cast("double")).alias("affil_rate"), F.avg(F.col("found_name").cast("double")).alias("name_rate"))
+    return n.select("source", "n", F.round("affil_rate", 6).alias("affil_rate"), F.round("name_rate", 6).alias("name_rate"))
+
+
 def email_confidence(tri: DataFrame, hits: DataFrame) -> DataFrame:
     t = tri.groupBy("record_id", "email").agg(F.count_if("found_affil").alias("affil"), F.count_if("found_name").alias("named"))
     h = hits.select("record_id", "email").distinct().withColumn("hit", F.lit(True))
@@ -115,6 +137,13 @@ def judge_agreement(verdicts: DataFrame, baseline: str) -> DataFrame:
     return j.groupBy("judge").agg(F.count("*").alias("items"), F.round(F.avg((F.col("verdict") == F.col("base")).cast("double")), 6).alias("agreement"))
 
 
+def judge_profile(verdicts: DataFrame) -> DataFrame:
+    """Each judge's verdicts, their share of all it gave, and its mean latency."""
+    n = verdicts.groupBy("judge", "verdict").agg(F.count("*").alias("n"), F.sum("seconds").alias("s"))
+    own = Window.partitionBy("judge")
+    return n.select("judge", "verdict", "n", F.round(F.col("n") / F.sum("n").over(own), 6).alias("share"), F.round(F.sum("s").over(own) / F.sum("n").over(own), 6).alias("mean_seconds"))
+
+
 def consensus(scores: DataFrame) -> DataFrame:
     """Scores within 2 points: their mean; else their median, flagged beyond 3; the verdict by majority, ties by text."""
     s = scores.groupBy("item_id").agg((F.max("score") - F.min("score")).alias("spread"), F.avg("score").alias("mean"), F.percentile("score", F.lit(0.5)).alias("median"))
@@ -130,6 +159,14 @@ def inflated_cells(records: DataFrame, k: float = 5) -> DataFrame:
     return n.join(median, "org_code").where(F.col("n") > k * F.col("median"))
 
 
+def inflated_months(records: DataFrame, k: float = 5) -> DataFrame:
+    """(org, month) cells of more than k times the mean of the months before and after, of those the org has."""
+    n = records.groupBy("org_code", F.date_trunc("month", "date").alias("month")).agg(F.count("*").alias("n"))
+    near = Window.partitionBy("org_code").orderBy("month").rowsBetween(-1, 1)
+    others = F.try_divide(F.sum("n").over(near) - F.col("n"), F.count("*").over(near) - 1)
+    return n.withColumn("near", F.round(others, 6)).where(F.col("n") > k * F.col("near"))
+
+
 def extrapolate(sample: DataFrame, pool: DataFrame) -> DataFrame:
     """Each org's sample success rate, projected on its pool."""
     s = sample.groupBy("org_code").agg(F.avg(F.col("ok").cast("double")).alias("rate"))
@@ -142,6 +179,12 @@ def yield_gap(attempts: DataFrame) -> DataFrame:
     return n.select("source", "n", F.round("l", 6).alias("lookup_rate"), F.round("d", 6).alias("download_rate"), F.round(F.col("l") - F.col("d"), 6).alias("gap"))
 
 
+def yield_gap_buckets(attempts: DataFrame) -> DataFrame:
+    """For each source and failure bucket, the share of the source's good look-ups that ended there."""
+    found = attempts.where("http_status = 200").groupBy("source", "bucket").agg(F.count("*").alias("n"))
+    return found.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("source")), 6)).where("bucket <> 'other'")
+
+
 def source_yield(firsts: DataFrame) -> DataFrame:
     """Records first won by each source, and the running total in falling order."""
     n = firsts.groupBy("source").agg(F.count("*").alias("n"))
@@ -162,6 +205,34 @@ def taxonomy_coverage(leaves: DataFrame, categories: DataFrame) -> DataFrame:
     return leaves.join(mapped, "leaf_id", "left").select("leaf_id", F.coalesce("sources", F.lit(0)).alias("sources"), F.col("sources").isNull().alias("unmapped"))
 
 
+def source_coverage(leaves: DataFrame, categories: DataFrame) -> DataFrame:
+    """Of each source: how many leaves its categories map to, and their share of all leaves."""
+    n = categories.join(leaves.select("leaf_id").distinct(), "leaf_id", "left_semi").groupBy("source").agg(F.countDistinct("leaf_id").alias("leaves")).withColumn("_k", F.lit(1))
+    total = leaves.agg(F.countDistinct("leaf_id").alias("_all")).withColumn("_k", F.lit(1))
+    return n.join(total, "_k").select("source", "leaves", F.round(F.col("leaves") / F.col("_all"), 6).alias("share"))
+
+
+def taxonomy_gates(predictions: DataFrame, leaves: DataFrame, groups_least: int = 10, leaf_least: int = 5) -> DataFrame:
+    """gate, value, passed: known labels, high and low confidence, least hits of a group, leaves with enough hits, and the broadest leaf's share.
+
+    ``predictions`` has primary_id and confidence (high, medium, low), ``leaves`` leaf_id and group_id.
+    """
+    hits = predictions.groupBy(F.col("primary_id").alias("leaf_id")).agg(F.count("*").alias("n"), F.count_if(F.col("confidence") == "high").alias("high"), F.count_if(F.col("confidence") == "low").alias("low"))
+    j = hits.join(leaves.select("leaf_id", "group_id", F.lit(True).alias("known")), "leaf_id", "full").na.fill(0, ["n", "high", "low"])
+    groups = j.where("known").groupBy("group_id").agg(F.sum("n").alias("g")).agg(F.min("g").alias("least_group")).withColumn("_k", F.lit(1))
+    one = j.agg(
+        F.sum("n").alias("all"), F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("known"), F.sum("high").alias("high"), F.sum("low").alias("low"),
+        F.count_if(F.col("known")).alias("leaves"), F.count_if(F.col("known") & (F.col("n") >= leaf_least)).alias("full"), F.max("n").alias("most"),
+    ).withColumn("_k", F.lit(1)).join(groups, "_k")
+    share = lambda c, of="all": F.col(c) / F.col(of)
+    rows = [
+        ("known_labels", share("known"), share("known") >= 0.95), ("high_confidence", share("high"), share("high") >= 0.4), ("low_confidence", share("low"), share("low") <= 0.2),
+        ("least_group", F.col("least_group").cast("double"), F.col("least_group") >= groups_least), ("full_leaves", share("full", "leaves"), share("full", "leaves") >= 75 / 81), ("broadest_leaf", share("most"), share("most") <= 0.15),
+    ]
+    each = F.array(*[F.struct(F.lit(name).alias("gate"), F.round(value, 6).alias("value"), ok.alias("passed")) for name, value, ok in rows])
+    return one.select(F.explode(each).alias("x")).select("x.*")
+
+
 def taxonomy_trial(predictions: DataFrame, leaves: DataFrame) -> DataFrame:
     """Share of each leaf and its flags; labels outside the taxonomy appear as unknown."""
     n = predictions.groupBy(F.col("primary_id").alias("leaf_id")).agg(F.count("*").alias("n"))
@@ -177,6 +248,23 @@ def prefix_profile(records: DataFrame) -> DataFrame:
     return n.withColumn("rate", F.round(F.col("held") / F.col("n"), 6))
 
 
+def prefix_outcomes(records: DataFrame, attempts: DataFrame) -> DataFrame:
+    """prefix, bucket, n and rate: the outcomes of the attempts on each DOI prefix's records."""
+    p = records.withColumn("prefix", ids.doi_prefix(F.col("doi"))).where("prefix is not null").select("record_id", "prefix")
+    n = attempts.join(p, "record_id").groupBy("prefix", "bucket").agg(F.count("*").alias("n"))
+    return n.withColumn("rate", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("prefix")), 6))
+
+
+def author_profile(bindings: DataFrame) -> DataFrame:
+    """Each author's papers, first paper, organisations (their number and the first) and distinct addresses."""
+    return bindings.groupBy("author").agg(F.countDistinct("record_id").alias("papers"), F.min("record_id").alias("first_id"), F.countDistinct("org_code").alias("n_orgs"), F.min("org_code").alias("org_code"), F.countDistinct("email").alias("emails"))
+
+
+def author_papers(bindings: DataFrame) -> DataFrame:
+    """The ids of each author's papers, one a row."""
+    return bindings.select("author", "record_id").distinct()
+
+
 def author_rollup(bindings: DataFrame) -> DataFrame:
     return bindings.groupBy("email").agg(F.countDistinct("record_id").alias("papers"), F.array_join(F.array_sort(F.collect_set("org_code")), ",").alias("orgs"))
 
@@ -185,6 +273,13 @@ def attempt_stats(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy("source").agg(F.count("*").alias("n"), F.round(F.avg("bytes"), 4).alias("mean"), F.percentile("bytes", F.lit(0.5)).alias("p50"), F.percentile("bytes", F.lit(0.99)).alias("p99"))
 
 
+def attempt_rates(attempts: DataFrame, span: str = "1 hour") -> DataFrame:
+    """Attempts and bytes a second of each source and window."""
+    n = attempts.groupBy("source", F.window("ts", span).alias("w")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    seconds = F.unix_timestamp("w.end") - F.unix_timestamp("w.start")
+    return n.select("source", F.col("w.start").alias("start"), "n", F.round(F.col("n") / seconds, 6).alias("per_second"), F.round(F.col("bytes") / seconds, 6).alias("bytes_per_second"))
+
+
 def error_classes(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy(F.trim(F.substring_index("error", ":", 1)).alias("error_class")).agg(F.count("*").alias("n"))
 
@@ -199,6 +294,13 @@ def verdict_profile(verdicts: DataFrame) -> DataFrame:
     return n.select("code", "n", *[F.round(v, 6).alias(v.lower()) for v in ("HIGH", "MIDDLE", "LOW")], (F.col("MIDDLE") > 0.5).alias("heavy_middle"), (F.col("LOW") < 0.05).alias("thin_low"))
 
 
+def expected_verdicts(profile: DataFrame, expected: DataFrame) -> DataFrame:
+    """``verdict_profile`` rows with ``breached``: the share of the class that ``expected`` (code, verdict, least) names for the code is below its least."""
+    share = F.coalesce(*[F.when(F.upper("verdict") == c.upper(), F.col(c)) for c in ("high", "middle", "low")])
+    j = profile.join(expected, "code", "left").withColumn("breached", F.coalesce(share < F.col("least"), F.lit(False)))
+    return j.select(*profile.columns, "breached")
+
+
 def upstream_coverage(universe: DataFrame, results: dict[str, DataFrame], key: str) -> DataFrame:
     """Share of the universe's ids that each upstream result holds; all are counted in one pass over their union."""
     rows = None
@@ -225,6 +327,21 @@ def harvest_completeness(cells: DataFrame, announced: DataFrame) -> DataFrame:
     return j.withColumn("complete", F.col("received") >= F.col("total"))
 
 
+def harvest_grid(cells: DataFrame, totals: DataFrame, orgs: DataFrame, first: int, last: int) -> DataFrame:
+    """Every (org, year) of the organisations and years asked for, with rows received, the announced total and state: missing, short, complete or unannounced."""
+    grid = orgs.select("org_code").distinct().withColumn("year", F.explode(F.sequence(F.lit(first), F.lit(last))))
+    got = cells.groupBy("org_code", "year").agg(F.count("*").alias("received"))
+    j = grid.join(got, ["org_code", "year"], "left").join(totals.select("org_code", "year", "total"), ["org_code", "year"], "left")
+    received = F.coalesce("received", F.lit(0))
+    state = F.when(received == 0, "missing").when(F.col("total").isNull(), "unannounced").when(received < F.col("total"), "short").otherwise("complete")
+    return j.select("org_code", "year", received.alias("received"), "total", state.alias("state"))
+
+
+def magic_absent(payloads: DataFrame, magic: str) -> DataFrame:
+    """n, expected and absent: whether no payload at all begins with the expected bytes."""
+    return payloads.agg(F.count("*").alias("n"), F.count_if(F.col("magic") == magic).alias("expected")).withColumn("absent", F.col("expected") == 0)
+
+
 def magic_counts(payloads: DataFrame, n: int = 10) -> DataFrame:
     return top_counts(payloads, "magic", n)
 

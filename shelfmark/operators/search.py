@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators.windows import global_rank
@@ -21,25 +21,50 @@ def build_postings(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(terms_of("text")).alias("pos", "term")).select("term", "doc_id", "pos")
 
 
+#: Folders of a kept index; a term's or trigram's rows lie in one of them.
+INDEX_FOLDERS = 64
+
+
+def _folder(key) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(INDEX_FOLDERS)).cast("int")
+
+
+def write_index(rows: DataFrame, key: str, path: str) -> None:
+    """Postings or trigrams kept on disk in folders by a hash of ``key`` and in its order, so that a search reads little of them."""
+    parts = rows.withColumn("folder", _folder(F.col(key)))
+    parts = parts.repartition("folder", F.pmod(F.xxhash64("doc_id"), F.lit(8))).sortWithinPartitions("folder", key, "doc_id")
+    parts.write.mode("overwrite").partitionBy("folder").parquet(path)
+
+
+def _lookup(rows: DataFrame, key: str, values: list[str]) -> DataFrame:
+    """The rows of these keys; of a kept index only their folders are read."""
+    found = rows.where(F.col(key).isin(*values))
+    if "folder" not in rows.columns:
+        return found
+    here = F.lit(False)
+    for value in values:
+        here = here | (F.col("folder") == _folder(F.lit(value)))
+    return found.where(here)
+
+
 def search_term(postings: DataFrame, term: str) -> DataFrame:
     """Documents with the term, or with a term of that prefix (``foo*``)."""
-    hit = F.startswith("term", F.lit(term[:-1])) if term.endswith("*") else F.col("term") == term
-    return postings.where(hit).groupBy("doc_id").agg(F.count("*").alias("n"))
+    rows = postings.where(F.startswith("term", F.lit(term[:-1]))) if term.endswith("*") else _lookup(postings, "term", [term])
+    return rows.groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
 def search_phrase(postings: DataFrame, words: list[str]) -> DataFrame:
-    """Documents where the words follow one another: equal starts over the words' postings, one grouping."""
-    at = F.lit(None).cast("int")
-    for i, word in enumerate(words):
-        at = F.when(F.col("term") == word, F.lit(i)).otherwise(at)
-    if len(set(words)) != len(words):
-        raise ValueError("a phrase with a repeated word needs its places; search each word alone")
-    rows = postings.where(F.col("term").isin(*words)).withColumn("start", F.col("pos") - at)
-    return rows.groupBy("doc_id", "start").agg(F.countDistinct("term").alias("k")).where(F.col("k") == len(words)).groupBy("doc_id").agg(F.count("*").alias("n"))
+    """Documents where the words follow one another: equal starts over the words' postings, one grouping; a word may stand more than once."""
+    places = F.array().cast("array<int>")
+    for word in dict.fromkeys(words):
+        places = F.when(F.col("term") == word, F.array(*[F.lit(i) for i, w in enumerate(words) if w == word])).otherwise(places)
+    rows = _lookup(postings, "term", words).select("doc_id", "pos", F.explode(places).alias("at"))
+    starts = rows.groupBy("doc_id", (F.col("pos") - F.col("at")).alias("start")).agg(F.countDistinct("at").alias("k"))
+    return starts.where(F.col("k") == len(words)).groupBy("doc_id").agg(F.count("*").alias("n"))
 
 
 def search_boolean(postings: DataFrame, all_of: list[str], none_of: list[str]) -> DataFrame:
-    hits = postings.where(F.col("term").isin(*all_of, *none_of)).groupBy("doc_id")
+    hits = _lookup(postings, "term", [*all_of, *none_of]).groupBy("doc_id")
     found = hits.agg(F.countDistinct(F.when(F.col("term").isin(*all_of), F.col("term"))).alias("k"), F.count_if(F.col("term").isin(*none_of) if none_of else F.lit(False)).alias("bad"))
     return found.where((F.col("k") == len(all_of)) & (F.col("bad") == 0)).select("doc_id")
 
@@ -91,18 +116,10 @@ def build_trigrams(docs: DataFrame) -> DataFrame:
 def search_substring(docs: DataFrame, trigrams: DataFrame, needle: str) -> DataFrame:
     """Documents that hold the needle: all its trigrams first, then the text itself."""
     grams = sorted({needle.lower()[i : i + 3] for i in range(len(needle) - 2)})
-    near = trigrams.where(F.col("gram").isin(*grams)).groupBy("doc_id").agg(F.count("*").alias("k")).where(F.col("k") == len(grams))
+    near = _lookup(trigrams, "gram", grams).groupBy("doc_id").agg(F.count("*").alias("k")).where(F.col("k") == len(grams))
     return docs.join(near, "doc_id", "left_semi").where(F.contains(F.lower("text"), F.lit(needle.lower()))).select("doc_id")
 
 
-def scan_needles(payloads: DataFrame, needles: list[str], least: int, most: int) -> DataFrame:
-    """path, needle, preview: size first, then each needle in one scan."""
-    text = F.col("content").cast("string")
-    hits = F.array_compact(F.array(*[F.when(F.contains(text, F.lit(n)), F.lit(n)) for n in needles]))
-    rows = payloads.where(F.col("size").between(least, most)).select("path", text.alias("text"), F.explode(hits).alias("needle"))
-    return rows.select("path", "needle", F.expr("substr(text, greatest(locate(needle, text) - 100, 1), 200)").alias("preview"))
-
-
 def changed_docs(new: DataFrame, old: DataFrame) -> DataFrame:
     """New documents and those whose time changed."""
     return new.join(old.select("doc_id", F.col("mtime").alias("_old")), "doc_id", "left").where("_old is null or _old <> mtime").drop("_old")

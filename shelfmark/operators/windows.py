@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def pick_canonical(files: DataFrame, priorities: dict[str, int], title_least: float = 0.5) -> DataFrame:
@@ -56,6 +57,13 @@ def first_row(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")
 
 
+def first_wins(rows: DataFrame, keys: list[str], order: list) -> tuple[DataFrame, DataFrame]:
+    """(the first row of each key, one row with the rows read, kept and dropped)."""
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    report = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count("*").alias("kept"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dropped"))
+    return first_row(rows, keys, order), report
+
+
 def best_nonzero(files: DataFrame) -> DataFrame:
     return first_row(files.where("size > 0"), ["record_id"], ["priority", "instance_id"])
 
@@ -89,21 +97,34 @@ def hash_slice(col: Column, m: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(57), F.lit(8)), F.lit(0).cast("long"), lambda a, i: (a * F.lit(1 << 32) + F.conv(F.substring(digest, i, F.lit(8)), 16, 10).cast("long")) % m)
 
 
+def _number(col: str, kind: T.DataType) -> Column:
+    """A number in the order of the column: itself, or the first seven bytes of a text."""
+    if isinstance(kind, T.NumericType):
+        return F.col(col).cast("double")
+    return F.conv(F.rpad(F.hex(F.substring(F.encode(F.col(col).cast("string"), "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("double")
+
+
 def global_rank(df: DataFrame, key: str, tie: str, descending: bool = False, buckets: int = 200) -> DataFrame:
     """``rank`` (from 1) of every row by a numeric key and then a tie column, without one task seeing all rows.
 
-    Approximate quantiles of the key cut it into buckets; ranks inside a bucket are moved by the rows of the buckets
-    before it. The cuts only deal out work: any cuts give the same ranks.
+    Approximate quantiles of the key cut it into buckets, and those of the tie column cut a bucket of one key again; ranks inside a bucket are moved by
+    the rows of the buckets before it. The cuts only deal out work: any cuts give the same ranks.
     """
-    cuts = df.agg(F.percentile_approx(key, [i / buckets for i in range(1, buckets)])).first()[0] or []
-    cuts = sorted(set(cuts))
-    bucket = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(key))) if cuts else F.lit(0)
-    rows = df.withColumn("_bucket", -bucket if descending else bucket)
+    steps = [i / buckets for i in range(1, buckets)]
+    tie_number = _number(tie, df.schema[tie].dataType)
+    place = lambda cuts, x: F.coalesce(F.size(F.filter(cuts, lambda c: c <= x)), F.lit(-1))
+    cuts = df.agg(F.percentile_approx(key, steps)).first()[0] or []
+    cuts = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
+    first = F.when(F.col(key).isNull(), F.lit(buckets)).otherwise((-place(cuts, F.col(key))) if descending else place(cuts, F.col(key)))
+    rows = df.withColumn("_bucket", first)
+    even = F.min(key).eqNullSafe(F.max(key))
+    again = rows.groupBy("_bucket").agg(F.when(even, F.percentile_approx(tie_number, steps)).alias("_cuts"))
+    rows = rows.join(F.broadcast(again), "_bucket").withColumn("_part", F.when(F.col("_cuts").isNull(), 0).otherwise(place(F.array_distinct("_cuts"), tie_number))).drop("_cuts")
     by_key = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = rows.groupBy("_bucket").agg(F.count("*").alias("_n")).select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(by_key, tie))
-    return rows.withColumn("_in", inside).join(F.broadcast(base), "_bucket").withColumn("rank", F.col("_base") + F.col("_in")).drop("_bucket", "_base", "_in")
+    before = Window.orderBy("_bucket", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = rows.groupBy("_bucket", "_part").agg(F.count("*").alias("_n")).select("_bucket", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_bucket", "_part").orderBy(by_key, tie))
+    return rows.withColumn("_in", inside).join(F.broadcast(base), ["_bucket", "_part"]).withColumn("rank", F.col("_base") + F.col("_in")).drop("_bucket", "_part", "_base", "_in")
 
 
 def every_kth(df: DataFrame, k: int, key: str) -> DataFrame:
@@ -125,24 +146,46 @@ def make_blocks(records: DataFrame, cap: int) -> DataFrame:
     return named.groupBy("block_id", "year", "org_code").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
 
 
+def order_blocks(blocks: DataFrame) -> DataFrame:
+    """The blocks with ``rank``, smallest first."""
+    return global_rank(blocks, "bytes", "block_id")
+
+
 def first_success(attempts: DataFrame) -> DataFrame:
-    """Each record's first good attempt in time, and how many came before it."""
-    w = Window.partitionBy("record_id").orderBy("ts", "attempt_id")
-    rows = attempts.withColumn("before", F.row_number().over(w) - 1).where("ok")
-    return rows.groupBy("record_id").agg(F.min_by("source", "before").alias("source"), F.min("before").alias("attempts_before"))
+    """Each record's first good attempt in time, and how many came before it. Both steps combine before they shuffle."""
+    at = F.struct("ts", "attempt_id")
+    won = attempts.where("ok").groupBy("record_id").agg(F.min(F.struct("ts", "attempt_id", "source")).alias("w"))
+    won = won.select("record_id", "w.source", F.struct("w.ts", "w.attempt_id").alias("first"))
+    before = attempts.join(won, "record_id").where(at < F.col("first")).groupBy("record_id").agg(F.count("*").alias("n"))
+    return won.join(before, "record_id", "left").select("record_id", "source", F.coalesce("n", F.lit(0)).alias("attempts_before"))
 
 
 def consecutive_errors(attempts: DataFrame) -> DataFrame:
-    """source, longest: the longest run of server errors by gaps and islands."""
-    order = Window.partitionBy("source").orderBy("ts", "attempt_id")
-    rows = attempts.withColumn("bad", F.col("http_status") >= 500)
-    rows = rows.withColumn("a", F.row_number().over(order)).withColumn("b", F.row_number().over(Window.partitionBy("source", "bad").orderBy("ts", "attempt_id")))
-    runs = rows.where("bad").groupBy("source", (F.col("a") - F.col("b")).alias("island")).agg(F.count("*").alias("n"))
-    return runs.groupBy("source").agg(F.max("n").alias("longest"))
+    """source, longest: the longest run of server errors.
+
+    A source's days are looked at one by one, by gaps and islands; of a day only its length, its runs at both ends and its longest one go on,
+    and a source's few days are joined in order.
+    """
+    rows = attempts.select("source", F.to_date("ts").alias("day"), "ts", "attempt_id", (F.col("http_status") >= 500).alias("bad"))
+    order = Window.partitionBy("source", "day").orderBy("ts", "attempt_id")
+    rows = rows.withColumn("a", F.row_number().over(order)).withColumn("b", F.row_number().over(Window.partitionBy("source", "day", "bad").orderBy("ts", "attempt_id")))
+    runs = rows.groupBy("source", "day", "bad", (F.col("a") - F.col("b")).alias("island")).agg(F.count("*").alias("n"), F.min("a").alias("first"))
+    days = runs.groupBy("source", "day").agg(
+        F.sum("n").alias("n"), F.coalesce(F.max(F.when(F.col("bad"), F.col("n"))), F.lit(0)).alias("longest"),
+        F.coalesce(F.max(F.when(F.col("bad") & (F.col("first") == 1), F.col("n"))), F.lit(0)).alias("head"), F.max(F.struct("first", F.when(F.col("bad"), F.col("n")).otherwise(0).alias("n")))["n"].alias("tail"),
+    )
+    each = F.array_sort(F.collect_list(F.struct("day", "n", "longest", "head", "tail")))
+    start = F.struct(F.lit(0).cast("long").alias("longest"), F.lit(0).cast("long").alias("open"))
+    step = lambda s, d: F.struct(
+        F.greatest(s["longest"], d["longest"], s["open"] + d["head"]).alias("longest"), F.when(d["tail"] == d["n"], s["open"] + d["n"]).otherwise(d["tail"]).alias("open")
+    )
+    per = days.groupBy("source").agg(F.aggregate(each, start, step)["longest"].alias("longest"))
+    return per.where("longest > 0")
 
 
 def next_batch(queue: DataFrame, n: int) -> DataFrame:
-    return queue.where("status = 'pending'").orderBy("enqueued_ts", "record_id").limit(n)
+    """The n pending items that wait longest; those without a time come last."""
+    return queue.where("status = 'pending'").orderBy(F.col("enqueued_ts").asc_nulls_last(), "record_id").limit(n)
 
 
 def cap_signals(signals: DataFrame, n: int) -> DataFrame:
@@ -177,6 +220,14 @@ def union_distinct(frames: list[DataFrame], key: str, order: list) -> DataFrame:
     return first_row(allof, [key], order)
 
 
+def union_report(frames: list[DataFrame], key: str, order: list) -> tuple[DataFrame, DataFrame]:
+    """``union_distinct``, and one row with the rows read, kept and dropped."""
+    allof = frames[0]
+    for f in frames[1:]:
+        allof = allof.unionByName(f)
+    return first_wins(allof, [key], order)
+
+
 def merge_disjoint(frames: list[DataFrame], key: str) -> tuple[DataFrame, DataFrame]:
     """(the union, the keys that are not unique in it)."""
     allof = frames[0]
@@ -203,13 +254,28 @@ def shape_divergence(sample: DataFrame, population: DataFrame, by: str, flag: fl
     return j.select(by, F.round("s", 6).alias("sample_share"), F.round("p", 6).alias("population_share"), (F.abs(F.col("s") - F.col("p")) > flag).alias("diverges"))
 
 
-def gate(rate: Column) -> Column:
-    return F.when(rate < 0.3, "stop").when(rate <= 0.5, "recoverable_strata_only").otherwise("all")
+def smoke_gate(rate: Column) -> Column:
+    """What a small first run allows: under 10 percent nothing, under 25 a run of low priority, else the full one."""
+    return F.when(rate < 0.1, "stop").when(rate < 0.25, "low_priority").otherwise("full")
 
 
-def merge_disjoint(frames: list[DataFrame], key: str) -> tuple[DataFrame, DataFrame]:
-    """(all rows, the keys that more than one row has): the second is empty if the results are disjoint, as they should be."""
-    rows = frames[0]
-    for f in frames[1:]:
-        rows = rows.unionByName(f)
-    return rows, rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+def orphan_cause(orphans: DataFrame, variants: DataFrame, first: int, last: int, share: float = 0.8) -> DataFrame:
+    """n, cause: why held records are no candidates.
+
+    ``few_cells`` if at most two (org, year) cells hold ``share`` of them, else ``org_variant`` if as many have an organisation listed in
+    ``variants`` (org_code), else ``out_of_window`` if as many lie outside the years, else ``mixed``.
+    """
+    marked = orphans.join(variants.select("org_code", F.lit(1).alias("_v")).distinct(), "org_code", "left")
+    cells = marked.groupBy("org_code", "year").agg(F.count("*").alias("n"), F.count("_v").alias("v"))
+    cells = cells.withColumn("outside", F.when(~F.col("year").between(first, last), F.col("n")).otherwise(0)).withColumn("_k", F.lit(1))
+    top = cells.orderBy(F.desc("n")).limit(2).groupBy("_k").agg(F.sum("n").alias("top"))
+    one = cells.groupBy("_k").agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.sum("outside").alias("outside")).join(top, "_k")
+    cause = (
+        F.when(F.col("top") >= share * F.col("n"), "few_cells").when(F.col("v") >= share * F.col("n"), "org_variant")
+        .when(F.col("outside") >= share * F.col("n"), "out_of_window").otherwise("mixed")
+    )
+    return one.select("n", cause.alias("cause"))
+
+
+def gate(rate: Column) -> Column:
+    return F.when(rate < 0.3, "stop").when(rate <= 0.5, "recoverable_strata_only").otherwise("all")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from shelfmark.functions import ids, outcomes
 from shelfmark.functions import text as tx
 from shelfmark.operators import joins, merges, reports, search, windows
 from shelfmark.plans.fixtures import SQL, Tables
+from shelfmark.session import file_mark, scratch_folder
 from shelfmark.sources import readers
 from shelfmark.streaming import streams
 
@@ -65,12 +67,17 @@ def b6_b7_b53_predicates(t):
     return r.select("record_id", ids.doi_prefix(F.col("doi")).alias("prefix"), ids.is_data_doi(F.col("doi"), ["10.1003", "10.1007"]).alias("data_doi"), ids.is_paper(F.col("record_id"), F.col("product_type")).alias("paper"), ids.no_doi(F.col("doi")).alias("no_doi"), F.col("no_md_path").alias("no_md"))
 
 
-@query("""SELECT attempt_id, bucket, CASE bucket WHEN 'timeout' THEN 3 ELSE 0 END AS retries, CASE WHEN http_status = 0 THEN 'exception' WHEN http_status <> 200 THEN 'http_' || http_status WHEN bytes = 0 THEN 'empty' WHEN saved_path IS NOT NULL THEN 'recovered_pdf' ELSE 'wrong_type' END AS response,
- CASE attempt_id % 3 WHEN 0 THEN 'timeout' WHEN 1 THEN 'reset' ELSE 'ssl_error' END AS error_class FROM bucketed""")
+@query("""SELECT attempt_id, bucket, CASE bucket WHEN 'timeout_or_exception' THEN 3 WHEN 'unavailable' THEN 1 ELSE 0 END AS retries, response, CASE WHEN response = 'timeout' THEN 3 WHEN response LIKE 'http_5%' THEN 1 ELSE 0 END AS response_retries, error_class, CASE error_class WHEN 'ssl_error' THEN 0 ELSE 3 END AS error_retries FROM
+ (SELECT *, CASE WHEN http_status = 0 AND attempt_id % 3 = 0 THEN 'timeout' WHEN http_status = 0 THEN 'exception' WHEN http_status <> 200 THEN 'http_' || http_status WHEN saved_path IS NULL THEN CASE WHEN attempt_id % 5 = 0 THEN 'redirect_off' ELSE 'wrong_type' END WHEN bytes <= 1024 THEN 'empty' ELSE 'recovered_pdf' END AS response,
+ CASE attempt_id % 3 WHEN 0 THEN 'timeout' WHEN 1 THEN 'reset' ELSE 'ssl_error' END AS error_class FROM bucketed)""")
 def b8_b10_b11_b14_outcomes(t):
     a = t.bucketed
-    magic = F.when(F.col("saved_path").isNotNull(), "25504446").otherwise("3C21444F")
-    return a.select("attempt_id", "bucket", outcomes.retryable(F.col("bucket")).alias("retries"), outcomes.bucket_response(a.http_status, F.lit(""), magic, a.bytes, F.lit(False)).alias("response"), outcomes.classify_error(F.substring_index("error", ":", 1), F.col("error")).alias("error_class"))
+    magic = F.when((F.col("attempt_id") % 2 == 0) & F.col("saved_path").isNotNull(), "25504446").otherwise("3C21444F")
+    declared = F.when(F.col("saved_path").isNotNull(), "Application/PDF").otherwise("text/html")
+    response = outcomes.bucket_response(a.http_status, declared, magic, a.bytes, a.attempt_id % 5 == 0, a.error)
+    a = a.withColumn("response", response).withColumn("error_class", outcomes.classify_error(F.substring_index("error", ":", 1), F.col("error")))
+    more = [outcomes.retryable(F.col(c)).alias(name) for c, name in (("bucket", "retries"), ("response", "response_retries"), ("error_class", "error_retries"))]
+    return a.select("attempt_id", "bucket", "response", "error_class", *more)
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'ok' WHEN o_orderstatus = 'O' THEN 'http_4xx' ELSE 'other:' || o_orderstatus END AS status FROM orders""")
@@ -86,11 +93,17 @@ def b12_b13_payload_classes(t):
     return t.files.select("instance_id", outcomes.classify_payload(F.col("size"), magic, F.col("size")).alias("payload"), outcomes.classify_integrity(F.col("size"), F.col("instance_id") % 4, F.col("size")).alias("integrity"))
 
 
-@query("""SELECT attempt_id, CASE WHEN attempt_id % 4 = 0 THEN 'never_deposited' WHEN attempt_id % 7 = 0 THEN 'sso_walled' WHEN http_status = 403 AND bytes < 1024 THEN 'publisher_403' ELSE 'unknown' END AS mode,
- CASE WHEN http_status = 200 THEN 'gold' WHEN http_status = 404 THEN 'not_in_unpaywall' ELSE 'error_' || http_status END AS oa FROM attempts""")
+@query("""SELECT *, CASE mode WHEN 'never_deposited' THEN 'open_access,preprint_by_doi,citation_index' WHEN 'sso_walled' THEN 'preprint_by_doi,open_access' WHEN 'publisher_403' THEN 'open_access,preprint_by_doi' ELSE 'repository,open_access,preprint_by_doi,citation_index' END AS sources FROM (SELECT attempt_id, CASE WHEN attempt_id % 4 = 0 THEN 'never_deposited' WHEN attempt_id % 7 = 0 THEN 'sso_walled' WHEN http_status = 403 AND bytes < 1024 THEN 'publisher_403' ELSE 'unknown' END AS mode,
+ CASE WHEN http_status = 200 THEN 'gold' WHEN http_status = 404 THEN 'not_in_unpaywall' ELSE 'error_' || http_status END AS oa, CASE WHEN http_status = 200 THEN source WHEN http_status = 404 THEN 'not_in_crossref' ELSE 'error_' || http_status END AS registry,
+ CASE WHEN http_status = 200 THEN CASE WHEN attempt_id % 4 = 0 THEN 'has_pdf' ELSE 'no_pdf' END WHEN http_status = 404 THEN 'not_found' ELSE 'error_' || http_status END AS recheck FROM attempts)""")
 def b15_b18_absence_and_oa(t):
     a = t.attempts
-    return a.select("attempt_id", outcomes.absence_mode(a.attempt_id % 4 != 0, a.http_status, a.bytes, a.attempt_id % 7 == 0).alias("mode"), outcomes.oa_status(a.http_status, F.lit("gold")).alias("oa"))
+    relations = F.array(F.lit("citation"), F.when(a.attempt_id % 4 == 0, "fulltext").otherwise("purl"))
+    found = a.select(
+        "attempt_id", outcomes.absence_mode(a.attempt_id % 4 != 0, a.http_status, a.bytes, a.attempt_id % 7 == 0).alias("mode"), outcomes.oa_status(a.http_status, F.lit("gold")).alias("oa"),
+        outcomes.registry_type(a.http_status, a.source).alias("registry"), outcomes.recheck_status(a.http_status, relations).alias("recheck"),
+    )
+    return found.withColumn("sources", F.array_join(outcomes.absence_sources(F.col("mode")), ","))
 
 
 @query("""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url || '/b' WHEN page_id % 3 = 1 THEN url || '/t' END AS link, coalesce(CASE WHEN page_id % 2 = 0 THEN url END, 'other') AS oa_url FROM pages""")
@@ -109,11 +122,13 @@ def b22_b23_b39_b51_urls(t):
     return t.pages.select("page_id", ids.url_host(u).alias("host"), ids.rewrite_url(u).alias("rewritten"), tx.is_data_host(u, ["example.org", "example.net"]).alias("data_host"), ids.rewrite_paths(u, [("http://", "https://")]).alias("secure"))
 
 
-@query("""SELECT record_id, CASE WHEN coalesce(doi, '') <> '' THEN doi END AS clean, coalesce(doi, '') <> '' AS has_raw FROM records""")
+@query(r"""SELECT record_id, array_to_string(list_filter(c, lambda x, i: regexp_matches(x, '^10\.\d{4,9}/') AND list_position(c, x) = i), ' ') AS candidates FROM (SELECT record_id, [d, regexp_replace(d, '[.,;:)\]}\\"]+$', ''), regexp_replace(d, '(\d)[A-Za-z][\w./-]*$', '\1'), regexp_replace(d, '(\d)[A-Z][a-z]\w*$', '\1'),
+ CASE WHEN regexp_matches(d, '^10\.\d+/[\w.-]+\d{5}$') THEN d[:-2] END, CASE WHEN regexp_matches(d, '^10\.\d+/[\w.-]+\d$') THEN d[:-2] END, CASE WHEN regexp_matches(d, '^10\.\d+/[\w.-]+.$') THEN d[:-2] END, CASE WHEN regexp_matches(d, '^10\.\d+/[\w.-]+..$') THEN d[:-3] END, CASE WHEN regexp_matches(d, '^10\.\d+/[\w.-]+...$') THEN d[:-4] END] AS c
+ FROM (SELECT record_id, doi || ['', '.', 'Abstract', '12345', ').\"', 'v2x', '}'][doc_id % 7 + 1] AS d FROM records WHERE coalesce(doi, '') <> ''))""")
 def b20_doi_candidates(t):
-    r = t.records.withColumn("c", ids.doi_candidates(F.concat(F.nullif("doi", F.lit("")), F.lit("."))))
-    raw = F.concat("doi", F.lit("."))
-    return r.select("record_id", F.when(F.array_contains("c", F.col("doi")), F.col("doi")).alias("clean"), F.coalesce(F.array_contains("c", raw), F.lit(False)).alias("has_raw"))
+    ends = F.array(*[F.lit(x) for x in ("", ".", "Abstract", "12345", ').\\"', "v2x", "}")])
+    r = t.records.where("coalesce(doi, '') <> ''")
+    return r.select("record_id", F.array_join(ids.doi_candidates(F.concat("doi", F.get(ends, (F.col("doc_id") % 7).cast("int")))), " ").alias("candidates"))
 
 
 @query("""SELECT record_id, doi, 'https://a.example.org/' || split_part(doi, '/', 2) || '.pdf' AS url FROM records WHERE doi LIKE '10.1002/%' UNION ALL SELECT record_id, doi, 'https://b.example.org/' || doi FROM records WHERE doi LIKE '10.1002/%' OR doi LIKE '10.1003/%'""")
@@ -140,9 +155,9 @@ def b26_b28_b29_names_and_titles(t):
     return p.select("p_partkey", F.round(tx.name_overlap(p.p_name, p.p_type), 6).alias("overlap"), tx.title_match(p.p_name, F.concat_ws(" ", "p_name", "p_type")).alias("matches"), tx.clean_title(p.p_name).alias("clean"))
 
 
-@query(r"""SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(substr(text, 1, 4000), '([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)', 1))), ',') AS emails FROM documents WHERE regexp_matches(substr(text, 1, 4000), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')""")
+@query(r"""SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)', 1))), ',') AS emails FROM documents WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+')""")
 def b30_emails(t):
-    e = t.documents.select("doc_id", tx.extract_emails(F.col("text")).alias("e")).where("size(e) > 0")
+    e = t.documents.select("doc_id", tx.extract_emails(F.col("text"), None).alias("e")).where("size(e) > 0")
     return e.select("doc_id", F.array_join("e", ",").alias("emails"))
 
 
@@ -162,23 +177,50 @@ def b33_b34_address_checks(t):
     return c.select("c_custkey", "k.syntax", "k.author_overlap", "k.domain_class", tx.email_verdict(F.col("k.syntax"), F.col("k.multiple"), F.col("k.obfuscated"), F.col("c_custkey") % 5 != 0, F.lit(True)).alias("verdict"))
 
 
-@query(r"""SELECT DISTINCT doc_id, kind, regexp_replace(v, '[.,;:)\]]+$', '') AS value FROM (SELECT doc_id, 'email' AS kind, unnest(regexp_extract_all(text, '([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)', 1)) AS v FROM documents
- UNION ALL SELECT doc_id, 'license', unnest(regexp_extract_all(text, '(CC BY[A-Z0-9 .-]*\d)', 1)) FROM documents UNION ALL SELECT doc_id, 'url', unnest(regexp_extract_all(text, '(https?://[^\s"<>)]+)', 1)) FROM documents)""")
+_PLANTED = ["", " see github.com/ab/cd-e.git and https://gitlab.com/xy/z,", " at huggingface.co/org/model-1 (arXiv: 2101.00001)", " PDB: 1ABC; GSE1234, PXD012345. SRR1234567", " zenodo.org/record/123456 figshare.com/articles/x/7654321 AB123456", " doi 10.5281/zenodo.123456. and 10.1000/xyz(12)"]
+_RE2 = {
+    "doi": r"""(?i)\b(10\.\d{4,9}/[\w.\-/:()#][\w.\-/:(#]*)(?:[\s,;"')\]]|$)""", "url": r"""(?i)(https?://[\w\-._~:/?#\[\]@!$&'()*+,;=%]+)""", "arxiv": r"(?i)(?:arxiv[:/\s]+|arxiv\.org/abs/)\s*(\d{4}\.\d{4,5}|[a-z\-]+/\d{7})",
+    "github": r"""(?i)github\.com[:/]([\w.\-]+/[\w.\-][\w\-]*)(?:[/.\s"')\]]|$)""", "gitlab": r"""(?i)gitlab\.com/([\w./\-][\w\-]*)(?:[/.\s"')\]]|$)""", "hf": r"""(?i)huggingface\.co/([\w.\-]+/[\w.\-][\w\-]*)(?:[/.\s"')\]]|$)""",
+    **{k: tx.SIGNALS[k] for k in ("genbank", "geo", "sra", "pride", "pdb", "zenodo", "figshare", "email", "license")},
+}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query(", d AS (SELECT doc_id, coalesce(text, '') || [" + ", ".join(map(_quoted, _PLANTED)) + "][doc_id % 6 + 1] AS text FROM documents)\nSELECT DISTINCT doc_id, kind, regexp_replace(regexp_replace(v, '[.,;:)\"''\\]]+$', ''), '\\.git$', '') AS value FROM ("
+       + " UNION ALL ".join(f"SELECT doc_id, '{kind}' AS kind, unnest(regexp_extract_all(text, {_quoted(pattern)}, 1)) AS v FROM d" for kind, pattern in _RE2.items()) + ")")
 def b37_signals(t):
-    return tx.extract_signals(t.documents, {k: tx.SIGNALS[k] for k in ("email", "license", "url")})
+    return tx.extract_signals(_with_signals(t))
+
+
+def _with_signals(t: Tables) -> DataFrame:
+    more = F.get(F.array(*map(F.lit, _PLANTED)), (F.col("doc_id") % 6).cast("int"))
+    return t.documents.select("doc_id", F.concat(F.coalesce("text", F.lit("")), more).alias("text"))
 
 
-@query("""SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'YES' ELSE 'UNCLEAR' END AS verdict, CASE WHEN length(text) > 40 THEN substr(text, 1, 20) || ' ... ' || right(text, 20) ELSE text END AS short_text, length(text) < 2 AS blank FROM conversations""")
+@query("""SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'YES' ELSE 'UNCLEAR' END AS verdict, CASE WHEN role = 'user' THEN 'turn ' || turn ELSE '' END AS why, CASE WHEN length(text) > 40 THEN substr(text, 1, 20) || ' ... ' || right(text, 20) ELSE text END AS short_text, length(trim(text, ' ')) < 2 AS blank, length(trim(text, ' ')) < 2 OR contains(lower(text), 'not') AS no_doi FROM conversations""")
 def b38_b42_b43_answers(t):
     c = t.conversations
-    raw = F.concat(F.when(F.col("role") == "user", F.lit("verdict: yes\nwhy: ")).otherwise(F.lit("no line ")), F.lit("x"))
-    return c.select("conv_id", "turn", tx.parse_verdict(raw, ["NO", "YES"]).alias("verdict"), tx.truncate_middle(F.col("text"), 40).alias("short_text"), tx.is_placeholder(F.col("text")).alias("blank"))
+    raw = F.when(F.col("role") == "user", F.concat(F.lit("VERDICT: no idea\nverdict: yes \nVerdict: ?\nwhy: turn "), "turn", F.lit(" \n"))).otherwise("no line x")
+    return c.select(
+        "conv_id", "turn", tx.parse_verdict(raw, ["NOT", "YES"]).alias("verdict"), tx.parse_why(raw).alias("why"), tx.truncate_middle(F.col("text"), 40).alias("short_text"),
+        tx.is_placeholder(F.col("text")).alias("blank"), tx.is_placeholder(F.col("text"), data_card=True).alias("no_doi"),
+    )
 
 
-@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_size / 10.0 WHEN 1 THEN 8.0 ELSE CAST(p_size % 10 AS DOUBLE) END AS score, lpad(CAST(p_size AS STRING), 2, '0') AS code FROM part""")
+@query("""SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_size / 10.0 WHEN 1 THEN 8.0 WHEN 2 THEN CAST(p_size % 10 AS DOUBLE) WHEN 3 THEN round(10.0 * p_size / 60, 4) END AS score, CASE WHEN p_partkey % 5 = 4 THEN 6.0 END AS axis_score, lpad(CAST(p_size AS STRING), 2, '0') AS code FROM part""")
 def b46_b48_scores_and_codes(t):
-    raw = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("about ~"), "p_size", F.lit("%"))).when(F.col("p_partkey") % 3 == 1, "a strong case").otherwise(F.concat((F.col("p_size") % 10).cast("string"), F.lit(" / 10")))
-    return t.part.select("p_partkey", tx.report_score(raw).alias("score"), ids.subject_code(F.concat(F.lpad(F.col("p_size").cast("string"), 2, "0"), F.lit(" PHYSICS"))).alias("code"))
+    k, size = F.col("p_partkey") % 5, F.col("p_size").cast("string")
+    raw = (
+        F.when(k == 0, F.concat(F.lit("about ~"), size, F.lit("%"))).when(k == 1, "a strong case").when(k == 2, F.concat((F.col("p_size") % 10).cast("string"), F.lit(" / 10")))
+        .when(k == 3, F.concat(F.lit("passed "), size, F.lit("/60 claims (85%)"))).otherwise("nothing\nAgreement: moderate")
+    )
+    return t.part.select(
+        "p_partkey", F.when(k < 4, tx.report_score(raw)).alias("score"), tx.report_score(raw, "agreement").alias("axis_score"),
+        ids.subject_code(F.concat(F.lpad(size, 2, "0"), F.lit(" PHYSICS"))).alias("code"),
+    )
 
 
 @query("""SELECT doc_id, 'english' AS tag FROM documents WHERE regexp_matches(text, '\\b(the|and)\\b') UNION ALL SELECT doc_id, 'pipes' FROM documents WHERE contains(text, '|')""".replace("\\\\", "\\"))
@@ -392,10 +434,10 @@ def d11_canonical_paths(t):
     return merges.assign_canonical_path(t.files, t.records).select("instance_id", "canonical_path")
 
 
-@query(""", f AS (SELECT DISTINCT path, record_id || '.pdf' AS canonical_path, max(size) AS size FROM files WHERE source = 'beta' GROUP BY path, record_id), l AS (SELECT path, max(size) AS size FROM files WHERE instance_id % 3 > 0 GROUP BY path)
+@query(""", f AS (SELECT path, record_id || '.pdf' AS canonical_path, max(size) AS size FROM files GROUP BY path, record_id), l AS (SELECT path, max(size) AS size FROM files WHERE instance_id % 3 > 0 GROUP BY path)
 SELECT f.path, f.canonical_path, CASE WHEN l.path IS NULL THEN 'src_missing' ELSE 'linked' END AS outcome FROM f LEFT JOIN l ON l.path = f.path""")
 def d12_layout_plan(t):
-    f = t.files.where("source = 'beta'").groupBy("path", F.concat("record_id", F.lit(".pdf")).alias("canonical_path")).agg(F.max("size").alias("size"))
+    f = t.files.groupBy("path", F.concat("record_id", F.lit(".pdf")).alias("canonical_path")).agg(F.max("size").alias("size"))
     return merges.plan_layout(f, t.files.where("instance_id % 3 > 0").groupBy("path").agg(F.max("size").alias("size"))).select("path", "canonical_path", "outcome")
 
 
@@ -447,9 +489,9 @@ def e7_dup_counts(t):
     return reports.dup_counts(t.files)
 
 
-@query("""SELECT product_type, CAST(floor(year / 10) * 10 AS INT) AS decade, org_code, count(*) AS n FROM records WHERE coalesce(doi, '') = '' GROUP BY 1, 2, 3""")
+@query("""SELECT product_type, CAST(floor(y / 10) * 10 AS INT) AS decade, org_code, count(*) AS n, coalesce(CAST(floor(y / 10) * 10 AS INT) < 2000, false) AS pre_doi FROM (SELECT *, year - 10 AS y FROM records) WHERE coalesce(doi, '') = '' GROUP BY 1, 2, 3""")
 def e8_no_doi_profile(t):
-    return reports.no_doi_profile(t.records)
+    return reports.no_doi_profile(t.records.withColumn("year", F.col("year") - 10))
 
 
 @query(""", s AS (SELECT source AS org_code, CASE WHEN size = 0 THEN 'zero' WHEN size < 500 THEN 'image' WHEN instance_id % 10 = 0 THEN 'truncated' ELSE 'good' END AS status FROM files)
@@ -650,10 +692,10 @@ def f10_consecutive_errors(t):
     return windows.consecutive_errors(t.attempts)
 
 
-@query("""SELECT record_id, year FROM records ORDER BY year NULLS LAST, record_id LIMIT 50""")
+@query("""SELECT record_id, CASE WHEN year % 5 > 0 THEN year END AS year FROM records ORDER BY CASE WHEN year % 5 > 0 THEN year END NULLS LAST, record_id LIMIT 50""")
 def g1_g2_next_batch(t):
-    q = t.records.select("record_id", "year", F.lit("pending").alias("status"), F.col("year").alias("enqueued_ts"))
-    return windows.next_batch(q, 50).select("record_id", "year")
+    year = F.when(F.col("year") % 5 > 0, F.col("year"))
+    return windows.next_batch(t.records.select("record_id", year.alias("year"), F.lit("pending").alias("status"), year.alias("enqueued_ts")), 50).select("record_id", "year")
 
 
 @query("""SELECT 'all' AS step, count(*) AS n FROM records UNION ALL SELECT 'doi', count(*) FILTER (coalesce(doi, '') <> '') FROM records UNION ALL SELECT 'recent', count(*) FILTER (coalesce(doi, '') <> '' AND year >= 2010) FROM records""")
@@ -720,6 +762,19 @@ _POSTINGS = """, tok AS (SELECT doc_id, regexp_extract_all(lower(translate(text,
 """
 
 
+def _kept(t: Tables, name: str, key: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """An index of the documents, made when there is none for the files as they are, and read ever after."""
+    mark = hashlib.md5(f"{name}|{file_mark(t.spark, f'{t.sf_dir}/documents.parquet')}".encode()).hexdigest()
+    path = f"{scratch_folder(t.spark)}/search-{name}-{mark}"
+    if file_mark(t.spark, f"{path}/_SUCCESS") is None:
+        search.write_index(build(t.documents), key, path)
+    return t.spark.read.parquet(path)
+
+
+def _postings(t: Tables) -> DataFrame:
+    return _kept(t, "postings", "term", search.build_postings)
+
+
 @query(_POSTINGS + "SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs, max(pos) AS last_pos FROM postings GROUP BY 1")
 def j1_postings(t):
     return search.build_postings(t.documents).groupBy("term").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"), F.max("pos").alias("last_pos"))
@@ -727,17 +782,22 @@ def j1_postings(t):
 
 @query(_POSTINGS + "SELECT doc_id, count(*) AS n FROM postings WHERE starts_with(term, 'licens') GROUP BY 1")
 def j2_search_prefix(t):
-    return search.search_term(search.build_postings(t.documents), "licens*")
+    return search.search_term(_postings(t), "licens*")
 
 
 @query(_POSTINGS + "SELECT a.doc_id, count(*) AS n FROM postings a JOIN postings b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WHERE a.term = 'of' AND b.term = 'the' GROUP BY 1")
 def j2_search_phrase(t):
-    return search.search_phrase(search.build_postings(t.documents), ["of", "the"])
+    return search.search_phrase(_postings(t), ["of", "the"])
+
+
+@query(_POSTINGS + "SELECT a.doc_id, count(*) AS n FROM postings a JOIN postings b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 JOIN postings c ON c.doc_id = a.doc_id AND c.pos = a.pos + 2 WHERE a.term = b.term AND c.term = b.term AND a.term = 'the' GROUP BY 1")
+def j2_search_repeated(t):
+    return search.search_phrase(_postings(t), ["the", "the", "the"])
 
 
 @query(_POSTINGS + "SELECT doc_id FROM postings GROUP BY 1 HAVING count(*) FILTER (term = 'the') > 0 AND count(*) FILTER (term = 'and') > 0 AND count(*) FILTER (term = 'licensed') = 0")
 def j2_search_boolean(t):
-    return search.search_boolean(search.build_postings(t.documents), ["the", "and"], ["licensed"])
+    return search.search_boolean(_postings(t), ["the", "and"], ["licensed"])
 
 
 @query("""SELECT doc_id FROM documents WHERE regexp_matches(text, 'CC BY|MIT License')""")
@@ -763,10 +823,10 @@ def j5_search_vectors(t):
     return search.search_vectors(t.embeddings, [1.0 / i for i in range(1, 65)], 20)
 
 
-@query(""", a AS (SELECT doc_id, n_chars AS score FROM documents WHERE lang = 'fr'), b AS (SELECT doc_id, quality AS score FROM labels), ra AS (SELECT doc_id, 1.0 / (60 + row_number() OVER (ORDER BY score DESC, doc_id)) AS p, 'chars' AS axis FROM a), rb AS (SELECT doc_id, 1.5 / (60 + row_number() OVER (ORDER BY score DESC, doc_id)) AS p, 'label' AS axis FROM b)
+@query(""", a AS (SELECT doc_id, n_chars AS score FROM documents), b AS (SELECT doc_id, quality AS score FROM labels), ra AS (SELECT doc_id, 1.0 / (60 + row_number() OVER (ORDER BY score DESC, doc_id)) AS p, 'chars' AS axis FROM a), rb AS (SELECT doc_id, 1.5 / (60 + row_number() OVER (ORDER BY score DESC, doc_id)) AS p, 'label' AS axis FROM b)
 SELECT doc_id, round(sum(p), 6) AS score, string_agg(axis, ',' ORDER BY axis) AS axes FROM (SELECT * FROM ra UNION ALL SELECT * FROM rb) GROUP BY 1""")
 def j6_fuse(t):
-    axes = {"chars": t.documents.where("lang = 'fr'").select("doc_id", F.col("n_chars").alias("score")), "label": t.labels.select("doc_id", F.col("quality").alias("score"))}
+    axes = {"chars": t.documents.select("doc_id", F.col("n_chars").alias("score")), "label": t.labels.select("doc_id", F.col("quality").alias("score"))}
     return search.fuse(axes, {"chars": 1.0, "label": 1.5})
 
 
@@ -785,9 +845,10 @@ def k9_progress(t):
     return streams.progress(t.attempts)
 
 
-@query("""SELECT record_id, count(*) AS attempts, arg_min(bucket, (ts, attempt_id)) FILTER (bucket <> 'other') AS reason, arg_max(source, (ts, attempt_id)) AS last_source, arg_min(source, (ts, attempt_id)) FILTER (bucket = 'other') AS resolved_via, CASE WHEN count(*) FILTER (bucket = 'other') > 0 THEN 'recovered' ELSE 'pending' END AS status FROM bucketed GROUP BY 1""")
+@query("""SELECT record_id, count(*) AS attempts, arg_min(bucket, (ts, attempt_id)) FILTER (bucket <> 'other') AS reason, min(ts) FILTER (bucket <> 'other') AS enqueued_ts, arg_max(source, (ts, attempt_id)) AS last_source, max(ts) AS last_ts, arg_max(error, (ts, attempt_id)) FILTER (bucket <> 'other') AS last_error, arg_min(source, (ts, attempt_id)) FILTER (bucket = 'other') AS resolved_via,
+ CASE WHEN count(*) FILTER (bucket = 'other') > 0 THEN 'recovered' WHEN count(DISTINCT source) FILTER (bucket <> 'other' AND source IN ('click', 'view')) = 2 THEN 'exhausted' ELSE 'pending' END AS status FROM bucketed GROUP BY 1""")
 def k4_m3_queue(t):
-    return streams.queue_from_attempts(t.bucketed)
+    return streams.queue_from_attempts(t.bucketed, ("click", "view"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderdate < TIMESTAMP '1996-01-01' - INTERVAL 60 minute THEN 'pending' WHEN o_orderkey % 3 = 0 THEN 'in_progress' ELSE 'done' END AS status FROM orders""")
@@ -821,4 +882,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-from shelfmark.plans import job_queries  # noqa: E402, F401  (registers the composed jobs beside the queries above)
+from shelfmark.plans import job_queries, more_queries  # noqa: E402, F401  (register the jobs and reports beside the queries above)

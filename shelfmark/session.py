@@ -11,6 +11,21 @@ from pyspark.sql import SparkSession
 _SHIPPED: set[str] = set()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder for tables of a run: the one of ``spark.checkpoint.dir``, else the warehouse's."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
+
+
+def file_mark(spark: SparkSession, path: str) -> str | None:
+    """Names, sizes and times of the files at a path, as one text; none if there is nothing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return None
+    return "|".join(sorted(f"{x.getPath()},{x.getLen()},{x.getModificationTime()}" for x in system.listStatus(place)))
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Give executors this package, once an application, so that workers can import its functions."""
     app = spark.sparkContext.applicationId

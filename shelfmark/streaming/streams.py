@@ -27,51 +27,89 @@ def progress(attempts: DataFrame, span: str = "1 hour") -> DataFrame:
 
 
 def breaker(attempts: DataFrame, most: int = 10, cooldown_ms: int = 600_000) -> DataFrame:
-    """source, ts, state: disabled after more than ``most`` server errors on end, enabled again after the cooldown.
+    """source, ts, state: disabled at the server error that makes a run longer than ``most``, enabled again when the cooldown is over.
 
-    State is one number a source; rows of one batch are taken in order of time.
+    All times are those of the attempts. A disabled source's attempts before the end of its cooldown count for nothing, and its run starts anew
+    after it. The end is reported by the next attempt after it or, without one, when the watermark has passed it. State is two numbers a source; a source's rows of
+    one micro-batch (bound its size at the source, as by ``maxFilesPerTrigger``) are taken in order of time and id.
     """
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        run, until = state.get if state.exists else (0, None)
+        out = []
         if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({"source": [key[0]], "ts": [pd.Timestamp.now()], "state": ["enabled"]})
-            return
-        run, out = (state.get[0] if state.exists else 0), []
-        for x in pd.concat(list(batches)).sort_values("ts").itertuples():
-            run = run + 1 if x.http_status >= 500 else 0
-            if run == most + 1:
-                out.append((key[0], x.ts, "disabled"))
-        state.update((run,))
-        if run > most:
-            state.setTimeoutDuration(cooldown_ms)
-        yield pd.DataFrame(out, columns=["source", "ts", "state"])
-
-    return attempts.groupBy("source").applyInPandasWithState(update, "source string, ts timestamp, state string", "run int", "append", GroupStateTimeout.ProcessingTimeTimeout)
-
-
-def stream_todo(source: DataFrame, key: str = "record_id") -> DataFrame:
-    """Each id once; the sink's checkpoint makes a restart go on where it stopped."""
-    return source.withWatermark("ts", LATE).dropDuplicatesWithinWatermark([key])
-
-
-def queue_from_attempts(attempts: DataFrame) -> DataFrame:
-    """record_id, status, reason (of the first failure), attempts, last_source and resolved_via, from all attempts."""
-    bad = F.col("bucket") != "other"
+            out.append((until, "enabled"))
+            run, until = 0, None
+        else:
+            rows = pd.concat(list(batches))
+            rows = rows.assign(ms=rows["ts"].astype("datetime64[ms]").astype("int64")).sort_values([c for c in ("ms", "attempt_id") if c == "ms" or c in rows])
+            for ms, status in zip(rows["ms"].tolist(), rows["http_status"].tolist()):
+                if until is not None and ms >= until:
+                    out.append((until, "enabled"))
+                    run, until = 0, None
+                if until is None:
+                    run = run + 1 if status >= 500 else 0
+                    if run > most:
+                        out.append((ms, "disabled"))
+                        until = ms + cooldown_ms
+        state.update((run, until))
+        if until is not None:
+            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"source": [key[0]] * len(out), "ts": pd.to_datetime([ms for ms, _ in out], unit="ms"), "state": [x for _, x in out]})
+
+    light = attempts.select("source", F.col("ts").cast("timestamp").alias("ts"), "http_status", *(["attempt_id"] if "attempt_id" in attempts.columns else [])).withWatermark("ts", LATE)
+    return light.groupBy("source").applyInPandasWithState(update, "source string, ts timestamp, state string", "run long, until long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def stream_todo(source: DataFrame, done: DataFrame | None = None, key: str = "record_id") -> DataFrame:
+    """Each id once, for ever, and none that ``done`` holds when the stream starts; the sink's checkpoint makes a restart go on where it stopped.
+
+    The state is every id seen; on a large log keep it in the RocksDB state store.
+    """
+    fresh = source if done is None else source.join(done.select(key).distinct(), key, "left_anti")
+    return fresh.dropDuplicates([key])
+
+
+#: Attempts of this source stand for records that nothing can be looked up for.
+NO_LOOKUP = "skip_no_doi"
+
+
+def queue_from_attempts(attempts: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
+    """record_id, status, reason (of the first failure), enqueued_ts, attempts, last_source, last_ts, last_error and resolved_via, from all attempts.
+
+    A success makes a record ``recovered``, an attempt of NO_LOOKUP ``failed_no_doi``, and failures of all ``sources``, if any are given, ``exhausted``;
+    these are final, and all others are ``pending``. A record that never failed counts as recovered.
+    """
+    bad, at = F.col("bucket") != "other", F.struct("ts", "attempt_id")
+    error = F.col("error") if "error" in attempts.columns else F.lit(None).cast("string")
+    tried = F.size(F.array_intersect(F.collect_set(F.when(bad & F.col("source").isin(*sources), F.col("source"))), F.array(*map(F.lit, sources)))) if sources else F.lit(0)
     q = attempts.groupBy("record_id").agg(
-        F.count("*").alias("attempts"), F.min_by(F.when(bad, F.col("bucket")), F.when(bad, F.struct("ts", "attempt_id"))).alias("reason"),
-        F.max_by("source", F.struct("ts", "attempt_id")).alias("last_source"), F.min_by(F.when(~bad, F.col("source")), F.when(~bad, F.struct("ts", "attempt_id"))).alias("resolved_via"),
+        F.count("*").alias("attempts"), F.min_by(F.when(bad, F.col("bucket")), F.when(bad, at)).alias("reason"), F.min(F.when(bad, F.col("ts"))).alias("enqueued_ts"),
+        F.max_by("source", at).alias("last_source"), F.max("ts").alias("last_ts"), F.max_by(F.when(bad, error), F.when(bad, at)).alias("last_error"),
+        F.min_by(F.when(~bad, F.col("source")), F.when(~bad, at)).alias("resolved_via"), F.max(F.col("source") == NO_LOOKUP).alias("_no"), tried.alias("_tried"),
+    )
+    status = (
+        F.when(F.col("resolved_via").isNotNull(), "recovered").when(F.col("_no"), "failed_no_doi")
+        .when((F.col("_tried") == len(set(sources))) & F.lit(bool(sources)), "exhausted").otherwise("pending")
     )
-    return q.withColumn("status", F.when(F.col("resolved_via").isNotNull(), "recovered").otherwise("pending"))
+    return q.withColumn("status", status).drop("_no", "_tried")
 
 
-def maintain_queue(attempts: DataFrame, attempts_path: str, queue_path: str, checkpoint: str):
-    """A stream that keeps every attempt once and rewrites the queue from all of them; a batch run twice changes nothing."""
+def maintain_queue(attempts: DataFrame, attempts_path: str, queue_path: str, checkpoint: str, buckets: int = 64):
+    """A stream that keeps every attempt once and the queue up to date; a batch run twice changes nothing.
+
+    Attempts and queue lie in buckets of record ids. A batch writes its own attempts, and only the buckets that it touches are computed anew and replaced.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{attempts_path}/batch={batch_id}")
-        queue_from_attempts(spark.read.parquet(attempts_path)).write.mode("overwrite").parquet(queue_path)
+        keyed = batch.withColumn("bucket_no", F.pmod(F.xxhash64("record_id"), F.lit(buckets)).cast("int"))
+        keyed.write.mode("overwrite").partitionBy("bucket_no").parquet(f"{attempts_path}/batch={batch_id}")
+        log = spark.read.option("basePath", attempts_path).parquet(f"{attempts_path}/batch=*")
+        touched = [x["bucket_no"] for x in log.where(F.col("batch") == batch_id).select("bucket_no").distinct().collect()]
+        rows = log.where(F.col("bucket_no").isin(*touched)) if touched else log.where("false")
+        queue = queue_from_attempts(rows).withColumn("bucket_no", F.pmod(F.xxhash64("record_id"), F.lit(buckets)).cast("int"))
+        queue.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket_no").parquet(queue_path)
 
     return attempts.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
@@ -85,7 +123,7 @@ def reap_stale(items: DataFrame, now: str, minutes: int) -> DataFrame:
 
 def claim(queue: DataFrame, n: int, worker: str) -> DataFrame:
     """The queue with its next n pending items, by time and id, in progress for the worker."""
-    first = queue.where("status = 'pending'").orderBy("enqueued_ts", "record_id").limit(n).select("record_id", F.lit(worker).alias("_w"))
+    first = queue.where("status = 'pending'").orderBy(F.col("enqueued_ts").asc_nulls_last(), "record_id").limit(n).select("record_id", F.lit(worker).alias("_w"))
     j = queue.join(first, "record_id", "left")
     return j.withColumn("status", F.when(F.col("_w").isNotNull(), "in_progress").otherwise(F.col("status"))).withColumnRenamed("_w", "worker")
 

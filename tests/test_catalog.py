@@ -192,3 +192,119 @@ def test_query_equals_sql(spark, name):
         return sorted([tuple(tidy(r[i]) for i in at) for r in rows], key=repr)
 
     assert plain(df.collect(), df.columns) == plain(want.fetchall(), want.columns)
+
+
+def test_breaker_enables_again(spark, tmp_path):
+    at = lambda rows: spark.createDataFrame(rows, "i int, source string, http_status int").select(F.timestamp_seconds(F.col("i") + 100_000).alias("ts"), "source", "http_status")
+    # s fails twelve times, goes on failing while disabled, and comes back after the cooldown; t never fails eleven times in a row
+    rows = [(i, "s", 503) for i in range(30)] + [(700, "s", 200)] + [(i, "t", 503 if i % 2 else 200) for i in range(30)]
+    at(rows).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("ts timestamp, source string, http_status int").parquet(str(tmp_path / "in"))
+
+    def run():
+        streams.breaker(stream).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination(120)
+        return sorted((x["source"], int(x["ts"].timestamp()) - 100_000, x["state"]) for x in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert run() == [("s", 10, "disabled"), ("s", 610, "enabled")]
+    # disabled again, and enabled by the watermark alone
+    at([(i, "s", 500) for i in range(800, 811)]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run()[-1] == ("s", 810, "disabled")
+    at([(5000, "t", 200)]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run()[-2:] == [("s", 810, "disabled"), ("s", 1410, "enabled")]
+
+
+def test_todo_stream_forgets_nothing(spark, tmp_path):
+    made = lambda rows: spark.createDataFrame(rows, "i int, record_id string").select(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("i")).alias("ts"), "record_id").coalesce(1)
+    done = spark.createDataFrame([("old",)], "record_id string")
+    made([(0, "a"), (1, "old")]).write.parquet(str(tmp_path / "in"))
+
+    def run():
+        stream = streams.stream_todo(spark.readStream.schema("ts timestamp, record_id string").parquet(str(tmp_path / "in")), done)
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).start().awaitTermination()
+        return sorted(x["record_id"] for x in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert run() == ["a"]
+    made([(7200, "a"), (7201, "b")]).write.mode("append").parquet(str(tmp_path / "in"))
+    assert run() == ["a", "b"]
+
+
+def test_maintained_queue_equals_the_batch_one(spark, tmp_path):
+    t = q.Tables(spark, SF)
+    rows = t.bucketed.withColumn("ts", F.col("ts").cast("timestamp"))
+    rows.where("attempt_id % 2 = 0").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+
+    def run():
+        streams.maintain_queue(stream, str(tmp_path / "log"), str(tmp_path / "queue"), str(tmp_path / "at"), 8).trigger(availableNow=True).start().awaitTermination()
+        got = spark.read.parquet(str(tmp_path / "queue")).drop("bucket_no")
+        want = streams.queue_from_attempts(spark.read.parquet(str(tmp_path / "in")))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+    run()
+    rows.where("attempt_id % 2 = 1 and record_id < '3'").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+
+
+def test_queue_states(spark):
+    rows = [("a", 1, "x", "not_found"), ("a", 2, "y", "other"), ("b", 1, "x", "empty"), ("b", 2, "y", "empty"), ("c", 1, "x", "empty"), ("d", 1, streams.NO_LOOKUP, "timeout_or_exception")]
+    df = spark.createDataFrame([(r, i, s, b, f"e{i}") for r, i, s, b in rows], "record_id string, attempt_id int, source string, bucket string, error string").withColumn("ts", F.timestamp_seconds("attempt_id"))
+    got = {x["record_id"]: (x["status"], x["reason"], x["last_error"], x["resolved_via"], x["attempts"]) for x in streams.queue_from_attempts(df, ("x", "y")).collect()}
+    assert got == {"a": ("recovered", "not_found", "e1", "y", 2), "b": ("exhausted", "empty", "e2", None, 2), "c": ("pending", "empty", "e1", None, 1), "d": ("failed_no_doi", "timeout_or_exception", "e1", None, 1)}
+
+
+def test_ranks_of_few_keys(spark):
+    rows = [(i, i % 2 if i % 7 else None, f"t{i * 7919 % 1000:04d}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "i int, k int, name string")
+    for descending in (False, True):
+        for tie in ("name", "i"):
+            got = {x["i"]: x["rank"] for x in windows.global_rank(df, "k", tie, descending, 16).collect()}
+            order = sorted(rows, key=lambda r: (r[1] is None, (-r[1] if descending else r[1]) if r[1] is not None else 0, r[2] if tie == "name" else r[0]))
+            assert got == {r[0]: n for n, r in enumerate(order, 1)}
+
+
+def test_runs_over_days(spark):
+    status = [500] * 3 + [200] + [500] * 9 + [200] * 2 + [500] * 4
+    rows = [(i, "s", i * 20_000, x) for i, x in enumerate(status)] + [(100, "u", 0, 200), (101, "v", 5, 503)]
+    df = spark.createDataFrame(rows, "attempt_id int, source string, at int, http_status int").withColumn("ts", F.timestamp_seconds("at"))
+    assert {(x["source"], x["longest"]) for x in windows.consecutive_errors(df).collect()} == {("s", 9), ("v", 1)}
+
+
+def test_first_success_counts_what_came_before(spark):
+    rows = [("a", 1, 10, False), ("a", 2, 10, True), ("a", 3, 5, False), ("a", 4, 20, False), ("b", 5, 1, True), ("c", 6, 1, False)]
+    df = spark.createDataFrame(rows, "record_id string, attempt_id int, at int, ok boolean").withColumn("ts", F.timestamp_seconds("at")).withColumn("source", F.concat(F.lit("s"), "attempt_id"))
+    assert {tuple(x) for x in windows.first_success(df).collect()} == {("a", "s2", 2), ("b", "s5", 0)}
+
+
+@pytest.mark.parametrize(
+    ("raw", "want"),
+    [("10.1234/abc5Abstract", ["10.1234/abc5Abstract", "10.1234/abc5", "10.1234/abc5Abstrac", "10.1234/abc5Abstra", "10.1234/abc5Abstr"]), ("10.1234/abc).}", ["10.1234/abc).}", "10.1234/abc"]), ("x", [])],
+)
+def test_doi_candidates_in_order(spark, raw, want):
+    assert one(spark, raw, "string", ids.doi_candidates) == want
+
+
+def test_sources_and_sinks(spark, tmp_path):
+    schema = spark.createDataFrame([], "record_id string, n int").schema
+    rows = spark.createDataFrame([("1", 2), ("3", 4)], schema)
+    readers.append_results(rows, str(tmp_path / "rows"))
+    readers.append_results(rows, str(tmp_path / "rows"))
+    assert spark.read.parquet(str(tmp_path / "rows")).count() == 4
+    for fmt, sep in (("csv", ","), ("tsv", "\t")):
+        readers.write_report(rows.select("n", "record_id"), str(tmp_path / fmt), ["record_id", "n"], fmt)
+        assert sorted(map(tuple, readers.read_delimited(spark, str(tmp_path / fmt), schema, sep).collect())) == [("1", 2), ("3", 4)]
+    readers.write_report(rows, str(tmp_path / "json"), ["n"], "json")
+    assert spark.read.json(str(tmp_path / "json")).columns == ["n"]
+    (tmp_path / "short.tsv").write_text("record_id\tn\n1\t2\nonly\n5\t6\n")
+    assert sorted(x["record_id"] for x in readers.read_delimited(spark, str(tmp_path / "short.tsv"), schema).collect()) == ["1", "5"]
+    (tmp_path / "12_final.txt").write_text("whole\ntext")
+    assert [tuple(x) for x in readers.read_documents(spark, str(tmp_path / "12_*.txt")).collect()] == [("12", "12_final", "whole\ntext")]
+    (tmp_path / "a.bin").write_bytes(b"%PDF-1")
+    x = readers.read_payloads(spark, str(tmp_path / "a.bin")).first()
+    assert (x["size"], x["magic"], len(x["sha256"])) == (6, "25504446", 64)
+    log = readers.parse_run_log(spark.createDataFrame([("n=3 ok=2.5 end",)], "value string")).collect()
+    assert [(x["key"], x["value"]) for x in log] == [("n", 3.0), ("ok", 2.5)]
+    rows.write.parquet(str(tmp_path / "cat" / "records.parquet"))
+    assert readers.read_catalog(spark, str(tmp_path / "cat"), ("records",))["records"].count() == 2
+    page = '<meta name="citation_author" content="Doe, Ann"><meta name="citation_doi" content="10.1/x"><meta name="citation_pdf_url" content="u.pdf">'
+    got = readers.extract_page_meta(spark.createDataFrame([(1, page)], "page_id int, html string")).first()
+    assert (got["surname"], got["doi"], got["document_url"]) == ("Doe", "10.1/x", "u.pdf")

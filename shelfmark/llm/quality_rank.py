@@ -32,6 +32,7 @@ PAIRS = 4_096
 STEPS = 600
 HASHED = 256
 HASHED_RIDGE = 1e-2
+GATHER_ROWS = 256
 CUT_VALUE = 0.3
 LOW_QUANTILE, HIGH_QUANTILE = 0.02, 0.98
 SEED = 7
@@ -152,13 +153,18 @@ def train(docs: DataFrame, labels: DataFrame, sample_most: int = SAMPLE_MOST) ->
     chosen = labels.where("quality in (0, 1)").where(fold() != 0).groupBy(F.col("doc_id").alias("labelled")).agg(F.max("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("labelled"), "labelled").limit(sample_most)
 
+    width = len(FEATURES) + HASHED
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
             for s in tk.slices(batch.column("text")):
                 x, bucket, first = features(s)
-                rows += list(np.hstack([x, word_shares(bucket, first)]).astype(np.float32))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(rows, pa.list_(pa.float32()))], names=["doc_id", "quality", "x"])
+                for at in range(0, len(s), GATHER_ROWS):  # short texts make many rows of a slice
+                    own = first[at : at + GATHER_ROWS + 1]
+                    part = np.hstack([x[at : at + GATHER_ROWS], word_shares(bucket[own[0] : own[-1]], own - own[0])]).astype(np.float32)
+                    ends = pa.array(np.arange(len(part) + 1, dtype=np.int32) * width)
+                    rows = batch.slice(s.first + at, len(part))
+                    yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("quality"), pa.ListArray.from_arrays(ends, pa.array(part.ravel()))], names=["doc_id", "quality", "x"])
 
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled")).select("doc_id", "quality", "text")
     found = rows.mapInArrow(gather, "doc_id long, quality int, x array<float>")

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder for tables of a run: the one of ``spark.checkpoint.dir``, else the warehouse's."""
@@ -27,7 +29,12 @@ def file_mark(spark: SparkSession, path: str) -> str | None:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give executors this package, once an application, so that workers can import its functions."""
+    """Give executors this package, once an application, so that workers can import its functions.
+
+    Arrow batches end at 4 MB unless the session says otherwise, so that 10,000 long texts aren't held at once on both sides.
+    """
+    if BATCH_BYTES not in spark.conf.getAll:
+        spark.conf.set(BATCH_BYTES, "4m")
     app = spark.sparkContext.applicationId
     if app not in _SHIPPED:
         root = Path(__file__).resolve().parent

@@ -122,7 +122,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), tk.long_list(list(_sets(batch)))], names=["doc_id", "shingles"])
 
 
-def _matched(rows: DataFrame, key: str, table: DataFrame, how: str = "inner") -> DataFrame:
+def matched(rows: DataFrame, key: str, table: DataFrame, how: str = "inner") -> DataFrame:
     """``rows`` with the columns of ``table``, which has one row a key and in ``n`` how many of ``rows`` hold it (keys held once may be missing)."""
     total = table.agg(F.sum("n")).first()[0] or 0
     hot = F.broadcast(table.where(F.col("n") > max(HOT_LEAST, total // HOT_MOST)))
@@ -202,7 +202,7 @@ class _Run:
         tokens = full.select(F.col("doc_id").alias("rep"), F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
         held = self.staged(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "held-twice")
         order = Window.partitionBy("rep", "size").orderBy(F.coalesce("n", F.lit(1)), "token")
-        ranked = _matched(tokens, "token", held, "left").withColumn("at", F.row_number().over(order) - 1)
+        ranked = matched(tokens, "token", held, "left").withColumn("at", F.row_number().over(order) - 1)
         ranked = ranked.where(F.col("at") * 100 <= F.col("size") * (100 - self.percent)).where("n > 1").select("token", "rep", "size", "at")
         return self.staged(ranked, "prefixes")
 
@@ -216,7 +216,7 @@ class _Run:
         prefixes = self.staged(prefixes, "prefix-parts")
         leader = prefixes.groupBy("token").agg(F.min_by(F.struct("rep", "part"), F.struct("at", "rep")).alias("x"), F.count("*").alias("n"))
         leader = self.staged(leader.where("n > 1").select("token", F.col("x.rep").alias("leader"), F.col("x.part").alias("its"), "n"), "token-leaders")
-        pairs = _matched(prefixes, "token", leader).where("part <> its")
+        pairs = matched(prefixes, "token", leader).where("part <> its")
         return pairs.select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
 
     def prefix_pairs(self, prefixes: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ class _Run:
         main = sizes.groupBy("token").agg(F.max_by("part", F.struct("k", "part")).alias("main"), F.count("*").alias("parts"), F.sum("k").alias("n")).where("parts > 1")
         main = self.staged(main.select("token", "main", "n"), "main-parts")
         step = F.floor(F.log(F.col("size").cast("double")) / (math.log(100 / self.percent) * 1.0001)).cast("int")
-        rows = self.staged(_matched(prefixes, "token", main).drop("n").withColumn("step", step), "open-prefixes")
+        rows = self.staged(matched(prefixes, "token", main).drop("n").withColumn("step", step), "open-prefixes")
         outside = rows.where("part <> main")
 
         def pairs(small: DataFrame, large: DataFrame) -> DataFrame:
@@ -260,13 +260,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     rows = classes.select("rep", F.posexplode("bands").alias("band", "value")).select("rep", "band", F.xxhash64("band", "value").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", F.col("band") % LEADER_ORDERS)).alias("leader")).where("n > 1")
-    members = staged(_matched(rows, "bucket", staged(shared, "bucket-leaders")).select("bucket", "leader", "rep"), "buckets")
+    members = staged(matched(rows, "bucket", staged(shared, "bucket-leaders")).select("bucket", "leader", "rep"), "buckets")
     first = members.where("rep <> leader").select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b")).distinct()
     links = staged(run.confirmed(first, classes), "links")
 
     part = staged(members.where("rep <> leader").select("bucket", "rep").join(run.parts(classes, links), "rep"), "bucket-parts")
     open_ = part.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).where("low <> high")
-    open_ = staged(_matched(part, "bucket", staged(open_.select("bucket", "n"), "open-buckets")).select("rep", "part").distinct(), "open-classes")
+    open_ = staged(matched(part, "bucket", staged(open_.select("bucket", "n"), "open-buckets")).select("rep", "part").distinct(), "open-classes")
     prefixes = run.prefixes(open_)
     second = staged(run.star_pairs(prefixes.join(open_, "rep")).join(first, ["a", "b"], "left_anti"), "second-pairs")
     links = staged(links.unionByName(run.confirmed(second, classes)), "links")

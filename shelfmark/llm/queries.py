@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.llm import decontam, langid, lm_scoring, mixing, near_dup, quality_rank, quality_rules, revisits, sharding, token_count
+from shelfmark.llm import chat_repair, decontam, langid, lm_scoring, mixing, near_dup, quality_rank, quality_rules, revisits, sharding, spelling, token_count, vector_dup
 from shelfmark.session import ship
 
 
@@ -52,12 +54,25 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair_digest(_table(spark, sf_dir, "conversations"))
+
+
+def op13_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dup.vector_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
         for f in (
             op1_sharding, op2_lm_scoring, op3_token_counts, op4_mixing, op5_quality_rules,
             op6_quality_classifier, op7_language, op8_decontamination, op9_revisits, op10_near_duplicates,
+            op11_spelling_variants, op12_conversation_repair, op13_vector_duplicates,
         )
     }
 
@@ -173,5 +188,56 @@ FROM checked
 """
 
 
+VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, e FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM embeddings
+  UNION
+  SELECT l.v, r.root FROM reach r JOIN links l ON l.u = r.node)
+SELECT e.vec_id, coalesce(k.n, 0) AS n_links, c.root AS component_id, e.vec_id = c.root AS kept
+FROM embeddings e LEFT JOIN (SELECT u, count(*) AS n FROM links GROUP BY u) k ON k.u = e.vec_id
+JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) c ON c.node = e.vec_id
+"""
+
+#: The CRC-32 table is made by its rule; the bytes are those of code points below 0x800.
+_CRC_TABLE = str([zlib.crc32(bytes([i ^ 0xFF])) ^ 0xFF000000 for i in range(256)])
+SPELLING_SQL = r"""
+WITH RECURSIVE crc AS (SELECT CRC_TABLE::BIGINT[] AS t),
+runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{6,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+per AS (SELECT doc_id, run, count(*) AS k FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT *, flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [(192 + ord(c) // 64)::BIGINT, (128 + ord(c) % 64)::BIGINT] END)) AS b FROM per),
+hashed AS (
+  SELECT doc_id, run, k, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(t[xor(c, x) % 256 + 1], c // 256)), 4294967295::BIGINT) AS h FROM bytes, crc),
+words AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM hashed)
+  GROUP BY word HAVING sum(k) >= 5 AND length(word) >= 6),
+gone AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word)))::INT AS i FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b, b.n FROM gone a JOIN gone b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM words a JOIN gone b ON b.rest = a.word
+  UNION SELECT b.word, a.word, a.n FROM words a JOIN gone b ON b.rest = a.word),
+best AS (SELECT a, count(*) AS n_near, min(struct_pack(less := -n, b := b)) AS x FROM near GROUP BY a),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -x.less >= 5 * w.n THEN x.b END AS form, CASE WHEN -x.less >= 5 * w.n THEN -x.less END AS form_n
+  FROM words w LEFT JOIN best ON best.a = w.word),
+way AS (
+  SELECT word, form AS root FROM formed WHERE form IS NOT NULL
+  UNION ALL SELECT way.word, f.form FROM way JOIN formed f ON f.word = way.root WHERE f.form IS NOT NULL),
+ends AS (SELECT way.word, way.root FROM way JOIN formed f ON f.word = way.root WHERE f.form IS NULL)
+SELECT formed.word, form, coalesce(root, formed.word) AS root, n, n_near, form_n FROM formed LEFT JOIN ends ON ends.word = formed.word
+""".replace("CRC_TABLE", _CRC_TABLE)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": MIXING_SQL, "op9_revisits": REVISITS_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL}
+    return {
+        "op4_mixing": MIXING_SQL, "op9_revisits": REVISITS_SQL, "op10_near_duplicates": NEAR_DUPLICATES_SQL,
+        "op11_spelling_variants": SPELLING_SQL, "op13_vector_duplicates": VECTORS_SQL,
+    }

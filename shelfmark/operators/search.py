@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfmark.operators import index, match
 from shelfmark.operators.windows import global_rank
 
 #: Letters with diacritics and what stands for them.
@@ -21,52 +22,28 @@ def build_postings(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.posexplode(terms_of("text")).alias("pos", "term")).select("term", "doc_id", "pos")
 
 
-#: Folders of a kept index; a term's or trigram's rows lie in one of them.
-INDEX_FOLDERS = 64
-
-
-def _folder(key) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(INDEX_FOLDERS)).cast("int")
-
-
-def write_index(rows: DataFrame, key: str, path: str) -> None:
-    """Postings or trigrams kept on disk in folders by a hash of ``key`` and in its order, so that a search reads little of them."""
-    parts = rows.withColumn("folder", _folder(F.col(key)))
-    parts = parts.repartition("folder", F.pmod(F.xxhash64("doc_id"), F.lit(8))).sortWithinPartitions("folder", key, "doc_id")
-    parts.write.mode("overwrite").partitionBy("folder").parquet(path)
-
-
 def _lookup(rows: DataFrame, key: str, values: list[str]) -> DataFrame:
     """The rows of these keys; of a kept index only their folders are read."""
     found = rows.where(F.col(key).isin(*values))
     if "folder" not in rows.columns:
         return found
-    here = F.lit(False)
-    for value in values:
-        here = here | (F.col("folder") == _folder(F.lit(value)))
-    return found.where(here)
+    return found.where(F.col("folder").isin(sorted({index.folder_number(x) for x in values})))
 
 
-def search_term(postings: DataFrame, term: str) -> DataFrame:
+def search_term(postings: DataFrame, word: str) -> DataFrame:
     """Documents with the term, or with a term of that prefix (``foo*``)."""
-    rows = postings.where(F.startswith("term", F.lit(term[:-1]))) if term.endswith("*") else _lookup(postings, "term", [term])
-    return rows.groupBy("doc_id").agg(F.count("*").alias("n"))
+    return match.search(postings, match.prefix(word[:-1]) if word.endswith("*") else match.term(word))
 
 
 def search_phrase(postings: DataFrame, words: list[str]) -> DataFrame:
-    """Documents where the words follow one another: equal starts over the words' postings, one grouping; a word may stand more than once."""
-    places = F.array().cast("array<int>")
-    for word in dict.fromkeys(words):
-        places = F.when(F.col("term") == word, F.array(*[F.lit(i) for i, w in enumerate(words) if w == word])).otherwise(places)
-    rows = _lookup(postings, "term", words).select("doc_id", "pos", F.explode(places).alias("at"))
-    starts = rows.groupBy("doc_id", (F.col("pos") - F.col("at")).alias("start")).agg(F.countDistinct("at").alias("k"))
-    return starts.where(F.col("k") == len(words)).groupBy("doc_id").agg(F.count("*").alias("n"))
+    """Documents where the words follow one another, and how often; a word may stand more than once."""
+    return match.search(postings, match.phrase(*words))
 
 
 def search_boolean(postings: DataFrame, all_of: list[str], none_of: list[str]) -> DataFrame:
-    hits = _lookup(postings, "term", [*all_of, *none_of]).groupBy("doc_id")
-    found = hits.agg(F.countDistinct(F.when(F.col("term").isin(*all_of), F.col("term"))).alias("k"), F.count_if(F.col("term").isin(*none_of) if none_of else F.lit(False)).alias("bad"))
-    return found.where((F.col("k") == len(all_of)) & (F.col("bad") == 0)).select("doc_id")
+    """Documents with all of some words and none of others; any other expression is for ``match.search``."""
+    e = match.All(tuple([*map(match.term, all_of), *(~match.term(x) for x in none_of)]))
+    return match.search(postings, e).select("doc_id")
 
 
 def search_regex(docs: DataFrame, pattern: str) -> DataFrame:
@@ -107,10 +84,17 @@ def fuse(axes: dict[str, DataFrame], weights: dict[str, float], k: int = 60) ->
     return rows.groupBy("doc_id").agg(F.round(F.sum("part"), 6).alias("score"), F.array_join(F.array_sort(F.collect_set("axis")), ",").alias("axes"))
 
 
+def trigrams_of(col: str) -> Column:
+    """All runs of three characters, in one pass over the text."""
+    return F.regexp_extract_all(F.lower(F.coalesce(F.col(col), F.lit(""))), F.lit("(?s)(?=(.{3}))"), F.lit(1))
+
+
 def build_trigrams(docs: DataFrame) -> DataFrame:
-    text = F.lower(F.coalesce("text", F.lit("")))
-    grams = F.when(F.length(text) >= 3, F.transform(F.sequence(F.lit(1), F.length(text) - 2), lambda i: F.substring(text, i, F.lit(3)))).otherwise(F.array().cast("array<string>"))
-    return docs.select("doc_id", F.explode(F.array_distinct(grams)).alias("gram"))
+    return docs.select("doc_id", F.explode(F.array_distinct(trigrams_of("text"))).alias("gram"))
+
+
+POSTINGS = index.Kind("postings", "term", build_postings, terms_of)
+TRIGRAMS = index.Kind("trigrams", "gram", build_trigrams, trigrams_of)
 
 
 def search_substring(docs: DataFrame, trigrams: DataFrame, needle: str) -> DataFrame:
@@ -121,8 +105,8 @@ def search_substring(docs: DataFrame, trigrams: DataFrame, needle: str) -> DataF
 
 
 def changed_docs(new: DataFrame, old: DataFrame) -> DataFrame:
-    """New documents and those whose time changed."""
-    return new.join(old.select("doc_id", F.col("mtime").alias("_old")), "doc_id", "left").where("_old is null or _old <> mtime").drop("_old")
+    """New documents and those whose time changed or is unknown."""
+    return new.join(old.select("doc_id", F.col("mtime").alias("_old")), "doc_id", "left").where("_old is null or mtime is null or _old <> mtime").drop("_old")
 
 
 def scan_needles(payloads: DataFrame, needles: list[str], least: int, most: int, preview: int = 200) -> DataFrame:

@@ -281,9 +281,9 @@ def _run(t: Tables, stream: DataFrame, name: str) -> DataFrame:
     """All that a stream gives for what is there now, through a file sink in the shared folder."""
     import uuid
 
-    from shelfmark.session import scratch_folder
+    from shelfmark.session import shared_folder
 
-    place = f"{scratch_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+    place = f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
     stream.writeStream.format("parquet").option("path", f"{place}/rows").option("checkpointLocation", f"{place}/state").trigger(availableNow=True).start().awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(f"{place}/rows")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import ids, outcomes
 from shelfmark.functions import text as tx
-from shelfmark.operators import joins, merges, reports, search, windows
+from shelfmark.operators import index, joins, match, merges, reports, search, windows
 from shelfmark.plans.fixtures import SQL, Tables
-from shelfmark.session import file_mark, scratch_folder
+from shelfmark.session import file_mark, shared_folder
 from shelfmark.sources import readers
 from shelfmark.streaming import streams
 
@@ -762,17 +763,17 @@ _POSTINGS = """, tok AS (SELECT doc_id, regexp_extract_all(lower(translate(text,
 """
 
 
-def _kept(t: Tables, name: str, key: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """An index of the documents, made when there is none for the files as they are, and read ever after."""
-    mark = hashlib.md5(f"{name}|{file_mark(t.spark, f'{t.sf_dir}/documents.parquet')}".encode()).hexdigest()
-    path = f"{scratch_folder(t.spark)}/search-{name}-{mark}"
-    if file_mark(t.spark, f"{path}/_SUCCESS") is None:
-        search.write_index(build(t.documents), key, path)
-    return t.spark.read.parquet(path)
+def _kept(t: Tables, kind: index.Kind) -> index.Index:
+    """The index of the documents, made when there is none for the files as they are, and read ever after."""
+    mark = hashlib.md5(str(file_mark(t.spark, f"{t.sf_dir}/documents.parquet")).encode()).hexdigest()
+    kept = index.Index(t.spark, f"{shared_folder(t.spark)}/search-{mark}", kind)
+    if not kept.snapshot()["number"]:
+        kept.refresh(t.documents.select("doc_id", "text", F.lit(0).alias("mtime")))
+    return kept
 
 
 def _postings(t: Tables) -> DataFrame:
-    return _kept(t, "postings", "term", search.build_postings)
+    return _kept(t, search.POSTINGS).rows()
 
 
 @query(_POSTINGS + "SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs, max(pos) AS last_pos FROM postings GROUP BY 1")
@@ -800,6 +801,24 @@ def j2_search_boolean(t):
     return search.search_boolean(_postings(t), ["the", "and"], ["licensed"])
 
 
+_LEAVES = _POSTINGS + """, pairs AS (SELECT a.doc_id, a.term || ' ' || b.term AS p FROM postings a JOIN postings b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1),
+hits AS (SELECT d.doc_id, (SELECT count(*) FROM pairs p WHERE p.doc_id = d.doc_id AND p.p = 'of the') AS of_the, (SELECT count(*) FROM postings p WHERE p.doc_id = d.doc_id AND p.term = 'license') AS license,
+  (SELECT count(*) FROM postings p WHERE p.doc_id = d.doc_id AND starts_with(p.term, 'copy')) AS copy, (SELECT count(*) FROM postings p WHERE p.doc_id = d.doc_id AND starts_with(p.term, 'd')) AS d,
+  (SELECT count(*) FROM postings p WHERE p.doc_id = d.doc_id AND p.term = 'and') AS and_ FROM documents d)
+"""
+
+
+@query(_LEAVES + "SELECT doc_id, of_the + license + copy + and_ AS n FROM hits WHERE (of_the > 0 OR license > 0 OR (copy > 0 AND NOT d > 0)) AND NOT (license > 0 AND NOT and_ > 0)")
+def j2_search_tree(t):
+    license_, and_ = match.term("license"), match.term("and")
+    return match.search(_postings(t), (match.phrase("of", "the") | license_ | (match.prefix("copy") & ~match.prefix("d"))) & ~(license_ & ~and_))
+
+
+@query(_LEAVES + "SELECT doc_id, d AS n FROM hits WHERE NOT (of_the > 0 OR license > 0) OR NOT (d = 0)")
+def j2_search_not(t):
+    return match.search(_postings(t), ~(match.phrase("of", "the") | match.term("license")) | match.prefix("d"), _kept(t, search.POSTINGS).docs())
+
+
 @query("""SELECT doc_id FROM documents WHERE regexp_matches(text, 'CC BY|MIT License')""")
 def j3_search_regex(t):
     return search.search_regex(t.documents, "CC BY|MIT License")
@@ -832,7 +851,18 @@ def j6_fuse(t):
 
 @query("""SELECT doc_id FROM documents WHERE contains(lower(text), 'license')""")
 def j7_search_substring(t):
-    return search.search_substring(t.documents, search.build_trigrams(t.documents), "license")
+    return search.search_substring(t.documents, _kept(t, search.TRIGRAMS).rows(), "license")
+
+
+@query(_POSTINGS + "SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs, sum(pos)::BIGINT AS places FROM postings GROUP BY 1")
+def k8_refreshed_index(t):
+    """An index of an older state (a tenth not there yet, a quarter cut short, some that have gone since), refreshed to the documents."""
+    kept = index.Index(t.spark, f"{shared_folder(t.spark)}/refreshed-{uuid.uuid4().hex}", search.POSTINGS)
+    d = t.documents.select("doc_id", "text")
+    old = d.where("doc_id % 10 <> 0").select("doc_id", F.expr("CASE WHEN doc_id % 4 = 1 THEN substr(text, 1, 40) ELSE text END").alias("text"), F.lit(1).alias("mtime"))
+    kept.refresh(old.unionByName(d.where("doc_id % 50 = 3").select((-F.col("doc_id") - 1).alias("doc_id"), "text", F.lit(1).alias("mtime"))))
+    kept.refresh(d.select("doc_id", "text", F.when(F.col("doc_id") % 4 == 1, 2).otherwise(1).alias("mtime")))
+    return kept.rows().groupBy("term").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"), F.sum("pos").cast("long").alias("places"))
 
 
 @query("""SELECT w AS start, source, count(*) FILTER (http_status <> 200) AS failures, count(*) AS n, count(*) FILTER (http_status <> 200) > 2 AS unhealthy FROM (SELECT *, unnest(range(0, 5)) AS i, time_bucket(INTERVAL 1 minute, ts) - INTERVAL 1 minute * i AS w FROM attempts) GROUP BY 1, 2""".replace("unnest(range(0, 5)) AS i, time_bucket(INTERVAL 1 minute, ts) - INTERVAL 1 minute * i AS w FROM attempts", "time_bucket(INTERVAL 1 minute, ts) - INTERVAL 1 minute * i AS w FROM (SELECT *, unnest(range(0, 5)) AS i FROM attempts)"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -9,20 +10,33 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+_OWN: dict[str, str] = {}
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder for tables of a run: the one of ``spark.checkpoint.dir``, else the warehouse's."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return named.rstrip("/")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; one of our own only on a single machine that names none."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="spark-stage-")
+    return _OWN[app]
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def file_mark(spark: SparkSession, path: str) -> str | None:
     """Names, sizes and times of the files at a path, as one text; none if there is nothing."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system, place = file_system(spark, path)
     if not system.exists(place):
         return None
     return "|".join(sorted(f"{x.getPath()},{x.getLen()},{x.getModificationTime()}" for x in system.listStatus(place)))

@@ -37,8 +37,8 @@ def clean_title(col: Column) -> Column:
     return F.substring(F.trim(F.regexp_replace(col, r"[^A-Za-z0-9]+", " ")), 1, 200)
 
 
-def extract_emails(col: Column, head: int | None = 4000) -> Column:
-    """Addresses in the first ``head`` characters, or in the whole text."""
+def extract_emails(col: Column, head: int | None = None) -> Column:
+    """Addresses in the whole text, or in its first ``head`` characters."""
     start = F.coalesce(col, F.lit(""))
     start = start if head is None else F.substring(start, 1, head)
     open_ = F.regexp_replace(F.regexp_replace(start, r"(?i)\s+(?:at|\[at\]|\(at\))\s+", "@"), r"(?i)\s+(?:dot|\[dot\]|\(dot\))\s+", ".")
@@ -51,7 +51,7 @@ def split_multi_email(col: Column) -> Column:
     parts = F.transform(F.split(F.coalesce(col, F.lit("")), r"(?i)\s+or\s+|\s+and\s+|[;,/\s]+"), lambda x: F.regexp_replace(x, r"^[<>(),:;]+|[<>(),:;]+$", ""))
     valid = F.array_distinct(F.filter(parts, lambda x: F.regexp_like(x, F.lit(f"^{EMAIL}$"))))
     none = F.array().cast("array<string>")
-    return F.when(F.size(valid) > 0, F.struct(F.get(valid, F.lit(0)).alias("primary"), F.slice(valid, 2, 1000).alias("extras"))).otherwise(F.struct(col.alias("primary"), none.alias("extras")))
+    return F.when(F.size(valid) > 0, F.struct(F.get(valid, F.lit(0)).alias("primary"), F.slice(valid, 2, F.size(valid)).alias("extras"))).otherwise(F.struct(col.alias("primary"), none.alias("extras")))
 
 
 def email_checks(email: Column, authors: Column, own_domains: list[str]) -> Column:

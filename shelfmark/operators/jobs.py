@@ -56,7 +56,7 @@ def findability(docs: DataFrame, registry: DataFrame, kind: str = "data") -> dic
     return {"validated": validated, "verdicts": verdicts, "report": reports.findability_report(verdicts), "rates": reports.signal_rates(validated), "types": reports.strong_types(validated)}
 
 
-def contacts(docs: DataFrame, own_domains: list[str], head: int | None = 4000) -> DataFrame:
+def contacts(docs: DataFrame, own_domains: list[str], head: int | None = None) -> DataFrame:
     """email, papers, orgs and verdict of every address in the documents (doc_id, text, org_code); reachability isn't looked up."""
     found = docs.select(F.col("doc_id").alias("record_id"), "org_code", F.explode(tx.extract_emails(F.col("text"), head)).alias("email"))
     k = tx.email_checks(F.col("email"), F.lit(None).cast("string"), own_domains)

@@ -100,10 +100,25 @@ def triangulate(bindings: DataFrame, authors: DataFrame, generic: list[str]) ->
     )
 
 
-def match_titles(records: DataFrame, preprints: DataFrame) -> DataFrame:
-    """Each record's first preprint (by id) of the same surname whose title matches."""
-    j = records.join(preprints.select("surname", F.col("title").alias("p_title"), "preprint_id"), "surname").where(tx.title_match(F.col("title"), F.col("p_title")))
-    return j.groupBy("record_id").agg(F.min("preprint_id").alias("preprint_id"))
+def match_titles(records: DataFrame, preprints: DataFrame, threshold: float = 0.7) -> DataFrame:
+    """Each record's first preprint (by id) of the same surname whose title matches.
+
+    Titles of one surname meet only in a rare token: a match holds ``ceil(threshold * n)`` of a record's n tokens, so it holds
+    one of any ``n - ceil(threshold * n) + 1`` of them, and those that the fewest titles of the surname hold are looked up. Equal token sets of one surname,
+    on either side, are one row there, so that copies of a title never pair up. A record without tokens matches nothing.
+    """
+    q = records.select("record_id", "surname", F.array_sort(F.array_except(tx.tokens(F.col("title")), F.array(*map(F.lit, tx.STOP_WORDS)))).alias("q"))
+    p = preprints.groupBy("surname", F.array_sort(tx.tokens(F.col("title"))).alias("t")).agg(F.min("preprint_id").alias("preprint_id"))
+    tokens = p.select("surname", F.explode("t").alias("token"), "t", "preprint_id")
+    held = tokens.groupBy("surname", "token").agg(F.count("*").alias("n"))
+    asked = q.where(F.size("q") > 0).select("surname", "q").distinct()
+    need = F.ceil(F.lit(threshold) * F.size("q"))
+    rare = F.row_number().over(Window.partitionBy("surname", "q").orderBy(F.coalesce("n", F.lit(0)), "token"))
+    asked = asked.select("surname", "q", F.explode("q").alias("token")).join(held, ["surname", "token"], "left")
+    asked = asked.withColumn("at", rare).where((F.col("at") <= F.size("q") - need + 1) & F.col("n").isNotNull()).select("surname", "token", "q")
+    fits = F.size(F.array_intersect("q", "t")) >= F.lit(threshold) * F.size("q")
+    best = asked.join(tokens, ["surname", "token"]).where((F.size("t") >= need) & fits).groupBy("surname", "q").agg(F.min("preprint_id").alias("preprint_id"))
+    return q.join(best, ["surname", "q"]).groupBy("record_id").agg(F.min("preprint_id").alias("preprint_id"))
 
 
 def probe_transitions(a: DataFrame, b: DataFrame) -> DataFrame:

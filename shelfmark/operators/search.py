@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import index, match
 from shelfmark.operators.windows import global_rank
+from shelfmark.session import staged
 
 #: Letters with diacritics and what stands for them.
 ACCENTED, PLAIN = "áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇ", "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNC"
@@ -54,13 +55,65 @@ def search_fields(docs: DataFrame, fields: DataFrame, field: str, like: str) ->
     return docs.join(fields.where((F.col("field") == field) & F.col("value").like(like)).select("doc_id"), "doc_id", "left_semi")
 
 
-def search_jaccard(docs: DataFrame, queries: DataFrame, top: int = 5) -> DataFrame:
-    """Each query's best documents by token Jaccard; pairs arise only from shared terms."""
-    d = docs.select("doc_id", F.explode(F.array_distinct(terms_of("text"))).alias("term"))
-    q = queries.select("query_id", F.explode(F.array_distinct(terms_of("text"))).alias("term"))
-    nd, nq = d.groupBy("doc_id").agg(F.count("*").alias("nd")), q.groupBy("query_id").agg(F.count("*").alias("nq"))
-    shared = d.join(q, "term").groupBy("query_id", "doc_id").agg(F.count("*").alias("k"))
-    scored = shared.join(nd, "doc_id").join(nq, "query_id").withColumn("score", F.round(F.col("k") / (F.col("nd") + F.col("nq") - F.col("k")), 6))
+#: Rows of a query's rarest terms that find its first documents, and how many of those are scored (at least ``top``).
+SEED_ROWS, SEEDS = 500, 20
+_ROUNDING = 1e-6
+
+
+def build_term_sets(docs: DataFrame) -> DataFrame:
+    """term, doc_id, nd: the different tokens of every text, with their number."""
+    return docs.select("doc_id", F.array_distinct(terms_of("text")).alias("d")).select("doc_id", F.size("d").alias("nd"), F.explode("d").alias("term")).select("term", "doc_id", "nd")
+
+
+def _overlaps(pairs: DataFrame, held: DataFrame, asked: DataFrame) -> DataFrame:
+    """query_id, doc_id and score of the pairs, from all terms that a document has of those asked for."""
+    sets = held.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.first("nd").alias("nd"), F.collect_set("term").alias("d"))
+    both = pairs.join(asked, "query_id").join(sets, "doc_id").withColumn("k", F.size(F.array_intersect("d", "terms")))
+    return both.select("query_id", "doc_id", F.round(F.col("k") / (F.col("nd") + F.size("terms") - F.col("k")), 6).alias("score"))
+
+
+def jaccard_candidates(docs: DataFrame, queries: DataFrame, top: int, kept: index.Index | None = None) -> tuple[DataFrame, DataFrame]:
+    """The scored pairs (query_id, doc_id, score) among which are each query's ``top``, and the pairs that were only bounded.
+
+    Terms go from rare to frequent. Of the documents of a query's rarest terms the most promising are scored first; the score of the ``top``-th is what others have to
+    reach, and the more terms a document has, the more of them must be shared. A document that must share m of a query's n terms has one of the first n - m + 1, so a
+    posting makes a pair only if its term stands that early for its document's size. With c of the first p terms shared, c + n - p are shared at most
+    and c at least: pairs that by the first can't reach what others reach by the second are left before their token sets are read.
+    """
+    asked = queries.select("query_id", F.explode(terms_of("text")).alias("term")).groupBy("query_id").agg(F.collect_set("term").alias("terms"))
+    asked = staged(asked, "jaccard-queries")
+    terms = asked.select("query_id", F.size("terms").alias("nq"), F.explode("terms").alias("term"))
+    held = (build_term_sets(docs) if kept is None else kept.rows()).join(terms.select("term").distinct(), "term", "left_semi").select("term", "doc_id", "nd")
+    held = staged(held, "jaccard-terms")
+    rare = Window.partitionBy("query_id").orderBy("n", "term")
+    counts = terms.join(held.groupBy("term").agg(F.count("*").alias("n")), "term")
+    ranked = counts.withColumns({"at": F.row_number().over(rare), "rows": F.sum("n").over(rare.rowsBetween(Window.unboundedPreceding, 0))})
+    ranked = staged(ranked.withColumn("found", F.count("*").over(Window.partitionBy("query_id"))), "jaccard-ranks")
+
+    met = ranked.where((F.col("rows") <= SEED_ROWS) | (F.col("at") == 1)).join(held, "term").groupBy("query_id", "doc_id", "nq", "nd").agg(F.count("*").alias("c"))
+    best = Window.partitionBy("query_id").orderBy(F.desc(F.col("c") / (F.col("nq") + F.col("nd") - F.col("c"))), "doc_id")
+    first = staged(met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= max(top, SEEDS)).select("query_id", "doc_id"), "jaccard-seeds")
+    scored = staged(_overlaps(first, held, asked), "jaccard-first")
+    nth = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("rank") == top).select("query_id", F.col("score").alias("least"))
+
+    # a score of s takes s / (1 + s) of the two sizes together as shared terms; terms that no document holds aren't shared, so ``found`` of nq count
+    need = lambda least: F.greatest(F.lit(1), F.ceil((F.col(least) - _ROUNDING) * (F.col("nq") + F.col("nd")) / (1 + F.col(least)) - _ROUNDING))
+    first_terms = F.col("found") - need("least") + 1
+    ranked = ranked.join(nth, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
+    near = ranked.join(held, "term").where((F.col("at") <= first_terms) & (F.col("nd") >= need("least")))
+    met = near.groupBy("query_id", "doc_id", "nq", "nd", "least", "found").agg(F.count("*").alias("c")).withColumn("upto", first_terms)
+    met = staged(met.join(first, ["query_id", "doc_id"], "left_anti"), "jaccard-met")
+    sure = met.select("query_id", (F.col("c") / (F.col("nq") + F.col("nd") - F.col("c"))).alias("score")).unionByName(scored.select("query_id", "score"))
+    better = sure.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("rank") == top).select("query_id", F.col("score").alias("better"))
+    met = met.join(better, "query_id", "left").withColumn("better", F.coalesce("better", F.lit(0.0)))
+    met = met.withColumn("open", F.least(F.col("c") + F.col("found") - F.col("upto"), F.col("nd")) >= need("better"))
+    more = _overlaps(met.where("open").select("query_id", "doc_id"), held, asked)
+    return scored.unionByName(more), met.where(~F.col("open"))
+
+
+def search_jaccard(docs: DataFrame, queries: DataFrame, top: int = 5, kept: index.Index | None = None) -> DataFrame:
+    """Each query's best documents by token Jaccard, from the kept term sets where an index is given; ties go by doc_id."""
+    scored, _ = jaccard_candidates(docs, queries, top, kept)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).select("query_id", "doc_id", "score", "rank")
 
@@ -94,6 +147,7 @@ def build_trigrams(docs: DataFrame) -> DataFrame:
 
 
 POSTINGS = index.Kind("postings", "term", build_postings, terms_of)
+TERM_SETS = index.Kind("term-sets", "term", build_term_sets, terms_of)
 TRIGRAMS = index.Kind("trigrams", "gram", build_trigrams, trigrams_of)
 
 

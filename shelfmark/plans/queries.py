@@ -362,6 +362,14 @@ def c17_match_titles(t):
     return joins.match_titles(p.select("record_id", F.concat("surname", "title").alias("surname"), "title"), p.select(F.concat("surname", "title").alias("surname"), "title", "preprint_id"))
 
 
+@query(""", d AS (SELECT doc_id, lang, list_distinct(regexp_extract_all(lower(substr(text, 1, 60)), '[a-z0-9]+')) AS w, list_distinct(regexp_extract_all(lower(substr(text, 20, 90)), '[a-z0-9]+')) AS t FROM documents),
+q AS (SELECT doc_id, lang, list_filter(w, lambda x: NOT list_contains(['a', 'an', 'and', 'for', 'in', 'of', 'on', 'the', 'to', 'with'], x)) AS w FROM d)
+SELECT CAST(q.doc_id AS STRING) AS record_id, min(d.doc_id) AS preprint_id FROM q JOIN d ON q.lang = d.lang AND len(q.w) > 0 AND len(list_intersect(q.w, d.t)) >= 0.7 * len(q.w) GROUP BY 1""")
+def c17_rare_tokens(t):
+    r = t.documents.select(F.col("doc_id").cast("string").alias("record_id"), F.col("lang").alias("surname"), F.substring("text", 1, 60).alias("title"))
+    return joins.match_titles(r, t.documents.select(F.col("lang").alias("surname"), F.substring("text", 20, 90).alias("title"), F.col("doc_id").alias("preprint_id")))
+
+
 @query(""", p AS (SELECT record_id, CASE WHEN doc_id % 3 = 0 THEN 'ok' ELSE 'bad' END AS b, CASE WHEN doc_id % 4 = 0 THEN 'ok' ELSE 'bad' END AS a FROM records)
 SELECT b AS before, a AS after, CASE WHEN a = b THEN 'same' WHEN a = 'ok' THEN 'unlocked' ELSE 'lost' END AS change, count(*) AS n FROM p GROUP BY 1, 2, 3""")
 def c18_probe_transitions(t):
@@ -834,7 +842,7 @@ def j4_search_fields(t):
 s AS (SELECT item_id, doc_id, count(*) AS k FROM d JOIN qt USING (term) GROUP BY 1, 2), nd AS (SELECT doc_id, count(*) AS nd FROM d GROUP BY 1), nq AS (SELECT item_id, count(*) AS nq FROM qt GROUP BY 1), sc AS (SELECT item_id, doc_id, round(k / (nd + nq - k), 6) AS score FROM s JOIN nd USING (doc_id) JOIN nq USING (item_id))
 SELECT item_id AS query_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM sc QUALIFY rank <= 5""")
 def j5_search_jaccard(t):
-    return search.search_jaccard(t.documents, t.benchmark.select(F.col("item_id").alias("query_id"), "text"))
+    return search.search_jaccard(t.documents, t.benchmark.select(F.col("item_id").alias("query_id"), "text"), kept=_kept(t, search.TERM_SETS))
 
 
 @query("""SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], list_transform(range(1, 65), lambda i: 1.0::DOUBLE / i)) / (sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_dot_product(list_transform(range(1, 65), lambda i: 1.0::DOUBLE / i), list_transform(range(1, 65), lambda i: 1.0::DOUBLE / i)))), 5) AS cosine FROM embeddings ORDER BY cosine DESC, vec_id LIMIT 20""")

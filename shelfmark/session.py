@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 _OWN: dict[str, str] = {}
@@ -34,6 +35,13 @@ def file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written in the shared folder and read back, so that it is made once and a lost executor costs a re-read."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def file_mark(spark: SparkSession, path: str) -> str | None:
     """Names, sizes and times of the files at a path, as one text; none if there is nothing."""
     system, place = file_system(spark, path)

@@ -47,6 +47,26 @@ def test_split_addresses(spark, raw, primary, extras):
     assert (x["primary"], x["extras"]) == (primary, extras)
 
 
+def test_no_address_is_lost(spark):
+    many = "; ".join(f"a{i}@x.org" for i in range(1500))
+    x = one(spark, many, "string", tx.split_multi_email)
+    assert len(x["extras"]) == 1499 and x["extras"][-1] == "a1499@x.org"
+    assert one(spark, "z" * 5000 + " late@x.org", "string", tx.extract_emails) == ["late@x.org"]
+
+
+def test_tables_of_a_run_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    from shelfmark.session import shared_folder
+
+    unset = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: unset, master="spark://host:7077"), conf=unset)
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        shared_folder(cluster)
+    named = SimpleNamespace(get=lambda *_: "hdfs://n/x/")
+    assert shared_folder(SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: named))) == "hdfs://n/x"
+
+
 def test_hidden_address(spark):
     assert one(spark, "write to ann at example dot org", "string", tx.extract_emails) == ["ann@example.org"]
 

@@ -9,7 +9,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.operators import index, search
+from shelfmark.operators import index, joins, search
 from shelfmark.operators.match import Leaf, Not, Some, keys_of, leaves, phrase, prefix, term, true_when
 from shelfmark.operators.match import search as find
 from shelfmark.session import shared_folder
@@ -191,3 +191,57 @@ def test_trigrams_are_all_runs_of_three(spark):
     rows = {x["gram"] for x in search.build_trigrams(got).where("doc_id = 1").collect()}
     assert {text.lower()[i : i + 3] for i in range(len(text) - 2)} <= rows
     assert search.build_trigrams(got).where("doc_id > 1").count() == 0
+
+
+def test_best_overlaps_are_those_of_brute_force(spark):
+    rnd = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(120)]
+    often = lambda: vocabulary[int(len(vocabulary) * rnd.random() ** 3)]
+    rows = [(i, " ".join(often() for _ in range(rnd.choice([0, 3, 10, 40, 200])))) for i in range(300)]
+    rows += [(400 + i, rows[7][1]) for i in range(40)] + [(500, None), (501, "zz zz")]  # copies tie
+    asked = [(f"q{i}", " ".join(often() for _ in range(rnd.choice([1, 5, 20, 30])))) for i in range(25)] + [("same", rows[7][1] or "w1"), ("none", "unknown words"), ("empty", ""), ("null", None)]
+    docs, queries = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(asked, "query_id string, text string")
+    want = set()
+    for query_id, text in asked:
+        own, scores = set(tokens(text)), []
+        for doc_id, other in rows:
+            shared = len(own & set(tokens(other)))
+            if shared:
+                scores.append((-round(shared / (len(own) + len(set(tokens(other))) - shared), 6), doc_id))
+        want |= {(query_id, doc_id, -score, rank) for rank, (score, doc_id) in enumerate(sorted(scores)[:5], 1)}
+    assert {tuple(x) for x in search.search_jaccard(docs, queries).collect()} == want
+    kept = new_index(spark, search.TERM_SETS)
+    kept.refresh(docs.withColumn("mtime", F.lit(1)))
+    assert {tuple(x) for x in search.search_jaccard(docs, queries, kept=kept).collect()} == want
+
+
+def test_pairs_that_cannot_be_among_the_best_are_not_scored(spark):
+    rnd = random.Random(12)
+    rows = [(i, "the of and " + " ".join(f"r{rnd.randrange(3000)}" for _ in range(30))) for i in range(600)]
+    asked = [(f"q{i}", rows[i][1]) for i in range(10)]
+    docs, queries = spark.createDataFrame(rows + [(1000 + i, rows[i % 10][1]) for i in range(60)], "doc_id long, text string"), spark.createDataFrame(asked, "query_id string, text string")
+    scored, bounded = search.jaccard_candidates(docs, queries, 5)
+    assert scored.count() + bounded.count() <= 660  # of 6600 pairs that share a term
+
+
+@pytest.mark.parametrize("threshold", [0.7, 1.0, 0.34])
+def test_titles_match_as_by_brute_force(spark, threshold):
+    rnd = random.Random(13)
+    words = [f"t{i}" for i in range(25)] + ["the", "of", "and"]
+    title = lambda: " ".join(rnd.choice(words) for _ in range(rnd.randrange(0, 7)))
+    records = [(f"r{i}", "Smith" if i % 2 else rnd.choice(["Lee", "Kim", None]), title()) for i in range(150)] + [("r1", "Smith", "t1 t2"), (None, "Smith", "t3"), ("rn", "Smith", None)]
+    preprints = [(i, "Smith" if i % 2 else rnd.choice(["Lee", "Kim", None]), title()) for i in range(150)] + [(900 + i, "Smith", "t1 t2 t3") for i in range(80)]
+    stop, want = {"a", "an", "and", "for", "in", "of", "on", "the", "to", "with"}, {}
+    for record_id, surname, own in records:
+        q = set(tokens(own)) - stop
+        for preprint_id, other_name, other in preprints:
+            if surname and surname == other_name and q and len(q & set(tokens(other))) >= threshold * len(q):
+                want[record_id] = min(want.get(record_id, preprint_id), preprint_id)
+    a, b = spark.createDataFrame(records, "record_id string, surname string, title string"), spark.createDataFrame(preprints, "preprint_id long, surname string, title string")
+    assert {x["record_id"]: x["preprint_id"] for x in joins.match_titles(a, b, threshold).collect()} == want
+
+
+def test_copies_of_a_title_do_not_pair_up(spark):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("record_id"), F.lit("Smith").alias("surname"), F.lit("heat flow in rocks").alias("title"), F.col("id").alias("preprint_id"))
+    got = joins.match_titles(rows, rows)
+    assert got.count() == 20_000 and {x["preprint_id"] for x in got.select("preprint_id").distinct().collect()} == {0}

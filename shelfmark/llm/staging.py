@@ -2,32 +2,11 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_OWN: dict[str, str] = {}
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; one of our own only on a single machine that names none."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = tempfile.mkdtemp(prefix="spark-stage-")
-    return _OWN[app]
-
-
-def file_system(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path as it knows it."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+from shelfmark.session import file_system, shared_folder
 
 
 class Scratch:

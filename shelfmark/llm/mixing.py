@@ -1,24 +1,23 @@
 """Operator 4, mixing sources to target weights, with DataFrame functions only.
 
-Each source's texts, in hash order, are packed into one stream of words cut into blocks of a fixed length. The
-mix has as many slots of that length as all words fill, in output shards of 1024 slots. A source's share of the slots
-over all shards is its target's, to one slot; how many of them fall in which output shard is drawn at random: the slots,
+Each source's texts, in hash order, are packed into one stream of words, which is cut into blocks of equal length, to one word: as many
+as blocks of BLOCK words would fill, but at least LEAST_BLOCKS if there are as many words, so that a part of a small source can be taken too. A source
+gets as many slots as blocks make its target, so what it takes differs from that by half a block and by the odd words of blocks, whatever its size. All slots are put in output
+shards of 1024. How many of a source's slots fall in which shard is drawn at random: the slots,
 labelled with their sources, are put in the order of a hash and each run of 1024 is a shard. Every shard's source counts
 are thus multinomial draws given that the totals meet the targets (draws without that condition leave a small
 source several percent off). A source's slots, numbered over all shards, go through pseudorandom
 permutations of its block indices, one permutation for each pass over the source, and slots and blocks are
 joined by index. A document's ``taken`` words are the parts of it inside the blocks taken, with repeats.
 
-A permutation is the order of its numbers by a keyed hash.
-
-No block is taken more than three times: a slot that would be the fourth pass stays empty, which happens only to
-the last slot of a source whose target is three times its size.
+A permutation is the order of its numbers by a keyed hash. No block is taken more than three times, as no target is over three times its source's size.
 
 Slots and blocks grow with the corpus, so they are dealt out by source and run before they are listed, and
 their join is a sorted merge, never a broadcast. One row a source is sorted in one task for places and targets.
 
 Running sums go over buckets of a source first and then inside a bucket, so that a source with a third of all
-rows is still spread over many tasks.
+rows is still spread over many tasks. A bucket is a range of the hash that gives the order, so there can be as many as the rows ask for
+(one for about BUCKET_ROWS rows): their number doesn't change the result.
 
 Cases: a null or empty text has size 0 and takes nothing; a null source is a source like others and the last
 in order; rows that are equal in every way share their words' places in any order, so their results
@@ -28,15 +27,19 @@ them through whatever their names.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.staging import staged
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK = 64
+BLOCK, LEAST_BLOCKS = 64, 32
 SHARD_SLOTS = 1024
-BUCKETS = 4096
+BUCKET_ROWS = 20_000
+HASH_BITS = 60
+SHARD_GROUP = 4096
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
 RUN = 65_536
@@ -48,6 +51,16 @@ def hashed(*parts: str | Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *cols).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+def bucket_bits(rows: int) -> int:
+    """How many leading bits of the hash make a bucket of about BUCKET_ROWS of ``rows`` rows."""
+    return min(24, max(4, math.ceil(math.log2(max(1, rows) / BUCKET_ROWS))))
+
+
+def bucketed(rows: DataFrame, mark: Column, bits: int) -> DataFrame:
+    """``rows`` with ``mark``, which gives the order, and ``bucket``, a range of it."""
+    return rows.withColumn("mark", mark).withColumn("bucket", F.shiftright("mark", HASH_BITS - bits))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES) -> DataFrame:
     """source, source_size, n and target of every source.
 
@@ -71,11 +84,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     return per.withColumn("target", F.coalesce(target, F.lit(0.0))).select("source", "place", "source_size", "target")
 
 
-def placed(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def placed(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and start: where the document's words begin in its source's stream."""
     rows = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.crc32(F.col("text").cast("binary")).alias("crc"))
-    rows = rows.withColumn("mark", hashed("doc_id")).withColumn("bucket", F.col("mark") % buckets)
     rows = staged(rows, "mix-sizes")
+    rows = bucketed(rows, hashed("doc_id"), bucket_bits(rows.count()))
     per = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bytes"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select("source", "bucket", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base"))
@@ -89,9 +102,9 @@ def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def ranked(rows: DataFrame, by: list[str], number: str, name: str) -> DataFrame:
+def ranked(rows: DataFrame, by: list[str], number: str, name: str, bits: int) -> DataFrame:
     """``rows`` with ``rank``: the place, from 0, of ``number`` in the pseudorandom order of its group that ``name`` and the group name."""
-    rows = rows.withColumn("mark", hashed(F.lit(name), *by, number)).withColumn("bucket", F.col("mark") % BUCKETS)
+    rows = bucketed(rows, hashed(F.lit(name), *by, number), bits)
     before = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = rows.groupBy(*by, "bucket").agg(F.count("*").alias("in_bucket")).select(*by, "bucket", F.coalesce(F.sum("in_bucket").over(before), F.lit(0)).alias("base"))
     inside = F.row_number().over(Window.partitionBy(*by, "bucket").orderBy("mark", number)) - 1
@@ -106,25 +119,42 @@ def _listed(rows: DataFrame, first: str, last: str, name: str) -> DataFrame:
     return runs.withColumn(name, F.explode(F.sequence(begin, F.least(begin + RUN, F.col(last)) - 1))).drop("run")
 
 
-def source_slots(targets: DataFrame, block: int = BLOCK) -> DataFrame:
+def n_blocks(size: Column, block: int = BLOCK) -> Column:
+    """How many blocks a source of so many words is cut into."""
+    return F.greatest(F.ceil(size / block), F.least(size, F.lit(LEAST_BLOCKS))).cast("long")
+
+
+def block_of(word: Column, size: Column, n: Column) -> Column:
+    """The block that holds a word (from 0) of a source: the first ``size % n`` blocks are a word longer than the others."""
+    least, longer = F.floor(size / n), F.pmod(size, n)
+    head = longer * (least + 1)
+    return F.when(word < head, F.floor(word / (least + 1))).otherwise(longer + F.floor((word - head) / least)).cast("long")
+
+
+def block_start(index: Column, size: Column, n: Column) -> Column:
+    return (index * F.floor(size / n) + F.least(index, F.pmod(size, n))).cast("long")
+
+
+def source_slots(targets: DataFrame, block: int = BLOCK, most: int = MOST_PASSES) -> DataFrame:
     """place, n (blocks), low, high: the labels of each source's slots among all slots (sources without slots left out)."""
-    total = F.sum("source_size").over(Window.partitionBy())
-    along = Window.orderBy("place")
-    t = targets.where("source_size > 0").withColumn("all_slots", F.ceil(total / block)).withColumn("share", F.col("target") / total)
-    upto = F.sum("share").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    t = t.withColumn("high", F.least("all_slots", F.floor(F.col("all_slots") * upto + 0.5))).withColumn("low", F.coalesce(F.lag("high").over(along), F.lit(0)))
-    return t.select("place", F.ceil(F.col("source_size") / block).alias("n"), "low", "high").where("high > low")
+    along = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    t = targets.where("source_size > 0").withColumn("n", n_blocks(F.col("source_size"), block))
+    t = t.withColumn("slots", F.least(most * F.col("n"), F.floor(F.col("target") * F.col("n") / F.col("source_size") + 0.5)).cast("long"))
+    t = t.withColumn("high", F.sum("slots").over(along)).withColumn("low", F.col("high") - F.col("slots"))
+    return t.select("place", "n", "low", "high").where("high > low")
 
 
-def slot_counts(slots: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+def slot_counts(slots: DataFrame, shard_slots: int = SHARD_SLOTS, bits: int = 12) -> DataFrame:
     """place, shard, slots: the drawn source counts of every output shard."""
     labels = _listed(slots.select("place", "low", "high"), "low", "high", "label").select(F.lit(0).alias("all"), "place", "label")
-    return ranked(labels, ["all"], "label", "draw").groupBy("place", F.floor(F.col("rank") / shard_slots).alias("shard")).agg(F.count("*").alias("slots"))
+    return ranked(labels, ["all"], "label", "draw", bits).groupBy("place", F.floor(F.col("rank") / shard_slots).alias("shard")).agg(F.count("*").alias("slots"))
 
 
-def slot_blocks(slots: DataFrame, shard_slots: int = SHARD_SLOTS, most: int = MOST_PASSES) -> DataFrame:
+def slot_blocks(slots: DataFrame, shard_slots: int = SHARD_SLOTS) -> DataFrame:
     """place, shard, k, index: every slot of every output shard, its number among its source's slots and the block it takes."""
-    counts = staged(slot_counts(slots, shard_slots).withColumn("group", F.floor(F.col("shard") / BUCKETS)), "mix-counts")
+    slots = staged(slots, "mix-slots")
+    bits = bucket_bits(slots.agg(F.sum(F.col("high") - F.col("low"))).first()[0] or 0)
+    counts = staged(slot_counts(slots, shard_slots, bits).withColumn("group", F.floor(F.col("shard") / SHARD_GROUP)), "mix-counts")
     before = Window.partitionBy("place").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.groupBy("place", "group").agg(F.sum("slots").alias("in_group")).select("place", "group", F.coalesce(F.sum("in_group").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("place", "group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -132,17 +162,17 @@ def slot_blocks(slots: DataFrame, shard_slots: int = SHARD_SLOTS, most: int = MO
     first = F.col("base") + F.col("inside")
     numbered = counts.repartition(_tasks(counts), "place", "shard").select("place", "shard", F.explode(F.sequence(first, first + F.col("slots") - 1)).alias("k"))
 
-    wanted = slots.withColumn("wanted", F.least(F.col("high") - F.col("low"), most * F.col("n"))).withColumn("zero", F.lit(0).cast("long"))
+    wanted = slots.withColumn("wanted", F.col("high") - F.col("low")).withColumn("zero", F.lit(0).cast("long"))
     blocks = _listed(wanted.select("place", "n", "wanted", "zero"), "zero", "n", "index")
     passes = blocks.withColumn("pass", F.explode(F.sequence(F.lit(0), F.floor((F.col("wanted") - 1) / F.col("n")))))
-    order = ranked(passes.select("place", "pass", "index", "n"), ["place", "pass"], "index", "block")
+    order = ranked(passes.select("place", "pass", "index", "n"), ["place", "pass"], "index", "block", bits)
     order = order.select("place", (F.col("pass") * F.col("n") + F.col("rank")).alias("k"), "index")
     return numbered.join(order.hint("merge"), ["place", "k"])
 
 
 def block_passes(targets: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, most: int = MOST_PASSES) -> DataFrame:
     """place, index, times: how often each block of each source is taken; blocks never taken are left out."""
-    return slot_blocks(source_slots(targets, block), shard_slots, most).groupBy("place", "index").agg(F.count("*").alias("times"))
+    return slot_blocks(source_slots(targets, block, most), shard_slots).groupBy("place", "index").agg(F.count("*").alias("times"))
 
 
 def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -150,12 +180,13 @@ def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = staged(placed(docs), "mix-placed")
     targets = staged(source_targets(rows), "mix-targets")
     passes = block_passes(targets, block)
-    known = targets.select(F.col("source").alias("s"), "place", "source_size", "target")
+    known = targets.select(F.col("source").alias("s"), "place", "source_size", "target", n_blocks(F.col("source_size"), block).alias("n"))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     rows = staged(rows.join(known, rows["source"].eqNullSafe(known["s"])).drop("s"), "mix-rows")
-    end = F.col("start") + F.col("size")
-    parts = rows.where("size > 0").select("row", "place", "start", end.alias("end"), F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((end - 1) / block))).alias("index"))
-    parts = parts.withColumn("words", F.least("end", (F.col("index") + 1) * block) - F.greatest("start", F.col("index") * block))
+    end, cut = F.col("start") + F.col("size"), (F.col("source_size"), F.col("n"))
+    parts = rows.where("size > 0").select("row", "place", "start", end.alias("end"), "source_size", "n", F.explode(F.sequence(block_of(F.col("start"), *cut), block_of(end - 1, *cut))).alias("index"))
+    words = F.least(F.col("end"), block_start(F.col("index") + 1, *cut)) - F.greatest(F.col("start"), block_start(F.col("index"), *cut))
+    parts = parts.select("row", "place", "index", words.alias("words"))
     taken = parts.join(passes.hint("merge"), ["place", "index"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     return rows.join(taken, "row", "left").select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 

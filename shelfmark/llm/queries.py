@@ -107,7 +107,7 @@ WITH RECURSIVE rows_ AS (
          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '\N')), 1, 15) AS BIGINT) AS mark
   FROM documents),
 placed AS (
-  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY mark % 4096, mark, doc_id
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY mark, doc_id
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM rows_),
 per AS (
@@ -124,30 +124,30 @@ targets AS (
   SELECT source, place, source_size,
          coalesce(CASE WHEN ratio > level THEN weight * (SELECT level FROM first_free) ELSE 3.0::DOUBLE * source_size END, 0.0) AS target
   FROM levels),
-total AS (SELECT sum(source_size)::BIGINT AS t FROM targets),
-shares AS (
-  SELECT place, source_size, ceil(t / 64.0)::BIGINT AS all_slots,
-         sum(target / t) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
-  FROM targets, total WHERE source_size > 0),
-bounds AS (SELECT place, source_size, least(all_slots, floor(all_slots * upto + 0.5))::BIGINT AS high FROM shares),
-labels AS (SELECT *, coalesce(lag(high) OVER (ORDER BY place), 0)::BIGINT AS low FROM bounds),
+cuts AS (SELECT place, source_size, target, greatest(ceil(source_size / 64.0), least(source_size, 32))::BIGINT AS n FROM targets WHERE source_size > 0),
+slots AS (SELECT *, least(3 * n, floor(target * n / source_size + 0.5))::BIGINT AS slots FROM cuts),
+labels AS (SELECT *, (sum(slots) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - slots)::BIGINT AS low,
+                  (sum(slots) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS high FROM slots),
 labelled AS (SELECT place, unnest(range(low, high)) AS label FROM labels),
 marked AS (SELECT *, CAST('0x' || substr(md5('draw|0|' || label), 1, 15) AS BIGINT) AS mark FROM labelled),
-drawn AS (SELECT place, (row_number() OVER (ORDER BY mark % 4096, mark, label) - 1) // 1024 AS shard FROM marked),
+drawn AS (SELECT place, (row_number() OVER (ORDER BY mark, label) - 1) // 1024 AS shard FROM marked),
 numbered AS (SELECT place, shard, row_number() OVER (PARTITION BY place ORDER BY shard) - 1 AS k FROM drawn),
-sized AS (SELECT place, ceil(source_size / 64.0)::BIGINT AS n, high - low AS slots FROM labels WHERE high > low),
+sized AS (SELECT place, n, slots FROM labels WHERE slots > 0),
 indexed AS (SELECT place, n, slots, pass, unnest(range(0, n)) AS index FROM (SELECT *, unnest(range(0, 3)) AS pass FROM sized)),
 keyed AS (SELECT *, CAST('0x' || substr(md5('block|' || place || '|' || pass || '|' || index), 1, 15) AS BIGINT) AS mark FROM indexed),
 ordered AS (
-  SELECT place, index, pass * n + row_number() OVER (PARTITION BY place, pass ORDER BY mark % 4096, mark, index) - 1 AS k FROM keyed),
+  SELECT place, index, pass * n + row_number() OVER (PARTITION BY place, pass ORDER BY mark, index) - 1 AS k FROM keyed),
 times AS (SELECT o.place, o.index, count(*) AS times FROM ordered o JOIN numbered s ON s.place = o.place AND s.k = o.k GROUP BY ALL),
+spans AS (  -- the words of each block: the first source_size % n blocks have one more
+  SELECT place, index, index * (source_size // n) + least(index, source_size % n) AS low, (index + 1) * (source_size // n) + least(index + 1, source_size % n) AS high
+  FROM (SELECT *, unnest(range(0, n)) AS index FROM cuts)),
 blocks AS (
-  SELECT p.doc_id, p.source, p.size, p.start, unnest(range(p.start // 64, (p.start + p.size - 1) // 64 + 1)) AS index
-  FROM placed p WHERE p.size > 0),
+  SELECT p.doc_id, s.place, b.index, least(p.start + p.size, b.high) - greatest(p.start, b.low) AS words
+  FROM placed p JOIN targets s ON s.source IS NOT DISTINCT FROM p.source
+  JOIN spans b ON b.place = s.place AND b.low < p.start + p.size AND b.high > p.start WHERE p.size > 0),
 taken AS (
-  SELECT b.doc_id, sum((least(b.start + b.size, (b.index + 1) * 64) - greatest(b.start, b.index * 64)) * t.times)::BIGINT AS taken
-  FROM blocks b JOIN targets s ON s.source IS NOT DISTINCT FROM b.source
-  JOIN times t ON t.place = s.place AND t.index = b.index GROUP BY b.doc_id)
+  SELECT b.doc_id, sum(b.words * t.times)::BIGINT AS taken
+  FROM blocks b JOIN times t ON t.place = b.place AND t.index = b.index GROUP BY b.doc_id)
 SELECT p.doc_id, p.size::BIGINT AS size, s.source_size, s.target, coalesce(t.taken, 0)::BIGINT AS taken
 FROM placed p JOIN targets s ON s.source IS NOT DISTINCT FROM p.source LEFT JOIN taken t ON t.doc_id = p.doc_id
 """

@@ -352,6 +352,41 @@ def test_captures_without_a_record_id(spark):
     assert [x["record_id"] for x in revisits.revisit_digest(pages).collect()].count(None) == 3
 
 
+def test_small_sources_meet_their_targets(spark):
+    """Sources of 1 to 300 words beside a large one, in documents of all lengths."""
+    sizes = {"big": 40_000} | {f"s{n:03}": n for n in [1, 2, 3, 20, 31, 32, 33, 63, 64, 65, 66, 100, 127, 128, 129, 130, 200, 299, 300]}
+    rows, rest = [], dict(sizes)
+    while rest:
+        for source in list(rest):
+            n = min(rest[source], [1, 7, 90, 400][len(rows) % 4])
+            rows.append((len(rows), source, "w " * n))
+            rest[source] -= n
+            if not rest[source]:
+                del rest[source]
+    rows += [(len(rows), "none", ""), (len(rows) + 1, None, "x y z"), (len(rows) + 2, "none", None)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    taken, target, size = Counter(), {}, Counter()
+    for x in got:
+        taken[x["source"]] += x["taken"]
+        size[x["source"]] += x["size"]
+        target[x["source"]] = x["target"]
+        assert 0 <= x["taken"] <= 3 * x["size"]
+    assert {k: v for k, v in size.items() if k not in ("none", None)} == sizes and size[None] == 3
+    for source, t in target.items():
+        assert abs(taken[source] - t) <= max(0.5, 0.02 * t, size[source] / mixing.LEAST_BLOCKS), (source, size[source], t, taken[source])
+        if t == 3 * size[source]:
+            assert taken[source] == t
+
+
+@pytest.mark.parametrize(("size", "n"), [(1, 1), (20, 20), (65, 32), (1000, 32), (5000, 79), (64 * 40, 40)])
+def test_blocks_share_all_words_evenly(spark, size, n):
+    words = spark.range(size).select(F.lit(size).alias("size"), F.col("id").alias("w")).withColumn("n", mixing.n_blocks(F.col("size")))
+    words = words.withColumn("index", mixing.block_of(F.col("w"), F.col("size"), F.col("n")))
+    words = words.withColumn("fits", (F.col("w") >= mixing.block_start(F.col("index"), F.col("size"), F.col("n"))) & (F.col("w") < mixing.block_start(F.col("index") + 1, F.col("size"), F.col("n"))))
+    per = [x["count"] for x in words.where("fits").groupBy("index").count().collect()]
+    assert len(per) == n and sum(per) == size and max(per) - min(per) <= 1 and max(per) <= mixing.BLOCK
+
+
 def test_edge_rows_and_empty_tables(spark, edge, empty, labels):
     n = len(EDGE)
     none = labels.where("false")
@@ -413,14 +448,14 @@ def test_mix_stage_keeps_clashing_columns(spark):
 
 
 def test_slots_take_every_block_once_a_pass(spark):
-    t = spark.createDataFrame([(0, 640, 640.0 * 2.5), (1, 6400, 640.0 * 8.5), (2, 0, 0.0)], "place int, source_size long, target double")
+    t = spark.createDataFrame([(0, 2560, 2560.0 * 2.5), (1, 6400, 640.0 * 8.5), (2, 0, 0.0)], "place int, source_size long, target double")
     slots = mixing.source_slots(t)
-    assert sorted(map(tuple, slots.collect())) == [(0, 10, 0, 25), (1, 100, 25, 110)]
+    assert sorted(map(tuple, slots.collect())) == [(0, 40, 0, 100), (1, 100, 100, 185)]
     rows = mixing.slot_blocks(slots, shard_slots=16).collect()
     per = Counter((x["place"], x["index"]) for x in rows)
-    assert len(rows) == 110 and all(2 <= per[0, i] <= 3 for i in range(10)) and all(per[1, i] <= 1 for i in range(100))
+    assert len(rows) == 185 and all(2 <= per[0, i] <= 3 for i in range(40)) and all(per[1, i] <= 1 for i in range(100))
     shards = Counter(x["shard"] for x in rows)
-    assert [shards[i] for i in range(7)] == [16] * 6 + [14]
+    assert [shards[i] for i in range(12)] == [16] * 11 + [9]
     assert len({x["k"] for x in rows if x["place"] == 1}) == 85
 
 

@@ -7,9 +7,15 @@ words are free on both sides, cuts what it overlaps out of the others, and goes
 MATCH_WORDS words is left. The share of the item's words under tiles is the pair's coverage, whatever order
 the tiles stand in, so reordered passages count in full. An item of fewer words is one seed of its length.
 
-The benchmark's seeds go to every task only if they are at most SEEDS_MOST, which is counted first; beyond
-that, document windows and seeds are joined by a shuffle, and tiling follows per pair. Both ways use one
-tiling function.
+A text that repeats itself has many hits with an item that does: n places of a window in one and m in the other make n times m. Hits are
+listed only for pairs of HITS_MOST of them at most. The others are tiled by ``tile_long``, which makes the same tiles without a list of matches: it looks for the greatest
+length at which the free words of both sides still have a common window, by Karp-Rabin values of all windows of a length, and marks
+such windows one by one. Its memory follows the two texts.
+
+The benchmark's seeds go to every task only if they are at most SEEDS_MOST, which is counted first. Beyond
+that, tasks get a bitmap of the seeds' values (BITMAP_MOST bits at most), and only the distinct windows of a document that are in it, of lengths that an item has, are
+shuffled to meet the seeds. Pairs whose common windows can't reach the coverage asked for go; for the rest, document and item are joined and tiled. Both
+ways use the same tiling functions.
 
 Every distinct text of an item_id is searched by itself, and each document's best coverage over them is the
 item_id's. Texts with a null item_id are searched likewise and reported together under a null item_id.
@@ -17,7 +23,7 @@ item_id's. Texts with a null item_id are searched likewise and reported together
 Cases: null or empty texts and items, or ones of punctuation only, match nothing; each row of documents is
 searched and reported by itself, whatever its doc_id; a null doc_id is reported as null in ``contamination`` and
 stays in ``decontaminate``, which takes out all rows of a doc_id found; empty tables give no rows; other columns
-are left aside, and ``decontaminate`` hands them through whatever their names. Memory follows the longest text.
+are left aside, and ``decontaminate`` hands them through whatever their names. A text of a million equal words is tiled like others. Memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -26,7 +32,6 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +42,8 @@ from shelfmark.llm.staging import staged
 MATCH_WORDS = 5
 COVERAGE = 0.5
 SEEDS_MOST = 2_000_000
+HITS_MOST = 1_000_000
+BITMAP_LEAST, BITMAP_MOST = 1 << 16, 1 << 28
 PAIR = "doc_id long, item_id long, item_words int, covered_words int, n_tiles int, longest_tile int"
 
 _PUNCTUATION = np.zeros(256, bool)
@@ -100,10 +107,63 @@ def reach(item_at: np.ndarray, length: int) -> int:
     return int(np.minimum(np.diff(at), length).sum()) + length if len(at) else 0
 
 
+class _Windows:
+    """The Karp-Rabin values of all windows of any length over some words, and which words are still free."""
+
+    def __init__(self, words: np.ndarray):
+        self.n = len(words)
+        self.up, self.down = tk.powers(self.n + 1)
+        self.sums = np.zeros(self.n + 1, np.uint64)
+        np.cumsum(words * self.up[: self.n], out=self.sums[1:])
+        self.taken = np.zeros(self.n + 1, np.int64)
+
+    def free(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and values of the windows of ``length`` words that are free."""
+        if length > self.n:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        before = np.concatenate([[0], np.cumsum(self.taken[: self.n])])
+        at = np.flatnonzero(before[length:] == before[: self.n - length + 1])
+        return at, (self.sums[at + length] - self.sums[at]) * self.down[at]
+
+
+def tile_long(doc: np.ndarray, item: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+    """The tiles of ``tile`` from the words of both sides, in memory that follows these."""
+    x, y, tiles = _Windows(doc), _Windows(item), []
+    high = min(len(doc), len(item))
+
+    def common(size: int) -> bool:
+        return size >= length and bool(np.isin(y.free(size)[1], x.free(size)[1]).any())
+
+    while common(length):
+        low, top = length, high
+        while low < top:  # a common window of a length has one of each smaller length in it
+            middle = (low + top + 1) // 2
+            low, top = (middle, top) if common(middle) else (low, middle - 1)
+        high = low
+        at, values = x.free(low)
+        order = np.argsort(values, kind="stable")
+        at, values = at[order], values[order]
+        for i, value in zip(*y.free(low)):
+            if y.taken[i] or y.taken[i + low - 1]:
+                continue
+            same = at[np.searchsorted(values, value, "left") : np.searchsorted(values, value, "right")]
+            free = np.flatnonzero((x.taken[same] | x.taken[same + low - 1]) == 0)  # tiles so far are at least as long: one inside would touch an end
+            if len(free):
+                d = int(same[free].min())
+                tiles.append((d, int(i), low))
+                x.taken[d : d + low] = 1
+                y.taken[i : i + low] = 1
+        high = low - 1
+        if high < length:
+            break
+    return tiles
+
+
 class Seeds:
     """All windows of the benchmark's items, by length and value."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], length: int = MATCH_WORDS):
+    def __init__(self, items: list[tuple[int, np.ndarray]], length: int = MATCH_WORDS, hits_most: int = HITS_MOST):
+        self.items, self.hits_most = dict(items), hits_most
         self.words = {item: len(words) for item, words in items}
         self.tables = {}
         for k in sorted({min(length, len(words)) for _, words in items if len(words)}):
@@ -128,44 +188,100 @@ class Seeds:
             near, low, many, row = near[inside], low[inside], many[inside], row[inside]
             for r in np.unique(row):
                 own = slice(*np.searchsorted(row, [r, r + 1]))
-                n = many[own]
-                hit = np.repeat(low[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                doc_at = np.repeat(near[own] - first[r], n)
-                for item in np.unique(ids[hit]):
-                    its = ids[hit] == item
-                    item_at = places[hit[its]]
-                    if reach(item_at, k) < least * self.words[int(item)]:
+                doc_at = near[own] - first[r]
+                # a window's hits are known by its first seed's place in the table; equal windows share it
+                start, which, times = np.unique(low[own], return_inverse=True, return_counts=True)
+                n = many[own][np.unique(which, return_index=True)[1]]
+                hit = np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                window = np.repeat(np.arange(len(start)), n)
+                order = np.argsort(ids[hit], kind="stable")
+                hit, window = hit[order], window[order]
+                items, begin = np.unique(ids[hit], return_index=True)
+                by_window = np.argsort(which, kind="stable")
+                ends = np.cumsum(times)
+                for item, at, to in zip(items.tolist(), begin, np.append(begin[1:], len(hit))):
+                    item_at, of = places[hit[at:to]], window[at:to]
+                    if reach(item_at, k) < least * self.words[item]:
                         continue
-                    tiles = tile(doc_at[its], item_at, k)
-                    yield int(r), int(item), self.words[int(item)], sum(t[2] for t in tiles), len(tiles), max(t[2] for t in tiles)
+                    if times[of].sum() > self.hits_most:
+                        tiles = tile_long(words[first[r] : first[r + 1]], self.items[item], k)
+                    else:
+                        m = times[of]
+                        places_of = np.repeat(ends[of] - times[of] - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
+                        tiles = tile(doc_at[by_window[places_of]], np.repeat(item_at, m), k)
+                    yield int(r), item, self.words[item], sum(t[2] for t in tiles), len(tiles), max(t[2] for t in tiles)
+
+
+def _item_windows(length: int):
+    """Rows (item, words, k, value, places) of the distinct windows that an item has as seeds."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for words, first in word_rows(batch.column("text")):
+                for r in range(len(first) - 1):
+                    own, item = words[first[r] : first[r + 1]], batch.column("item")[at].as_py()
+                    at += 1
+                    k = min(length, len(own))
+                    if k:
+                        values, n = np.unique(tk.window_hashes(own, k), return_counts=True)
+                        columns = [pa.array([item] * len(n), pa.int64()), pa.array([len(own)] * len(n), pa.int32()), pa.array([k] * len(n), pa.int32()), pa.array(values.view(np.int64)), pa.array(n)]
+                        yield pa.RecordBatch.from_arrays(columns, names=["item", "item_words", "k", "value", "places"])
+
+    return rows
 
 
-def _windows(ids: str, length: int, own_length: bool):
-    """Rows (id, words, k, place, value) of every window; with ``own_length`` only the windows an item has as seeds."""
+def _document_windows(lengths: list[int], bitmap):
+    """Rows (row, k, value) of the distinct windows of a document that the bitmap of seeds may hold."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bitmap.value
         for batch in batches:
             at = 0
             for words, first in word_rows(batch.column("text")):
                 for r in range(len(first) - 1):
-                    own, key = words[first[r] : first[r + 1]], batch.column(ids)[at]
+                    own, key = words[first[r] : first[r + 1]], batch.column("row")[at].as_py()
                     at += 1
-                    for k in [min(length, len(own))] if own_length else range(1, length + 1):
-                        values = tk.window_hashes(own, k) if k else own
-                        n = len(values)
-                        if n:
-                            columns = [pa.array([key.as_py()] * n, pa.int64()), pa.array([len(own)] * n, pa.int32()), pa.array([k] * n, pa.int32()), pa.array(np.arange(n)), pa.array(values.view(np.int64))]
-                            yield pa.RecordBatch.from_arrays(columns, names=["id", "words", "k", "place", "value"])
+                    for k in lengths:
+                        values = np.unique(tk.window_hashes(own, k)).view(np.int64)
+                        values = values[_in_bitmap(held, values)]
+                        if len(values):
+                            columns = [pa.array([key] * len(values), pa.int64()), pa.array([k] * len(values), pa.int32()), pa.array(values)]
+                            yield pa.RecordBatch.from_arrays(columns, names=["row", "k", "value"])
 
     return rows
 
 
-def _tile_pair(rows: pd.DataFrame, least: float) -> pd.DataFrame:
-    x, names = rows.iloc[0], ["id", "item", "item_words", "covered_words", "n_tiles", "longest_tile"]
-    if reach(rows["item_place"].to_numpy(), int(x["k"])) < least * x["item_words"]:
-        return pd.DataFrame([], columns=names)
-    tiles = tile(rows["place"].to_numpy(), rows["item_place"].to_numpy(), int(x["k"]))
-    return pd.DataFrame([(x["id"], x["item"], x["item_words"], sum(t[2] for t in tiles), len(tiles), max(t[2] for t in tiles))], columns=names)
+def _in_bitmap(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values & np.int64(len(bits) * 64 - 1)
+    return (bits[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def seed_bitmap(seeds: DataFrame) -> np.ndarray:
+    """A bitmap of the low bits of the seeds' values, about eight bits a seed; it is put together in the tasks and bounded by BITMAP_MOST bits."""
+    size = min(max(BITMAP_LEAST, 8 << max(1, seeds.count()).bit_length()), BITMAP_MOST)
+    place = F.col("value").bitwiseAND(F.lit(size - 1))
+    one = F.expr(f"shiftleft(1L, int((value & {size - 1}L) & 63))")
+    words = seeds.groupBy(F.shiftright(place, 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
+    bits = np.zeros(size // 64, np.int64)
+    bits[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    return bits
+
+
+def _tile_pairs(length: int, least: float, hits_most: int):
+    """Tiles of rows (row, item, text, item_text)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                (own, _), (item, _) = (next(word_rows(batch.column(c).slice(i, 1))) for c in ("text", "item_text"))
+                seeds = Seeds([(0, item)], length, hits_most)
+                out += [(batch.column("row")[i].as_py(), batch.column("item")[i].as_py(), *x[2:]) for x in seeds.pairs(own, np.array([0, len(own)]), least)]
+            names = ["row", "item", "item_words", "covered_words", "n_tiles", "longest_tile"]
+            yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], kind) for j, kind in enumerate([pa.int64(), pa.int64(), *[pa.int32()] * 4])], names=names)
+
+    return rows
 
 
 def _rank(found: tuple[int, int, int, int]) -> tuple[float, int, int, int]:
@@ -174,7 +290,7 @@ def _rank(found: tuple[int, int, int, int]) -> tuple[float, int, int, int]:
     return covered / words, covered, longest, n
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, seeds_most: int = SEEDS_MOST, least: float = 0.0) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, seeds_most: int = SEEDS_MOST, least: float = 0.0, hits_most: int = HITS_MOST) -> DataFrame:
     """Every (document row, item_id) pair that shares a seed, with its tiles' coverage of the item_id's best covered text.
 
     Pairs whose seeds alone show that their coverage stays below ``least`` aren't tiled and are left out.
@@ -188,7 +304,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, s
         ids = found.column("item_id").to_pylist()
         for words, first in word_rows(found.column("text").combine_chunks() if found.num_rows else pa.array([], pa.string())):
             known += [(len(known) + r, words[first[r] : first[r + 1]]) for r in range(len(first) - 1)]
-        seeds = Seeds(known, length)
+        seeds = Seeds(known, length, hits_most)
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -208,14 +324,17 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, length: int = MATCH_WORDS, s
     # rows and texts get keys of their own, written once so that a lost task can't deal them anew
     items = staged(items.withColumn("item", F.monotonically_increasing_id()), "decontam-items")
     docs = staged(docs.withColumn("row", F.monotonically_increasing_id()), "decontam-documents")
-    shape = "id long, words int, k int, place long, value long"
-    there = items.select("item", "text").mapInArrow(_windows("item", length, True), shape)
-    there = there.select(F.col("id").alias("item"), F.col("words").alias("item_words"), "k", F.col("place").alias("item_place"), "value")
-    here = docs.select("row", "text").mapInArrow(_windows("row", length, False), shape).drop("words")
-    pairs = here.join(there, ["k", "value"]).groupBy("id", "item").applyInPandas(lambda rows: _tile_pair(rows, least), PAIR.replace("doc_id", "id").replace("item_id", "item"))
+    seeds = staged(items.select("item", "text").mapInArrow(_item_windows(length), "item long, item_words int, k int, value long, places long"), "decontam-seeds")
+    lengths = sorted(x["k"] for x in seeds.select("k").distinct().collect())
+    bitmap = docs.sparkSession.sparkContext.broadcast(seed_bitmap(seeds))
+    here = docs.select("row", "text").mapInArrow(_document_windows(lengths, bitmap), "row long, k int, value long")
+    met = here.join(seeds, ["k", "value"]).groupBy("row", "item", "item_words", "k").agg(F.sum("places").alias("places"))
+    near = staged(met.where(F.col("places") * F.col("k") >= F.lit(least) * F.col("item_words")).select("row", "item"), "decontam-pairs")
+    texts = near.join(items.select("item", F.col("text").alias("item_text")), "item").join(docs.select("row", "text"), "row").select("row", "item", "text", "item_text")
+    pairs = texts.mapInArrow(_tile_pairs(length, least, hits_most), PAIR.replace("doc_id", "row").replace("item_id", "item"))
     pairs = pairs.join(items.select("item", "item_id"), "item")
     share = (F.col("covered_words") / F.col("item_words")).alias("share")
-    best = pairs.groupBy(F.col("id").alias("row"), "item_id").agg(F.max(F.struct(share, "covered_words", "longest_tile", "n_tiles", "item_words")).alias("best"))
+    best = pairs.groupBy("row", "item_id").agg(F.max(F.struct(share, "covered_words", "longest_tile", "n_tiles", "item_words")).alias("best"))
     return best.join(docs.select("row", "doc_id"), "row").select("doc_id", "item_id", *[f"best.{x}" for x in ("item_words", "covered_words", "n_tiles", "longest_tile")])
 
 

@@ -52,6 +52,11 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def powers(n: int) -> list[np.ndarray]:
+    """The powers 0 to n - 1 of the base of window values, and of its inverse."""
+    return [x[:n] for x in _power_tables(n)]
+
+
 class Slice:
     """Some consecutive rows of a text column: their bytes and the rows' bounds in them."""
 

@@ -352,6 +352,38 @@ def test_captures_without_a_record_id(spark):
     assert [x["record_id"] for x in revisits.revisit_digest(pages).collect()].count(None) == 3
 
 
+def test_long_tiling_makes_the_same_tiles():
+    rng = np.random.default_rng(21)
+    for _ in range(300):
+        letters = tk.mix(np.arange(1, 1 + rng.integers(1, 4), dtype=np.uint64))
+        doc, item = letters[rng.integers(0, len(letters), rng.integers(0, 60))], letters[rng.integers(0, len(letters), rng.integers(1, 40))]
+        k = min(5, len(item))
+        left, right = tk.window_hashes(doc, k), tk.window_hashes(item, k)
+        d, i = np.nonzero(left[:, None] == right[None, :])
+        assert sorted(decontam.tile_long(doc, item, k)) == sorted(decontam.tile(d, i, k))
+
+
+def test_repetitive_texts_are_tiled_in_the_memory_of_their_length(spark):
+    import resource
+
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    doc, item = np.full(1_000_000, 7, np.uint64), np.full(2_000, 7, np.uint64)
+    seeds = decontam.Seeds([(1, item)])
+    assert list(seeds.pairs(doc, np.array([0, len(doc)]))) == [(0, 1, 2000, 2000, 1, 2000)]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # KB; all hits would take 32 GB
+    d = spark.createDataFrame([(1, "ab ab cd " * 20_000), (2, "x " * 100_000), (3, "cd ab " * 30)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "ab ab cd " * 300), (2, "x " * 50 + "y " * 40), (3, "ab")], "item_id long, text string")
+    got = [{tuple(x) for x in decontam.overlaps(d, b, seeds_most=most, hits_most=hits).collect()} for most in (decontam.SEEDS_MOST, 0) for hits in (decontam.HITS_MOST, 1000)]
+    assert got[0] == got[1] == got[2] == got[3] and {(x[0], x[1], x[3]) for x in got[0]} >= {(1, 1, 900), (2, 2, 50), (1, 3, 1), (3, 3, 1)}
+
+
+def test_the_bitmap_holds_every_seed(spark):
+    values = [0, -1, 1 << 62, -(1 << 63), 12345, 65535, 65536]
+    bits = decontam.seed_bitmap(spark.createDataFrame([(v,) for v in values], "value long"))
+    assert decontam._in_bitmap(bits, np.array(values, np.int64)).all() and len(bits) * 64 == decontam.BITMAP_LEAST
+    assert decontam._in_bitmap(bits, np.arange(1000, 3000)).sum() == 0
+
+
 def test_small_sources_meet_their_targets(spark):
     """Sources of 1 to 300 words beside a large one, in documents of all lengths."""
     sizes = {"big": 40_000} | {f"s{n:03}": n for n in [1, 2, 3, 20, 31, 32, 33, 63, 64, 65, 66, 100, 127, 128, 129, 130, 200, 299, 300]}

@@ -17,7 +17,6 @@ counts, of equal times all rows; a null time always counts as changed; an empty
 
 from __future__ import annotations
 
-import json
 import uuid
 import zlib
 from collections.abc import Callable
@@ -26,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.session import file_system
+from shelfmark.snapshots import Snapshots
 
 #: Raise when what ``build`` gives changes, or the layout does.
 FORMAT = 2
@@ -62,36 +61,16 @@ class Index:
     def __init__(self, spark: SparkSession, path: str, kind: Kind):
         self.spark, self.kind = spark, kind
         self.path = f"{path.rstrip('/')}/{kind.name}-{FORMAT}"
+        self.snapshots = Snapshots(spark, self.path)
 
     # ---- snapshots
 
-    def _listed(self) -> list[int]:
-        system, place = file_system(self.spark, f"{self.path}/snapshots")
-        if not system.exists(place):
-            return []
-        return sorted(int(n[:-5]) for x in system.listStatus(place) if (n := x.getPath().getName()).endswith(".json") and not n.startswith("."))
-
     def snapshot(self) -> dict:
         """The latest snapshot: its number, the names of its batches, how many documents they have and how many were replaced."""
-        known = self._listed()
-        if not known:
-            return {"number": 0, "batches": [], "docs": {}, "gone": 0}
-        system, place = file_system(self.spark, f"{self.path}/snapshots/{known[-1]:09d}.json")
-        stream = system.open(place)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return self.snapshots.latest({"batches": [], "docs": {}, "gone": 0})
 
     def _publish(self, snapshot: dict) -> None:
-        system, place = file_system(self.spark, f"{self.path}/snapshots/.{uuid.uuid4().hex}")
-        out = system.create(place, False)
-        out.write(bytearray(json.dumps(snapshot).encode()))
-        out.close()
-        _, final = file_system(self.spark, f"{self.path}/snapshots/{snapshot['number']:09d}.json")
-        if system.exists(final) or not system.rename(place, final):
-            system.delete(place, False)
-            raise RuntimeError(f"another refresh of {self.path} came first")
+        self.snapshots.publish(snapshot)
 
     # ---- reading
 

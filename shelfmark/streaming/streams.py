@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from shelfmark.operators.kept import KeptRuns, union
+
 LATE = "10 minutes"
 
 
@@ -64,7 +66,7 @@ def breaker(attempts: DataFrame, most: int = 10, cooldown_ms: int = 600_000) ->
 def stream_todo(source: DataFrame, done: DataFrame | None = None, key: str = "record_id") -> DataFrame:
     """Each id once, for ever, and none that ``done`` holds when the stream starts; the sink's checkpoint makes a restart go on where it stopped.
 
-    The state is every id seen; on a large log keep it in the RocksDB state store.
+    The state is every id seen; on a large log keep it in the RocksDB state store, or use ``resume_todo``, which has no state.
     """
     fresh = source if done is None else source.join(done.select(key).distinct(), key, "left_anti")
     return fresh.dropDuplicates([key])
@@ -74,46 +76,92 @@ def stream_todo(source: DataFrame, done: DataFrame | None = None, key: str = "re
 NO_LOOKUP = "skip_no_doi"
 
 
+def queue_state(attempts: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
+    """What the queue needs to know of each record, in a form that merges by ``QUEUE_RULES``; ``_tried`` holds those of ``sources`` that failed."""
+    bad = F.col("bucket") != "other"
+    error = F.col("error") if "error" in attempts.columns else F.lit(None).cast("string")
+    at = lambda value, name: F.struct("ts", "attempt_id", value.alias(name))
+    return attempts.groupBy("record_id").agg(
+        F.count("*").alias("attempts"), F.min(F.when(bad, F.col("ts"))).alias("enqueued_ts"), F.max("ts").alias("last_ts"), F.min(F.when(bad, at(F.col("bucket"), "reason"))).alias("_first_bad"),
+        F.max(at(F.col("source"), "source")).alias("_last"), F.max(F.when(bad, at(error, "error"))).alias("_last_bad"), F.min(F.when(~bad, at(F.col("source"), "source"))).alias("_first_ok"),
+        F.max(F.col("source") == NO_LOOKUP).alias("_no"), F.collect_set(F.when(bad & F.col("source").isin(*sources) if sources else F.lit(False), F.col("source"))).alias("_tried"),
+    )
+
+
+QUEUE_RULES = {"attempts": F.sum, "enqueued_ts": F.min, "last_ts": F.max, "_first_bad": F.min, "_last": F.max, "_last_bad": F.max, "_first_ok": F.min, "_no": F.max, "_tried": union}
+
+
+def queue_of_state(state: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
+    status = (
+        F.when(F.col("_first_ok.source").isNotNull(), "recovered").when(F.col("_no"), "failed_no_doi")
+        .when((F.size("_tried") == len(set(sources))) & F.lit(bool(sources)), "exhausted").otherwise("pending")
+    )
+    return state.select(
+        "record_id", "attempts", F.col("_first_bad.reason").alias("reason"), "enqueued_ts", F.col("_last.source").alias("last_source"), "last_ts",
+        F.col("_last_bad.error").alias("last_error"), F.col("_first_ok.source").alias("resolved_via"), status.alias("status"),
+    )
+
+
 def queue_from_attempts(attempts: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
     """record_id, status, reason (of the first failure), enqueued_ts, attempts, last_source, last_ts, last_error and resolved_via, from all attempts.
 
     A success makes a record ``recovered``, an attempt of NO_LOOKUP ``failed_no_doi``, and failures of all ``sources``, if any are given, ``exhausted``;
     these are final, and all others are ``pending``. A record that never failed counts as recovered.
     """
-    bad, at = F.col("bucket") != "other", F.struct("ts", "attempt_id")
-    error = F.col("error") if "error" in attempts.columns else F.lit(None).cast("string")
-    tried = F.size(F.array_intersect(F.collect_set(F.when(bad & F.col("source").isin(*sources), F.col("source"))), F.array(*map(F.lit, sources)))) if sources else F.lit(0)
-    q = attempts.groupBy("record_id").agg(
-        F.count("*").alias("attempts"), F.min_by(F.when(bad, F.col("bucket")), F.when(bad, at)).alias("reason"), F.min(F.when(bad, F.col("ts"))).alias("enqueued_ts"),
-        F.max_by("source", at).alias("last_source"), F.max("ts").alias("last_ts"), F.max_by(F.when(bad, error), F.when(bad, at)).alias("last_error"),
-        F.min_by(F.when(~bad, F.col("source")), F.when(~bad, at)).alias("resolved_via"), F.max(F.col("source") == NO_LOOKUP).alias("_no"), tried.alias("_tried"),
-    )
-    status = (
-        F.when(F.col("resolved_via").isNotNull(), "recovered").when(F.col("_no"), "failed_no_doi")
-        .when((F.col("_tried") == len(set(sources))) & F.lit(bool(sources)), "exhausted").otherwise("pending")
-    )
-    return q.withColumn("status", status).drop("_no", "_tried")
+    return queue_of_state(queue_state(attempts, sources), sources)
 
 
-def maintain_queue(attempts: DataFrame, attempts_path: str, queue_path: str, checkpoint: str, buckets: int = 64):
-    """A stream that keeps every attempt once and the queue up to date; a batch run twice changes nothing.
+def kept_state(attempts: DataFrame, path: str, sources: tuple[str, ...] = (), buckets: int = 64) -> KeptRuns:
+    """The queue's state at a path; the columns follow those of ``attempts`` (a stream will do)."""
+    spark = attempts.sparkSession
+    empty = queue_state(spark.createDataFrame([], attempts.schema), sources)
+    return KeptRuns(spark, path, ["record_id"], empty.schema, QUEUE_RULES, buckets)
 
-    Attempts and queue lie in buckets of record ids. A batch writes its own attempts, and only the buckets that it touches are computed anew and replaced.
+
+def maintain_queue(attempts: DataFrame, path: str, checkpoint: str, sources: tuple[str, ...] = (), buckets: int = 64):
+    """A stream that keeps the queue's state up to date; ``kept_queue`` reads the queue.
+
+    A batch adds a run with the state of its own records, and no earlier attempt is read again; runs of like size are merged now and then. A batch that was applied before changes nothing, and readers
+    see all of a batch or nothing of it. Batches are known by the checkpoint and their number, so a new checkpoint would count the same attempts anew.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        keyed = batch.withColumn("bucket_no", F.pmod(F.xxhash64("record_id"), F.lit(buckets)).cast("int"))
-        keyed.write.mode("overwrite").partitionBy("bucket_no").parquet(f"{attempts_path}/batch={batch_id}")
-        log = spark.read.option("basePath", attempts_path).parquet(f"{attempts_path}/batch=*")
-        touched = [x["bucket_no"] for x in log.where(F.col("batch") == batch_id).select("bucket_no").distinct().collect()]
-        rows = log.where(F.col("bucket_no").isin(*touched)) if touched else log.where("false")
-        queue = queue_from_attempts(rows).withColumn("bucket_no", F.pmod(F.xxhash64("record_id"), F.lit(buckets)).cast("int"))
-        queue.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket_no").parquet(queue_path)
+        kept_state(batch, path, sources, buckets).add(queue_state(batch, sources), (checkpoint, batch_id))
 
     return attempts.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
+def kept_queue(attempts: DataFrame, path: str, sources: tuple[str, ...] = (), buckets: int = 64) -> DataFrame:
+    """The queue as ``maintain_queue`` left it, as ``queue_from_attempts`` would give it."""
+    return queue_of_state(kept_state(attempts, path, sources, buckets).read(), sources)
+
+
+def todo_ledger(spark: SparkSession, path: str, buckets: int = 64) -> KeptRuns:
+    """The ids that were given out or done before: record_id and the batch that brought it, -1 for those done."""
+    return KeptRuns(spark, path, ["record_id"], "record_id string, since long", {"since": F.min}, buckets)
+
+
+def resume_todo(source: DataFrame, path: str, checkpoint: str, done: DataFrame | None = None, buckets: int = 64):
+    """A stream that gives each id once, and none that ``done`` holds when the ledger is made, with no state in the stream itself.
+
+    What ``stream_todo`` keeps in its state lies in a ledger on disk: a batch is compared with the buckets that its ids fall in, and the ids that are
+    new go to the ledger as one run, which is also the output: ``todo_since`` reads it. A batch that was applied before, or that failed half-way and is run again, adds nothing twice. A null id is given once.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        ledger = todo_ledger(batch.sparkSession, path, buckets)
+        if done is not None:
+            ledger.add(done.select(F.col("record_id").cast("string").alias("record_id"), F.lit(-1).cast("long").alias("since")), ("done", 0))
+        ledger.add(batch.select(F.col("record_id").cast("string").alias("record_id"), F.lit(batch_id).cast("long").alias("since")), (checkpoint, batch_id), unknown=True)
+
+    return source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+
+
+def todo_since(spark: SparkSession, path: str, batch: int = -1, buckets: int = 64) -> DataFrame:
+    """record_id, since: the ids given out after a batch of the stream (all of them by default)."""
+    return todo_ledger(spark, path, buckets).read().where(F.col("since") > max(batch, -1))
+
+
 def reap_stale(items: DataFrame, now: str, minutes: int) -> DataFrame:
     """In-flight items older than ``minutes``, or with a start that can't be read, go back to pending."""
     start = F.coalesce(F.try_to_timestamp("started_at"), F.timestamp_seconds(F.lit(0)))

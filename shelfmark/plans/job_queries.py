@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import types as T
 from shelfmark import schemas
 from shelfmark.functions import outcomes
 from shelfmark.functions import text as tx
-from shelfmark.operators import jobs, joins, merges, reports, search, windows
+from shelfmark.operators import jobs, joins, kept, merges, reports, search, windows
 from shelfmark.plans.queries import _JUDGES, PRIORITIES, _judges, pick_sql, query
+from shelfmark.session import shared_folder
 from shelfmark.sources import readers
 from shelfmark.streaming import streams
 
@@ -223,3 +225,51 @@ def l1_rule_table(t):
 @query("""SELECT record_id, 0 AS pos, 'registry' AS source FROM records WHERE coalesce(doi, '') <> '' UNION ALL SELECT record_id, CASE WHEN coalesce(doi, '') <> '' THEN 1 ELSE 0 END, 'site' FROM records WHERE year >= 2010""")
 def l4_source_plan(t):
     return joins.source_plan(t.records, [("registry", F.coalesce(F.col("doi"), F.lit("")) != ""), ("site", F.col("year") >= 2010)])
+
+
+def _split_log(t, rows, n: int = 4):
+    """``rows`` as a stream of n files, one a micro-batch, and the folder for what the stream keeps."""
+    place = f"{shared_folder(t.spark)}/log-{uuid.uuid4().hex}"
+    rows.repartition(n, "attempt_id").write.parquet(f"{place}/in")
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/in"), place
+
+
+@query(""", q AS (SELECT record_id, count(*) AS attempts, min(ts) FILTER (bucket <> 'other') AS enqueued_ts, arg_min(bucket, (ts, attempt_id)) FILTER (bucket <> 'other') AS reason, arg_max(source, (ts, attempt_id)) AS last_source, max(ts) AS last_ts,
+ arg_max(error, (ts, attempt_id)) FILTER (bucket <> 'other') AS last_error, arg_min(source, (ts, attempt_id)) FILTER (bucket = 'other') AS resolved_via, count(DISTINCT source) FILTER (bucket <> 'other' AND source IN ('click', 'view')) AS tried FROM bucketed GROUP BY 1)
+SELECT * EXCLUDE (tried), CASE WHEN resolved_via IS NOT NULL THEN 'recovered' WHEN tried = 2 THEN 'exhausted' ELSE 'pending' END AS status FROM q""")
+def k4_maintained_queue(t):
+    stream, place = _split_log(t, t.bucketed)
+    streams.maintain_queue(stream, f"{place}/queue", f"{place}/at", ("click", "view"), 8).trigger(availableNow=True).start().awaitTermination()
+    return streams.kept_queue(t.bucketed, f"{place}/queue", ("click", "view"), 8)
+
+
+@query("""SELECT DISTINCT record_id FROM attempts WHERE record_id NOT IN (SELECT record_id FROM records WHERE has_file)""")
+def k3_resumed_todo(t):
+    stream, place = _split_log(t, t.attempts)
+    streams.resume_todo(stream, f"{place}/ledger", f"{place}/at", t.records.where("has_file"), 8).trigger(availableNow=True).start().awaitTermination()
+    return streams.todo_since(t.spark, f"{place}/ledger", buckets=8).select("record_id")
+
+
+@query(""", b AS (SELECT record_id, 'T' || max(attempt_id) AS title, CASE WHEN max(attempt_id) % 4 > 0 THEN 2030 END AS year, arg_max(source, attempt_id) AS org_code FROM attempts GROUP BY 1)
+SELECT coalesce(r.record_id, b.record_id) AS record_id, coalesce(b.title, r.title) AS title, coalesce(b.year, r.year) AS year, CASE WHEN b.record_id IS NULL THEN r.org_code ELSE b.org_code END AS org_code, CASE WHEN r.record_id IS NULL THEN b.title ELSE r.product_type END AS product_type FROM records r FULL JOIN b ON b.record_id = r.record_id""")
+def d1_kept_merge(t):
+    columns = ["record_id", "title", "year", "org_code", "product_type"]
+    table = kept.KeptTable(t.spark, f"{shared_folder(t.spark)}/records-{uuid.uuid4().hex}", ["record_id"], t.records.select(columns).schema, 8)
+    lists = {"fill": ("title", "year"), "replace": ("org_code",), "keep": ("product_type",)}
+    table.merge(t.records, **lists)
+    a, name = t.attempts, F.concat(F.lit("T"), "attempt_id")
+    batch = a.select("record_id", "attempt_id", name.alias("title"), F.when(a.attempt_id % 4 > 0, 2030).alias("year"), F.col("source").alias("org_code"), name.alias("product_type"))
+    table.merge(batch, **lists, order=("attempt_id",))
+    return table.read()
+
+
+@query("""SELECT record_id, arg_min(attempt_id, (attempt_id % 3, attempt_id)) AS first_id, arg_max(attempt_id, (attempt_id % 3, attempt_id)) AS last_id FROM attempts GROUP BY 1""")
+def d3_d4_kept_inserts(t):
+    place = f"{shared_folder(t.spark)}/inserts-{uuid.uuid4().hex}"
+    first = kept.KeptTable(t.spark, f"{place}/first", ["record_id"], t.attempts.select("record_id", F.col("attempt_id").alias("first_id")).schema, 8)
+    last = kept.KeptTable(t.spark, f"{place}/last", ["record_id"], t.attempts.select("record_id", F.col("attempt_id").alias("last_id")).schema, 8)
+    for part in (0, 1, 2):  # three batches, one after another: the first that has a record keeps it, the last replaces it
+        some = t.attempts.where(F.col("attempt_id") % 3 == part)
+        first.merge(some.groupBy("record_id").agg(F.min("attempt_id").alias("first_id")), keep=("first_id",))
+        last.merge(some.groupBy("record_id").agg(F.max("attempt_id").alias("last_id")), replace=("last_id",))
+    return first.read().join(last.read(), "record_id")

@@ -11,35 +11,75 @@ from shelfmark.operators import joins, merges, reports, windows
 from shelfmark.streaming import streams
 
 
-def consolidate(scan: DataFrame, records: DataFrame, listing: DataFrame, priorities: dict[str, int]) -> DataFrame:
-    """From scanned files to one planned canonical path a record: ids and years from paths, the last row of each path, the pick, the plan."""
+def consolidate(scan: DataFrame, records: DataFrame, listing: DataFrame, priorities: dict[str, int], files: DataFrame | None = None) -> dict[str, DataFrame]:
+    """From scanned files (path, source, size and what the pick needs) to the catalog's tables.
+
+    ``inventory`` (the last row of each path, with its record id, year and where the year is from), ``extra`` (paths beside the kept one of a record and source), ``plan`` (one
+    planned canonical path a record), ``records`` (with the attributes of their picks, and stubs) and, where ``files`` (path, record_id, source, size, first_seen) is given,
+    ``files`` (after the scan, which has a ``seen``: added, updated or kept).
+    """
     inventory = scan.withColumns({"record_id": ids.record_id_from_name(F.col("path")), "path_year": ids.year_from_path(F.col("path"))}).where("record_id is not null")
-    inventory = merges.insert_replace(inventory, ["path"], [F.desc("instance_id")])
+    inventory = joins.resolve_year(merges.insert_replace(inventory, ["path"], [F.desc("instance_id")]), records)
     picks = windows.pick_canonical(inventory, priorities).withColumn("path_year", ids.year_from_path(F.col("path")))
-    return merges.plan_layout(merges.assign_canonical_path(picks, records), listing)
+    out = {
+        "inventory": inventory, "extra": windows.extra_paths(inventory), "records": joins.apply_canonical(records, picks),
+        "plan": merges.plan_layout(merges.assign_canonical_path(picks, records), listing),
+    }
+    if files is not None:
+        new = inventory.select("path", "record_id", "source", "size", F.col("seen").alias("last_verified"), F.col("seen").alias("first_seen"))
+        old = files.select("path", "record_id", "source", "size", F.col("first_seen").alias("last_verified"), "first_seen")
+        out["files"] = merges.upsert(old, new, "path", [], ["record_id", "source", "size", "last_verified"], ["first_seen"])
+    return out
+
 
+def refresh(records: DataFrame, batch: DataFrame, excluded: Column, run_tag: str, org_rules: list[tuple[str, str]] | None = None, top: int = 12) -> dict[str, DataFrame]:
+    """``records`` after the batch, ``decisions`` on excluded ones, ``run`` (the counts of a run row) and ``orgs`` (the ``top`` organisations left).
 
-def refresh(records: DataFrame, batch: DataFrame, excluded: Column, run_tag: str) -> tuple[DataFrame, DataFrame]:
-    """(records after the batch, decisions on excluded ones). The last row of a record in the batch wins; its null title or year leaves the old one."""
+    The last row of a record in the batch wins; its null title or year leaves the old one. With ``org_rules`` the batch holds
+    an array ``orgs``, of which they make the code; else it has an ``org_code``.
+    """
+    code = F.col("org_code") if org_rules is None else ids.org_code(F.col("orgs"), org_rules)
     last = merges.insert_replace(batch, ["record_id"], [F.desc("seen"), F.desc("batch_row")])
-    new = last.select("record_id", "title", ids.pub_year(F.col("publication_date"), "robust").alias("year"), "org_code", F.lit(None).cast("string").alias("product_type"))
-    return merges.exclude_records(merges.upsert(records, new, "record_id", ["title", "year"], ["org_code"], ["product_type"]), excluded, run_tag)
+    new = last.select("record_id", "title", ids.pub_year(F.col("publication_date"), "robust").alias("year"), code.alias("org_code"), F.lit(None).cast("string").alias("product_type"))
+    merged = merges.upsert(records, new, "record_id", ["title", "year"], ["org_code"], ["product_type"])
+    left, decisions = merges.exclude_records(merged, excluded, run_tag)
+    return {"records": left, "decisions": decisions, "run": merges.merge_counts(merged, "refresh", {"run_tag": run_tag}), "orgs": reports.top_counts(left, "org_code", top)}
 
 
-def recovery(records: DataFrame, attempts: DataFrame, files: DataFrame, rules: list[tuple[str, Column]]) -> dict[str, DataFrame]:
+def recovery(
+    records: DataFrame, attempts: DataFrame, files: DataFrame, rules: list[tuple[str, Column]], lookups: DataFrame | None = None, templates: DataFrame | None = None, data_prefixes: tuple[str, ...] = ()
+) -> dict[str, DataFrame]:
     """Planning and accounting of the records without a file.
 
     ``queue`` (their state), ``plan`` (record_id, pos, source for pending ones, by the rules in order), ``first`` (the winning source and
-    the attempts before it), ``sources`` (records first won by each), ``lost`` (the last failures) and ``gap`` (look-up against download).
+    the attempts before it), ``sources`` (records first won by each), ``lost`` (the last failures), ``gap`` (look-up against download) and ``scope`` (pending
+    records by whether they are papers and have a DOI of data). Only pending papers whose DOI is not of data are planned where ``lookups`` (record_id, best_pdf,
+    others, best_url, links) is given; ``urls`` (record_id, rank, kind, url) then holds where to try them: the open-access place, the registry's best link and those of the DOI's ``templates`` (prefix, template).
     """
     tried = attempts.withColumn("bucket", outcomes.bucket_attempt(F.col("http_status"), F.col("bytes"), F.col("saved_path"))).join(records.select("record_id"), "record_id", "left_semi")
     queue = streams.queue_from_attempts(joins.todo(tried, files.where("size > 0")), tuple(name for name, _ in rules))
     pending = records.join(queue.where("status = 'pending'").select("record_id", F.col("attempts").alias("_n")), "record_id").drop("_n")
+    paper, data = ids.is_paper(F.col("record_id"), F.col("product_type")), ids.is_data_doi(F.col("doi"), list(data_prefixes)) if data_prefixes else F.lit(False)
+    scope = pending.groupBy(paper.alias("paper"), data.alias("data_doi")).agg(F.count("*").alias("n"))
+    wanted = pending if lookups is None else pending.where(paper & ~data)
     first = windows.first_success(tried.withColumn("ok", F.col("bucket") == "other"))
-    return {
-        "queue": queue, "plan": joins.source_plan(pending, rules), "first": first, "sources": reports.source_yield(first),
-        "lost": reports.final_status(tried), "gap": reports.yield_gap(tried), "gap_buckets": reports.yield_gap_buckets(tried),
+    out = {
+        "queue": queue, "plan": joins.source_plan(wanted, rules), "first": first, "sources": reports.source_yield(first),
+        "lost": reports.final_status(tried), "gap": reports.yield_gap(tried), "gap_buckets": reports.yield_gap_buckets(tried), "scope": scope,
     }
+    if lookups is not None:
+        out["urls"] = _recovery_urls(wanted, lookups, templates)
+    return out
+
+
+def _recovery_urls(wanted: DataFrame, lookups: DataFrame, templates: DataFrame | None) -> DataFrame:
+    held = lookups.join(wanted.select("record_id"), "record_id", "left_semi")
+    place = lambda rank, kind, url: F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), url.alias("url"))
+    found = F.array(place(0, "open_access", outcomes.pick_oa_url(F.col("best_pdf"), F.col("others"), F.col("best_url"))), place(1, "registry", outcomes.pick_link(F.col("links"))))
+    urls = held.select("record_id", F.inline(found)).where("url is not null")
+    if templates is not None:
+        urls = urls.unionByName(joins.doi_urls_by_table(wanted, templates).select("record_id", F.lit(2).alias("rank"), F.lit("template").alias("kind"), "url"))
+    return urls
 
 
 def findability(docs: DataFrame, registry: DataFrame, kind: str = "data") -> dict[str, DataFrame]:
@@ -98,6 +138,26 @@ def selection(pool: DataFrame, scores: DataFrame, findability: DataFrame, exclud
     return windows.select_tiered(candidates, excludes, n)
 
 
+def judge(answers: DataFrame, labels: list[str]) -> DataFrame:
+    """item_id, judge, verdict, score and error of raw answers (item_id, judge, raw): of a JSON object, cut or whole, its ``verdict`` and ``score``; else of a text with verdict lines, the last.
+
+    A verdict that isn't among ``labels`` is UNCLEAR, a score that isn't a number null.
+    """
+    parsed = tx.parse_answers(answers, "raw")
+    said = F.upper(F.trim(F.col("answer")["verdict"]))
+    verdict = F.when(F.col("error").isNotNull(), tx.parse_verdict(F.col("raw"), labels)).when(said.isin(*labels), said).otherwise("UNCLEAR")
+    return parsed.select("item_id", "judge", verdict.alias("verdict"), F.col("answer")["score"].try_cast("double").alias("score"), "error")
+
+
+def judged_selection(pool: DataFrame, answers: DataFrame, findability: DataFrame, excludes: DataFrame, n: int, labels: list[str], baseline: str) -> dict[str, DataFrame]:
+    """From raw answers to a selection: ``verdicts`` (``judge``), each judge's ``agreement`` with the baseline, and ``selected``.
+
+    Answers that are UNCLEAR don't vote; an item that no judge decided isn't selected.
+    """
+    verdicts = judge(answers, labels)
+    return {"verdicts": verdicts, "agreement": reports.judge_agreement(verdicts, baseline), "selected": selection(pool, verdicts.where("verdict <> 'UNCLEAR'"), findability, excludes, n)}
+
+
 def augment(docs: DataFrame, links: DataFrame, people: DataFrame, start: str = "<!-- contacts -->", end: str = "<!-- end contacts -->") -> DataFrame:
     """record_id, text, status: each document with a marked block that names its contacts; ``no_contact`` leaves the text alone."""
     names = joins.contacts_for(links, people)

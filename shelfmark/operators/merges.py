@@ -125,5 +125,12 @@ def run_record(spark: SparkSession, run_type: str, params: dict[str, str], count
     return spark.createDataFrame([row], "run_type string, params map<string,string>, started timestamp, ended timestamp, added long, updated long, errors long, notes string")
 
 
+def merge_counts(merged: DataFrame, run_type: str, params: dict[str, str]) -> DataFrame:
+    """A run row's type, params, added and updated, counted from the ``change`` of an upsert; the caller adds times and notes."""
+    given = F.create_map(*[F.lit(x) for pair in params.items() for x in pair]).alias("params")
+    n = merged.agg(F.count_if(F.col("change") == "added").alias("added"), F.count_if(F.col("change") == "updated").alias("updated"))
+    return n.select(F.lit(run_type).alias("run_type"), given, "added", "updated", F.lit(0).cast("long").alias("errors"))
+
+
 def undecided(ids: DataFrame, decisions: DataFrame, run_tag: str) -> DataFrame:
     return ids.join(decisions.where(F.col("run_tag") == run_tag).select("record_id"), "record_id", "left_anti")

@@ -25,7 +25,42 @@ SELECT y.record_id, y.instance_id, y.method, coalesce(CAST(y AS STRING), 'unknow
 def m1_consolidate(t):
     scan = t.files.drop("record_id", "path_year")
     listing = t.files.where("source <> 'gamma'").groupBy("path").agg(F.max("size").alias("size"))
-    return jobs.consolidate(scan, t.records, listing, PRIORITIES).select("record_id", "instance_id", "method", "canonical_path", "outcome")
+    return jobs.consolidate(scan, t.records, listing, PRIORITIES)["plan"].select("record_id", "instance_id", "method", "canonical_path", "outcome")
+
+
+#: The whole of M1 over a scan of most files, several of which share an id, and an older table of files that lacks a source.
+_CONSOLIDATED = """, scanned AS (SELECT * REPLACE (regexp_replace(path, '[0-9]+[.]pdf$', CAST(instance_id % 54 AS VARCHAR) || '.pdf') AS path) FROM files WHERE instance_id % 10 <> 0), inv AS (SELECT instance_id, source, priority, path, size, sha256, title_score, record_id, path_year, coalesce(path_year, y) AS year, CASE WHEN path_year IS NOT NULL THEN 'path' WHEN y IS NOT NULL THEN 'lookup' ELSE 'none' END AS year_source
+ FROM (SELECT f.* REPLACE (regexp_extract(path, '([0-9]+)[.]pdf$', 1) AS record_id, TRY_CAST(nullif(regexp_extract(path, '/(20[0-9][0-9])/', 1), '') AS INT) AS path_year) FROM scanned f QUALIFY row_number() OVER (PARTITION BY path ORDER BY instance_id DESC) = 1) s LEFT JOIN (SELECT record_id AS rid, year AS y FROM records) ON rid = record_id),
+old AS (SELECT path, min(record_id) AS record_id, min(source) AS source, min(size) AS size FROM files WHERE source <> 'alpha' GROUP BY 1)
+"""
+
+
+def _consolidated(t):
+    named = F.concat(F.regexp_replace("path", "[0-9]+[.]pdf$", ""), F.col("instance_id") % 54, F.lit(".pdf"))
+    scan = t.files.where("instance_id % 10 <> 0").drop("record_id", "path_year").withColumn("path", named).withColumn("seen", F.lit(2))
+    old = t.files.where("source <> 'alpha'").groupBy("path").agg(F.min("record_id").alias("record_id"), F.min("source").alias("source"), F.min("size").alias("size")).withColumn("first_seen", F.lit(1))
+    return jobs.consolidate(scan, t.records, t.files.groupBy("path").agg(F.max("size").alias("size")), PRIORITIES, old)
+
+
+@query(_CONSOLIDATED + "SELECT path, record_id, year, year_source FROM inv")
+def m1_inventory(t):
+    return _consolidated(t)["inventory"].select("path", "record_id", "year", "year_source")
+
+
+@query(_CONSOLIDATED + "SELECT path FROM inv QUALIFY row_number() OVER (PARTITION BY record_id, source ORDER BY path DESC) > 1")
+def m1_extra_paths(t):
+    return _consolidated(t)["extra"].select("path")
+
+
+@query(_CONSOLIDATED + """SELECT coalesce(i.path, o.path) AS path, coalesce(i.record_id, o.record_id) AS record_id, CASE WHEN i.path IS NULL THEN o.source ELSE i.source END AS source, CASE WHEN i.path IS NULL THEN o.size ELSE i.size END AS size,
+ CASE WHEN i.path IS NULL THEN 1 ELSE 2 END AS last_verified, CASE WHEN o.path IS NULL THEN 2 ELSE 1 END AS first_seen, CASE WHEN o.path IS NULL THEN 'added' WHEN i.path IS NULL THEN 'kept' ELSE 'updated' END AS change FROM inv i FULL JOIN old o ON o.path = i.path""")
+def m1_files(t):
+    return _consolidated(t)["files"]
+
+
+@query(_CONSOLIDATED + pick_sql("inv") + "SELECT coalesce(r.record_id, p.record_id) AS record_id, coalesce(p.path, r.canonical_path) AS canonical_path, p.size AS canonical_size, coalesce(p.path IS NOT NULL OR r.has_file, false) AS has_file FROM records r FULL JOIN pick p ON p.record_id = r.record_id")
+def m1_records(t):
+    return _consolidated(t)["records"].drop("title")
 
 
 _REFRESH = """, b AS (SELECT record_id, CASE WHEN attempt_id % 3 > 0 THEN 'T' || attempt_id END AS title, CASE WHEN attempt_id % 4 > 0 THEN 2030 END AS year, source AS org_code FROM attempts QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY ts DESC, attempt_id DESC) = 1),
@@ -41,12 +76,33 @@ def _refresh(t):
 
 @query(_REFRESH + "SELECT * FROM u WHERE product_type IS DISTINCT FROM 'Dataset'")
 def m2_refresh(t):
-    return _refresh(t)[0]
+    return _refresh(t)["records"]
 
 
 @query(_REFRESH + "SELECT record_id, 'exclude' AS action, 'r1' AS run_tag FROM u WHERE product_type = 'Dataset'")
 def m2_refresh_decisions(t):
-    return _refresh(t)[1].select("record_id", "action", "run_tag")
+    return _refresh(t)["decisions"].select("record_id", "action", "run_tag")
+
+
+#: A batch with arrays of organisations, from which the rules make the code.
+_CODED = _REFRESH.replace("source AS org_code", "CASE WHEN source LIKE '%click%' THEN 'C' WHEN source LIKE '%view%' THEN 'V' ELSE 'UNKNOWN' END AS org_code")
+
+
+def _coded(t):
+    a = t.attempts
+    title = F.when(a.attempt_id % 3 > 0, F.concat(F.lit("T"), "attempt_id"))
+    batch = a.select("record_id", title.alias("title"), F.when(a.attempt_id % 4 > 0, "2030-01-02T00:00:00Z").alias("publication_date"), F.array(F.lit("First of"), F.initcap("source")).alias("orgs"), F.col("ts").alias("seen"), F.col("attempt_id").alias("batch_row"))
+    return jobs.refresh(t.records, batch, F.col("product_type") == "Dataset", "r1", [("click", "C"), ("view", "V")])
+
+
+@query(_CODED + "SELECT org_code, count(*) AS n FROM u WHERE product_type IS DISTINCT FROM 'Dataset' GROUP BY 1 ORDER BY n DESC, org_code LIMIT 12")
+def m2_refresh_orgs(t):
+    return _coded(t)["orgs"]
+
+
+@query(_CODED + "SELECT 'refresh' AS run_type, count(*) FILTER (change = 'added') AS added, count(*) FILTER (change = 'updated') AS updated, 0 AS errors FROM u")
+def m2_refresh_run(t):
+    return _coded(t)["run"].drop("params")
 
 
 @query(r""", e AS (SELECT DISTINCT doc_id, source, unnest(regexp_extract_all(text, '([A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)', 1)) AS email FROM documents)
@@ -66,6 +122,47 @@ def m6_selection(t):
     return jobs.selection(pool, _judges(t), found, t.labels.where("toxic = 1").select(F.col("doc_id").alias("record_id")), 100).select("record_id", "tier", "stratum", "turn")
 
 
+#: Raw answers of three judges: objects in fences, objects cut off, verdict lines and answers without any.
+_ANSWERS = """, v AS (SELECT doc_id AS item_id, 'q' AS judge, CASE WHEN quality = 1 THEN 'YES' ELSE 'NO' END AS verdict, (2 + 6 * quality)::DOUBLE AS score FROM labels
+ UNION ALL SELECT doc_id, 't', CASE WHEN toxic = 1 THEN 'NO' ELSE 'MAYBE' END, NULL FROM labels UNION ALL SELECT doc_id, 'm', CASE doc_id % 3 WHEN 0 THEN 'UNCLEAR' WHEN 1 THEN 'YES' ELSE 'NO' END, CASE WHEN doc_id % 3 = 1 THEN 5 END::DOUBLE FROM labels)
+"""
+
+
+def _answers(t):
+    one = lambda name, raw: t.labels.select(F.col("doc_id").alias("item_id"), F.lit(name).alias("judge"), raw.alias("raw"))
+    q = F.concat(F.lit('Well:\n```json\n{"verdict": "'), F.when(F.col("quality") == 1, " yes").otherwise("NO"), F.lit('", "score": '), (2 + 6 * F.col("quality")).cast("string"), F.lit("}\n```"))
+    lines = F.concat(F.lit("I think it over.\nVERDICT: "), F.when(F.col("toxic") == 1, "no").otherwise("maybe"), F.lit("\nWHY: as read"))
+    n = F.col("doc_id") % 3
+    m = F.when(n == 0, "can't say").when(n == 1, '{"verdict": "YES", "score": 5, "note": "cut o').otherwise("VERDICT: YES\nVERDICT: NO\nWHY: second thoughts")
+    return one("q", q).unionByName(one("t", lines)).unionByName(one("m", m))
+
+
+def _judged(t):
+    d = t.documents
+    found = d.select("doc_id", F.when(d.lang == "en", "FOUND_DEPOSIT").otherwise("FOUND_DOI_ONLY").alias("findability"))
+    pool = d.select("doc_id", F.col("source").alias("stratum"), F.col("n_chars").alias("score"))
+    out = t.labels.where("toxic = 1").select(F.col("doc_id").alias("record_id"))
+    return jobs.judged_selection(pool, _answers(t), found, out, 100, ["YES", "NO", "MAYBE"], "q")
+
+
+@query(_ANSWERS + "SELECT item_id, judge, verdict, score, (judge = 't' OR (judge = 'm' AND item_id % 3 <> 1)) AS failed FROM v")
+def m6_verdicts(t):
+    return _judged(t)["verdicts"].select("item_id", "judge", "verdict", "score", F.col("error").isNotNull().alias("failed"))
+
+
+@query(_ANSWERS + "SELECT a.judge, count(*) AS items, round(avg(CASE WHEN a.verdict = b.verdict THEN 1.0 ELSE 0.0 END), 6) AS agreement FROM v a JOIN v b ON b.item_id = a.item_id AND b.judge = 'q' WHERE a.verdict <> 'UNCLEAR' GROUP BY 1")
+def m6_agreement(t):
+    return _judged(t)["agreement"]
+
+
+@query(_ANSWERS + """, n AS (SELECT item_id, verdict, count(*) AS n FROM v WHERE verdict <> 'UNCLEAR' GROUP BY 1, 2), w AS (SELECT item_id, verdict FROM n QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY n DESC, verdict) = 1),
+c AS (SELECT d.doc_id AS record_id, CASE WHEN w.verdict = 'YES' AND lang = 'en' THEN 1 WHEN w.verdict IN ('YES', 'MAYBE') THEN 2 END AS tier, source AS stratum, n_chars AS score FROM documents d JOIN w ON w.item_id = d.doc_id WHERE d.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+r AS (SELECT *, row_number() OVER (PARTITION BY tier, stratum ORDER BY score DESC, record_id) AS turn FROM c WHERE tier IS NOT NULL)
+SELECT record_id, tier, stratum, turn FROM r ORDER BY tier, turn, score DESC, record_id LIMIT 100""")
+def m6_judged_selection(t):
+    return _judged(t)["selected"].select("record_id", "tier", "stratum", "turn")
+
+
 @query(""", l AS (SELECT DISTINCT record_id, bytes % 50 + 1 AS contact_id FROM attempts), c AS (SELECT l.record_id, string_agg(c_name, ', ' ORDER BY c_custkey % 2, -c_nationkey, c_name) AS names FROM l LEFT JOIN customer ON c_custkey = contact_id GROUP BY 1)
 SELECT d.record_id, CASE WHEN c.names IS NULL THEN 'no_contact' ELSE 'inserted' END AS status, length(o.text) + CASE WHEN c.names IS NULL THEN 0 ELSE length('\n\n<s>\nContacts: ' || c.names || '\n</s>\n') END AS chars FROM (SELECT record_id, doc_id FROM records) d JOIN documents o ON o.doc_id = d.doc_id LEFT JOIN c ON c.record_id = d.record_id""".replace("'\n\n<s>\nContacts: '", "chr(10) || chr(10) || '<s>' || chr(10) || 'Contacts: '").replace("'\n</s>\n'", "chr(10) || '</s>' || chr(10)").replace("length(o.text) +", "CASE WHEN c.names IS NULL THEN length(o.text) ELSE length(rtrim(o.text, ' ')) END +"))
 def m8_augment(t):

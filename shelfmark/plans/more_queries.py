@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text as tx
@@ -60,11 +60,15 @@ def d11_repaired_paths(t):
     return merges.repair_canonical_path(f, listing).select("instance_id", "canonical_path", "repair")
 
 
-@query(""", d AS (SELECT doc_id, coalesce(text, '') || [""" + ", ".join(map(_quoted, _PLANTED)) + """][doc_id % 6 + 1] AS text FROM documents), g AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '\\b(GSE\\d{2,7}|GDS\\d{2,6}|GSM\\d{2,8})\\b', 1)) AS value FROM d)
-SELECT doc_id, value, row_number() OVER (PARTITION BY doc_id ORDER BY value) AS rank FROM g QUALIFY rank <= 3""")
+@query(r""", d AS (SELECT doc_id, coalesce(text, '') || ' GSE' || (doc_id + 100) || ' GSE' || (doc_id + 101) || CASE WHEN doc_id % 3 = 0 THEN ' GSE300 GSE200 GDS555' || ' GSE200' ELSE '' END AS text FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '\b(GSE\d{2,7}|GDS\d{2,6}|GSM\d{2,8})\b', 1)) AS value FROM d)
+SELECT doc_id, value, row_number() OVER (PARTITION BY doc_id ORDER BY value) AS rank FROM g QUALIFY rank <= 3""".replace("\\\\", "\\"))
 def g4_cap_signals(t):
-    capped = windows.cap_signals(tx.extract_signals(_with_signals(t), {"geo": tx.SIGNALS["geo"]}), 3)
-    return windows.global_rank(capped.withColumn("one", F.lit(1)), "one", "value").groupBy("doc_id", "value").agg(F.lit(1).cast("long").alias("rank"))
+    n = F.col("doc_id")
+    more = F.when(n % 3 == 0, " GSE300 GSE200 GDS555 GSE200").otherwise("")
+    docs = t.documents.withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.lit(" GSE"), n + 100, F.lit(" GSE"), n + 101, more))
+    capped = windows.cap_signals(tx.extract_signals(docs, {"geo": tx.SIGNALS["geo"]}), 3)
+    return capped.select("doc_id", "value", F.row_number().over(Window.partitionBy("doc_id").orderBy("value")).alias("rank"))
 
 
 def _tri(t: Tables) -> DataFrame:
@@ -197,12 +201,26 @@ def i4_smoke_gate(t):
 
 
 def _recovery(t: Tables) -> dict[str, DataFrame]:
+    """Three attempts a record in the order of their ids; every other record's all fail, and files stand for the first third of the ids."""
     has_doi = F.coalesce(F.col("doi"), F.lit("")) != ""
-    return jobs.recovery(t.records, t.attempts, t.files, [("click", has_doi), ("view", F.col("year") >= 2010)])
-
-
-_RECOVERY = """, tried AS (SELECT a.* FROM bucketed a WHERE record_id IN (SELECT record_id FROM records)), open_ AS (SELECT * FROM tried WHERE record_id NOT IN (SELECT record_id FROM files WHERE size > 0)),
-queue AS (SELECT record_id, count(*) AS attempts, CASE WHEN count(*) FILTER (bucket = 'other') > 0 THEN 'recovered' WHEN count(DISTINCT source) FILTER (bucket <> 'other' AND source IN ('click', 'view')) = 2 THEN 'exhausted' ELSE 'pending' END AS status FROM open_ GROUP BY 1)
+    attempts = t.attempts.withColumn("record_id", F.floor(F.col("attempt_id") / 3).cast("long").cast("string"))
+    n = F.col("doc_id")
+    if_ = lambda k, text: F.when(n % k == 0, F.concat(F.lit(text), n))
+    link = lambda url, kind, use: F.struct(F.concat(F.lit(url), n).alias("url"), kind.alias("content_type"), use.alias("intended"))
+    links = F.array(
+        link("https://a/", F.when(n % 3 == 0, "application/pdf").otherwise("text/html"), F.when(n % 2 == 0, "text-mining").when(n % 7 == 0, "similarity-checking")),
+        link("https://b/", F.when(n % 5 == 0, "application/pdf").otherwise("text/xml"), F.lit(None).cast("string")),
+    )
+    lookups = t.records.select("record_id", if_(4, "https://oa/").alias("best_pdf"), F.array(F.lit(None).cast("string"), if_(3, "https://repo/")).alias("others"), if_(5, "https://page/").alias("best_url"), links.alias("links"))
+    prefix = F.substring_index("doi", "/", 1)
+    templates = t.records.where("coalesce(doi, '') <> ''").select(prefix.alias("prefix")).distinct().withColumn("template", F.explode(F.array(F.lit("https://doi.example.org/{doi}"), F.lit("https://p.example.org/{suffix}.pdf"))))
+    return jobs.recovery(t.records, attempts, t.files, [("click", has_doi), ("view", F.col("year") >= 2010)], lookups, templates, ("10.1003", "10.1007"))
+
+
+_RECOVERY = """, tried AS (SELECT a.* REPLACE (CAST(attempt_id // 3 AS VARCHAR) AS record_id) FROM bucketed a WHERE attempt_id // 3 IN (SELECT doc_id FROM records)), open_ AS (SELECT * FROM tried WHERE record_id NOT IN (SELECT record_id FROM files WHERE size > 0)),
+queue AS (SELECT record_id, count(*) AS attempts, CASE WHEN count(*) FILTER (bucket = 'other') > 0 THEN 'recovered' WHEN count(DISTINCT source) FILTER (bucket <> 'other' AND source IN ('click', 'view')) = 2 THEN 'exhausted' ELSE 'pending' END AS status FROM open_ GROUP BY 1),
+open_records AS (SELECT r.*, coalesce(product_type IN ('Journal Article', 'Conference', 'Technical Report', 'Book', 'Thesis'), false) AS paper, coalesce(split_part(doi, '/', 1) IN ('10.1003', '10.1007'), false) AS data_doi FROM records r JOIN queue q ON q.record_id = r.record_id WHERE status = 'pending'),
+p AS (SELECT * FROM open_records WHERE paper AND NOT data_doi)
 """
 
 
@@ -211,7 +229,7 @@ def m3_recovery_queue(t):
     return _recovery(t)["queue"].select("record_id", "attempts", "status")
 
 
-@query(_RECOVERY + """, p AS (SELECT r.* FROM records r JOIN queue q ON q.record_id = r.record_id WHERE status = 'pending') SELECT record_id, 0 AS pos, 'click' AS source FROM p WHERE coalesce(doi, '') <> '' UNION ALL SELECT record_id, CASE WHEN coalesce(doi, '') <> '' THEN 1 ELSE 0 END, 'view' FROM p WHERE year >= 2010""")
+@query(_RECOVERY + """SELECT record_id, 0 AS pos, 'click' AS source FROM p WHERE coalesce(doi, '') <> '' UNION ALL SELECT record_id, CASE WHEN coalesce(doi, '') <> '' THEN 1 ELSE 0 END, 'view' FROM p WHERE year >= 2010""")
 def m3_recovery_plan(t):
     return _recovery(t)["plan"]
 
@@ -221,6 +239,19 @@ def m3_recovery_sources(t):
     return _recovery(t)["sources"]
 
 
+@query(_RECOVERY + "SELECT paper, data_doi, count(*) AS n FROM open_records GROUP BY 1, 2")
+def m3_recovery_scope(t):
+    return _recovery(t)["scope"]
+
+
+@query(_RECOVERY + """, l AS (SELECT record_id, 'https://a/' || doc_id AS url, CASE WHEN doc_id % 3 = 0 THEN 10 ELSE 0 END + CASE WHEN doc_id % 2 = 0 THEN 5 WHEN doc_id % 7 = 0 THEN 3 ELSE 0 END AS score FROM p UNION ALL SELECT record_id, 'https://b/' || doc_id, CASE WHEN doc_id % 5 = 0 THEN 10 ELSE 0 END FROM p),
+o AS (SELECT record_id, CASE WHEN doc_id % 4 = 0 THEN 'https://oa/' || doc_id WHEN doc_id % 3 = 0 THEN 'https://repo/' || doc_id WHEN doc_id % 5 = 0 THEN 'https://page/' || doc_id END AS url FROM p)
+SELECT record_id, 0 AS rank, 'open_access' AS kind, url FROM o WHERE url IS NOT NULL UNION ALL SELECT record_id, 1, 'registry', arg_max(url, (score, url)) FROM l WHERE score > 0 GROUP BY 1
+UNION ALL SELECT record_id, 2, 'template', unnest(['https://doi.example.org/' || doi, 'https://p.example.org/' || split_part(doi, '/', 2) || '.pdf']) FROM p WHERE coalesce(doi, '') <> ''""")
+def m3_recovery_urls(t):
+    return _recovery(t)["urls"]
+
+
 def _registry(t: Tables) -> DataFrame:
     geo = t.documents.select(F.lit("geo").alias("kind"), F.lit("GSE1234").alias("value"), F.lit(200).alias("status"), F.lit(None).cast("string").alias("resource_type"))
     doi = t.documents.select(F.lit("doi").alias("kind"), F.lit("10.5281/zenodo.123456").alias("value"), F.lit(302).alias("status"), F.lit("Dataset").alias("resource_type"))

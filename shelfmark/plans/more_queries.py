@@ -144,6 +144,11 @@ def e28_attempt_rates(t):
     return reports.attempt_rates(t.attempts)
 
 
+@query("""SELECT source, count(bytes) AS n, min(bytes) AS p0, max(bytes) AS p100 FROM attempts GROUP BY 1""")
+def e28_merged_sketches(t):
+    return reports.quantiles_of(reports.attempt_sketches(t.attempts), ["source"], (0, 1))
+
+
 @query(""", p AS (SELECT lpad(CAST(p_size AS STRING), 2, '0') AS code, p_size, count(*) AS n, avg(CASE WHEN p_retailprice > 1000 THEN 0 ELSE 1.0 END) AS low, avg(CASE WHEN p_retailprice > 1500 THEN 1.0 ELSE 0 END) AS high FROM part GROUP BY 1, 2)
 SELECT code, n, CASE WHEN p_size % 2 = 0 THEN round(low, 6) < 0.2 ELSE round(high, 6) < 0.3 END AS breached FROM p""")
 def e34_expected_verdicts(t):

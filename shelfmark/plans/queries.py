@@ -920,4 +920,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-from shelfmark.plans import job_queries, more_queries  # noqa: E402, F401  (register the jobs and reports beside the queries above)
+from shelfmark.plans import file_queries, job_queries, more_queries  # noqa: E402, F401  (register the jobs and reports beside the queries above)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import bisect
 import random
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.operators import jobs, reports
 from shelfmark.operators.kept import KeptRuns, KeptTable, merge_from, union
 from shelfmark.plans import queries as q
 from shelfmark.streaming import streams
@@ -178,3 +180,29 @@ def test_kept_queue_equals_the_batch_one(spark, tmp_path):
     assert len(run()) == 2  # four were merged into one
     rows.limit(3).withColumn("record_id", F.lit("new")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     assert run()[-1]["rows"] == 1  # the batch wrote its own record only
+
+
+def test_merged_sketches_keep_ranks(spark):
+    n = 40_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 4 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 3)).alias("source"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 7).alias("ts"),
+        F.when(F.col("id") % 50 > 0, F.pmod(F.xxhash64("id"), F.lit(100_000))).alias("bytes"),
+    )
+    fractions = (0, 0.01, 0.5, 0.99, 1)
+    got = {x["source"]: x for x in reports.quantiles_of(reports.attempt_sketches(rows), ["source"], fractions).collect()}
+    assert set(got) == {"hot", "s0", "s1", "s2"}
+    for source, x in got.items():
+        values = sorted(v["bytes"] for v in rows.where((F.col("source") == source) & F.col("bytes").isNotNull()).collect())
+        assert (x["n"], x["p0"], x["p100"]) == (len(values), values[0], values[-1])
+        for f in fractions:
+            assert abs(bisect.bisect_left(values, x[f"p{f * 100:g}"]) / len(values) - f) < 0.01
+    nulls = rows.where("bytes is null").limit(3)
+    assert {(x["n"], x["p50"]) for x in reports.quantiles_of(reports.attempt_sketches(nulls), ["source"]).collect()} == {(0, None)}
+    assert reports.quantiles_of(reports.attempt_sketches(rows.limit(0)), ["source"]).collect() == []
+
+
+def test_answers_of_every_form_are_judged(spark):
+    raw = ['{"verdict": "maybe", "score": "7.5"}', '```json\n{"verdict": "SURE", "score": "x"}\n```', '{"verdict": "NO", "score": 3, "why": "cut', "VERDICT: YES or NO\nWHY: none", "", None]
+    df = spark.createDataFrame([(i, "j", x) for i, x in enumerate(raw)], "item_id long, judge string, raw string")
+    got = {x["item_id"]: (x["verdict"], x["score"], x["error"] is None) for x in jobs.judge(df, ["YES", "NO", "MAYBE"]).collect()}
+    assert got == {0: ("MAYBE", 7.5, True), 1: ("UNCLEAR", None, True), 2: ("NO", 3.0, True), 3: ("YES", None, False), 4: ("UNCLEAR", None, False), 5: ("UNCLEAR", None, False)}

@@ -242,14 +242,31 @@ def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
 
 
-def title_scores(df: DataFrame) -> DataFrame:
-    """title_score of (text, title): containment natively, and the ratio on the remaining rows alone."""
+def ratio_bound(a: Column, b: Column) -> Column:
+    """What ``seq_ratio`` can't exceed: twice the characters that both hold, each as often as the rarer side has it, of all characters."""
+    times = lambda text, c: F.length(text) - F.length(F.replace(text, c, F.lit("")))
+    shared = F.aggregate(F.array_distinct(F.split(b, "")), F.lit(0), lambda n, c: n + F.when(c == "", 0).otherwise(F.least(times(a, c), times(b, c))))
+    sizes = F.length(a) + F.length(b)
+    return F.when(sizes == 0, 1.0).otherwise(2 * shared / sizes)
+
+
+def title_scores(df: DataFrame, least: float | None = None) -> DataFrame:
+    """title_score of (text, title): containment natively, and the ratio on the remaining rows alone.
+
+    With ``least`` a score that can't reach it, by the lengths or by ``ratio_bound``, is null and isn't computed; all others are as without.
+    """
     tidy = lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " ")))
     df = df.withColumn("_t", tidy(F.coalesce("text", F.lit("")))).withColumn("_q", tidy(F.coalesce("title", F.lit(""))))
     quick = F.when((F.col("_q") == "") | (F.col("_t") == ""), 0.0).when(F.contains("_t", F.col("_q")), 1.0).when(F.contains(F.col("_t"), F.substring("_q", 1, 60)), 0.95)
-    df = df.withColumn("title_score", quick)
-    slow = df.where("title_score is null").withColumn("title_score", seq_ratio(F.substring("_t", 1, 1000), F.col("_q")))
-    return df.where("title_score is not null").unionByName(slow).drop("_t", "_q")
+    head = F.substring("_t", 1, 1000)
+    out_of_reach = F.lit(False)
+    if least is not None:
+        sizes = 2 * F.least(F.length(head), F.length("_q")) / (F.length(head) + F.length("_q"))
+        out_of_reach = quick.isNull() & F.when(sizes < least, True).otherwise(ratio_bound(head, F.col("_q")) < least)
+    df = df.withColumns({"title_score": quick, "_out": out_of_reach})
+    open_ = F.col("title_score").isNull() & ~F.col("_out")
+    slow = df.where(open_).withColumn("title_score", seq_ratio(head, F.col("_q")))
+    return df.where(~open_).unionByName(slow).drop("_t", "_q", "_out")
 
 
 def fix_emails(df: DataFrame) -> DataFrame:

@@ -135,7 +135,8 @@ def select_tiered(candidates: DataFrame, excludes: DataFrame, n: int) -> DataFra
     """Tiers in order, within a tier a turn for each stratum by score, until n are chosen."""
     left = candidates.join(excludes.select("record_id"), "record_id", "left_anti")
     turn = Window.partitionBy("tier", "stratum").orderBy(F.desc("score"), "record_id")
-    return left.withColumn("turn", F.row_number().over(turn)).orderBy("tier", "turn", F.desc("score"), "record_id").limit(n)
+    first = left.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= n)  # later turns can't be chosen; the plan cuts each stratum before its shuffle
+    return first.orderBy("tier", "turn", F.desc("score"), "record_id").limit(n)
 
 
 def make_blocks(records: DataFrame, cap: int) -> DataFrame:

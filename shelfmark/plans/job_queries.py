@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark import schemas
-from shelfmark.functions import outcomes
+from shelfmark.functions import ids, outcomes
 from shelfmark.functions import text as tx
+from shelfmark.functions.rules import rule_list
 from shelfmark.operators import jobs, joins, kept, merges, reports, search, windows
 from shelfmark.plans.queries import _JUDGES, PRIORITIES, _judges, pick_sql, query
 from shelfmark.session import shared_folder
@@ -370,3 +371,20 @@ def d3_d4_kept_inserts(t):
         first.merge(some.groupBy("record_id").agg(F.min("attempt_id").alias("first_id")), keep=("first_id",))
         last.merge(some.groupBy("record_id").agg(F.max("attempt_id").alias("last_id")), replace=("last_id",))
     return first.read().join(last.read(), "record_id")
+
+
+@query(""", rules AS (SELECT DISTINCT lower(left(c_mktsegment, 1)) AS text, upper(right(c_mktsegment, 2)) AS code, length(c_mktsegment) AS pos FROM customer)
+SELECT c_custkey, coalesce(arg_min(code, (pos, text)), 'UNKNOWN') AS code FROM (SELECT c_custkey, lower(substr(c_mktsegment, 1 + c_custkey % 4)) AS org FROM customer) LEFT JOIN rules ON contains(org, text) GROUP BY 1""")
+def l1_org_rules(t):
+    c, segment = t.customer, F.col("c_mktsegment")
+    table = c.select(F.lower(F.left(segment, F.lit(1))).alias("text"), F.upper(F.right(segment, F.lit(2))).alias("code"), F.length(segment).alias("pos")).distinct()
+    org = F.expr("substr(c_mktsegment, 1 + c_custkey % 4)")
+    return c.select("c_custkey", ids.org_code(F.array(org), rule_list(table, "text", "code")).alias("code"))
+
+
+@query(pick_sql("(SELECT * REPLACE (rank AS priority) FROM files JOIN ranks USING (source))").replace(", pf AS", ", ranks AS (SELECT source, row_number() OVER (ORDER BY count(*), source) AS rank FROM files GROUP BY 1), pf AS", 1) + "SELECT record_id, instance_id, method FROM pick")
+def l1_source_priorities(t):
+    """Priorities from a table: the source with the fewest files comes first."""
+    ranks = t.files.groupBy("source").agg(F.count("*").alias("n"))
+    order = [source for (source,) in rule_list(ranks, "source", order="n")]
+    return windows.pick_canonical(t.files, {source: n for n, source in enumerate(order, 1)}).select("record_id", "instance_id", "method")

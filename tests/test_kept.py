@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import bisect
+import difflib
 import random
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.functions import text as tx
+from shelfmark.functions.rules import rule_list
 from shelfmark.operators import jobs, reports
 from shelfmark.operators.kept import KeptRuns, KeptTable, merge_from, union
 from shelfmark.plans import queries as q
@@ -206,3 +209,26 @@ def test_answers_of_every_form_are_judged(spark):
     df = spark.createDataFrame([(i, "j", x) for i, x in enumerate(raw)], "item_id long, judge string, raw string")
     got = {x["item_id"]: (x["verdict"], x["score"], x["error"] is None) for x in jobs.judge(df, ["YES", "NO", "MAYBE"]).collect()}
     assert got == {0: ("MAYBE", 7.5, True), 1: ("UNCLEAR", None, True), 2: ("NO", 3.0, True), 3: ("YES", None, False), 4: ("UNCLEAR", None, False), 5: ("UNCLEAR", None, False)}
+
+
+def test_bounds_decide_titles_and_change_no_score(spark):
+    rnd = random.Random(8)
+    words = ["sigma", "alpha beta", "heat", "é", "of", "zz"]
+    made = lambda k: " ".join(rnd.choice(words) for _ in range(rnd.randrange(k)))
+    rows = [(i, made(12), made(9)) for i in range(150)] + [(200, None, "x"), (201, "x", None), (202, "heat " * 400, "of heat"), (203, "abcd", "dcba")]
+    df = spark.createDataFrame(rows, "i int, text string, title string")
+    whole = {x["i"]: x["title_score"] for x in tx.title_scores(df).collect()}
+    some = {x["i"]: x["title_score"] for x in tx.title_scores(df, 0.6).collect()}
+    assert set(some) == set(whole) and all(some[i] == whole[i] or (some[i] is None and 0 < whole[i] < 0.6) or (some[i] is None and whole[i] == 0) for i in whole)
+    assert all(some[i] == whole[i] for i in whole if whole[i] >= 0.6) and sum(x is None for x in some.values()) > 10
+    bounds = df.na.fill("").select("i", tx.ratio_bound(F.col("text"), F.col("title")).alias("b"), "text", "title").collect()
+    for x in bounds:
+        assert x["b"] >= difflib.SequenceMatcher(None, x["text"], x["title"]).ratio() - 1e-12
+        assert abs(x["b"] - difflib.SequenceMatcher(None, x["text"], x["title"]).quick_ratio()) < 1e-12
+
+
+def test_rule_tables_keep_their_order_and_bound(spark):
+    table = spark.createDataFrame([(2, "b", "B"), (1, "c", "C"), (2, "a", "A")], "pos int, text string, code string")
+    assert rule_list(table, "text", "code") == [("c", "C"), ("a", "A"), ("b", "B")]
+    with pytest.raises(ValueError):
+        rule_list(spark.range(1001).withColumnRenamed("id", "pos"), "pos")

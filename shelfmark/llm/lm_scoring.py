@@ -1,7 +1,7 @@
 """Operator 2, language-model scoring by masked pseudo-likelihood.
 
-A small window network predicts every word from the two words on either side: position-specific embeddings
-of the four neighbours are added, pass through tanh, and a softmax over groups of the vocabulary and one inside
+A window network predicts every word from the two words on either side: position-specific embeddings
+of the four neighbours are added, pass through x / (1 + |x|), and a softmax over groups of the vocabulary and one inside
 the word's group give its probability as their product. The network's vocabulary is the corpus's FREQUENT most
 frequent words, counted over all documents, in groups of falling frequency, and CLASSES hash classes for the rest.
 A word of a class has the class's probability times the word's share of the class's occurrences in the corpus, so
@@ -13,8 +13,9 @@ each document's other words leave the tasks as rows (word, times), which join th
 outside the HOT first can be in more than one of HOT occurrences, so none makes a large group.
 
 Training is data-parallel over the whole corpus: each task starts from one seeded network, takes numpy
-gradient steps over all its texts and sends its parameters weighted by its words; Spark sums them by
-parameter. What training gathers follows the number of tasks and so the input; the driver gets one network.
+gradient steps over all its texts, shorter for parameters with large gradients so far, and sends the rows of parameters
+that it moved, weighted by the words that moved them, so that tasks without a word don't dilute what others learned of it.
+What training gathers follows the number of tasks and so the input; the driver gets one network.
 The result depends on how rows are dealt to tasks, as that of any parameter averaging does; the same
 layout gives the same network.
 
@@ -37,21 +38,25 @@ from pyspark.sql import functions as F
 from shelfmark.llm import textkit as tk
 from shelfmark.llm.staging import staged
 
-FREQUENT, CLASSES = 192, 64
+FREQUENT, CLASSES = 4032, 64
 SIZE = FREQUENT + CLASSES
 HOT = 65_536
-GROUPS = WIDTH = 16  # their product is SIZE, which fits a byte
-HIDDEN = 16
+GROUPS = WIDTH = 64  # their product is SIZE
+HIDDEN = 32  # divides both, as all parameters are sent in rows of it
 OFFSETS = (-2, -1, 1, 2)
-BATCH = 2048
-RATE = 0.5
+BATCH = 8192
+RATE = 0.1
 SEED = 11
 _ONES = np.ones(WIDTH, np.float32)
 
 
 @dataclass
 class Network:
-    """Neighbour tables (offset, word or none, hidden), hidden bias, and weights and biases of the two softmaxes."""
+    """Neighbour tables (offset, word or none, hidden), hidden bias, and weights and biases of the two softmaxes.
+
+    A learner has beside them, for each row of a neighbour table and each softmax, the sum of its squared
+    gradients, by which its steps shrink, and how many words moved it.
+    """
 
     near: np.ndarray
     bias: np.ndarray
@@ -63,31 +68,43 @@ class Network:
     @staticmethod
     def seeded(seed: int = SEED) -> Network:
         rng = np.random.default_rng(seed)
-        draw = lambda *shape: rng.normal(0, 0.3, shape).astype(np.float32)
+        draw = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
         none = lambda *shape: np.zeros(shape, np.float32)
         return Network(draw(len(OFFSETS), SIZE + 1, HIDDEN), none(HIDDEN), draw(HIDDEN, GROUPS), none(GROUPS), draw(GROUPS, HIDDEN, WIDTH), none(GROUPS, WIDTH))
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([getattr(self, x.name).ravel() for x in fields(self)])
+    def __post_init__(self) -> None:
+        self.near_squares = np.full((len(OFFSETS), SIZE + 1), 1e-8, np.float32)
+        self.near_seen = np.zeros((len(OFFSETS), SIZE + 1), np.int64)
+        self.squares = np.full((2, GROUPS + 1), 1e-8)
+        self.own_seen = np.zeros(GROUPS, np.int64)
+
+    def rows(self) -> np.ndarray:
+        """All parameters in rows of HIDDEN."""
+        return np.concatenate([getattr(self, x.name).reshape(-1, HIDDEN) for x in fields(self)])
+
+    def row_weights(self) -> np.ndarray:
+        """How many words moved each of the rows."""
+        own, total = self.own_seen, self.own_seen.sum()
+        return np.concatenate([self.near_seen.ravel(), np.full(1 + GROUPS + GROUPS // HIDDEN, total), np.repeat(own, WIDTH), np.repeat(own, WIDTH // HIDDEN)])
 
     @staticmethod
-    def of_flat(values: np.ndarray) -> Network:
+    def of_rows(rows: np.ndarray) -> Network:
         made = Network.seeded()
         at = 0
         for x in fields(made):
-            shape = getattr(made, x.name).shape
-            n = int(np.prod(shape))
-            setattr(made, x.name, values[at : at + n].reshape(shape).astype(np.float32))
+            value = getattr(made, x.name)
+            n = value.size // HIDDEN
+            setattr(made, x.name, rows[at : at + n].reshape(value.shape).astype(np.float32))
             at += n
         return made
 
-    def _forward(self, words: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray], list[slice]]:
-        """Hidden values, both softmaxes, the words' own places in them, and the rows of each group; ``words`` stand in order of groups."""
+    def _forward(self, words: np.ndarray, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray], list[slice]]:
+        """Hidden values, exponentials of both softmaxes and their sums, the words' own places in them, and the rows of each group; ``words`` stand in order of groups."""
         hidden = self.near[0].take(around[0], axis=0)
         for p in range(1, len(OFFSETS)):
             hidden += self.near[p].take(around[p], axis=0)
         hidden += self.bias
-        np.tanh(hidden, out=hidden)
+        hidden /= 1 + np.abs(hidden)
         ends = np.searchsorted(words, np.arange(GROUPS + 1) * WIDTH)
         rows = [slice(ends[g], ends[g + 1]) for g in range(GROUPS) if ends[g] < ends[g + 1]]
         odds = np.empty((2, len(words), WIDTH), np.float32)
@@ -99,39 +116,64 @@ class Network:
             odds[1, its] += self.out_bias[own[its.start]]
         np.clip(odds, -40, 40, out=odds)
         np.exp(odds, out=odds)
-        odds /= (odds @ _ONES)[:, :, None]
-        return hidden, odds, (own, words - own * WIDTH), rows
+        return hidden, odds, odds @ _ONES, (own, words - own * WIDTH), rows
 
     def log_probability(self, words: np.ndarray, around: np.ndarray) -> np.ndarray:
-        order = np.argsort(words.astype(np.uint8), kind="stable")
-        _, odds, own, _ = self._forward(words[order], around.take(order, axis=1))
+        order = np.argsort(words.astype(np.uint16), kind="stable")
+        _, odds, sums, own, _ = self._forward(words[order], around.take(order, axis=1))
         n = np.arange(len(words))
         out = np.empty(len(words))
-        out[order] = np.log(odds[0, n, own[0]].astype(np.float64) * odds[1, n, own[1]])
+        out[order] = np.log(odds[0, n, own[0]].astype(np.float64) / sums[0] * odds[1, n, own[1]] / sums[1])
         return out
 
     def step(self, words: np.ndarray, around: np.ndarray, rate: float) -> None:
         n = len(words)
-        order = np.argsort(words.astype(np.uint8), kind="stable")
+        order = np.argsort(words.astype(np.uint16), kind="stable")
         around = around.take(order, axis=1)
-        hidden, slope, own, rows = self._forward(words[order], around)
+        hidden, slope, sums, own, rows = self._forward(words[order], around)
+        slope /= sums[:, :, None]
         for k in range(2):
             slope[k, np.arange(n), own[k]] -= 1
-        slope *= rate / n
         back = slope[0] @ self.group.T
-        self.group -= hidden.T @ slope[0]
-        self.group_bias -= slope[0].sum(axis=0)
+        self._descend(0, GROUPS, self.group, self.group_bias, hidden, slope[0], rate)
         for its in rows:
-            g, part = own[0][its.start], slope[1, its]
+            g, part = int(own[0][its.start]), slope[1, its]
             back[its] += part @ self.out[g].T
-            self.out[g] -= hidden[its].T @ part
-            self.out_bias[g] -= part.sum(axis=0)
-        back *= 1 - hidden * hidden
-        self.bias -= back.sum(axis=0)
-        columns, weights = np.arange(HIDDEN), back.ravel().astype(np.float64)
+            self._descend(1, g, self.out[g], self.out_bias[g], hidden[its], part, rate)
+            self.own_seen[g] += len(part)
+        back *= (1 - np.abs(hidden)) ** 2
+        move = back.sum(axis=0)
+        self.squares[0, 0] += float(move @ move) / HIDDEN
+        self.bias -= move * np.float32(rate / np.sqrt(self.squares[0, 0]))
         for p in range(len(OFFSETS)):
-            places = (around[p][:, None] * HIDDEN + columns).ravel()
-            self.near[p] -= np.bincount(places, weights, (SIZE + 1) * HIDDEN).reshape(SIZE + 1, HIDDEN).astype(np.float32)
+            at = np.argsort(around[p].astype(np.uint16), kind="stable")
+            near = around[p][at]
+            first = np.flatnonzero(np.diff(near, prepend=-1))
+            its, times = near[first], np.diff(np.append(first, n))
+            move = _sums(back, at, first, times)
+            self.near_squares[p, its] += np.einsum("ij,ij->i", move, move) / HIDDEN
+            self.near[p, its] -= move * (np.float32(rate) / np.sqrt(self.near_squares[p, its]))[:, None]
+            self.near_seen[p, its] += times
+
+    def _descend(self, k: int, at: int, weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, slope: np.ndarray, rate: float) -> None:
+        """One step of a softmax's weights and bias, in place, by its gradient over the root of its squares."""
+        move, shift = hidden.T @ slope, slope.sum(axis=0)
+        self.squares[k, at] += (float(np.einsum("ij,ij->", move, move)) + float(shift @ shift)) / (move.size + shift.size)
+        scale = np.float32(rate / np.sqrt(self.squares[k, at]))
+        weights -= move * scale
+        bias -= shift * scale
+
+
+def _sums(values: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The sums of runs of ``values`` in ``order``, each from its first on: few long runs one by one, short ones by place in the run."""
+    out = values.take(order[first], axis=0)
+    short = np.flatnonzero((times > 1) & (times <= 32))
+    for k in range(1, 32):
+        short = short[times[short] > k]
+        out[short] += values.take(order[first[short] + k], axis=0)
+    for i in np.flatnonzero(times > 32):
+        out[i] = values.take(order[first[i] : first[i] + times[i]], axis=0).sum(axis=0)
+    return out
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -159,10 +201,11 @@ class WordShares:
         keys = words.view(np.uint64)
         order = np.argsort(keys)
         self.keys, self.log_n = keys[order], np.log(n[order])
-        self.log_total = np.zeros(CLASSES)
-        rest = counts.where(~F.col("word").isin(self.frequent)) if self.frequent else counts
-        for x in rest.groupBy(class_of("word").alias("class")).agg(F.sum("n").alias("n")).collect():
-            self.log_total[x["class"]] = np.log(x["n"])
+        total = np.zeros(CLASSES, np.int64)
+        for x in counts.groupBy(class_of("word").alias("class")).agg(F.sum("n").alias("n")).collect():
+            total[x["class"]] = x["n"]
+        np.subtract.at(total, (keys[:FREQUENT] % np.uint64(CLASSES)).astype(np.int64), n[:FREQUENT])
+        self.log_total = np.log(np.maximum(total, 1))
 
     def log_share(self, words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log of each word's share of its class, and whether its own count is still to be multiplied in."""
@@ -210,26 +253,55 @@ class Coder:
 
 
 def train(docs: DataFrame, frequent: list[int]) -> Network:
-    """The average, weighted by words, of the networks that the tasks train on their texts."""
+    """The average of the networks that the tasks train on their texts, each row weighted by the words that moved it.
+
+    A task sends the rows that it moved, of at most the network's size; they are summed where their numbers are dealt
+    to, and one row a number reaches the driver. A row that no word moved stays as seeded.
+    """
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, network, seen = Coder(frequent), Network.seeded(), 0
+        code, network = Coder(frequent), Network.seeded()
         for batch in batches:
             for s in tk.slices(batch.column("text")):
                 words, around, _, _ = code(s)
                 for at in range(0, len(words), BATCH):
-                    part = words[at : at + BATCH]
-                    seen += len(part)
-                    network.step(part, around[:, at : at + BATCH], RATE * min(1.0, len(part) / 512))
-        if seen:
-            values = network.flat().astype(np.float64) * seen
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values) + 1)), pa.array(np.append(values, float(seen)))], names=["place", "value"])
-
-    sums = docs.select("text").mapInArrow(learn, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).toPandas()
-    if not len(sums):
-        return Network.seeded()
-    values = sums.sort_values("place")["value"].to_numpy()
-    return Network.of_flat(values[:-1] / values[-1])
+                    network.step(words[at : at + BATCH], around[:, at : at + BATCH], RATE)
+        weights = network.row_weights()
+        yield from _parts(np.flatnonzero(weights), weights, network.rows())
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            places = batch.column("place").to_numpy()
+            if total is None:
+                n = len(Network.seeded().rows())
+                total, weights = np.zeros((n, HIDDEN)), np.zeros(n, np.int64)
+            its = batch.column("weight").to_numpy()
+            np.add.at(total, places, _values(batch.column("values"), np.float32) * its[:, None].astype(np.float64))
+            np.add.at(weights, places, its)
+        if total is not None:
+            yield from _parts(np.flatnonzero(weights), weights, total)
+
+    shape = "place long, weight long, values binary"
+    sums = docs.select("text").mapInArrow(learn, shape).repartition("place").mapInArrow(add, shape).toArrow()
+    rows = Network.seeded().rows().astype(np.float64)
+    if len(sums):
+        values = _values(sums.column("values"), np.float64)
+        rows[sums.column("place").to_numpy()] = values / sums.column("weight").to_numpy()[:, None]
+    return Network.of_rows(rows)
+
+
+def _values(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, HIDDEN)
+
+
+def _parts(places: np.ndarray, weights: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows at ``places`` with their weights, as bytes, some at a time."""
+    for at in range(0, len(places), BATCH):
+        part = places[at : at + BATCH]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part), pa.array(weights[part]), pa.array([x.tobytes() for x in values[part]], pa.binary())], names=["place", "weight", "values"]
+        )
 
 
 def score_documents(docs: DataFrame, counts: DataFrame, shares: WordShares, network: Network) -> DataFrame:

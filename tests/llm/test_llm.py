@@ -201,7 +201,7 @@ def test_words_of_one_class_have_their_own_probabilities(spark):
         s = next(tk.slices(pa.array([" ".join(names)])))
         return tk.word_hashes(s, *tk.word_bounds(s)[:2]).astype(np.uint64)
 
-    names = [f"r{i}" for i in range(600)]
+    names = [f"r{i}" for i in range(2000)]
     ones = [w for w, k in zip(names, hashes(names)) if k % lm_scoring.CLASSES == 5]
     seen, rare = ones[0], ones[1]
     filler = " ".join(f"f{i}" for i in range(lm_scoring.FREQUENT))
@@ -228,10 +228,49 @@ def test_gradient_step_lowers_loss():
     around = np.stack([np.roll(w, -o) for o in lm_scoring.OFFSETS])
     before = -n.log_probability(w, around).mean()
     for _ in range(30):
-        n.step(w, around, 0.5)
+        n.step(w, around, 0.1)
     assert -n.log_probability(w, around).mean() < before - 0.5
 
 
+def test_averaged_rows_are_weighted_by_the_words_that_moved_them(spark):
+    texts = [("a b c d e " * 120,)] * 4, [("a b x y z " * 40,)] * 4
+    frame = lambda rows, n: spark.createDataFrame(spark.sparkContext.parallelize(rows, n), "text string")
+    one, other, both = frame(texts[0], 1), frame(texts[1], 1), frame(texts[0] + texts[1], 2)
+    frequent = [x["word"] for x in lm_scoring.word_counts(both).orderBy(F.desc("n"), "word").collect()]
+    seeded, mean = lm_scoring.Network.seeded(), lm_scoring.train(both, frequent)
+    parts = [lm_scoring.train(x, frequent) for x in (one, other)]
+    moved = [np.abs(x.near[0] - seeded.near[0]).sum(axis=1) > 0 for x in parts]
+    assert moved[0].sum() == 6 and moved[1].sum() == 6  # five words and none
+    for i in np.flatnonzero(moved[0] ^ moved[1]):
+        assert np.allclose(mean.near[0][i], parts[0 if moved[0][i] else 1].near[0][i], atol=1e-6)
+    weights = np.array([3, 1]) / 4
+    assert np.allclose(mean.bias, weights[0] * parts[0].bias + weights[1] * parts[1].bias, atol=1e-5)
+    still = np.flatnonzero(~moved[0] & ~moved[1])
+    assert np.array_equal(mean.near[0][still], seeded.near[0][still])
+
+
+def test_a_less_frequent_words_probability_follows_its_context(spark):
+    rng = np.random.default_rng(3)
+    names = [f"n{i}" for i in range(300)]
+    rows = []
+    for i in range(600):
+        k = int(rng.integers(0, 100))
+        rows.append((i, f"lead{k} then word{k} ends here {' '.join(rng.choice(names, 8))} " * 3))
+    right = [(1000 + k, f"lead{k} then word{k} ends here") for k in range(100)]
+    wrong = [(2000 + k, f"lead{k} then word{(k + 37) % 100} ends here") for k in range(100)]
+    got = {x["doc_id"]: x["log_likelihood"] for x in lm_scoring.pseudo_likelihood(spark.createDataFrame([*rows * 12, *right, *wrong], "doc_id long, text string").coalesce(2)).collect()}
+    assert sum(got[1000 + k] > got[2000 + k] for k in range(100)) >= 95
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(1)
+    values, keys = rng.normal(0, 1, (3000, 8)), np.sort(rng.zipf(1.5, 3000) % 50)
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    order = rng.permutation(3000)
+    got = lm_scoring._sums(values, order, first, np.diff(np.append(first, 3000)))
+    assert np.allclose(got, [values[order][keys == k].sum(axis=0) for k in np.unique(keys)])
+
+
 def brute_tiles(a, b, least):
     used_a, used_b, covered = set(), set(), 0
     while True:
@@ -635,8 +674,8 @@ def test_repeated_labelled_ids_are_collected_once(spark):
 
 def test_pseudo_likelihood_by_an_independent_forward_pass(spark):
     rng = np.random.default_rng(6)
-    names = [f"w{i}" for i in range(400)]
-    texts = [" ".join(rng.choice(names, rng.integers(1, 60), p=np.arange(400, 0, -1) / 80200)) for _ in range(80)] + ["", None]
+    names = [f"w{i}" for i in range(6000)]
+    texts = [" ".join(rng.choice(names, rng.integers(1, 60), p=np.arange(6000, 0, -1) / 18003000)) for _ in range(400)] + ["", None]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
     counts = lm_scoring.word_counts(df)
     shares = lm_scoring.WordShares(counts)
@@ -658,7 +697,8 @@ def test_pseudo_likelihood_by_an_independent_forward_pass(spark):
         w, total = words(t), 0.0
         for i, word in enumerate(w):
             near = [code(w[i + o]) if 0 <= i + o < len(w) else lm_scoring.SIZE for o in lm_scoring.OFFSETS]
-            hidden = np.tanh(sum(net.near[p][x].astype(float) for p, x in enumerate(near)) + net.bias)
+            hidden = sum(net.near[p][x].astype(float) for p, x in enumerate(near)) + net.bias
+            hidden = hidden / (1 + np.abs(hidden))
             g, m = divmod(code(word), lm_scoring.WIDTH)
             total += np.log(softmax(hidden @ net.group + net.group_bias)[g] * softmax(hidden @ net.out[g] + net.out_bias[g])[m])
             if code(word) >= lm_scoring.FREQUENT:

@@ -142,7 +142,7 @@ class Network:
             self._descend(1, g, self.out[g], self.out_bias[g], hidden[its], part, rate)
             self.own_seen[g] += len(part)
         back *= (1 - np.abs(hidden)) ** 2
-        move = back.sum(axis=0)
+        move = np.ones(n, np.float32) @ back
         self.squares[0, 0] += float(move @ move) / HIDDEN
         self.bias -= move * np.float32(rate / np.sqrt(self.squares[0, 0]))
         for p in range(len(OFFSETS)):
@@ -157,8 +157,8 @@ class Network:
 
     def _descend(self, k: int, at: int, weights: np.ndarray, bias: np.ndarray, hidden: np.ndarray, slope: np.ndarray, rate: float) -> None:
         """One step of a softmax's weights and bias, in place, by its gradient over the root of its squares."""
-        move, shift = hidden.T @ slope, slope.sum(axis=0)
-        self.squares[k, at] += (float(np.einsum("ij,ij->", move, move)) + float(shift @ shift)) / (move.size + shift.size)
+        move, shift = hidden.T @ slope, np.ones(len(slope), np.float32) @ slope
+        self.squares[k, at] += (float(np.vdot(move, move)) + float(shift @ shift)) / (move.size + shift.size)
         scale = np.float32(rate / np.sqrt(self.squares[k, at]))
         weights -= move * scale
         bias -= shift * scale
@@ -166,13 +166,15 @@ class Network:
 
 def _sums(values: np.ndarray, order: np.ndarray, first: np.ndarray, times: np.ndarray) -> np.ndarray:
     """The sums of runs of ``values`` in ``order``, each from its first on: few long runs one by one, short ones by place in the run."""
-    out = values.take(order[first], axis=0)
-    short = np.flatnonzero((times > 1) & (times <= 32))
-    for k in range(1, 32):
+    values = values.take(order, axis=0)
+    out = values.take(first, axis=0)
+    short = np.flatnonzero((times > 1) & (times <= 16))
+    for k in range(1, 16):
         short = short[times[short] > k]
-        out[short] += values.take(order[first[short] + k], axis=0)
-    for i in np.flatnonzero(times > 32):
-        out[i] = values.take(order[first[i] : first[i] + times[i]], axis=0).sum(axis=0)
+        out[short] += values.take(first[short] + k, axis=0)
+    ones = np.ones(len(values), values.dtype)
+    for i in np.flatnonzero(times > 16):
+        np.matmul(ones[: times[i]], values[first[i] : first[i] + times[i]], out=out[i])
     return out
 
 

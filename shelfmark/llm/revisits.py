@@ -11,6 +11,10 @@ fields and payloads don't take part and join at the end, by URL, time and record
 earlier response don't join. A response of more than one in HOT_MOST revisits, of which there are fewer than HOT_MOST,
 is repeated in the join for parts of its revisits, so that they are spread over tasks.
 
+Payloads are read last: of the responses only those go into the join's shuffle that a bitmap of the found ones holds, of about eight bits
+a found response and BITMAP_MOST bits at most (so it is broadcast). Beyond an eighth as many it holds ever more responses that no
+revisit asks for, which the join drops, as it does those that it holds by chance.
+
 Cases: a revisit with no canonical URL, no earlier response, no validator or one that disagrees is kept with
 that status and null payload; responses at one instant rank by record id; an equal time is not earlier; a null
 record id is one like others, of a revisit (kept) or a response (found, its response_id null);
@@ -31,6 +35,7 @@ TRACKING = r"^(ref|utm_[a-z]+)="
 HOUR, DAY = 3_600, 86_400
 HOT_MOST = 10_000
 HOT_PART = 1_000
+BITMAP_LEAST, BITMAP_MOST = 1 << 16, 1 << 26
 CAPTURE = "record_id string, kind string, url string, ts long, etag string, last_modified string, digest string, headers map<string,string>, payload string"
 
 
@@ -83,6 +88,17 @@ def _id_key(name: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), name), F.lit(""))
 
 
+def asked_for(responses: DataFrame, asked: DataFrame) -> DataFrame:
+    """The ``responses`` whose key ``one`` is among those of ``asked``, and few others: a bitmap of the keys' low bits decides, in words of 64 bits."""
+    keys = asked.select("one").distinct()
+    size = min(max(BITMAP_LEAST, 8 << keys.count().bit_length()), BITMAP_MOST)
+    word = F.shiftrightunsigned(F.col("one").bitwiseAND(F.lit(size - 1)), 6)
+    bit = F.expr("shiftleft(1L, cast(one & 63 as int))")
+    bits = keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    bits = F.broadcast(staged(bits, "revisits-asked"))
+    return responses.withColumn("word", word).join(bits, "word").where(bit.bitwiseAND(F.col("bits")) != 0).drop("word", "bits")
+
+
 def resolve_revisits(captures: DataFrame) -> DataFrame:
     """record_id, canonical_url, ts, response_id, status, headers and payload of every revisit."""
     own = F.when(F.col("kind") == "revisit", F.struct("etag", "last_modified", "digest", "headers", F.monotonically_increasing_id().alias("row")))
@@ -113,7 +129,7 @@ def resolve_revisits(captures: DataFrame) -> DataFrame:
     hot = linked.groupBy("one").agg(F.count("*").alias("n")).where(F.col("n") > least)
     hot = F.broadcast(staged(hot.select("one", F.ceil(F.col("n") / least).cast("int").alias("parts")), "revisits-hot"))
     linked = linked.join(hot, "one", "left").withColumn("part", F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1))).cast("int"))
-    full = full.withColumn("one", F.xxhash64("r_url", "r_ts", "r_key")).join(hot, "one", "left")
+    full = asked_for(full.withColumn("one", F.xxhash64("r_url", "r_ts", "r_key")), linked).join(hot, "one", "left")
     full = full.withColumn("r_part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
     # a record id names one record, and so do URL and time where there is none; grouped by the columns of the join, payloads are dealt out once
     parts = ("r_etag", "r_modified", "r_digest", "old_headers", "r_payload")

@@ -363,6 +363,21 @@ def test_odd_sketch_estimates_high_similarity():
     assert 10 <= ones <= near_dup.MOST_ONES
 
 
+def test_only_responses_that_are_asked_for_are_shuffled(spark, monkeypatch):
+    keys = spark.range(20_000).select(F.xxhash64("id").alias("one"), "id")
+    asked = keys.where("id % 10 = 0")
+    got = revisits.asked_for(keys, asked.union(asked)).cache()
+    assert got.columns == keys.columns and got.where("id % 10 = 0").count() == 2_000 and got.count() < 5_000
+    assert revisits.asked_for(keys, keys.where("id < 0")).count() == 0
+    rows = [(f"f{i}", "response", f"http://a.org/{i}", 100, '"t"', None, None, {}, f"p{i}") for i in range(300)]
+    rows += [(f"r{i}", "revisit", f"http://a.org/{i}", 200, '"t"', None, None, {}, None) for i in range(0, 300, 2)]
+    captures = spark.createDataFrame(rows, revisits.CAPTURE)
+    monkeypatch.setattr(revisits, "BITMAP_LEAST", 64)
+    for most in (1 << 26, 64):  # the second is full
+        monkeypatch.setattr(revisits, "BITMAP_MOST", most)
+        assert {(x["record_id"], x["payload"]) for x in revisits.resolve_revisits(captures).collect()} == {(f"r{i}", f"p{i}") for i in range(0, 300, 2)}
+
+
 def test_revisits(spark):
     full = ("f1", "response", "http://www.A.org:80/p?b=2&a=1&ref=z#x", 100, '"t"', None, None, {"ETag": '"t"', "X": "old", "Date": "d1"}, "body")
     later = ("f2", "response", "http://a.org/p?a=1&b=2", 100 + 3 * 86400, '"u"', None, None, {}, "new")

@@ -37,12 +37,17 @@ def clean_title(col: Column) -> Column:
     return F.substring(F.trim(F.regexp_replace(col, r"[^A-Za-z0-9]+", " ")), 1, 200)
 
 
-def extract_emails(col: Column, head: int | None = None) -> Column:
-    """Addresses in the whole text, or in its first ``head`` characters."""
+def extract_emails(col: Column, head: int | None = None, spelled: bool = True) -> Column:
+    """Addresses in the whole text, or in its first ``head`` characters.
+
+    ``spelled`` adds those written as ``a at b dot c``. As ``at`` is also a common word, it finds some that were none (``it was at 10.1.2.3``).
+    """
     start = F.coalesce(col, F.lit(""))
     start = start if head is None else F.substring(start, 1, head)
-    open_ = F.regexp_replace(F.regexp_replace(start, r"(?i)\s+(?:at|\[at\]|\(at\))\s+", "@"), r"(?i)\s+(?:dot|\[dot\]|\(dot\))\s+", ".")
-    found = F.array_union(F.regexp_extract_all(start, F.lit(f"({EMAIL})"), F.lit(1)), F.regexp_extract_all(open_, F.lit(f"({EMAIL})"), F.lit(1)))
+    found = F.regexp_extract_all(start, F.lit(f"({EMAIL})"), F.lit(1))
+    if spelled:
+        open_ = F.regexp_replace(F.regexp_replace(start, r"(?i)\s+(?:at|\[at\]|\(at\))\s+", "@"), r"(?i)\s+(?:dot|\[dot\]|\(dot\))\s+", ".")
+        found = F.array_union(found, F.regexp_extract_all(open_, F.lit(f"({EMAIL})"), F.lit(1)))
     return F.array_sort(F.array_distinct(found))
 
 

@@ -96,20 +96,20 @@ def findability(docs: DataFrame, registry: DataFrame, kind: str = "data") -> dic
     return {"validated": validated, "verdicts": verdicts, "report": reports.findability_report(verdicts), "rates": reports.signal_rates(validated), "types": reports.strong_types(validated)}
 
 
-def contacts(docs: DataFrame, own_domains: list[str], head: int | None = None) -> DataFrame:
-    """email, papers, orgs and verdict of every address in the documents (doc_id, text, org_code); reachability isn't looked up."""
-    found = docs.select(F.col("doc_id").alias("record_id"), "org_code", F.explode(tx.extract_emails(F.col("text"), head)).alias("email"))
+def contacts(docs: DataFrame, own_domains: list[str], head: int | None = None, spelled: bool = True) -> DataFrame:
+    """email, papers, orgs and verdict of every address in the documents (doc_id, text, org_code), ``spelled`` ones too; reachability isn't looked up."""
+    found = docs.select(F.col("doc_id").alias("record_id"), "org_code", F.explode(tx.extract_emails(F.col("text"), head, spelled)).alias("email"))
     k = tx.email_checks(F.col("email"), F.lit(None).cast("string"), own_domains)
     people = reports.author_rollup(found).withColumn("k", k)
     return people.select("email", "papers", "orgs", tx.email_verdict(F.col("k.syntax"), F.col("k.multiple"), F.col("k.obfuscated"), F.lit(True), F.lit(True)).alias("verdict"))
 
 
-def contact_bindings(docs: DataFrame, authors: DataFrame, pages: DataFrame, generic: list[str]) -> DataFrame:
-    """record_id, email, author, affil, named and confidence of every address in the documents (record_id, text).
+def contact_bindings(docs: DataFrame, authors: DataFrame, pages: DataFrame, generic: list[str], spelled: bool = True) -> DataFrame:
+    """record_id, email, author, affil, named and confidence of every address in the documents (record_id, text), ``spelled`` ones too.
 
     ``authors`` (record_id, source, raw) holds author entries of several sources with affiliations and identifiers in brackets; ``pages`` (record_id, html) confirm an address that they show.
     """
-    found = docs.select("record_id", F.explode(tx.extract_emails(F.col("text"), None)).alias("raw_email"))
+    found = docs.select("record_id", F.explode(tx.extract_emails(F.col("text"), None, spelled)).alias("raw_email"))
     one = tx.split_multi_email(F.col("raw_email"))
     found = found.select("record_id", one["primary"].alias("email")).distinct()
     people = authors.withColumn("p", tx.parse_author(F.col("raw"))).select("record_id", "source", F.col("p.name").alias("name"), F.array_join("p.affiliations", "; ").alias("affiliation"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from shelfmark.plans.fixtures import Tables
 from shelfmark.plans.queries import query
-from shelfmark.session import file_system, shared_folder
+from shelfmark.session import shared_folder
 from shelfmark.sources import readers
 
 
@@ -20,15 +20,7 @@ def _place(t: Tables) -> str:
 
 def _named_files(rows: DataFrame, place: str, ending: str) -> str:
     """A text file ``<name><ending>`` for each name of ``rows`` (name, value), beside each other; the folder."""
-    spark = rows.sparkSession
-    rows.repartition("name").write.partitionBy("name").text(f"{place}/made")
-    system, made = file_system(spark, f"{place}/made")
-    _, out = file_system(spark, f"{place}/named")
-    system.mkdirs(out)
-    for folder in system.listStatus(made):  # a name each; names are made for few rows
-        if "=" in (name := folder.getPath().getName()):
-            part = next(x.getPath() for x in system.listStatus(folder.getPath()) if x.getPath().getName().startswith("part-"))
-            system.rename(part, file_system(spark, f"{place}/named/{name.split('=', 1)[1]}{ending}")[1])
+    readers.write_named_files(rows, f"{place}/named", ending)
     return f"{place}/named"
 
 

@@ -1,7 +1,7 @@
 """Kept search indexes: postings or trigrams of a corpus, written in batches, refreshed by document and merged later.
 
-An index is a folder with one sub-folder for each batch and a list of snapshots. A batch holds three tables: ``docs`` (doc_id, mtime and the number
-of distinct keys), ``rows`` (the postings, in folders by the start of their key) and ``gone`` (doc_id and batch of rows of
+An index is a folder with one sub-folder for each batch and a list of snapshots. A batch holds three tables: ``docs`` (doc_id, mtime),
+``rows`` (the postings, in folders by the start of their key) and ``gone`` (doc_id and batch of rows of
 earlier batches that it replaces or takes back). A snapshot names the batches that make up the index, and
 is written last, by a rename to the next number: readers take the highest number, so they see all of a refresh or nothing, and of two
 refreshes at once one fails. Files of a failed refresh are in no snapshot and are never read.
@@ -28,13 +28,14 @@ from pyspark.sql import functions as F
 from shelfmark.snapshots import Snapshots
 
 #: Raise when what ``build`` gives changes, or the layout does.
-FORMAT = 2
+FORMAT = 3
 FOLDERS = 64
 #: Characters of a key that decide its folder: a longer prefix is looked up in one folder.
 STEM = 3
 MERGE_AT = 8
 GONE_SHARE = 4
-DOCS_PER_FILE = 100_000
+#: Documents whose rows one task makes, and how few are worth a task of their own.
+DOCS_PER_TASK, FEW_DOCS = 8_000, 1_000
 
 
 def folder_of(key: Column) -> Column:
@@ -47,12 +48,11 @@ def folder_number(key: str) -> int:
 
 @dataclass(frozen=True)
 class Kind:
-    """What an index holds: its name, the name of the key column, and the functions that give rows and the array of keys of documents (doc_id, text)."""
+    """What an index holds: its name, the name of the key column, and the function that gives rows of documents (doc_id, text)."""
 
     name: str
     key: str
     build: Callable[[DataFrame], DataFrame]
-    keys: Callable[[str], Column]
 
 
 class Index:
@@ -86,10 +86,15 @@ class Index:
         gone = self._table("gone", batches, "doc_id long, old string").select("doc_id", F.col("old").alias("batch"))
         return table.join(gone, ["doc_id", "batch"], "left_anti").select(table.columns)
 
-    def docs(self, batches: list[str] | None = None) -> DataFrame:
-        """doc_id, mtime, n_keys and batch of the documents that the index holds."""
+    def known(self, batches: list[str] | None = None) -> DataFrame:
+        """doc_id, mtime and batch of the documents that the index holds."""
         batches = self.snapshot()["batches"] if batches is None else batches
-        return self._live(self._table("docs", batches, "doc_id long, mtime long, n_keys long"), batches)
+        return self._live(self._table("docs", batches, "doc_id long, mtime long"), batches)
+
+    def docs(self, batches: list[str] | None = None) -> DataFrame:
+        """doc_id, mtime, n_keys (the number of distinct keys, counted from the rows) and batch of the documents that the index holds."""
+        n = self.rows(batches).groupBy("doc_id").agg(F.countDistinct(self.kind.key).alias("n_keys"))
+        return self.known(batches).join(n, "doc_id", "left").select("doc_id", "mtime", F.coalesce("n_keys", F.lit(0)).alias("n_keys"), "batch")
 
     def rows(self, batches: list[str] | None = None) -> DataFrame:
         """The index's rows with their ``folder``, those replaced left out."""
@@ -98,10 +103,13 @@ class Index:
 
     # ---- writing
 
-    def _write_rows(self, rows: DataFrame, batch: str, n_docs: int) -> None:
-        parts = max(1, -(-n_docs // DOCS_PER_FILE))
-        rows = rows.withColumn("folder", folder_of(F.col(self.kind.key))).repartition("folder", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
-        rows.sortWithinPartitions("folder", self.kind.key, "doc_id").write.mode("overwrite").partitionBy("folder").parquet(f"{self.path}/rows/batch={batch}")
+    def _tasks(self, n_docs: int) -> int:
+        return max(1, -(-n_docs // DOCS_PER_TASK), min(self.spark.sparkContext.defaultParallelism, -(-n_docs // FEW_DOCS)))
+
+    def _write_rows(self, rows: DataFrame, batch: str) -> None:
+        """Each task writes the rows it has: a file a folder, in the order they come, which one sort by a small number gives."""
+        rows = rows.withColumn("folder", folder_of(F.col(self.kind.key))).sortWithinPartitions("folder")
+        rows.write.mode("overwrite").partitionBy("folder").parquet(f"{self.path}/rows/batch={batch}")
 
     def _write(self, table: str, rows: DataFrame, batch: str) -> DataFrame:
         rows.write.mode("overwrite").parquet(f"{self.path}/{table}/batch={batch}")
@@ -114,17 +122,17 @@ class Index:
         now = self.snapshot()
         batch = f"{now['number'] + 1:09d}-{uuid.uuid4().hex[:8]}"
         docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("mtime").cast("long").alias("mtime"), "text")
-        known = self.docs(now["batches"])
+        known = self.known(now["batches"])
         latest = docs.groupBy("doc_id").agg(F.max("mtime").alias("mtime"))
         changed = changed_docs(latest, known.select("doc_id", "mtime")) if now["batches"] else latest
-        wanted = self._write("changed", changed.select("doc_id", "mtime"), batch)
+        wanted = self._write("docs", changed.select("doc_id", "mtime"), batch)
         texts = docs.join(wanted.select(F.col("doc_id").alias("_id"), F.col("mtime").alias("_mtime")), (F.col("doc_id") == F.col("_id")) & F.col("mtime").eqNullSafe(F.col("_mtime")), "left_semi")
-        made = self._write("docs", texts.groupBy("doc_id", "mtime").agg(F.sum(F.size(F.array_distinct(self.kind.keys("text")))).cast("long").alias("n_keys")), batch)
         kept = latest.join(wanted.select("doc_id"), "doc_id", "left_anti").select("doc_id")
         gone = self._write("gone", known.join(kept, "doc_id", "left_anti").select("doc_id", F.col("batch").alias("old")), batch)
-        n_made, n_gone = made.count(), gone.count()
+        n_made, n_gone = wanted.count(), gone.count()
         if n_made or n_gone:
-            self._write_rows(self.kind.build(texts.select("doc_id", "text")), batch, n_made)
+            # texts are dealt to tasks, not their many more rows
+            self._write_rows(self.kind.build(texts.select("doc_id", "text").repartition(self._tasks(n_made), "doc_id")), batch)
             now = {"number": now["number"] + 1, "batches": [*now["batches"], batch], "docs": now["docs"] | {batch: n_made}, "gone": now["gone"] + n_gone}
             self._publish(now)
             self._merge_if_due(now)
@@ -145,12 +153,12 @@ class Index:
         if now["batches"][len(rest) :] != batches:
             raise ValueError("only the last batches can be merged")
         batch = f"{now['number'] + 1:09d}-{uuid.uuid4().hex[:8]}"
-        live = self.docs().where(F.col("batch").isin(batches)).select("doc_id", "mtime", "n_keys")
+        live = self.known().where(F.col("batch").isin(batches)).select("doc_id", "mtime")
         n = self._write("docs", live, batch).count()
         old = self._table("gone", batches, "doc_id long, old string").where(F.col("old").isin(rest) if rest else F.lit(False))
         n_gone = self._write("gone", old.select("doc_id", "old"), batch).count()
         rows = self._live(self._table("rows", now["batches"], self._row_schema()), now["batches"]).where(F.col("batch").isin(batches)).drop("batch", "folder")
-        self._write_rows(rows, batch, n)
+        self._write_rows(rows.repartition(self._tasks(n), "doc_id"), batch)
         held = {b: now["docs"][b] for b in rest}
         self._publish({"number": now["number"] + 1, "batches": [*rest, batch], "docs": held | {batch: n}, "gone": n_gone + (now["gone"] and self._table("gone", rest, "doc_id long, old string").count())})
 

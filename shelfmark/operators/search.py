@@ -146,9 +146,9 @@ def build_trigrams(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.explode(F.array_distinct(trigrams_of("text"))).alias("gram"))
 
 
-POSTINGS = index.Kind("postings", "term", build_postings, terms_of)
-TERM_SETS = index.Kind("term-sets", "term", build_term_sets, terms_of)
-TRIGRAMS = index.Kind("trigrams", "gram", build_trigrams, trigrams_of)
+POSTINGS = index.Kind("postings", "term", build_postings)
+TERM_SETS = index.Kind("term-sets", "term", build_term_sets)
+TRIGRAMS = index.Kind("trigrams", "gram", build_trigrams)
 
 
 def search_substring(docs: DataFrame, trigrams: DataFrame, needle: str) -> DataFrame:

@@ -100,24 +100,37 @@ def triangulate(bindings: DataFrame, authors: DataFrame, generic: list[str]) ->
     )
 
 
+#: Titles of a surname that may hold a token before it is looked up only together with another.
+HOT_TITLES = 100
+
+
 def match_titles(records: DataFrame, preprints: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Each record's first preprint (by id) of the same surname whose title matches.
 
-    Titles of one surname meet only in a rare token: a match holds ``ceil(threshold * n)`` of a record's n tokens, so it holds
-    one of any ``n - ceil(threshold * n) + 1`` of them, and those that the fewest titles of the surname hold are looked up. Equal token sets of one surname,
+    A match holds ``need = ceil(threshold * n)`` of a record's n tokens, so it holds two of any ``n - need + 2`` of them, and those that the fewest titles of the
+    surname hold are looked up: tokens of up to HOT_TITLES titles one by one, others by pairs. Where one token is enough, its first preprint is the answer. Equal token sets of one surname,
     on either side, are one row there, so that copies of a title never pair up. A record without tokens matches nothing.
     """
     q = records.select("record_id", "surname", F.array_sort(F.array_except(tx.tokens(F.col("title")), F.array(*map(F.lit, tx.STOP_WORDS)))).alias("q"))
     p = preprints.groupBy("surname", F.array_sort(tx.tokens(F.col("title"))).alias("t")).agg(F.min("preprint_id").alias("preprint_id"))
     tokens = p.select("surname", F.explode("t").alias("token"), "t", "preprint_id")
-    held = tokens.groupBy("surname", "token").agg(F.count("*").alias("n"))
+    held = tokens.groupBy("surname", "token").agg(F.count("*").alias("n"), F.min("preprint_id").alias("first"))
     asked = q.where(F.size("q") > 0).select("surname", "q").distinct()
     need = F.ceil(F.lit(threshold) * F.size("q"))
     rare = F.row_number().over(Window.partitionBy("surname", "q").orderBy(F.coalesce("n", F.lit(0)), "token"))
     asked = asked.select("surname", "q", F.explode("q").alias("token")).join(held, ["surname", "token"], "left")
-    asked = asked.withColumn("at", rare).where((F.col("at") <= F.size("q") - need + 1) & F.col("n").isNotNull()).select("surname", "token", "q")
+    asked = asked.withColumn("at", rare).where((F.col("at") <= F.size("q") - need + 2) & F.col("n").isNotNull())
+    several, hot = asked.where(need > 1), F.col("n") > HOT_TITLES
+    pairs = lambda c: F.explode(F.flatten(F.transform(c, lambda x, i: F.transform(F.slice(c, i + 2, F.size(c)), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
+    of = lambda df, *key: df.groupBy("surname", *key).agg(F.array_sort(F.collect_set("token")).alias("hot")).select("surname", *key, pairs(F.col("hot")).alias("pair"))
+    asked_hot = several.where(hot)
+    twice = of(tokens.join(asked_hot.select("surname", "token").distinct(), ["surname", "token"], "left_semi"), "t", "preprint_id")
+    met = several.where(~hot).select("surname", "token", "q").join(tokens, ["surname", "token"]).select("surname", "q", "t", "preprint_id")
+    met = met.unionByName(of(asked_hot, "q").join(twice, ["surname", "pair"]).select("surname", "q", "t", "preprint_id"))
     fits = F.size(F.array_intersect("q", "t")) >= F.lit(threshold) * F.size("q")
-    best = asked.join(tokens, ["surname", "token"]).where((F.size("t") >= need) & fits).groupBy("surname", "q").agg(F.min("preprint_id").alias("preprint_id"))
+    found = met.where((F.size("t") >= need) & fits).select("surname", "q", "preprint_id")
+    found = found.unionByName(asked.where(need <= 1).select("surname", "q", F.col("first").alias("preprint_id")))
+    best = found.groupBy("surname", "q").agg(F.min("preprint_id").alias("preprint_id"))
     return q.join(best, ["surname", "q"]).groupBy("record_id").agg(F.min("preprint_id").alias("preprint_id"))
 
 

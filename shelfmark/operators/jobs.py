@@ -56,9 +56,12 @@ def recovery(
     records by whether they are papers and have a DOI of data). Only pending papers whose DOI is not of data are planned where ``lookups`` (record_id, best_pdf,
     others, best_url, links) is given; ``urls`` (record_id, rank, kind, url) then holds where to try them: the open-access place, the registry's best link and those of the DOI's ``templates`` (prefix, template).
     """
-    tried = attempts.withColumn("bucket", outcomes.bucket_attempt(F.col("http_status"), F.col("bytes"), F.col("saved_path"))).join(records.select("record_id"), "record_id", "left_semi")
-    queue = streams.queue_from_attempts(joins.todo(tried, files.where("size > 0")), tuple(name for name, _ in rules))
-    pending = records.join(queue.where("status = 'pending'").select("record_id", F.col("attempts").alias("_n")), "record_id").drop("_n")
+    names, held = tuple(name for name, _ in rules), files.where("size > 0")
+    bucketed = attempts.withColumn("bucket", outcomes.bucket_attempt(F.col("http_status"), F.col("bytes"), F.col("saved_path")))
+    tried = bucketed.join(records.select("record_id"), "record_id", "left_semi")
+    queue = streams.queue_from_attempts(joins.todo(tried, held), names)
+    # the queue's pending rows, without sorting every attempt for each use
+    pending = joins.todo(records.join(streams.pending_records(bucketed, names), "record_id", "left_semi"), held)
     paper, data = ids.is_paper(F.col("record_id"), F.col("product_type")), ids.is_data_doi(F.col("doi"), list(data_prefixes)) if data_prefixes else F.lit(False)
     scope = pending.groupBy(paper.alias("paper"), data.alias("data_doi")).agg(F.count("*").alias("n"))
     wanted = pending if lookups is None else pending.where(paper & ~data)

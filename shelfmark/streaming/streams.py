@@ -93,7 +93,7 @@ QUEUE_RULES = {"attempts": F.sum, "enqueued_ts": F.min, "last_ts": F.max, "_firs
 
 def queue_of_state(state: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
     status = (
-        F.when(F.col("_first_ok.source").isNotNull(), "recovered").when(F.col("_no"), "failed_no_doi")
+        F.when(F.col("_first_ok").isNotNull(), "recovered").when(F.col("_no"), "failed_no_doi")
         .when((F.size("_tried") == len(set(sources))) & F.lit(bool(sources)), "exhausted").otherwise("pending")
     )
     return state.select(
@@ -111,6 +111,18 @@ def queue_from_attempts(attempts: DataFrame, sources: tuple[str, ...] = ()) -> D
     return queue_of_state(queue_state(attempts, sources), sources)
 
 
+def pending_records(attempts: DataFrame, sources: tuple[str, ...] = ()) -> DataFrame:
+    """record_id of each record that ``queue_from_attempts`` has as ``pending``, by a few flags a record, which are aggregated before the shuffle and without a sort."""
+    bad = F.col("bucket") != "other"
+    flag = lambda x, name: F.max(F.coalesce(x, F.lit(False))).alias(name)
+    tried = [flag(bad & (F.col("source") == name), f"_{i}") for i, name in enumerate(sources)]
+    flags = attempts.groupBy("record_id").agg(flag(~bad | (F.col("source") == NO_LOOKUP), "_final"), *tried)
+    exhausted = F.lit(bool(sources))
+    for i in range(len(sources)):
+        exhausted = exhausted & F.col(f"_{i}")
+    return flags.where(~F.col("_final") & ~exhausted).select("record_id")
+
+
 def kept_state(attempts: DataFrame, path: str, sources: tuple[str, ...] = (), buckets: int = 64) -> KeptRuns:
     """The queue's state at a path; the columns follow those of ``attempts`` (a stream will do)."""
     spark = attempts.sparkSession

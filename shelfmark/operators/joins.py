@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions import text as tx
+from shelfmark.session import staged
 
 
 def resolve_year(inventory: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -100,37 +103,79 @@ def triangulate(bindings: DataFrame, authors: DataFrame, generic: list[str]) ->
     )
 
 
-#: Titles of a surname that may hold a token before it is looked up only together with another.
+#: Titles of a surname that may hold a set of tokens before it is looked up only together with one more; comparisons a record that the sets left at the end may ask for.
 HOT_TITLES = 100
+TITLES_PER_TASK = 20_000
+BITMAP_LEAST, BITMAP_MOST = 1 << 16, 1 << 26
+
+
+def _may_be_asked(rows: DataFrame, asked: DataFrame, *key: str) -> DataFrame:
+    """The ``rows`` whose key is among those of ``asked``, and few others: a bitmap of the keys' hashes decides, in words of 64 bits."""
+    keys = asked.select(F.xxhash64(*key).alias("one")).distinct()
+    size = min(max(BITMAP_LEAST, 8 << keys.count().bit_length()), BITMAP_MOST)
+    word = F.shiftrightunsigned(F.col("one").bitwiseAND(F.lit(size - 1)), 6)
+    bit = F.expr("shiftleft(1L, cast(one & 63 as int))")
+    bits = F.broadcast(staged(keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")), "titles-bits"))
+    return rows.withColumn("one", F.xxhash64(*key)).withColumn("word", word).join(bits, "word").where(bit.bitwiseAND(F.col("bits")) != 0).drop("one", "word", "bits")
 
 
 def match_titles(records: DataFrame, preprints: DataFrame, threshold: float = 0.7) -> DataFrame:
     """Each record's first preprint (by id) of the same surname whose title matches.
 
-    A match holds ``need = ceil(threshold * n)`` of a record's n tokens, so it holds two of any ``n - need + 2`` of them, and those that the fewest titles of the
-    surname hold are looked up: tokens of up to HOT_TITLES titles one by one, others by pairs. Where one token is enough, its first preprint is the answer. Equal token sets of one surname,
-    on either side, are one row there, so that copies of a title never pair up. A record without tokens matches nothing.
+    A match holds ``need = ceil(threshold * n)`` of a record's n tokens, so it misses ``spare = n - need`` of them at most. Tokens are numbered, and lie on both sides from the
+    one that the fewest titles of the surname hold to the one that most hold. The first of a record's tokens that a match holds is among its first ``spare + 1``. One that up to HOT_TITLES
+    titles hold is looked up, and those titles are compared; a more frequent one is looked up with each next token that a match may hold, those pairs that are still frequent with a third, and
+    so on, until a set has ``need`` tokens, when its first preprint is the answer, or the frequent sets that are left ask for HOT_TITLES comparisons a record at most. So comparisons grow as the
+    records do, however many titles there are. Equal token sets of one surname, on either side, are one row there, so that copies of a title never pair up. A record without tokens matches nothing.
     """
-    q = records.select("record_id", "surname", F.array_sort(F.array_except(tx.tokens(F.col("title")), F.array(*map(F.lit, tx.STOP_WORDS)))).alias("q"))
-    p = preprints.groupBy("surname", F.array_sort(tx.tokens(F.col("title"))).alias("t")).agg(F.min("preprint_id").alias("preprint_id"))
-    tokens = p.select("surname", F.explode("t").alias("token"), "t", "preprint_id")
-    held = tokens.groupBy("surname", "token").agg(F.count("*").alias("n"), F.min("preprint_id").alias("first"))
-    asked = q.where(F.size("q") > 0).select("surname", "q").distinct()
-    need = F.ceil(F.lit(threshold) * F.size("q"))
-    rare = F.row_number().over(Window.partitionBy("surname", "q").orderBy(F.coalesce("n", F.lit(0)), "token"))
-    asked = asked.select("surname", "q", F.explode("q").alias("token")).join(held, ["surname", "token"], "left")
-    asked = asked.withColumn("at", rare).where((F.col("at") <= F.size("q") - need + 2) & F.col("n").isNotNull())
-    several, hot = asked.where(need > 1), F.col("n") > HOT_TITLES
-    pairs = lambda c: F.explode(F.flatten(F.transform(c, lambda x, i: F.transform(F.slice(c, i + 2, F.size(c)), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
-    of = lambda df, *key: df.groupBy("surname", *key).agg(F.array_sort(F.collect_set("token")).alias("hot")).select("surname", *key, pairs(F.col("hot")).alias("pair"))
-    asked_hot = several.where(hot)
-    twice = of(tokens.join(asked_hot.select("surname", "token").distinct(), ["surname", "token"], "left_semi"), "t", "preprint_id")
-    met = several.where(~hot).select("surname", "token", "q").join(tokens, ["surname", "token"]).select("surname", "q", "t", "preprint_id")
-    met = met.unionByName(of(asked_hot, "q").join(twice, ["surname", "pair"]).select("surname", "q", "t", "preprint_id"))
-    fits = F.size(F.array_intersect("q", "t")) >= F.lit(threshold) * F.size("q")
-    found = met.where((F.size("t") >= need) & fits).select("surname", "q", "preprint_id")
-    found = found.unionByName(asked.where(need <= 1).select("surname", "q", F.col("first").alias("preprint_id")))
-    best = found.groupBy("surname", "q").agg(F.min("preprint_id").alias("preprint_id"))
+    one, bit = F.monotonically_increasing_id(), F.expr("shiftleft(1L, cast(id & 63 as int))")
+    at = lambda c: F.get(c, F.col("at") - 1)
+    numbers = F.sort_array(F.collect_list(F.struct("n", "id"))).getField("id")
+    rare = F.count_if(F.col("n") <= HOT_TITLES).cast("int").alias("rare")
+    q = records.select("record_id", "surname", F.sort_array(F.array_except(tx.tokens(F.col("title")), F.array(*map(F.lit, tx.STOP_WORDS)))).alias("q"))
+    q = staged(q.where("surname is not null"), "titles-records")
+    asked = staged(q.select("surname", "q").distinct().withColumn("asked", one), "titles-asked")
+    p = preprints.where("surname is not null").groupBy("surname", F.sort_array(tx.tokens(F.col("title"))).alias("t")).agg(F.min("preprint_id").alias("preprint_id"))
+    p = staged(p.withColumn("title", one), "titles-preprints")
+    tokens = p.select("title", "surname", F.explode("t").alias("token"), "preprint_id")
+    held = staged(tokens.groupBy("token", "surname").agg(F.count("*").alias("n"), F.min("preprint_id").alias("first")).withColumn("id", one), "titles-tokens")
+
+    each = asked.select("asked", "surname", F.ceil(F.lit(threshold) * F.size("q")).cast("int").alias("need"), F.explode("q").alias("token")).join(held, ["token", "surname"])
+    found = [each.where("need <= 1").select("asked", F.col("first").alias("preprint_id"))]
+    own = each.where("need > 1").groupBy("asked", "need").agg(numbers.alias("q"), F.bit_or(bit).alias("bits"), rare)
+    own = staged(own.withColumn("spare", F.size("q") - F.col("need")).where("spare >= 0"), "titles-own")
+    useful = held.join(own.select(F.explode("q").alias("id")).distinct(), "id", "left_semi")
+    titles = tokens.join(useful, ["token", "surname"]).groupBy("title", "preprint_id").agg(numbers.alias("t"), F.bit_or(bit).alias("held_bits"), rare).where("size(t) > 1")
+    titles = staged(titles.repartition(p.count() // TITLES_PER_TASK + 1, "title"), "titles-numbered")
+
+    def compare(a: DataFrame, b: DataFrame) -> None:
+        """Bits that the other side lacks are missed tokens; sets are compared only where those are few enough."""
+        near = F.bit_count(F.col("bits").bitwiseAND(F.bitwise_not("held_bits"))) <= F.col("spare")
+        fits = F.size(F.array_intersect("q", "t")) >= F.col("need")
+        found.append(a.select("key", "asked", "need", "spare", "bits", "q").join(b.select("key", "preprint_id", "held_bits", "t"), "key").where(near & fits).select("asked", "preprint_id"))
+
+    compare(own.withColumn("key", F.explode(F.expr("slice(q, 1, least(rare, spare + 1))"))), titles.withColumn("key", F.explode(F.expr("slice(t, 1, rare)"))))
+    front = own.where("rare <= spare").withColumn("at", F.explode(F.expr("sequence(rare + 1, spare + 1)"))).withColumn("key", at("q"))
+    rows = titles.where("size(t) > rare").withColumn("at", F.explode(F.expr("sequence(rare + 1, size(t))"))).withColumn("key", at("t"))
+    most, size, hot = HOT_TITLES * asked.count(), 1, F.col("n") > HOT_TITLES
+    while not front.isEmpty():
+        size += 1
+        front = front.withColumn("at", F.explode(F.sequence(F.col("at") + 1, F.col("spare") + size))).withColumn("next", at("q"))
+        rows = rows.where("at < size(t)").withColumn("at", F.explode(F.expr("sequence(at + 1, size(t))"))).select("title", "preprint_id", "key", "at", at("t").alias("next"), one.alias("set"))
+        of = Window.partitionBy("key", "next")
+        rows = _may_be_asked(rows, front, "key", "next").select("key", "next", "title", "at", *[f.over(of).alias(c) for c, f in (("set", F.min("set")), ("n", F.count("*")), ("first", F.min("preprint_id")))])
+        rows = staged(rows, "titles-sets")
+        front = front.select("asked", "need", "spare", "bits", "q", "at", "key", "next").join(rows.select("key", "next", "set", "n", "first").distinct(), ["key", "next"])
+        front, rows = staged(front.drop("key", "next").withColumnRenamed("set", "key"), "titles-front"), rows.select("title", "at", "n", F.col("set").alias("key"))
+        found.append(front.where(F.col("need") == size).select("asked", F.col("first").alias("preprint_id")))
+        front = front.where(F.col("need") > size)
+        left = front.where(hot)
+        if (left.agg(F.sum("n")).first()[0] or 0) <= most:
+            compare(front, rows.join(titles, "title"))
+            break
+        compare(front.where(~hot), rows.where(~hot).join(titles, "title"))
+        front, rows = left.drop("n", "first"), rows.where(hot).join(left.select("key").distinct(), "key", "left_semi").join(titles, "title")
+    best = reduce(DataFrame.unionByName, found).groupBy("asked").agg(F.min("preprint_id").alias("preprint_id")).join(asked, "asked")
     return q.join(best, ["surname", "q"]).groupBy("record_id").agg(F.min("preprint_id").alias("preprint_id"))
 
 

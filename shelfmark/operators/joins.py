@@ -149,12 +149,15 @@ def match_titles(records: DataFrame, preprints: DataFrame, threshold: float = 0.
     titles = staged(titles.repartition(p.count() // TITLES_PER_TASK + 1, "title"), "titles-numbered")
 
     def compare(a: DataFrame, b: DataFrame) -> None:
-        """Bits that the other side lacks are missed tokens; sets are compared only where those are few enough."""
+        """Bits that the other side lacks are missed tokens; sets are compared only where those are few enough. Titles of a key are dealt in parts of about HOT_TITLES."""
         near = F.bit_count(F.col("bits").bitwiseAND(F.bitwise_not("held_bits"))) <= F.col("spare")
         fits = F.size(F.array_intersect("q", "t")) >= F.col("need")
-        found.append(a.select("key", "asked", "need", "spare", "bits", "q").join(b.select("key", "preprint_id", "held_bits", "t"), "key").where(near & fits).select("asked", "preprint_id"))
+        a = a.select("key", "asked", "need", "spare", "bits", "q", F.explode(F.expr(f"sequence(0, (n - 1) div {HOT_TITLES})")).alias("part"))
+        b = b.select("key", "preprint_id", "held_bits", "t", F.expr(f"pmod(title, (n - 1) div {HOT_TITLES} + 1)").alias("part"))
+        found.append(a.join(b, ["key", "part"]).where(near & fits).select("asked", "preprint_id"))
 
-    compare(own.withColumn("key", F.explode(F.expr("slice(q, 1, least(rare, spare + 1))"))), titles.withColumn("key", F.explode(F.expr("slice(t, 1, rare)"))))
+    few = F.lit(1).alias("n")
+    compare(own.select("*", few, F.explode(F.expr("slice(q, 1, least(rare, spare + 1))")).alias("key")), titles.select("*", few, F.explode(F.expr("slice(t, 1, rare)")).alias("key")))
     front = own.where("rare <= spare").withColumn("at", F.explode(F.expr("sequence(rare + 1, spare + 1)"))).withColumn("key", at("q"))
     rows = titles.where("size(t) > rare").withColumn("at", F.explode(F.expr("sequence(rare + 1, size(t))"))).withColumn("key", at("t"))
     most, size, hot = HOT_TITLES * asked.count(), 1, F.col("n") > HOT_TITLES
